@@ -1,0 +1,6 @@
+"""Nothing to stream.
+
+The pipeline this package rebuilds is a daily batch: each run reads one landed
+day and rewrites the partitions it touches. It has no streaming source, no
+watermark and no stateful operator, so none is built here.
+"""

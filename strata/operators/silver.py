@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.casts import lenient_cast, lost_in_cast
@@ -37,9 +37,8 @@ def partition_last(names: Sequence[str], partition_column: str | None) -> list[s
     return rest + moved
 
 
-def conform(df: DataFrame, schema: Iterable[tuple[str, str]],
-            partition_column: str | None = None, strict: bool = True) -> DataFrame:
-    """Select and cast ``df`` to the declared ``schema`` (name -> type)."""
+def _typed_columns(df: DataFrame, schema: Sequence[tuple[str, str]],
+                   partition_column: str | None, strict: bool) -> list[Column]:
     present = _index(df)
     cols: dict[str, Column] = {}
     for name, type_name in schema:
@@ -48,8 +47,37 @@ def conform(df: DataFrame, schema: Iterable[tuple[str, str]],
             cols[name] = lenient_cast(_ref(src), type_name).alias(name)
         elif strict:
             cols[name] = F.lit(None).cast(type_name).alias(name)
-    order = partition_last(list(cols), partition_column)
-    return df.select(*[cols[n] for n in order])
+    return [cols[n] for n in partition_last(list(cols), partition_column)]
+
+
+def conform(df: DataFrame, schema: Iterable[tuple[str, str]],
+            partition_column: str | None = None, strict: bool = True) -> DataFrame:
+    """Select and cast ``df`` to the declared ``schema`` (name -> type)."""
+    return df.select(*_typed_columns(df, list(schema), partition_column, strict))
+
+
+def conform_observed(df: DataFrame, schema: Iterable[tuple[str, str]],
+                     partition_column: str | None, observation: Observation,
+                     strict: bool = True) -> DataFrame:
+    """``conform`` plus metrics gathered by the action that consumes the rows.
+
+    ``observation`` receives ``rows`` and, per declared column present in the
+    file, ``lost:<column>`` (present values the cast turned into NULL). The
+    metrics ride along the write: no second pass over the files.
+    """
+    schema = list(schema)
+    present = _index(df)
+    raw_cols = [(n, present[n.lower()]) for n, _ in schema if n.lower() in present]
+    typed = _typed_columns(df, schema, partition_column, strict)
+    names = [n for n, _ in schema if strict or n.lower() in present]
+    names = partition_last(names, partition_column)
+    wide = df.select(*typed, *[_ref(src).alias(f"__raw_{i}")
+                               for i, (_, src) in enumerate(raw_cols)])
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    for i, (name, _) in enumerate(raw_cols):
+        metrics.append(F.count_if(lost_in_cast(F.col(f"__raw_{i}"), _ref(name)))
+                       .alias(f"lost:{name}"))
+    return wide.observe(observation, *metrics).select(*[_ref(n) for n in names])
 
 
 def cast_losses(df: DataFrame, schema: Iterable[tuple[str, str]]) -> DataFrame:

@@ -12,14 +12,14 @@ text, the parameters) and returns a DataFrame. Each run appends one row to
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..lake import Lake
 from ..operators.gold import build_gold, gold_frame
 from ..operators.ledger import RunLedger
 from ..operators.quality import enforce, run_suite
-from ..operators.silver import conform
+from ..operators.silver import conform_observed
 from ..operators.tables import ensure_table, write_by_name
 from ..params import GoldParams, IngestParams, QualityParams
 from ..sources.landing import land_day, read_day
@@ -29,7 +29,6 @@ JOB_BRONZE_TO_SILVER = "bronze_to_silver"
 JOB_SILVER_TO_GOLD = "silver_to_gold"
 JOB_DATA_QUALITY = "data_quality"
 
-REPORT_COLUMNS_EXTRA = ("run_id", "checked_at")
 
 
 def capture(spark: SparkSession, records: DataFrame, lake: Lake, source: str, table: str,
@@ -40,8 +39,12 @@ def capture(spark: SparkSession, records: DataFrame, lake: Lake, source: str, ta
         with log.step("load_" + ext):
             kwargs = {} if max_records_per_file is None else {
                 "max_records_per_file": max_records_per_file}
-            path = land_day(records, lake.bronze(source, table), day, ext=ext, sep=sep, **kwargs)
+            seen = Observation("capture")
+            counted = records.observe(seen, F.count(F.lit(1)).alias("rows"))
+            path = land_day(counted, lake.bronze(source, table), day, ext=ext, sep=sep,
+                            **kwargs)
         log.info("path", path)
+        log.info("rows", seen.get["rows"])
         return path
 
 
@@ -56,7 +59,8 @@ def bronze_to_silver(spark: SparkSession, lake: Lake, source: str, table: str, d
                            sep=params.sep, header=params.header)
         with log.step("cast_df"):
             schema = params.require_schema()
-            typed = conform(raw, schema, params.partition_column)
+            seen = Observation("bronze_to_silver")
+            typed = conform_observed(raw, schema, params.partition_column, seen)
         with log.step("create_table"):
             ensure_table(spark, params.table, schema, params.partition_column,
                          lake.location("silver", params.target_schema, params.target_table))
@@ -64,6 +68,8 @@ def bronze_to_silver(spark: SparkSession, lake: Lake, source: str, table: str, d
             write_by_name(typed, params.table, mode=params.mode,
                           full_overwrite=full_overwrite)
         log.info("day", day)
+        for key, value in seen.get.items():
+            log.info(key, value)
         return spark.table(params.table)
 
 

@@ -24,6 +24,13 @@ from ..params import SUPPORTED_FORMATS
 DAY_COLUMN = "ingest_date"
 DEFAULT_MAX_RECORDS_PER_FILE = 250_000
 
+# Text forms of timestamps in landed files. Spark's default writer forms stop
+# at milliseconds; these keep microseconds, and the readers use the same ones.
+TEXT_TIME_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def day_dir(base: str, day: str) -> str:
     return f"{base.rstrip('/')}/{DAY_COLUMN}={day}"
@@ -38,6 +45,7 @@ def _csv_options(sep: str, header: bool) -> dict[str, str]:
         "multiLine": "true",
         "ignoreLeadingWhiteSpace": "false",
         "ignoreTrailingWhiteSpace": "false",
+        **TEXT_TIME_OPTIONS,
     }
 
 
@@ -65,6 +73,7 @@ def land_json(df: DataFrame, path: str,
               max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE) -> None:
     """Write ``df`` as JSON lines into ``path`` (replacing a re-run)."""
     (df.write.mode("overwrite")
+     .options(**TEXT_TIME_OPTIONS)
      .option("maxRecordsPerFile", str(max_records_per_file))
      .option("ignoreNullFields", "true")
      .json(path))
@@ -83,7 +92,8 @@ def read_json(spark: SparkSession, path: str, schema: StructType | str | None =
     Keys missing from a record are NULL. With a schema nothing is inferred and
     nested values keep their types.
     """
-    reader = spark.read.option("multiLine", str(bool(multi_line)).lower())
+    reader = spark.read.options(**TEXT_TIME_OPTIONS).option(
+        "multiLine", str(bool(multi_line)).lower())
     if schema is not None:
         reader = reader.schema(schema)
     return reader.json(path)
@@ -132,7 +142,7 @@ def land_by_day(df: DataFrame, base: str, day_col: F.Column, ext: str = "json",
     writer = (out.write.mode("overwrite").partitionBy(DAY_COLUMN)
               .option("maxRecordsPerFile", str(max_records_per_file)))
     if ext == "json":
-        writer.option("ignoreNullFields", "true").json(base)
+        writer.options(**TEXT_TIME_OPTIONS).option("ignoreNullFields", "true").json(base)
     elif ext == "csv":
         writer.options(**_csv_options(";", True)).csv(base)
     elif ext == "parquet":

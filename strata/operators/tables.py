@@ -18,6 +18,7 @@ once when missing, from a declared schema (silver) or from a result schema
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,20 +88,60 @@ def align_to_table(df: DataFrame, target: StructType) -> DataFrame:
                        for f in target.fields])
 
 
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+# Without AQE, rows of one partition value are spread over this many shuffle
+# partitions by a hash of the whole row (deterministic, so a retried task sends
+# every row where the first attempt did).
+SALT_BUCKETS = 32
+
+
+def spread_by_partition(df: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """Shuffle rows so that each output task writes few partition values.
+
+    With AQE (Spark's default) this is a REBALANCE: output partitions are sized
+    to ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` and a value holding
+    many rows is split over several tasks. Without AQE a hash of the row salts
+    each partition value over ``SALT_BUCKETS`` shuffle partitions.
+    """
+    spark = df.sparkSession
+    if spark.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true":
+        return df.hint("rebalance", *parts)
+    salt = F.pmod(F.xxhash64(*[F.col(quote(c)) for c in df.columns]), F.lit(SALT_BUCKETS))
+    return df.repartition(*[F.col(quote(p)) for p in parts], salt)
+
+
+@contextmanager
+def _session_conf(spark: SparkSession, key: str, value: str):
+    """Set a runtime SQL setting for the duration of one action."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def write_by_name(df: DataFrame, table: str, mode: str = "overwrite",
                   full_overwrite: bool = False, rebalance: bool = True) -> None:
-    """Insert ``df`` into ``table`` matching columns by name."""
+    """Insert ``df`` into ``table`` matching columns by name.
+
+    The overwrite mode is set on the session for the duration of the insert:
+    ``insertInto`` does not read it from writer options, and a session left at
+    Spark's default (static) would drop every partition absent from ``df``.
+    """
     spark = df.sparkSession
     target = spark.table(table).schema
     parts = partition_columns(spark, table)
     out = align_to_table(df, target)
     if parts and rebalance:
-        out = out.hint("rebalance", *parts)
-    writer = out.write.format("parquet").mode(mode)
-    if mode == "overwrite":
-        writer = writer.option("partitionOverwriteMode",
-                               "static" if full_overwrite else "dynamic")
-    writer.insertInto(table)
+        out = spread_by_partition(out, parts)
+    overwrite_mode = "static" if full_overwrite else "dynamic"
+    with _session_conf(spark, _OVERWRITE_MODE, overwrite_mode):
+        out.write.format("parquet").mode(mode).insertInto(table)
 
 
 def table_columns(spark: SparkSession, table: str) -> list[tuple[str, str, bool]]:

@@ -39,7 +39,8 @@ def build_gold(spark: SparkSession, sql_text: str, params: GoldParams, lake: Lak
         df = gold_frame(spark, sql_text)
     with step("create_table"):
         ensure_table(spark, params.table, columns_of(df.schema), params.partition_column,
-                     lake.location("gold", params.target_schema, params.target_table))
+                     lake.location("gold", params.target_schema, params.target_table),
+                     params.compression)
     with step("write_table"):
         write_by_name(df, params.table, mode=params.mode, full_overwrite=full_overwrite)
     return spark.table(params.table)

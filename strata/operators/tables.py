@@ -46,13 +46,16 @@ def columns_of(schema: StructType) -> list[tuple[str, str]]:
 
 
 def create_table_sql(table: str, columns: Sequence[tuple[str, str]],
-                     partition_column: str | None, location: str) -> str:
+                     partition_column: str | None, location: str,
+                     compression: str | None = None) -> str:
     names = partition_last([n for n, _ in columns], partition_column)
     types = {n: t for n, t in columns}
     if partition_column and partition_column not in types:
         raise ValueError(f"partition column {partition_column!r} is not a column of {table}")
     body = ",\n  ".join(f"{quote(n)} {types[n]}" for n in names)
     sql = f"CREATE TABLE IF NOT EXISTS {qualified(table)} (\n  {body}\n) USING parquet"
+    if compression:
+        sql += f"\nOPTIONS ('compression' = '{compression.lower()}')"
     if partition_column:
         sql += f"\nPARTITIONED BY ({quote(partition_column)})"
     loc = location.replace("'", "\\'")
@@ -60,14 +63,15 @@ def create_table_sql(table: str, columns: Sequence[tuple[str, str]],
 
 
 def ensure_table(spark: SparkSession, table: str, columns: Sequence[tuple[str, str]],
-                 partition_column: str | None, location: str) -> bool:
+                 partition_column: str | None, location: str,
+                 compression: str | None = None) -> bool:
     """Create ``table`` when missing; True when it was created."""
     database = table.split(".")[0] if "." in table else None
     if database:
         ensure_database(spark, database)
     if spark.catalog.tableExists(table):
         return False
-    spark.sql(create_table_sql(table, columns, partition_column, location))
+    spark.sql(create_table_sql(table, columns, partition_column, location, compression))
     return True
 
 

@@ -39,6 +39,8 @@ class IngestParams:
     ext: str = "csv"
     sep: str = ";"
     header: bool = True
+    multi_line: bool = False
+    compression: str | None = None
     url: str | None = None
 
     def __post_init__(self):
@@ -83,6 +85,8 @@ class IngestParams:
             ext=str(d.get("ext", "csv")).lower(),
             sep=d.get("sep", ";"),
             header=bool(header),
+            multi_line=bool(d.get("multi_line", d.get("multiline", False))),
+            compression=d.get("compression"),
             url=d.get("url"),
         )
 
@@ -95,6 +99,7 @@ class GoldParams:
     target_table: str
     partition_column: str | None = None
     mode: str = "overwrite"
+    compression: str | None = None
 
     def __post_init__(self):
         _mode(self.mode)
@@ -109,7 +114,8 @@ class GoldParams:
             if key not in d:
                 raise ParamError(f"missing required parameter {key!r}")
         return cls(d["target_schema"], d["target_table"],
-                   d.get("partition_column") or None, _mode(d.get("mode", "overwrite")))
+                   d.get("partition_column") or None, _mode(d.get("mode", "overwrite")),
+                   d.get("compression"))
 
 
 @dataclass(frozen=True)
@@ -127,6 +133,21 @@ class QualityParams:
         return cls(tuple((k, dict(v)) for k, v in qp.items()), bool(d.get("stop_job", False)))
 
 
+def landing_read_schema(schema: tuple[tuple[str, str], ...]) -> str:
+    """Reader schema for self-describing landed files (JSON) from a declared one.
+
+    Scalar columns are read as text, so the declared cast applies exactly as for
+    CSV (and no inference pass over the files is needed); nested columns keep
+    their declared type.
+    """
+    parts = []
+    for name, type_name in schema:
+        t = type_name.strip().lower()
+        nested = t.startswith(("array", "map", "struct"))
+        parts.append(f"`{name}` {type_name if nested else 'STRING'}")
+    return ", ".join(parts)
+
+
 def load_json(path: str | Path) -> dict[str, Any]:
     with open(path, "r", encoding="utf-8") as fh:
         return json.load(fh)

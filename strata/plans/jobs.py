@@ -21,7 +21,7 @@ from ..operators.ledger import RunLedger
 from ..operators.quality import enforce, run_suite
 from ..operators.silver import conform_observed
 from ..operators.tables import ensure_table, write_by_name
-from ..params import GoldParams, IngestParams, QualityParams
+from ..params import GoldParams, IngestParams, QualityParams, landing_read_schema
 from ..sources.landing import land_day, read_day
 
 JOB_CAPTURE = "capture_api"
@@ -55,15 +55,19 @@ def bronze_to_silver(spark: SparkSession, lake: Lake, source: str, table: str, d
     with RunLedger(spark, lake, JOB_BRONZE_TO_SILVER, table, source,
                    database=logs_db) as log:
         with log.step("read_" + params.ext):
+            reader_schema = (landing_read_schema(params.schema)
+                             if params.ext == "json" and params.schema else None)
             raw = read_day(spark, lake.bronze(source, table), day, ext=params.ext,
-                           sep=params.sep, header=params.header)
+                           sep=params.sep, header=params.header, schema=reader_schema,
+                           multi_line=params.multi_line)
         with log.step("cast_df"):
             schema = params.require_schema()
             seen = Observation("bronze_to_silver")
             typed = conform_observed(raw, schema, params.partition_column, seen)
         with log.step("create_table"):
             ensure_table(spark, params.table, schema, params.partition_column,
-                         lake.location("silver", params.target_schema, params.target_table))
+                         lake.location("silver", params.target_schema, params.target_table),
+                         params.compression)
         with log.step("write_table"):
             write_by_name(typed, params.table, mode=params.mode,
                           full_overwrite=full_overwrite)

@@ -28,6 +28,19 @@ PIPELINE_CONF = {
 
 _ROOT_KEY = "spark.strata.root"
 
+# Starting points for a large cluster (runtime SQL settings; apply with
+# ``apply_conf``). Many shuffle partitions, coalesced by AQE, keep every reduce
+# task small whatever the day's volume; the advisory size is also the target
+# size of files written after a REBALANCE.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+}
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "strata") -> SparkSession:
@@ -47,9 +60,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-def apply_pipeline_conf(spark: SparkSession) -> None:
-    """Set the runtime SQL settings the pipeline relies on."""
-    for k, v in PIPELINE_CONF.items():
+def apply_conf(spark: SparkSession, conf: dict[str, str] = PIPELINE_CONF) -> None:
+    """Set runtime SQL settings (``PIPELINE_CONF``, ``CLUSTER_CONF``) on a session."""
+    for k, v in conf.items():
         spark.conf.set(k, v)
 
 

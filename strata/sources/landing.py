@@ -22,7 +22,7 @@ from pyspark.sql.types import ArrayType, MapType, StructType
 from ..params import SUPPORTED_FORMATS
 
 DAY_COLUMN = "ingest_date"
-DEFAULT_MAX_RECORDS_PER_FILE = 250_000
+DEFAULT_MAX_RECORDS_PER_FILE = 100_000
 
 # Text forms of timestamps in landed files. Spark's default writer forms stop
 # at milliseconds; these keep microseconds, and the readers use the same ones.

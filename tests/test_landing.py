@@ -85,3 +85,23 @@ def test_days_are_listed_and_latest_is_read_alone(spark, lake):
     ids = sorted(r.id for r in read_day(spark, base, day, ext="parquet").collect())
     assert ids == [2, 3]
     assert landing_days(spark, base + "/missing") == []
+
+
+def test_rerun_of_a_day_replaces_its_files(spark, lake):
+    base = lake.bronze("s", "rerun")
+    land_day(spark.createDataFrame([(1,), (2,)], "id INT"), base, "20240101")
+    land_day(spark.createDataFrame([(3,)], "id INT"), base, "20240101")
+    assert [r.id for r in read_day(spark, base, "20240101").collect()] == ["3"]
+
+
+def test_unknown_format_is_rejected():
+    import pytest
+
+    from strata.params import IngestParams, ParamError
+
+    with pytest.raises(ParamError):
+        IngestParams.from_dict({"target_schema": "s", "target_table": "t", "ext": "xml"})
+    with pytest.raises(ParamError):
+        IngestParams.from_dict({"target_schema": "s", "target_table": "t", "mode": "merge"})
+    with pytest.raises(ParamError):
+        IngestParams.from_dict({"target_table": "t"})

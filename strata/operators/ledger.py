@@ -115,9 +115,14 @@ class RunLedger:
         return self
 
     def __exit__(self, exc_type, exc, tb) -> bool:
-        if exc is not None:
-            self.fail(exc)
-        self.write()
+        if exc is None:
+            self.write()
+            return False
+        self.fail(exc)
+        try:
+            self.write()
+        except Exception as log_exc:  # keep the job's own error as the one raised
+            exc.add_note(f"run ledger row not written: {log_exc}")
         return False
 
 

@@ -165,29 +165,26 @@ def _resolve(df: DataFrame, column: str) -> tuple[Column, DataType]:
                      f"(columns: {', '.join(df.columns)})")
 
 
-def _row_level(df: DataFrame, check: Check) -> tuple[Column, Column, Column | None]:
-    """(element_count, unexpected_count, success-or-None) aggregate expressions."""
+def _row_level(df: DataFrame, check: Check) -> tuple[Column, Column]:
+    """(element_count, unexpected_count) aggregate expressions of one check."""
     if check.name == "df_count_btw":
-        lo = _int_bound(check.arg("min"), check)
-        hi = _int_bound(check.arg("max"), check)
-        n = F.count(F.lit(1))
-        return n, F.lit(None).cast("bigint"), n.between(lo, hi)
+        return F.count(F.lit(1)), F.lit(None).cast("bigint")
     c, dtype = _resolve(df, check.column)
     if check.name == "not_null":
-        return F.count(F.lit(1)), F.count_if(c.isNull()), None
+        return F.count(F.lit(1)), F.count_if(c.isNull())
     if check.name == "value_lenght_btw":
         lo = _int_bound(check.arg("min"), check)
         hi = _int_bound(check.arg("max"), check)
-        return F.count(c), F.count_if(~F.length(c).between(lo, hi)), None
+        return F.count(c), F.count_if(~F.length(c).between(lo, hi))
     if check.name == "values_btw":
         lo = _typed_bound(check.arg("min"), dtype, check)
         hi = _typed_bound(check.arg("max"), dtype, check)
-        return F.count(c), F.count_if(~c.between(lo, hi)), None
+        return F.count(c), F.count_if(~c.between(lo, hi))
     if check.name == "value_match_regex":
-        return F.count(c), F.count_if(~c.rlike(check.arg("regex"))), None
+        return F.count(c), F.count_if(~c.rlike(check.arg("regex")))
     if check.name == "date_mask_equal":
         return F.count(c), F.count_if(~matches_strftime(c.cast("string"),
-                                                         check.arg("date_mask"))), None
+                                                         check.arg("date_mask")))
     raise ParamError(f"not a row-level check: {check.name}")
 
 
@@ -208,17 +205,15 @@ def _report_row(check: Check, element: Column, unexpected: Column,
 
 
 def _row_level_report(df: DataFrame, checks: list[Check]) -> DataFrame:
-    aggs, successes = [], []
+    aggs = []
     for i, check in enumerate(checks):
-        element, unexpected, success = _row_level(df, check)
+        element, unexpected = _row_level(df, check)
         aggs += [element.alias(f"e{i}"), unexpected.alias(f"u{i}")]
-        successes.append(success)
     one = df.agg(*aggs)
     rows = []
     for i, check in enumerate(checks):
-        success = successes[i]
-        if success is not None:
-            # the success rule is an aggregate; restate it over the result column
+        success = None
+        if check.name == "df_count_btw":
             lo = _int_bound(check.arg("min"), check)
             hi = _int_bound(check.arg("max"), check)
             success = F.col(f"e{i}").between(lo, hi)

@@ -181,3 +181,33 @@ def read_day(spark: SparkSession, base: str, day: str, ext: str = "csv",
     """Read only the files of ``day`` (the directory is addressed directly)."""
     return read_landing(spark, day_dir(base, day), ext=ext, sep=sep, header=header,
                         schema=schema, multi_line=multi_line)
+
+
+def read_days(spark: SparkSession, base: str, days: list[str], ext: str = "csv",
+              sep: str = ";", header: bool = True,
+              schema: StructType | str | None = None,
+              multi_line: bool = False) -> DataFrame:
+    """Read several days at once (a backfill), with an ``ingest_date`` column.
+
+    Only the named day directories are listed; the day comes from the
+    directory name (partition discovery against ``base``), typed as text.
+    """
+    if not days:
+        raise ValueError("no day to read")
+    paths = [day_dir(base, d) for d in days]
+    reader = spark.read.option("basePath", base.rstrip("/")).option(
+        "recursiveFileLookup", "false")
+    if ext == "csv":
+        reader = reader.options(**_csv_options(sep, header))
+        df = reader.csv(paths)
+    elif ext == "json":
+        reader = reader.options(**TEXT_TIME_OPTIONS).option(
+            "multiLine", str(bool(multi_line)).lower())
+        if schema is not None:
+            reader = reader.schema(schema)
+        df = reader.json(paths)
+    elif ext == "parquet":
+        df = reader.parquet(*paths)
+    else:
+        raise ValueError(f"unsupported landing format {ext!r}")
+    return df.withColumn(DAY_COLUMN, F.col(DAY_COLUMN).cast("string"))

@@ -105,3 +105,16 @@ def test_unknown_format_is_rejected():
         IngestParams.from_dict({"target_schema": "s", "target_table": "t", "mode": "merge"})
     with pytest.raises(ParamError):
         IngestParams.from_dict({"target_table": "t"})
+
+
+def test_read_several_days_lists_only_those(spark, lake):
+    from strata.sources.landing import read_days
+
+    base = lake.bronze("s", "multi")
+    for day, ids in [("20240101", [1]), ("20240102", [2, 3]), ("20240103", [4])]:
+        land_day(spark.createDataFrame([(i,) for i in ids], "id INT"), base, day)
+    df = read_days(spark, base, ["20240101", "20240103"])
+    assert sorted((int(r.id), r.ingest_date) for r in df.collect()) == [
+        (1, "20240101"), (4, "20240103")]
+    files = df.inputFiles()
+    assert files and all("ingest_date=20240102" not in f for f in files)

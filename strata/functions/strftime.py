@@ -13,6 +13,12 @@ standard library compiles it on the driver, and evaluated on the JVM:
 2. the captured fields must form a real date: year >= 1, day within the month
    (leap years included), second <= 59.
 
+Per value this costs two regex passes: ``rlike`` (is there a match) and one
+``regexp_replace`` that writes every captured field and the unconsumed rest as
+a comma-separated text, split once. ``mask_columns`` yields those two columns
+for a projection ahead of an aggregate, so they are computed once per row;
+``mask_valid`` turns them into the verdict with plain arithmetic.
+
 Masks whose directives are outside the date/time set handled here (week
 numbers, ISO weeks, day of year, time zones) fall back to a vectorised
 ``pandas_udf`` that calls ``strptime`` itself.
@@ -21,6 +27,7 @@ numbers, ISO weeks, day of year, time zones) fall back to a vectorised
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 from datetime import datetime
 
 import pandas as pd
@@ -30,93 +37,122 @@ from pyspark.sql.types import BooleanType
 
 # Directives whose validity is decided by the JVM expression below.
 JVM_DIRECTIVES = frozenset("YymdbBHIMSfpaA")
+# Fields the calendar check reads, in output order.
+_FIELDS = ("Y", "y", "m", "b", "B", "d", "S")
 
 
 class MaskError(ValueError):
     """A mask that Python's ``strptime`` itself rejects."""
 
 
-def _python_pattern(mask: str) -> tuple[str, dict[str, int]]:
+@dataclass(frozen=True)
+class MaskPlan:
+    mask: str
+    jvm: bool
+    rx: str = ""            # anchored match test
+    rx_rest: str = ""       # the same, plus a trailing group for the rest
+    replacement: str = ""   # "$i,$j,...,$rest"
+    fields: tuple[str, ...] = ()
+
+
+def _python_pattern(mask: str) -> tuple[str, re.Pattern]:
     import _strptime  # standard library; builds the same regex strptime uses
 
     try:
         pattern = _strptime._TimeRE_cache.pattern(mask)
-        groups = re.compile(pattern, re.IGNORECASE).groupindex
+        compiled = re.compile(pattern, re.IGNORECASE)
     except (KeyError, ValueError, re.error) as exc:
         raise MaskError(f"invalid strftime mask {mask!r}: {exc}") from exc
-    return pattern, dict(groups)
+    return pattern, compiled
 
 
-def java_regex(mask: str) -> tuple[str, dict[str, int]]:
-    """Anchored Java regex for ``mask`` and its group numbers by directive."""
-    pattern, groups = _python_pattern(mask)
+def plan_mask(mask: str) -> MaskPlan:
+    pattern, compiled = _python_pattern(mask)
+    groups = compiled.groupindex
+    if not set(groups) <= JVM_DIRECTIVES:
+        return MaskPlan(mask, jvm=False)
     # Python named groups '(?P<x>' are '(?<x>' in Java; numbering is the same
-    # (both count opening parentheses of capturing groups).
+    # (both count opening parentheses of capturing groups). Case-insensitive
+    # like strptime; Unicode classes so that \s matches Python's white space.
     java = pattern.replace("(?P<", "(?<")
-    # Case-insensitive like strptime; Unicode classes so that \s matches the
-    # same white space as Python's str patterns.
-    return "(?iU)^" + java, groups
+    rx = "(?iU)^(?:" + java + ")"
+    rest = compiled.groups + 1
+    fields = tuple(f for f in _FIELDS if f in groups)
+    replacement = ",".join([f"${groups[f]}" for f in fields] + [f"${rest}"])
+    return MaskPlan(mask, True, rx, rx + "((?s).*)$", replacement, fields)
 
 
 def uses_jvm_path(mask: str) -> bool:
-    _, groups = _python_pattern(mask)
-    return set(groups) <= JVM_DIRECTIVES
+    return plan_mask(mask).jvm
+
+
+def _month_map(names: list[str]) -> Column:
+    pairs = []
+    for i in range(1, 13):
+        pairs += [F.lit(names[i].lower()), F.lit(i)]
+    return F.create_map(*pairs)
 
 
 def _month_names() -> tuple[list[str], list[str]]:
     import _strptime
 
     lt = _strptime._TimeRE_cache.locale_time
-    return [m.lower() for m in lt.a_month], [m.lower() for m in lt.f_month]
+    return list(lt.a_month), list(lt.f_month)
 
 
-def _field(c: Column, rx: str, groups: dict[str, int], name: str) -> Column:
-    return F.regexp_extract(c, rx, groups[name])
+def mask_columns(c: Column, plan: MaskPlan, prefix: str) -> list[Column]:
+    """Per-row columns the verdict needs: ``{prefix}_ok`` and ``{prefix}_f``."""
+    if not plan.jvm:
+        return [_udf_parses(plan.mask)(c).alias(f"{prefix}_ok")]
+    return [
+        c.rlike(plan.rx).alias(f"{prefix}_ok"),
+        F.split(F.regexp_replace(c, plan.rx_rest, plan.replacement), ",",
+                len(plan.fields) + 1).alias(f"{prefix}_f"),
+    ]
 
 
-def _jvm_match(c: Column, mask: str) -> Column:
-    rx, groups = java_regex(mask)
-    whole = F.length(F.regexp_extract(c, rx, 0)) == F.length(c)
-    matched = c.rlike(rx) & whole
+def mask_valid(plan: MaskPlan, ok: Column, fields: Column | None = None) -> Column:
+    """Verdict from the ``mask_columns``: NULL for NULL input, else a boolean."""
+    if not plan.jvm:
+        return ok
+
+    def text(name: str) -> Column:
+        return F.try_element_at(fields, F.lit(plan.fields.index(name) + 1))
 
     def num(name: str) -> Column:
-        return F.trim(_field(c, rx, groups, name)).try_cast("int")
+        return F.trim(text(name)).try_cast("int")
 
-    if "Y" in groups:
+    rest = F.try_element_at(fields, F.lit(len(plan.fields) + 1))
+    if "Y" in plan.fields:
         year = num("Y")
-    elif "y" in groups:
+    elif "y" in plan.fields:
         yy = num("y")
         year = F.when(yy < 69, yy + 2000).otherwise(yy + 1900)
     else:
         year = F.lit(1900)
-
-    if "m" in groups:
+    if "m" in plan.fields:
         month = num("m")
-    elif "b" in groups or "B" in groups:
+    elif "b" in plan.fields or "B" in plan.fields:
         abbr, full = _month_names()
-        names = abbr if "b" in groups else full
-        text = F.lower(_field(c, rx, groups, "b" if "b" in groups else "B"))
-        month = F.lit(None).cast("int")
-        for i in range(12, 0, -1):
-            month = F.when(text == names[i], F.lit(i)).otherwise(month)
+        key = "b" if "b" in plan.fields else "B"
+        month = F.try_element_at(_month_map(abbr if key == "b" else full),
+                                 F.lower(text(key)))
     else:
         month = F.lit(1)
+    day = num("d") if "d" in plan.fields else F.lit(1)
 
-    day = num("d") if "d" in groups else F.lit(1)
-    second_ok = (num("S") <= 59) if "S" in groups else F.lit(True)
-
-    safe_year = F.when((year >= 1) & (year <= 9999), year).otherwise(F.lit(1))
-    safe_month = F.when(month.between(1, 12), month).otherwise(F.lit(1))
-    month_len = F.dayofmonth(F.last_day(F.make_date(safe_year, safe_month, F.lit(1))))
-    calendar_ok = (year >= 1) & month.between(1, 12) & (day >= 1) & (day <= month_len)
-
-    # Evaluate the field checks only where the regex matched.
-    return F.when(c.isNull(), F.lit(None).cast("boolean")).otherwise(
-        F.when(matched, F.coalesce(calendar_ok & second_ok, F.lit(False)))
-        .otherwise(F.lit(False)))
+    leap = ((year % 4 == 0) & (year % 100 != 0)) | (year % 400 == 0)
+    month_len = (F.when(month == 2, F.when(leap, 29).otherwise(28))
+                 .when(month.isin(4, 6, 9, 11), 30).otherwise(31))
+    valid = (ok & (rest == "") & (year >= 1) & month.between(1, 12) & (day >= 1)
+             & (day <= month_len))
+    if "S" in plan.fields:
+        valid = valid & (num("S") <= 59)
+    return F.when(ok.isNull(), F.lit(None).cast("boolean")).otherwise(
+        F.coalesce(valid, F.lit(False)))
 
 
-def _udf_match(c: Column, mask: str) -> Column:
+def _udf_parses(mask: str):
     @F.pandas_udf(BooleanType())
     def parses(values: pd.Series) -> pd.Series:
         def one(v):
@@ -130,11 +166,19 @@ def _udf_match(c: Column, mask: str) -> Column:
 
         return values.map(one).astype("boolean")
 
-    return parses(c)
+    return parses
 
 
 def matches_strftime(c: Column, mask: str) -> Column:
-    """Boolean column: NULL for NULL input, else whether ``strptime`` accepts it."""
-    if uses_jvm_path(mask):
-        return _jvm_match(c, mask)
-    return _udf_match(c, mask)
+    """Boolean column: NULL for NULL input, else whether ``strptime`` accepts it.
+
+    Self-contained form for ad-hoc use; inside an aggregate prefer
+    ``mask_columns`` in a projection first (see ``operators.quality``).
+    """
+    plan = plan_mask(mask)
+    if not plan.jvm:
+        return _udf_parses(mask)(c)
+    ok = c.rlike(plan.rx)
+    fields = F.split(F.regexp_replace(c, plan.rx_rest, plan.replacement), ",",
+                     len(plan.fields) + 1)
+    return mask_valid(plan, ok, fields)

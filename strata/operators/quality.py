@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ByteType, DataType, DecimalType, DoubleType, FloatType,
                                IntegerType, LongType, ShortType)
 
-from ..functions.strftime import matches_strftime
+from ..functions.strftime import mask_columns, mask_valid, plan_mask
 from ..params import ParamError, QualityParams
 
 # Fixed texts of the report, as the original report shows them.
@@ -165,8 +165,19 @@ def _resolve(df: DataFrame, column: str) -> tuple[Column, DataType]:
                      f"(columns: {', '.join(df.columns)})")
 
 
-def _row_level(df: DataFrame, check: Check) -> tuple[Column, Column]:
-    """(element_count, unexpected_count) aggregate expressions of one check."""
+def _row_level(df: DataFrame, check: Check, slot: int) -> tuple[Column, Column, list[Column]]:
+    """(element_count, unexpected_count, per-row columns) of one check.
+
+    Per-row columns are computed in a projection before the aggregate, once
+    per row (used by the strftime mask, whose fields feed several tests).
+    """
+    if check.name == "date_mask_equal":
+        return _mask_check(df, check, slot)
+    element, unexpected = _row_level_counts(df, check)
+    return element, unexpected, []
+
+
+def _row_level_counts(df: DataFrame, check: Check) -> tuple[Column, Column]:
     if check.name == "df_count_btw":
         return F.count(F.lit(1)), F.lit(None).cast("bigint")
     c, dtype = _resolve(df, check.column)
@@ -182,12 +193,19 @@ def _row_level(df: DataFrame, check: Check) -> tuple[Column, Column]:
         return F.count(c), F.count_if(~c.between(lo, hi))
     if check.name == "value_match_regex":
         return F.count(c), F.count_if(~c.rlike(check.arg("regex")))
-    if check.name == "date_mask_equal":
-        return F.count(c), F.count_if(~matches_strftime(c.cast("string"),
-                                                         check.arg("date_mask")))
     raise ParamError(f"not a row-level check: {check.name}")
 
 
+def _mask_check(df: DataFrame, check: Check, slot: int) -> tuple[Column, Column, list[Column]]:
+    c, _ = _resolve(df, check.column)
+    plan = plan_mask(check.arg("date_mask"))
+    prefix = f"__mask{slot}"
+    pre = mask_columns(c.cast("string"), plan, prefix)
+    ok = F.col(f"{prefix}_ok")
+    fields = F.col(f"{prefix}_f") if plan.jvm else None
+    return F.count(c), F.count_if(~mask_valid(plan, ok, fields)), pre
+
+
 def _report_row(check: Check, element: Column, unexpected: Column,
                 success: Column | None = None) -> Column:
     ok = (unexpected == 0) if success is None else success
@@ -205,11 +223,13 @@ def _report_row(check: Check, element: Column, unexpected: Column,
 
 
 def _row_level_report(df: DataFrame, checks: list[Check]) -> DataFrame:
-    aggs = []
+    aggs, pre = [], []
     for i, check in enumerate(checks):
-        element, unexpected = _row_level(df, check)
+        element, unexpected, per_row = _row_level(df, check, i)
         aggs += [element.alias(f"e{i}"), unexpected.alias(f"u{i}")]
-    one = df.agg(*aggs)
+        pre += per_row
+    source = df.select("*", *pre) if pre else df
+    one = source.agg(*aggs)
     rows = []
     for i, check in enumerate(checks):
         success = None

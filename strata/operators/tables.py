@@ -35,9 +35,13 @@ def qualified(table: str) -> str:
     return ".".join(quote(p) for p in table.split("."))
 
 
-def ensure_database(spark: SparkSession, database: str) -> None:
+def ensure_database(spark: SparkSession, database: str, location: str | None = None) -> None:
+    """Create ``database`` when missing, in ``location`` when given."""
     if not spark.catalog.databaseExists(database):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(database)}")
+        sql = f"CREATE DATABASE IF NOT EXISTS {quote(database)}"
+        if location:
+            sql += " LOCATION '" + location.replace("'", "\\'") + "'"
+        spark.sql(sql)
 
 
 def columns_of(schema: StructType) -> list[tuple[str, str]]:
@@ -68,7 +72,8 @@ def ensure_table(spark: SparkSession, table: str, columns: Sequence[tuple[str, s
     """Create ``table`` when missing; True when it was created."""
     database = table.split(".")[0] if "." in table else None
     if database:
-        ensure_database(spark, database)
+        # the database folder sits next to its tables, under the lake root
+        ensure_database(spark, database, location.rstrip("/").rsplit("/", 1)[0])
     if spark.catalog.tableExists(table):
         return False
     spark.sql(create_table_sql(table, columns, partition_column, location, compression))

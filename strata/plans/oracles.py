@@ -8,7 +8,7 @@ expression for the mask plus a calendar check.
 
 from __future__ import annotations
 
-from .queries import DQ_CUSTOMER_SQL, DQ_ORDER_DAYS_SQL, NAME_REGEX
+from .queries import DQ_CUSTOMER_SQL, DQ_LINEITEM_SQL, DQ_ORDER_DAYS_SQL, NAME_REGEX
 
 
 def _q(text: str | None) -> str:
@@ -100,6 +100,17 @@ _SUITE_ROWS = [
     _count(11, 1, 1000000),
 ]
 
+_LINEITEM_SRC = f"WITH src AS ({DQ_LINEITEM_SQL})\n"
+_LINEITEM_ROWS = [
+    _not_null(0, "l_orderkey"), _not_null(1, "l_partkey"), _not_null(2, "ship_day"),
+    _unique(3, "l_orderkey"), _unique(4, "l_partkey"),
+    _values(5, "l_discount", 0, 0.08), _values(6, "l_quantity", 1, 45),
+    _length(7, "l_returnflag", 1, 1),
+    _regex(8, "l_linestatus", "^[OF]$"),
+    _mask(9, "ship_day", "%Y-%m-%d", _RX_DASHED),
+    _count(10, 1, 1000000000),
+]
+
 _INT_FRACTION = r"\.[0-9]*\s*$"
 
 _GAPS_CTE = """
@@ -156,6 +167,11 @@ ORACLES: dict[str, str] = {
         UNION ALL
         SELECT p_partkey, p_name, p_type, p_size, p_retailprice, p_brand FROM part
         WHERE p_size > 25""",
+    "silver_lineitem_by_flag": """
+        SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
+               l_discount, l_tax, l_linestatus, l_shipdate, l_returnflag
+        FROM lineitem""",
+    "dq_lineitem_suite": _LINEITEM_SRC + _union(*_LINEITEM_ROWS),
     "gold_filtered_projection": _GAPS_CTE + """
         SELECT c_custkey AS customer_id,
                c_name AS customer_name,

@@ -40,6 +40,11 @@ NATION_SCHEMA = (("n_nationkey", "INT"), ("n_name", "STRING"), ("n_regionkey", "
 REGION_SCHEMA = (("r_regionkey", "INT"), ("r_name", "STRING"))
 DOCUMENTS_SCHEMA = (("doc_id", "BIGINT"), ("text", "STRING"), ("lang", "STRING"),
                     ("source", "STRING"), ("n_chars", "BIGINT"))
+LINEITEM_SCHEMA = (("l_orderkey", "BIGINT"), ("l_partkey", "BIGINT"), ("l_suppkey", "BIGINT"),
+                   ("l_linenumber", "INT"), ("l_quantity", "DOUBLE"),
+                   ("l_extendedprice", "DOUBLE"), ("l_discount", "DOUBLE"), ("l_tax", "DOUBLE"),
+                   ("l_returnflag", "STRING"), ("l_linestatus", "STRING"),
+                   ("l_shipdate", "TIMESTAMP_NTZ"))
 EVENTS_JSON_SCHEMA = ("event_id BIGINT, ts STRING, user_id BIGINT, event_type STRING, "
                       "value DOUBLE, props STRING")
 
@@ -75,6 +80,22 @@ SELECT o_orderkey,
 FROM orders
 """
 
+DQ_LINEITEM_SQL = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_discount, l_returnflag, l_linestatus,
+       substr(CAST(l_shipdate AS STRING), 1, 10) AS ship_day
+FROM lineitem
+"""
+
+LINEITEM_SUITE = {"quality_params": {
+    "not_null": {"column": "l_orderkey,l_partkey,ship_day"},
+    "unique_vals": {"column": "l_orderkey,l_partkey"},
+    "values_btw": {"column": "l_discount,l_quantity", "min": "0,1", "max": "0.08,45"},
+    "value_lenght_btw": {"column": "l_returnflag", "min": "1", "max": "1"},
+    "value_match_regex": {"column": "l_linestatus", "regex": "^[OF]$"},
+    "date_mask_equal": {"column": "ship_day", "date_mask": "%Y-%m-%d"},
+    "df_count_btw": {"min": "1", "max": "1000000000"},
+}}
+
 NAME_REGEX = r"^Customer#0{3}\d{1,6}$"
 
 SUITE = {"quality_params": {
@@ -222,6 +243,15 @@ def silver_partition_overwrite(spark, sf_dir):
     return spark.table(table)
 
 
+def silver_lineitem_by_flag(spark, sf_dir):
+    # each of the three return flags holds a third of the rows: the partitioned
+    # write must spread every flag over several tasks
+    lake, db, logs = _ctx(spark, "silver_lineitem_by_flag")
+    table = _silver(spark, lake, _t(spark, sf_dir, "lineitem"), "lineitem", LINEITEM_SCHEMA,
+                    "l_returnflag", db, logs)
+    return spark.table(table)
+
+
 def silver_append(spark, sf_dir):
     lake, db, logs = _ctx(spark, "silver_append")
     part = _t(spark, sf_dir, "part")
@@ -367,6 +397,11 @@ def dq_suite_report(spark, sf_dir):
     return run_suite(_dq_customer(spark, sf_dir), SUITE)
 
 
+def dq_lineitem_suite(spark, sf_dir):
+    _views(spark, sf_dir, "lineitem")
+    return run_suite(gold_frame(spark, DQ_LINEITEM_SQL), LINEITEM_SUITE)
+
+
 def dq_gate(spark, sf_dir):
     return gate(run_suite(_dq_customer(spark, sf_dir), SUITE))
 
@@ -458,6 +493,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_partition_last": silver_partition_last,
     "silver_partition_overwrite": silver_partition_overwrite,
     "silver_append": silver_append,
+    "silver_lineitem_by_flag": silver_lineitem_by_flag,
     "gold_filtered_projection": gold_filtered_projection,
     "gold_alias_shadowing": gold_alias_shadowing,
     "gold_partition_pruned": gold_partition_pruned,
@@ -472,6 +508,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_row_count_between": dq_row_count_between,
     "dq_suite_report": dq_suite_report,
     "dq_gate": dq_gate,
+    "dq_lineitem_suite": dq_lineitem_suite,
     "run_ledger": run_ledger,
     "run_ledger_steps": run_ledger_steps,
     "table_catalog": table_catalog,

@@ -12,8 +12,9 @@ Evaluation:
   strftime mask) and the row count become aggregate expressions of **one**
   ``agg`` over the frame: one scan, per-task partial aggregation, a one-row
   result;
-* all uniqueness checks share **one** shuffle: each row contributes one typed
-  slot per checked column, slots are counted by value with map-side partial
+* all uniqueness checks share **one** shuffle: each row contributes one slot
+  per checked column (column number + the value in a field of its own type),
+  slots are counted by value with map-side partial
   aggregation (a value that fills a third of the table collapses to one row per
   task before the shuffle), then a global aggregate sums the counts of values
   seen more than once.
@@ -249,21 +250,28 @@ def _unique_report(df: DataFrame, checks: list[Check]) -> DataFrame:
     resolved = [_resolve(df, c) for c in columns]
     slot_of = {c.lower(): j for j, c in enumerate(columns)}
 
-    if len(columns) == 1:
-        c, _ = resolved[0]
-        counts = (df.select(F.lit(0).alias("k"), c.alias("v0")).where(F.col("v0").isNotNull())
-                  .groupBy("k", "v0").agg(F.count(F.lit(1)).alias("n")))
+    # One value field per distinct data type: a row of the stacked frame is
+    # (column number, one field per type), so its width does not grow with the
+    # number of checked columns. Values keep their type, so equality is the
+    # type's own (the same as a GROUP BY on that column).
+    type_names: list[str] = []
+    for _, dtype in resolved:
+        if dtype.simpleString() not in type_names:
+            type_names.append(dtype.simpleString())
+    fields = [f"v{i}" for i in range(len(type_names))]
+    slots = []
+    for j, (cj, tj) in enumerate(resolved):
+        own = type_names.index(tj.simpleString())
+        parts = [F.lit(j).alias("k")]
+        for i, t in enumerate(type_names):
+            parts.append((cj if i == own else F.lit(None).cast(t)).alias(fields[i]))
+        slots.append(F.when(cj.isNotNull(), F.struct(*parts)))
+    if len(slots) == 1:
+        stacked = df.select(slots[0].alias("s")).where(F.col("s").isNotNull()).select("s.*")
     else:
-        slots = []
-        for j, (cj, _) in enumerate(resolved):
-            fields = [F.lit(j).alias("k")]
-            for i, (ci, ti) in enumerate(resolved):
-                fields.append((ci if i == j else F.lit(None).cast(ti)).alias(f"v{i}"))
-            slots.append(F.when(cj.isNotNull(), F.struct(*fields)))
         stacked = (df.select(F.explode(F.array(*slots)).alias("s"))
                    .where(F.col("s").isNotNull()).select("s.*"))
-        counts = (stacked.groupBy("k", *[f"v{i}" for i in range(len(columns))])
-                  .agg(F.count(F.lit(1)).alias("n")))
+    counts = stacked.groupBy("k", *fields).agg(F.count(F.lit(1)).alias("n"))
 
     aggs = []
     for j in range(len(columns)):

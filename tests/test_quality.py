@@ -165,3 +165,10 @@ def test_counts_do_not_depend_on_partitioning(spark, rows, parts):
     ns = [r[0] for r in rows if r[0] is not None]
     dup = sum(ns.count(v) for v in set(ns) if ns.count(v) > 1)
     assert [r for r in one if r[2] == "unique_vals" and r[1] == "n"][0][5] == dup
+
+
+def test_unique_columns_of_one_type_do_not_collide(spark):
+    df = spark.createDataFrame([(1, 1, "x", 1.0), (2, 3, "x", 2.0), (3, 2, "y", 2.0)],
+                               "a INT, b INT, s STRING, d DOUBLE")
+    rep = _report(df, {"unique_vals": {"column": "a,b,s,d"}})
+    assert {k[1]: v["unexpected_count"] for k, v in rep.items()} == {"a": 0, "b": 0, "s": 2, "d": 2}

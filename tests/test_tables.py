@@ -87,17 +87,17 @@ def test_create_sql_quotes_names_and_puts_partition_last():
 
 
 def test_gold_partition_column_mid_select(spark, lake):
-    base = spark.createDataFrame([(1, "n1", "micro", "Oregon"), (2, "n2", "brewpub", "Ohio")],
-                                 "id INT, name STRING, kind STRING, state STRING")
-    base.createOrReplaceTempView("breweries_fixture")
-    sql = """SELECT id AS brewery_id, name AS brewery_name, kind AS brewery_type,
-                    CONCAT(name, ', ', state) AS location, state AS st
-             FROM breweries_fixture WHERE kind IS NOT NULL AND state = 'Oregon';"""
-    out = build_gold(spark, sql, GoldParams(fresh_name("gold"), "oregon", "brewery_type"), lake)
-    assert out.columns[-1] == "brewery_type"
-    assert out.collect()[0].asDict() == {"brewery_id": 1, "brewery_name": "n1",
-                                         "location": "n1, Oregon", "st": "Oregon",
-                                         "brewery_type": "micro"}
+    base = spark.createDataFrame([(1, "n1", "hall", "North"), (2, "n2", "club", "South")],
+                                 "id INT, name STRING, kind STRING, area STRING")
+    base.createOrReplaceTempView("venues_fixture")
+    sql = """SELECT id AS venue_id, name AS venue_name, kind AS venue_kind,
+                    CONCAT(name, ', ', area) AS label, area AS zone
+             FROM venues_fixture WHERE kind IS NOT NULL AND area = 'North';"""
+    out = build_gold(spark, sql, GoldParams(fresh_name("gold"), "north", "venue_kind"), lake)
+    assert out.columns[-1] == "venue_kind"
+    assert out.collect()[0].asDict() == {"venue_id": 1, "venue_name": "n1",
+                                         "label": "n1, North", "zone": "North",
+                                         "venue_kind": "hall"}
 
 
 def test_concat_with_null_part_is_null(spark):

@@ -24,6 +24,7 @@ from ..operators.tables import ensure_table, write_by_name
 from ..params import GoldParams, IngestParams, QualityParams, landing_read_schema
 from ..sources.landing import land_day, read_day
 
+# Job names, which are also the names of their ledger tables.
 JOB_CAPTURE = "capture_api"
 JOB_BRONZE_TO_SILVER = "bronze_to_silver"
 JOB_SILVER_TO_GOLD = "silver_to_gold"

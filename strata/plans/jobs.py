@@ -32,6 +32,14 @@ JOB_DATA_QUALITY = "data_quality"
 
 
 
+def observed(observation: Observation) -> dict:
+    """Metrics of a finished action; empty when no task ran (no input rows)."""
+    try:
+        return dict(observation.get)
+    except Exception:  # the metrics row is absent when the plan had no partitions
+        return {}
+
+
 def capture(spark: SparkSession, records: DataFrame, lake: Lake, source: str, table: str,
             day: str, ext: str = "csv", sep: str = ";", logs_db: str = "logs",
             max_records_per_file: int | None = None) -> str:
@@ -45,7 +53,7 @@ def capture(spark: SparkSession, records: DataFrame, lake: Lake, source: str, ta
             path = land_day(counted, lake.bronze(source, table), day, ext=ext, sep=sep,
                             **kwargs)
         log.info("path", path)
-        log.info("rows", seen.get["rows"])
+        log.info("rows", observed(seen).get("rows", 0))
         return path
 
 
@@ -73,7 +81,8 @@ def bronze_to_silver(spark: SparkSession, lake: Lake, source: str, table: str, d
             write_by_name(typed, params.table, mode=params.mode,
                           full_overwrite=full_overwrite)
         log.info("day", day)
-        for key, value in seen.get.items():
+        metrics = observed(seen) or {"rows": 0}
+        for key, value in metrics.items():
             log.info(key, value)
         return spark.table(params.table)
 

@@ -59,3 +59,16 @@ def test_schema_has_original_columns_first():
     assert [f.name for f in LEDGER_SCHEMA.fields][:10] == [
         "start_exec", "job_name", "status", "table_name", "source", "info", "error",
         "error_desc", "date_ref", "end_exec"]
+
+
+@pytest.mark.parametrize("ext", ["csv", "json"])
+def test_empty_day_binds_and_logs_zero_rows(spark, lake, ext):
+    logs = fresh_name("logs")
+    empty = spark.createDataFrame([], "a STRING, p STRING")
+    capture(spark, empty, lake, "s", "e", "20240101", ext=ext, logs_db=logs)
+    out = bronze_to_silver(spark, lake, "s", "e", "20240101",
+                           IngestParams(fresh_name("db"), "e", (("a", "INT"), ("p", "STRING")),
+                                        "p", ext=ext), logs_db=logs)
+    assert out.count() == 0 and out.columns == ["a", "p"]
+    rows = spark.table(f"{logs}.bronze_to_silver").collect()
+    assert rows[0].status == "success" and rows[0].extras["rows"] == "0"

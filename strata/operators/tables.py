@@ -66,6 +66,11 @@ def create_table_sql(table: str, columns: Sequence[tuple[str, str]],
     return sql + f"\nLOCATION '{loc}'"
 
 
+# Partition columns per (session, table). Tables are created once and never
+# altered, so the answer cannot change; ``listColumns`` costs a Spark job.
+_PARTITIONS: dict[tuple[int, str], list[str]] = {}
+
+
 def ensure_table(spark: SparkSession, table: str, columns: Sequence[tuple[str, str]],
                  partition_column: str | None, location: str,
                  compression: str | None = None) -> bool:
@@ -77,11 +82,15 @@ def ensure_table(spark: SparkSession, table: str, columns: Sequence[tuple[str, s
     if spark.catalog.tableExists(table):
         return False
     spark.sql(create_table_sql(table, columns, partition_column, location, compression))
+    _PARTITIONS[(id(spark), table.lower())] = [partition_column] if partition_column else []
     return True
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    key = (id(spark), table.lower())
+    if key not in _PARTITIONS:
+        _PARTITIONS[key] = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    return list(_PARTITIONS[key])
 
 
 def align_to_table(df: DataFrame, target: StructType) -> DataFrame:

@@ -161,8 +161,9 @@ def bronze_csv_roundtrip(spark, sf_dir):
 
 
 def _events_as_text(spark, sf_dir):
+    # timestamp_ntz -> text by cast: independent of the session time zone
     ev = _t(spark, sf_dir, "events")
-    return ev.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    return ev.withColumn("ts", F.col("ts").cast("string"))
 
 
 def _events_typed(raw: DataFrame) -> DataFrame:
@@ -181,8 +182,7 @@ def bronze_latest_day(spark, sf_dir):
     lake = Lake.fresh(spark, "bronze_latest_day")
     base = lake.bronze("app", "events")
     ev = _events_as_text(spark, sf_dir)
-    land_by_day(ev, base, F.date_format(F.col("ts").cast("timestamp_ntz"), "yyyyMMdd"),
-                ext="json")
+    land_by_day(ev, base, F.translate(F.substring("ts", 1, 10), "-", ""), ext="json")
     day = latest_day(spark, base)
     return _events_typed(read_day(spark, base, day, ext="json", schema=EVENTS_JSON_SCHEMA))
 

@@ -37,6 +37,18 @@ def partition_last(names: Sequence[str], partition_column: str | None) -> list[s
     return rest + moved
 
 
+def bind_positionally(df: DataFrame, schema: Sequence[tuple[str, str]]) -> DataFrame:
+    """Name the columns of a header-less file by declared order.
+
+    Without a header there are no names to bind by; the i-th field is the i-th
+    declared column. Extra fields are dropped; missing ones stay absent (and
+    become typed NULL columns in ``conform``).
+    """
+    names = [n for n, _ in schema]
+    keep = df.columns[:len(names)]
+    return df.select(*[_ref(c).alias(names[i]) for i, c in enumerate(keep)])
+
+
 def _typed_columns(df: DataFrame, schema: Sequence[tuple[str, str]],
                    partition_column: str | None, strict: bool) -> list[Column]:
     present = _index(df)

@@ -19,7 +19,7 @@ from ..lake import Lake
 from ..operators.gold import build_gold, gold_frame
 from ..operators.ledger import RunLedger
 from ..operators.quality import enforce, run_suite
-from ..operators.silver import conform_observed
+from ..operators.silver import bind_positionally, conform_observed
 from ..operators.tables import ensure_table, write_by_name
 from ..params import GoldParams, IngestParams, QualityParams, landing_read_schema
 from ..sources.landing import land_day, read_day
@@ -71,6 +71,8 @@ def bronze_to_silver(spark: SparkSession, lake: Lake, source: str, table: str, d
                            multi_line=params.multi_line)
         with log.step("cast_df"):
             schema = params.require_schema()
+            if params.ext == "csv" and not params.header:
+                raw = bind_positionally(raw, schema)
             seen = Observation("bronze_to_silver")
             typed = conform_observed(raw, schema, params.partition_column, seen)
         with log.step("create_table"):

@@ -118,3 +118,24 @@ def test_read_several_days_lists_only_those(spark, lake):
         (1, "20240101"), (4, "20240103")]
     files = df.inputFiles()
     assert files and all("ingest_date=20240102" not in f for f in files)
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_TEXT = st.text(alphabet=st.sampled_from(list('ab ;,"\'\\\n\r\t#xé€😀')), max_size=12)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.one_of(st.none(), _TEXT), st.one_of(st.none(), _TEXT)),
+                min_size=1, max_size=30))
+def test_csv_round_trip_property(spark, lake, rows):
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(rows)],
+                               "id BIGINT, a STRING, b STRING")
+    base = lake.bronze("p", "prop")
+    land_day(df, base, "20240101")
+    back = conform(read_day(spark, base, "20240101"),
+                   [("id", "BIGINT"), ("a", "STRING"), ("b", "STRING")])
+    got = {r.id: (r.a, r.b) for r in back.collect()}
+    want = {i: (a or None, b or None) for i, (a, b) in enumerate(rows)}
+    assert got == want

@@ -72,3 +72,17 @@ def test_empty_day_binds_and_logs_zero_rows(spark, lake, ext):
     assert out.count() == 0 and out.columns == ["a", "p"]
     rows = spark.table(f"{logs}.bronze_to_silver").collect()
     assert rows[0].status == "success" and rows[0].extras["rows"] == "0"
+
+
+def test_headerless_csv_binds_by_declared_order(spark, lake):
+    logs = fresh_name("logs")
+    df = spark.createDataFrame([("1", "x", "extra")], "c STRING, d STRING, e STRING")
+    capture(spark, df, lake, "s", "nohdr", "20240101", logs_db=logs)
+    # re-land the same rows without a header line
+    from strata.sources.landing import land_day
+    land_day(df, lake.bronze("s", "nohdr"), "20240101", header=False)
+    out = bronze_to_silver(spark, lake, "s", "nohdr", "20240101",
+                           IngestParams(fresh_name("db"), "t",
+                                        (("a", "INT"), ("b", "STRING"), ("z", "DOUBLE")),
+                                        None, header=False), logs_db=logs)
+    assert [tuple(r) for r in out.collect()] == [(1, "x", None)]

@@ -287,8 +287,16 @@ def _unique_report(df: DataFrame, checks: list[Check]) -> DataFrame:
     return one.select(F.inline(F.array(*rows)))
 
 
-def run_suite(df: DataFrame, params: QualityParams | dict | list[Check]) -> DataFrame:
-    """Evaluate a suite over ``df``; returns the report DataFrame (lazy)."""
+def run_suite(df: DataFrame, params: QualityParams | dict | list[Check],
+              materialize: bool = False) -> DataFrame:
+    """Evaluate a suite over ``df``; returns the report DataFrame (lazy).
+
+    A suite with unique checks and row-level checks reads ``df`` twice (one
+    branch each). For a table scan that is the cheapest plan. When ``df`` is
+    expensive to compute (joins, aggregates), ``materialize=True`` computes it
+    once into the session's checkpoint directory (a reliable checkpoint on
+    shared storage, which also survives the loss of executors).
+    """
     checks = params if isinstance(params, list) else expand(params)
     if not checks:
         raise ParamError("the suite has no checks")
@@ -297,6 +305,8 @@ def run_suite(df: DataFrame, params: QualityParams | dict | list[Check]) -> Data
             _resolve(df, check.column)
     unique = [c for c in checks if c.name == "unique_vals"]
     row_level = [c for c in checks if c.name != "unique_vals"]
+    if materialize and unique and row_level:
+        df = df.checkpoint(eager=True)
     parts = []
     if row_level:
         parts.append(_row_level_report(df, row_level))

@@ -100,7 +100,8 @@ def silver_to_gold(spark: SparkSession, lake: Lake, sql_text: str, params: GoldP
 
 def data_quality(spark: SparkSession, lake: Lake, table_name: str, sql_text: str,
                  params: QualityParams | dict, results_table: str | None = None,
-                 logs_db: str = "logs", stop_job: bool | None = None) -> DataFrame:
+                 logs_db: str = "logs", stop_job: bool | None = None,
+                 materialize: bool = False) -> DataFrame:
     """Evaluate a suite over the rows of ``sql_text``.
 
     The report is appended to ``results_table`` (created when missing), so it
@@ -115,7 +116,7 @@ def data_quality(spark: SparkSession, lake: Lake, table_name: str, sql_text: str
                    database=logs_db) as log:
         run_id = f"{table_name}-{log.start_exec.strftime('%Y%m%dT%H%M%S%f')}"
         with log.step("run_checks"):
-            report = run_suite(gold_frame(spark, sql_text), params)
+            report = run_suite(gold_frame(spark, sql_text), params, materialize=materialize)
             stamped = report.select(
                 F.lit(run_id).alias("run_id"), F.lit(table_name).alias("table_name"),
                 F.lit(log.start_exec).alias("checked_at"), "*")

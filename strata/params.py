@@ -124,13 +124,15 @@ class QualityParams:
 
     checks: tuple[tuple[str, dict[str, Any]], ...] = field(default_factory=tuple)
     stop_job: bool = False
+    materialize: bool = False
 
     @classmethod
     def from_dict(cls, d: dict[str, Any]) -> "QualityParams":
         qp = d.get("quality_params")
         if not isinstance(qp, dict):
             raise ParamError("missing 'quality_params' object")
-        return cls(tuple((k, dict(v)) for k, v in qp.items()), bool(d.get("stop_job", False)))
+        return cls(tuple((k, dict(v)) for k, v in qp.items()), bool(d.get("stop_job", False)),
+                   bool(d.get("materialize", False)))
 
 
 def landing_read_schema(schema: tuple[tuple[str, str], ...]) -> str:

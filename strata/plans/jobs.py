@@ -101,7 +101,7 @@ def silver_to_gold(spark: SparkSession, lake: Lake, sql_text: str, params: GoldP
 def data_quality(spark: SparkSession, lake: Lake, table_name: str, sql_text: str,
                  params: QualityParams | dict, results_table: str | None = None,
                  logs_db: str = "logs", stop_job: bool | None = None,
-                 materialize: bool = False) -> DataFrame:
+                 materialize: bool | None = None) -> DataFrame:
     """Evaluate a suite over the rows of ``sql_text``.
 
     The report is appended to ``results_table`` (created when missing), so it
@@ -111,6 +111,7 @@ def data_quality(spark: SparkSession, lake: Lake, table_name: str, sql_text: str
     if isinstance(params, dict):
         params = QualityParams.from_dict(params)
     gated = params.stop_job if stop_job is None else stop_job
+    materialize = params.materialize if materialize is None else materialize
     results_table = results_table or f"{logs_db}.quality_results"
     with RunLedger(spark, lake, JOB_DATA_QUALITY, table_name, "quality",
                    database=logs_db) as log:

@@ -48,7 +48,7 @@ def main() -> int:
                .config("spark.sql.shuffle.partitions", "8")
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
-               .config("spark.sql.execution.arrow.maxRecordsPerBatch", "1000"))
+               .config("spark.sql.execution.arrow.maxRecordsPerBatch", "50"))
     for k, v in PIPELINE_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

@@ -32,7 +32,9 @@ def lenient_cast(c: Column, type_name: str) -> Column:
     if t in ("string", "varchar", "text"):
         return c.cast("string")
     if t in INTEGRAL_TYPES:
-        return F.regexp_replace(c, _FRACTION, "").try_cast(t)
+        # the pattern needs a '.', so most values skip the regex engine
+        trimmed = F.when(c.contains("."), F.regexp_replace(c, _FRACTION, "")).otherwise(c)
+        return trimmed.try_cast(t)
     return c.try_cast(t)
 
 

@@ -183,3 +183,30 @@ def test_materialized_source_gives_the_same_report(spark):
     plain = sorted(tuple(r) for r in run_suite(df, qp).collect())
     once = sorted(tuple(r) for r in run_suite(df, qp, materialize=True).collect())
     assert plain == once
+
+
+def test_report_text_survives_quotes_and_backslashes_in_both_literal_modes(spark):
+    # column names and rules end up as SQL string literals in the report
+    df = spark.createDataFrame([("it's", "a\\b")], "`o'k` STRING, `b\\s` STRING")
+    rx = r"^[a-z]'s\d{1,3}\\$" + "\n|é"
+    qp = {"quality_params": {"value_match_regex": {"column": "o'k", "regex": rx},
+                             "not_null": {"column": "b\\s"},
+                             "df_count_btw": {"min": "0", "max": "3000000000"}}}
+    key = "spark.sql.parser.escapedStringLiterals"
+    before = spark.conf.get(key)
+    got = {}
+    try:
+        for mode in ("false", "true"):
+            spark.conf.set(key, mode)
+            report = run_suite(df, qp)
+            got[mode] = (report.schema, [tuple(r) for r in report.collect()])
+    finally:
+        spark.conf.set(key, before)
+    assert got["false"] == got["true"]
+    rows = {r[2]: r for r in got["false"][1]}
+    assert rows["value_match_regex"][1] == "o'k"
+    assert rows["value_match_regex"][3] == f"Column value o'k match with {rx}"
+    assert rows["not_null"][1] == "b\\s"
+    assert rows["df_count_btw"][6] is True
+    assert [f.dataType.simpleString() for f in got["false"][0].fields] == [
+        "int", "string", "string", "string", "bigint", "bigint", "boolean", "string"]

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.metrics import observed
 from ..lake import Lake
 from ..operators.gold import build_gold, gold_frame
 from ..operators.ledger import RunLedger
@@ -31,15 +32,6 @@ JOB_SILVER_TO_GOLD = "silver_to_gold"
 JOB_DATA_QUALITY = "data_quality"
 
 
-
-def observed(observation: Observation) -> dict:
-    """Metrics of a finished action; empty when no task ran (no input rows)."""
-    try:
-        return dict(observation.get)
-    except Exception:  # the metrics row is absent when the plan had no partitions
-        return {}
-
-
 def capture(spark: SparkSession, records: DataFrame, lake: Lake, source: str, table: str,
             day: str, ext: str = "csv", sep: str = ";", logs_db: str = "logs",
             max_records_per_file: int | None = None) -> str:

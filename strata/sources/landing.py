@@ -8,21 +8,32 @@ CSV is written and read with ``"`` as quote *and* escape and with multi-line
 records, so text with quotes, separators and newlines survives the round trip.
 A multi-line CSV file cannot be split between tasks; the writer therefore caps
 rows per file (``max_records_per_file``) so that parallelism on read comes from
-the number of files. No schema is given to the CSV reader: with a header it
-would bind the schema by position and ignore the header names. Every column is
-read as text and bound by name later (``operators.silver``).
+the number of files. Most days hold no line break in any value: the writer
+counts values with one during the same write and, when there are none, leaves
+a ``_SINGLE_LINE`` marker in the day's folder. Such a day is read line by line,
+and its files are split into byte ranges like any text file, whatever their
+size. Folders without the marker (other producers, or any line break) are read
+multi-line. No schema is given to the CSV reader: with a header it would bind
+the schema by position and ignore the header names. Every column is read as
+text and bound by name later (``operators.silver``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType
+from pyspark.sql.types import ArrayType, MapType, StringType, StructType
 
+from ..functions.metrics import observed
 from ..params import SUPPORTED_FORMATS
 
 DAY_COLUMN = "ingest_date"
 DEFAULT_MAX_RECORDS_PER_FILE = 100_000
+# Marker file of a CSV folder whose values hold no line break (readers skip
+# names starting with "_").
+SINGLE_LINE_MARKER = "_SINGLE_LINE"
 
 # Text forms of timestamps in landed files. Spark's default writer forms stop
 # at milliseconds; these keep microseconds, and the readers use the same ones.
@@ -36,13 +47,13 @@ def day_dir(base: str, day: str) -> str:
     return f"{base.rstrip('/')}/{DAY_COLUMN}={day}"
 
 
-def _csv_options(sep: str, header: bool) -> dict[str, str]:
+def _csv_options(sep: str, header: bool, multi_line: bool = True) -> dict[str, str]:
     return {
         "sep": sep,
         "header": str(bool(header)).lower(),
         "quote": '"',
         "escape": '"',
-        "multiLine": "true",
+        "multiLine": str(bool(multi_line)).lower(),
         "ignoreLeadingWhiteSpace": "false",
         "ignoreTrailingWhiteSpace": "false",
         **TEXT_TIME_OPTIONS,
@@ -60,13 +71,47 @@ def flatten_nested(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def _line_breaks(df: DataFrame) -> Column:
+    """Rows with a line break in any text value (the only type that holds one)."""
+    texts = [F.col(f"`{f.name}`") for f in df.schema.fields
+             if isinstance(f.dataType, StringType)]
+    if not texts:
+        return F.lit(0).cast("bigint")
+    broken = reduce(Column.__or__, [c.contains("\n") | c.contains("\r") for c in texts])
+    return F.count_if(F.coalesce(broken, F.lit(False)))
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def is_single_line(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` was landed by ``land_csv`` without any line break."""
+    fs, hpath = _fs(spark, f"{path.rstrip('/')}/{SINGLE_LINE_MARKER}")
+    return bool(fs.exists(hpath))
+
+
 def land_csv(df: DataFrame, path: str, sep: str = ";", header: bool = True,
              max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE) -> None:
-    """Write ``df`` as delimited text into ``path`` (replacing a re-run)."""
-    (flatten_nested(df).write.mode("overwrite")
+    """Write ``df`` as delimited text into ``path`` (replacing a re-run).
+
+    Values with a line break are counted during the write; when there are none
+    (and no column name holds one) the folder gets the single-line marker. A
+    retried task can only raise the count, so the marker is never wrong.
+    """
+    flat = flatten_nested(df)
+    seen = Observation()
+    (flat.observe(seen, _line_breaks(flat).alias("line_breaks")).write.mode("overwrite")
      .options(**_csv_options(sep, header))
      .option("maxRecordsPerFile", str(max_records_per_file))
      .csv(path))
+    clean_names = not any("\n" in c or "\r" in c for c in flat.columns)
+    if clean_names and observed(seen).get("line_breaks") == 0:
+        spark = df.sparkSession
+        fs, marker = _fs(spark, f"{path.rstrip('/')}/{SINGLE_LINE_MARKER}")
+        fs.create(marker, True).close()
 
 
 def land_json(df: DataFrame, path: str,
@@ -81,8 +126,13 @@ def land_json(df: DataFrame, path: str,
 
 def read_csv(spark: SparkSession, path: str, sep: str = ";",
              header: bool = True) -> DataFrame:
-    """All-text frame of a landed CSV directory; blanks read as NULL."""
-    return spark.read.options(**_csv_options(sep, header)).csv(path)
+    """All-text frame of a landed CSV directory; blanks read as NULL.
+
+    Line by line (splittable) when the folder carries the single-line marker,
+    multi-line otherwise.
+    """
+    multi_line = not is_single_line(spark, path)
+    return spark.read.options(**_csv_options(sep, header, multi_line)).csv(path)
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType | str | None = None,
@@ -136,7 +186,8 @@ def land_by_day(df: DataFrame, base: str, day_col: F.Column, ext: str = "json",
 
     Days come from ``day_col`` (formatted ``yyyyMMdd``). Rows are rebalanced by
     day first (AQE splits a day that holds most of the rows), so each day gets
-    a few full files instead of one small file per task.
+    a few full files instead of one small file per task. CSV days written here
+    carry no single-line marker and are read multi-line.
     """
     out = df.withColumn(DAY_COLUMN, day_col).hint("rebalance", DAY_COLUMN)
     writer = (out.write.mode("overwrite").partitionBy(DAY_COLUMN)
@@ -153,9 +204,7 @@ def land_by_day(df: DataFrame, base: str, day_col: F.Column, ext: str = "json",
 
 def landing_days(spark: SparkSession, base: str) -> list[str]:
     """Days present under ``base`` (directory names only, no file listing)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(base)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = _fs(spark, base)
     if not fs.exists(hpath):
         return []
     prefix = f"{DAY_COLUMN}="
@@ -198,7 +247,8 @@ def read_days(spark: SparkSession, base: str, days: list[str], ext: str = "csv",
     reader = spark.read.option("basePath", base.rstrip("/")).option(
         "recursiveFileLookup", "false")
     if ext == "csv":
-        reader = reader.options(**_csv_options(sep, header))
+        multi_line = not all(is_single_line(spark, p) for p in paths)
+        reader = reader.options(**_csv_options(sep, header, multi_line))
         df = reader.csv(paths)
     elif ext == "json":
         reader = reader.options(**TEXT_TIME_OPTIONS).option(

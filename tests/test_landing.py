@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 from strata.operators.silver import conform
-from strata.sources.landing import (land_by_day, land_day, landing_days, latest_day,
-                                    read_csv, read_day, read_json)
+from strata.sources.landing import (_csv_options, is_single_line, land_by_day, land_day,
+                                    landing_days, latest_day, read_csv, read_day, read_json)
 
 
 def _write(path, text):
@@ -120,13 +120,66 @@ def test_read_several_days_lists_only_those(spark, lake):
     assert files and all("ingest_date=20240102" not in f for f in files)
 
 
+_FLAT_ROWS = [(1, 'q"uote;semi', " lead and trail ", "\\back\\slash"), (2, None, "", "x"),
+              (3, "#hash", "tab\there", "ünï©ødé 😀"), (4, '"', ";", "'")]
+_FLAT_SCHEMA = [("id", "BIGINT"), ("a", "STRING"), ("b", "STRING"), ("c", "STRING")]
+
+
+def test_single_line_marker_only_without_line_breaks(spark, lake):
+    base = lake.bronze("s", "marker")
+    day = f"{base}/ingest_date=20240101"
+    df = spark.createDataFrame(_FLAT_ROWS, "id BIGINT, a STRING, b STRING, c STRING")
+    land_day(df, base, "20240101")
+    assert is_single_line(spark, day)
+    # a re-run of the day with a line break (either kind) drops the marker
+    for brk in ("two\nlines", "old\rmac"):
+        land_day(df.union(spark.createDataFrame([(5, brk, None, None)], df.schema)), base,
+                 "20240101")
+        assert not is_single_line(spark, day)
+        got = {r.id: r.a for r in conform(read_day(spark, base, "20240101"),
+                                          _FLAT_SCHEMA).collect()}
+        assert got[5] == brk and len(got) == 5
+    # a frame without text columns cannot hold a line break
+    land_day(spark.range(3), base, "20240102")
+    assert is_single_line(spark, f"{base}/ingest_date=20240102")
+
+
+def test_single_line_read_equals_multi_line_read(spark, lake):
+    base = lake.bronze("s", "modes")
+    df = spark.createDataFrame(_FLAT_ROWS, "id BIGINT, a STRING, b STRING, c STRING")
+    land_day(df, base, "20240101")
+    path = f"{base}/ingest_date=20240101"
+    assert is_single_line(spark, path)
+    line = conform(read_day(spark, base, "20240101"), _FLAT_SCHEMA)
+    multi = conform(spark.read.options(**_csv_options(";", True, True)).csv(path), _FLAT_SCHEMA)
+    assert sorted(map(tuple, line.collect())) == sorted(map(tuple, multi.collect()))
+    assert {r.id: r.b for r in line.collect()} == {1: " lead and trail ", 2: None, 3: "tab\there",
+                                                    4: ";"}
+
+
+def test_single_line_files_are_split_on_read(spark, lake):
+    base = lake.bronze("s", "split")
+    df = spark.range(200_000).selectExpr("id", "repeat('x', 40) AS pad").coalesce(1)
+    land_day(df, base, "20240101", max_records_per_file=1_000_000)
+    path = f"{base}/ingest_date=20240101"
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 20))
+    try:
+        raw = read_day(spark, base, "20240101")
+        assert len(raw.inputFiles()) == 1 and raw.rdd.getNumPartitions() > 1
+        assert raw.count() == 200_000
+        assert raw.agg({"id": "count"}).collect()[0][0] == 200_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 from hypothesis import HealthCheck, given, settings  # noqa: E402
 from hypothesis import strategies as st  # noqa: E402
 
 _TEXT = st.text(alphabet=st.sampled_from(list('ab ;,"\'\\\n\r\t#xé€😀')), max_size=12)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=24, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.one_of(st.none(), _TEXT), st.one_of(st.none(), _TEXT)),
                 min_size=1, max_size=30))
 def test_csv_round_trip_property(spark, lake, rows):
@@ -139,3 +192,6 @@ def test_csv_round_trip_property(spark, lake, rows):
     got = {r.id: (r.a, r.b) for r in back.collect()}
     want = {i: (a or None, b or None) for i, (a, b) in enumerate(rows)}
     assert got == want
+    # the line-by-line read is chosen exactly when no value holds a line break
+    flat = not any(v and ("\n" in v or "\r" in v) for row in rows for v in row)
+    assert is_single_line(spark, f"{base}/ingest_date=20240101") == flat

@@ -210,3 +210,21 @@ def test_report_text_survives_quotes_and_backslashes_in_both_literal_modes(spark
     assert rows["df_count_btw"][6] is True
     assert [f.dataType.simpleString() for f in got["false"][0].fields] == [
         "int", "string", "string", "string", "bigint", "bigint", "boolean", "string"]
+
+
+def test_unique_with_a_value_holding_a_third_of_the_rows(spark):
+    df = spark.range(0, 30_000, numPartitions=8).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN -1 ELSE id END AS k",
+        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 7 = 0 THEN NULL "
+        "ELSE concat('v', CAST(id DIV 2 AS STRING)) END AS s")
+    rep = _report(df, {"unique_vals": {"column": "k,s"}})
+    rows = df.collect()
+    for col in ("k", "s"):
+        values = [r[col] for r in rows if r[col] is not None]
+        counts = {}
+        for v in values:
+            counts[v] = counts.get(v, 0) + 1
+        dup = sum(n for n in counts.values() if n > 1)
+        got = rep[("unique_vals", col)]
+        assert (got["element_count"], got["unexpected_count"], got["success"]) == (
+            len(values), dup, dup == 0)

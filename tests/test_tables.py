@@ -120,3 +120,46 @@ def test_dynamic_overwrite_does_not_depend_on_session_default(spark, lake):
         assert spark.conf.get(key) == "static"
     finally:
         spark.conf.set(key, before)
+
+
+def _hot_frame(spark):
+    # 8 map tasks; value 'hot' holds 95% of the rows, ten small values the rest
+    return spark.range(0, 40_000, numPartitions=8).selectExpr(
+        "CAST(id AS INT) AS v",
+        "CASE WHEN id % 20 = 0 THEN concat('k', CAST(id DIV 20 % 10 AS STRING)) ELSE 'hot' END "
+        "AS p")
+
+
+def _files_of(spark, table, value):
+    return {f for f in spark.table(table).where(F.col("p") == value).inputFiles()}
+
+
+@pytest.mark.parametrize("aqe", ["true", "false"])
+def test_hot_partition_value_is_written_by_several_tasks(spark, lake, aqe):
+    t = _table(spark, lake, [("v", "INT"), ("p", "STRING")], "p")
+    df = _hot_frame(spark)
+    keys = {"spark.sql.adaptive.enabled": aqe,
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        write_by_name(df, t)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    # the hot value is split over several writers, not funnelled into one task
+    assert len(_files_of(spark, t, "hot")) > 1
+    if aqe == "true":
+        # ... while rows were shuffled by value: a small value is one file, not
+        # one per input task (unless it shares the hot value's shuffle
+        # partition, which is split as a whole); pmod(hash) is Spark's own
+        # hash partitioning
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        slot = {r.p: r.s for r in spark.table(t).selectExpr(
+            "p", f"pmod(hash(p), {n}) AS s").distinct().collect()}
+        alone = [k for k in slot if k != "hot" and slot[k] != slot["hot"]]
+        assert len(alone) >= 5
+        assert all(len(_files_of(spark, t, k)) == 1 for k in alone)
+    assert _rows(spark, t) == sorted(tuple(r) for r in df.collect())

@@ -1,7 +1,6 @@
 """Run ledger rows and step statistics."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from strata.operators.ledger import LEDGER_SCHEMA, RunLedger, step_stats
 from strata.params import IngestParams, ParamError

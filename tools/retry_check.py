@@ -18,7 +18,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from pyspark import TaskContext  # noqa: E402
 from pyspark.sql import SparkSession  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
 
 from strata.lake import Lake  # noqa: E402
 from strata.operators.silver import conform  # noqa: E402

@@ -13,7 +13,9 @@ counts values with one during the same write and, when there are none, leaves
 a ``_SINGLE_LINE`` marker in the day's folder. Such a day is read line by line,
 and its files are split into byte ranges like any text file, whatever their
 size. Folders without the marker (other producers, or any line break) are read
-multi-line. No schema is given to the CSV reader: with a header it would bind
+multi-line. The marker speaks for the files landed with it: a re-landing of the
+day replaces both, and files added to the folder by any other writer are not
+covered by it. No schema is given to the CSV reader: with a header it would bind
 the schema by position and ignore the header names. Every column is read as
 text and bound by name later (``operators.silver``).
 """

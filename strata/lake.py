@@ -1,4 +1,4 @@
-"""Where each layer lives under one root folder."""
+"""Where each layer lives under one root folder, and folder listings on it."""
 
 from __future__ import annotations
 
@@ -9,6 +9,10 @@ from pyspark.sql import SparkSession
 from .session import run_root, storage_root
 
 
+# Layers whose folders hold catalog tables (bronze holds landed files).
+TABLE_LAYERS = ("silver", "gold", "logs")
+
+
 @dataclass(frozen=True)
 class Lake:
     root: str
@@ -30,3 +34,32 @@ class Lake:
     def location(self, layer: str, schema: str, table: str) -> str:
         """Folder of a silver, gold or logs table."""
         return f"{self.root}/{layer}/{schema}/{table}"
+
+    def table_folders(self, spark: SparkSession,
+                      layers: tuple[str, ...] = TABLE_LAYERS) -> list[tuple[str, str, str]]:
+        """(database, table, folder) of every table folder under the layers."""
+        out = []
+        for layer in layers:
+            for schema in subdirectories(spark, f"{self.root}/{layer}"):
+                for table in subdirectories(spark, f"{self.root}/{layer}/{schema}"):
+                    out.append((schema, table, self.location(layer, schema, table)))
+        return out
+
+
+def filesystem(spark: SparkSession, path: str):
+    """(Hadoop FileSystem, Path) of ``path``, for listings on the driver."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def subdirectories(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly under ``path`` (none when it is missing).
+
+    Names starting with ``_`` or ``.`` (Spark's own bookkeeping) are left out.
+    """
+    fs, hpath = filesystem(spark, path)
+    if not fs.exists(hpath):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(hpath) if st.isDirectory()]
+    return sorted(n for n in names if not n.startswith(("_", ".")))

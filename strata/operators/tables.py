@@ -20,6 +20,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -173,3 +174,31 @@ def list_tables(spark: SparkSession, databases: Iterable[str]) -> list[tuple[str
         for t in spark.catalog.listTables(db):
             out.append((db, t.name))
     return out
+
+
+def register_tables(spark: SparkSession, lake) -> list[str]:
+    """Catalog entries for the lake's table folders that the catalog lacks.
+
+    With a catalog that does not outlive its session (Spark's in-memory one),
+    each job run as a process of its own starts with no tables. Every folder
+    ``{layer}/{database}/{table}`` holding Parquet files becomes an external
+    table again: schema from the files, partition columns from the folder
+    names, partitions recovered. Folders without data files are skipped (the
+    next write creates them from its declared schema). Returns the names
+    registered. Metadata only: listing, footers, no data pass.
+    """
+    made = []
+    for database, table, folder in lake.table_folders(spark):
+        name = f"{database}.{table}"
+        ensure_database(spark, database, folder.rstrip("/").rsplit("/", 1)[0])
+        if spark.catalog.tableExists(name):
+            continue
+        loc = folder.replace("'", "\\'")
+        try:
+            spark.sql(f"CREATE TABLE {qualified(name)} USING parquet LOCATION '{loc}'")
+        except AnalysisException:  # no data file to take a schema from
+            continue
+        if partition_columns(spark, name):
+            spark.sql(f"ALTER TABLE {qualified(name)} RECOVER PARTITIONS")
+        made.append(name)
+    return made

@@ -3,7 +3,7 @@
 ::
 
     base/
-      params/{source}/{table}.json   landing + silver parameters (schema, target, ...)
+      params/{source}/{table}.json   landing + silver parameters (schema, target, ext, sep)
       params/silver/{table}.json     gold parameters (source 'silver')
       params/quality/{table}.json    quality suite ({"quality_params": {...}})
       query/gold/{name}.sql          gold SQL, looked up by an explicit name
@@ -23,7 +23,41 @@ from pyspark.sql import DataFrame, SparkSession
 from ..lake import Lake
 from ..params import (GoldParams, IngestParams, QualityParams, load_json, params_path,
                       read_sql_text)
-from .jobs import bronze_to_silver, data_quality, silver_to_gold
+from .jobs import bronze_to_silver, capture, data_quality, silver_to_gold
+
+# Formats a day's records can be captured from.
+RECORD_FORMATS = ("json", "csv", "parquet")
+
+
+def read_records(spark: SparkSession, path: str, fmt: str = "json",
+                 multi_line: bool = False) -> DataFrame:
+    """The records a source delivered as files (JSON lines or arrays, CSV, Parquet).
+
+    JSON keys are unioned over all records (a missing key is NULL); CSV is read
+    as text with a header. Types are bound later, in silver.
+    """
+    if fmt == "json":
+        return spark.read.option("multiLine", str(bool(multi_line)).lower()).json(path)
+    if fmt == "csv":
+        return spark.read.options(header="true", multiLine=str(bool(multi_line)).lower(),
+                                  escape='"').csv(path)
+    if fmt == "parquet":
+        return spark.read.parquet(path)
+    raise ValueError(f"unsupported record format {fmt!r}; use one of {RECORD_FORMATS}")
+
+
+def capture_from_files(spark: SparkSession, lake: Lake, base: str | Path, source: str,
+                       table: str, day: str, records_path: str, records_format: str = "json",
+                       multi_line: bool = False, logs_db: str = "logs") -> str:
+    """Land delivered records as the bronze files of ``day``.
+
+    The landing format and separator come from ``params/{source}/{table}.json``
+    (``ext``, ``sep``), as for the silver job that reads them back.
+    """
+    params = IngestParams.from_dict(load_json(params_path(base, source, table)))
+    records = read_records(spark, records_path, records_format, multi_line)
+    return capture(spark, records, lake, source, table, day, ext=params.ext, sep=params.sep,
+                   logs_db=logs_db)
 
 
 def silver_from_files(spark: SparkSession, lake: Lake, base: str | Path, source: str,

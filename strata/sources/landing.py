@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType, StructType
 
 from ..functions.metrics import observed
+from ..lake import filesystem
 from ..params import SUPPORTED_FORMATS
 
 DAY_COLUMN = "ingest_date"
@@ -83,15 +84,9 @@ def _line_breaks(df: DataFrame) -> Column:
     return F.count_if(F.coalesce(broken, F.lit(False)))
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
-
-
 def is_single_line(spark: SparkSession, path: str) -> bool:
     """True when ``path`` was landed by ``land_csv`` without any line break."""
-    fs, hpath = _fs(spark, f"{path.rstrip('/')}/{SINGLE_LINE_MARKER}")
+    fs, hpath = filesystem(spark, f"{path.rstrip('/')}/{SINGLE_LINE_MARKER}")
     return bool(fs.exists(hpath))
 
 
@@ -112,7 +107,7 @@ def land_csv(df: DataFrame, path: str, sep: str = ";", header: bool = True,
     clean_names = not any("\n" in c or "\r" in c for c in flat.columns)
     if clean_names and observed(seen).get("line_breaks") == 0:
         spark = df.sparkSession
-        fs, marker = _fs(spark, f"{path.rstrip('/')}/{SINGLE_LINE_MARKER}")
+        fs, marker = filesystem(spark, f"{path.rstrip('/')}/{SINGLE_LINE_MARKER}")
         fs.create(marker, True).close()
 
 
@@ -206,7 +201,7 @@ def land_by_day(df: DataFrame, base: str, day_col: F.Column, ext: str = "json",
 
 def landing_days(spark: SparkSession, base: str) -> list[str]:
     """Days present under ``base`` (directory names only, no file listing)."""
-    fs, hpath = _fs(spark, base)
+    fs, hpath = filesystem(spark, base)
     if not fs.exists(hpath):
         return []
     prefix = f"{DAY_COLUMN}="

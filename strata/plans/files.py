@@ -21,8 +21,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from ..lake import Lake
-from ..params import (GoldParams, IngestParams, QualityParams, load_json, params_path,
-                      read_sql_text)
+from ..params import (GoldParams, IngestParams, QualityParams, landing_read_schema, load_json,
+                      params_path, read_sql_text)
 from .jobs import bronze_to_silver, capture, data_quality, silver_to_gold
 
 # Formats a day's records can be captured from.
@@ -30,14 +30,19 @@ RECORD_FORMATS = ("json", "csv", "parquet")
 
 
 def read_records(spark: SparkSession, path: str, fmt: str = "json",
-                 multi_line: bool = False) -> DataFrame:
+                 multi_line: bool = False, schema: str | None = None) -> DataFrame:
     """The records a source delivered as files (JSON lines or arrays, CSV, Parquet).
 
-    JSON keys are unioned over all records (a missing key is NULL); CSV is read
+    Without ``schema`` JSON keys are unioned over all records (a missing key is
+    NULL), which costs Spark one inference pass over the files; with a reader
+    schema there is no such pass and undeclared keys are not read. CSV is read
     as text with a header. Types are bound later, in silver.
     """
     if fmt == "json":
-        return spark.read.option("multiLine", str(bool(multi_line)).lower()).json(path)
+        reader = spark.read.option("multiLine", str(bool(multi_line)).lower())
+        if schema is not None:
+            reader = reader.schema(schema)
+        return reader.json(path)
     if fmt == "csv":
         return spark.read.options(header="true", multiLine=str(bool(multi_line)).lower(),
                                   escape='"').csv(path)
@@ -48,14 +53,18 @@ def read_records(spark: SparkSession, path: str, fmt: str = "json",
 
 def capture_from_files(spark: SparkSession, lake: Lake, base: str | Path, source: str,
                        table: str, day: str, records_path: str, records_format: str = "json",
-                       multi_line: bool = False, logs_db: str = "logs") -> str:
+                       multi_line: bool = False, logs_db: str = "logs",
+                       declared_only: bool = False) -> str:
     """Land delivered records as the bronze files of ``day``.
 
     The landing format and separator come from ``params/{source}/{table}.json``
-    (``ext``, ``sep``), as for the silver job that reads them back.
+    (``ext``, ``sep``), as for the silver job that reads them back. With
+    ``declared_only`` JSON records are read with the declared columns (as
+    text; nested ones typed), skipping the inference pass.
     """
     params = IngestParams.from_dict(load_json(params_path(base, source, table)))
-    records = read_records(spark, records_path, records_format, multi_line)
+    schema = landing_read_schema(params.require_schema()) if declared_only else None
+    records = read_records(spark, records_path, records_format, multi_line, schema)
     return capture(spark, records, lake, source, table, day, ext=params.ext, sep=params.sep,
                    logs_db=logs_db)
 

@@ -112,3 +112,23 @@ def test_each_job_as_a_new_process_finds_earlier_tables(spark, lake, layout):
     counts = {t: spark.table(f"{logs}.{t}").count()
               for t in ("capture_api", "bronze_to_silver", "silver_to_gold")}
     assert counts == {"capture_api": 2, "bronze_to_silver": 2, "silver_to_gold": 1}
+
+
+def test_capture_with_declared_schema_matches_inference(spark, lake, layout):
+    base, silver_db, _ = layout
+    logs = fresh_name("logs")
+    src = ["--source", "venues_api", "--table", "venues", "--base", str(base),
+           "--lake", lake.root, "--logs-db", logs, "--records", str(base / "delivery"),
+           "--multi-line"]
+    silver = {}
+    for day, extra in (("20240108", []), ("20240109", ["--declared-schema"])):
+        assert main(["capture", "--day", day, *src, *extra], spark) == 0
+        header = spark.read.text(f"{lake.bronze('venues_api', 'venues')}/ingest_date={day}") \
+            .first().value.split(";")
+        if extra:
+            assert header == list(SCHEMA)  # declared columns only, declared order
+        else:
+            assert "unexpected" in header and "addr_2" not in header
+        assert main(["bronze_to_silver", "--day", day, *src], spark) == 0
+        silver[day] = sorted(tuple(r) for r in spark.table(f"{silver_db}.venues").collect())
+    assert silver["20240108"] == silver["20240109"] and len(silver["20240108"]) == 4

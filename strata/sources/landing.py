@@ -74,14 +74,25 @@ def flatten_nested(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def _line_breaks(df: DataFrame) -> Column:
-    """Rows with a line break in any text value (the only type that holds one)."""
+def _has_line_break(df: DataFrame) -> Column:
+    """Per row: a line break in any text value (the only type that holds one)."""
     texts = [F.col(f"`{f.name}`") for f in df.schema.fields
              if isinstance(f.dataType, StringType)]
     if not texts:
-        return F.lit(0).cast("bigint")
+        return F.lit(False)
     broken = reduce(Column.__or__, [c.contains("\n") | c.contains("\r") for c in texts])
-    return F.count_if(F.coalesce(broken, F.lit(False)))
+    return F.coalesce(broken, F.lit(False))
+
+
+def _clean_names(df: DataFrame) -> bool:
+    return not any("\n" in c or "\r" in c for c in df.columns)
+
+
+def _mark_single_line(spark: SparkSession, path: str) -> None:
+    """Put the marker into the folder ``path`` (never creates the folder)."""
+    fs, folder = filesystem(spark, path)
+    if fs.exists(folder):
+        fs.create(filesystem(spark, f"{path.rstrip('/')}/{SINGLE_LINE_MARKER}")[1], True).close()
 
 
 def is_single_line(spark: SparkSession, path: str) -> bool:
@@ -100,15 +111,13 @@ def land_csv(df: DataFrame, path: str, sep: str = ";", header: bool = True,
     """
     flat = flatten_nested(df)
     seen = Observation()
-    (flat.observe(seen, _line_breaks(flat).alias("line_breaks")).write.mode("overwrite")
+    (flat.observe(seen, F.count_if(_has_line_break(flat)).alias("line_breaks"))
+     .write.mode("overwrite")
      .options(**_csv_options(sep, header))
      .option("maxRecordsPerFile", str(max_records_per_file))
      .csv(path))
-    clean_names = not any("\n" in c or "\r" in c for c in flat.columns)
-    if clean_names and observed(seen).get("line_breaks") == 0:
-        spark = df.sparkSession
-        fs, marker = filesystem(spark, f"{path.rstrip('/')}/{SINGLE_LINE_MARKER}")
-        fs.create(marker, True).close()
+    if _clean_names(flat) and observed(seen).get("line_breaks") == 0:
+        _mark_single_line(df.sparkSession, path)
 
 
 def land_json(df: DataFrame, path: str,
@@ -183,24 +192,46 @@ def land_by_day(df: DataFrame, base: str, day_col: F.Column, ext: str = "json",
 
     Days come from ``day_col`` (formatted ``yyyyMMdd``). Rows are rebalanced by
     day first (AQE splits a day that holds most of the rows), so each day gets
-    a few full files instead of one small file per task. CSV days written here
-    carry no single-line marker and are read multi-line.
+    a few full files instead of one small file per task. For CSV the write
+    observes the days it wrote and the days with a line break (two sets, one
+    entry per day); each written day without one gets the single-line marker.
     """
-    out = df.withColumn(DAY_COLUMN, day_col).hint("rebalance", DAY_COLUMN)
+    if ext == "csv":
+        df = flatten_nested(df)
+    broken = _has_line_break(df)
+    out = df.withColumn(DAY_COLUMN, day_col)
+    seen = Observation()
+    if ext == "csv":
+        day = F.col(DAY_COLUMN)
+        out = out.observe(seen, F.collect_set(day).alias("days"),
+                          F.collect_set(F.when(broken, day)).alias("broken"))
+    out = out.hint("rebalance", DAY_COLUMN)
     writer = (out.write.mode("overwrite").partitionBy(DAY_COLUMN)
               .option("maxRecordsPerFile", str(max_records_per_file)))
     if ext == "json":
         writer.options(**TEXT_TIME_OPTIONS).option("ignoreNullFields", "true").json(base)
     elif ext == "csv":
         writer.options(**_csv_options(";", True)).csv(base)
+        metrics = observed(seen)
+        if _clean_names(df) and "days" in metrics:
+            for d in sorted(set(metrics["days"]) - set(metrics["broken"])):
+                _mark_single_line(df.sparkSession, day_dir(base, d))
     elif ext == "parquet":
         writer.parquet(base)
     else:
         raise ValueError(f"unsupported landing format {ext!r}")
 
 
+# Folder Spark writes rows with a NULL partition value to (not a day).
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 def landing_days(spark: SparkSession, base: str) -> list[str]:
-    """Days present under ``base`` (directory names only, no file listing)."""
+    """Days present under ``base`` (directory names only, no file listing).
+
+    Rows landed without a day sit in Spark's NULL-partition folder, which is
+    not a day and is left out (it would otherwise sort after every date).
+    """
     fs, hpath = filesystem(spark, base)
     if not fs.exists(hpath):
         return []
@@ -208,7 +239,7 @@ def landing_days(spark: SparkSession, base: str) -> list[str]:
     days = []
     for status in fs.listStatus(hpath):
         name = status.getPath().getName()
-        if status.isDirectory() and name.startswith(prefix):
+        if status.isDirectory() and name.startswith(prefix) and name != prefix + NULL_PARTITION:
             days.append(name[len(prefix):])
     return sorted(days)
 

@@ -195,3 +195,22 @@ def test_csv_round_trip_property(spark, lake, rows):
     # the line-by-line read is chosen exactly when no value holds a line break
     flat = not any(v and ("\n" in v or "\r" in v) for row in rows for v in row)
     assert is_single_line(spark, f"{base}/ingest_date=20240101") == flat
+
+
+def test_days_landed_together_are_marked_one_by_one(spark, lake):
+    base = lake.bronze("s", "by_day")
+    df = spark.createDataFrame(
+        [(1, "20240101", "plain"), (2, "20240101", "also plain"), (3, "20240102", "two\nlines"),
+         (4, "20240102", "x"), (5, "20240103", "y"), (6, None, "no day")],
+        "id INT, d STRING, txt STRING")
+    land_by_day(df.select("id", "txt", "d"), base, F.col("d"), ext="csv")
+    marked = {d: is_single_line(spark, f"{base}/ingest_date={d}")
+              for d in ("20240101", "20240102", "20240103")}
+    assert marked == {"20240101": True, "20240102": False, "20240103": True}
+    # the row without a day is kept, but its folder is not a day
+    assert landing_days(spark, base) == ["20240101", "20240102", "20240103"]
+    assert latest_day(spark, base) == "20240103"
+    for day, want in (("20240101", {1: "plain", 2: "also plain"}),
+                      ("20240102", {3: "two\nlines", 4: "x"})):
+        got = {int(r.id): r.txt for r in read_day(spark, base, day).collect()}
+        assert got == want

@@ -111,8 +111,12 @@ _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 # Without AQE, rows of one partition value are spread over this many shuffle
 # partitions by a hash of the whole row (deterministic, so a retried task sends
-# every row where the first attempt did).
+# every row where the first attempt did). The session setting below overrides
+# it: without runtime statistics a value's share is unknown, so size it for the
+# largest value expected (a value with a third of the day's volume gets a third
+# divided by the buckets per task), against more, smaller files for small values.
 SALT_BUCKETS = 32
+SALT_BUCKETS_CONF = "spark.strata.write.saltBuckets"
 
 
 def spread_by_partition(df: DataFrame, parts: Sequence[str]) -> DataFrame:
@@ -121,12 +125,14 @@ def spread_by_partition(df: DataFrame, parts: Sequence[str]) -> DataFrame:
     With AQE (Spark's default) this is a REBALANCE: output partitions are sized
     to ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` and a value holding
     many rows is split over several tasks. Without AQE a hash of the row salts
-    each partition value over ``SALT_BUCKETS`` shuffle partitions.
+    each partition value over ``SALT_BUCKETS`` shuffle partitions (session
+    setting ``spark.strata.write.saltBuckets``).
     """
     spark = df.sparkSession
     if spark.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true":
         return df.hint("rebalance", *parts)
-    salt = F.pmod(F.xxhash64(*[F.col(quote(c)) for c in df.columns]), F.lit(SALT_BUCKETS))
+    buckets = int(spark.conf.get(SALT_BUCKETS_CONF, str(SALT_BUCKETS)))
+    salt = F.pmod(F.xxhash64(*[F.col(quote(c)) for c in df.columns]), F.lit(buckets))
     return df.repartition(*[F.col(quote(p)) for p in parts], salt)
 
 

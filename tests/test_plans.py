@@ -74,3 +74,17 @@ def test_partitioned_write_is_salted_without_aqe(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "hashpartitioning(o_orderstatus" in plan and "xxhash64" in plan
+
+
+def test_salt_buckets_follow_the_session_setting(spark):
+    from strata.operators.tables import SALT_BUCKETS_CONF, spread_by_partition
+
+    df = Q._t(spark, SF, "orders")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set(SALT_BUCKETS_CONF, "500")
+    try:
+        plan = plan_text(spread_by_partition(df, ["o_orderstatus"]))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset(SALT_BUCKETS_CONF)
+    assert ", 500)" in plan and "xxhash64" in plan

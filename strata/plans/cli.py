@@ -4,7 +4,7 @@
 
     python -m strata capture          --base DIR --source S --table T --records PATH
                                       [--records-format json|csv|parquet] [--multi-line]
-                                      [--declared-schema]
+                                      [--declared-schema] [--balance]
     python -m strata bronze_to_silver --base DIR --source S --table T
     python -m strata silver_to_gold   --base DIR --table T [--source silver] [--sql-name N]
     python -m strata data_quality     --base DIR --table T [--stop-job]
@@ -56,6 +56,8 @@ def parser() -> argparse.ArgumentParser:
                     help="capture: JSON arrays / multi-line records")
     ap.add_argument("--declared-schema", action="store_true",
                     help="capture: read JSON with the declared columns (no inference pass)")
+    ap.add_argument("--balance", action="store_true",
+                    help="capture: spread the records over tasks before writing")
     ap.add_argument("--sql-name", default=None, help="silver_to_gold: query/gold/<name>.sql")
     ap.add_argument("--stop-job", action="store_true", default=None,
                     help="data_quality: fail the run when a check fails")
@@ -75,7 +77,8 @@ def run(args: argparse.Namespace, spark: SparkSession) -> int:
             raise SystemExit("capture: --records is required")
         path = capture_from_files(spark, lake, args.base, args.source, args.table, day,
                                   args.records, args.records_format, args.multi_line,
-                                  logs_db=args.logs_db, declared_only=args.declared_schema)
+                                  logs_db=args.logs_db, declared_only=args.declared_schema,
+                                  balance=args.balance)
         print(path)
     elif args.job == "bronze_to_silver":
         silver_from_files(spark, lake, args.base, args.source, args.table, day,

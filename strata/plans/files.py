@@ -54,7 +54,7 @@ def read_records(spark: SparkSession, path: str, fmt: str = "json",
 def capture_from_files(spark: SparkSession, lake: Lake, base: str | Path, source: str,
                        table: str, day: str, records_path: str, records_format: str = "json",
                        multi_line: bool = False, logs_db: str = "logs",
-                       declared_only: bool = False) -> str:
+                       declared_only: bool = False, balance: bool = False) -> str:
     """Land delivered records as the bronze files of ``day``.
 
     The landing format and separator come from ``params/{source}/{table}.json``
@@ -66,7 +66,7 @@ def capture_from_files(spark: SparkSession, lake: Lake, base: str | Path, source
     schema = landing_read_schema(params.require_schema()) if declared_only else None
     records = read_records(spark, records_path, records_format, multi_line, schema)
     return capture(spark, records, lake, source, table, day, ext=params.ext, sep=params.sep,
-                   logs_db=logs_db)
+                   logs_db=logs_db, balance=balance)
 
 
 def silver_from_files(spark: SparkSession, lake: Lake, base: str | Path, source: str,

@@ -34,8 +34,12 @@ JOB_DATA_QUALITY = "data_quality"
 
 def capture(spark: SparkSession, records: DataFrame, lake: Lake, source: str, table: str,
             day: str, ext: str = "csv", sep: str = ";", logs_db: str = "logs",
-            max_records_per_file: int | None = None) -> str:
-    """Land ``records`` as the bronze files of ``day``; returns the directory."""
+            max_records_per_file: int | None = None, balance: bool = False) -> str:
+    """Land ``records`` as the bronze files of ``day``; returns the directory.
+
+    ``balance`` spreads the records over tasks before writing (one shuffle),
+    for deliveries that arrive in few or uneven partitions.
+    """
     with RunLedger(spark, lake, JOB_CAPTURE, table, source, database=logs_db) as log:
         with log.step("load_" + ext):
             kwargs = {} if max_records_per_file is None else {
@@ -43,7 +47,7 @@ def capture(spark: SparkSession, records: DataFrame, lake: Lake, source: str, ta
             seen = Observation("capture")
             counted = records.observe(seen, F.count(F.lit(1)).alias("rows"))
             path = land_day(counted, lake.bronze(source, table), day, ext=ext, sep=sep,
-                            **kwargs)
+                            balance=balance, **kwargs)
         log.info("path", path)
         log.info("rows", observed(seen).get("rows", 0))
         return path

@@ -168,11 +168,31 @@ def read_landing(spark: SparkSession, path: str, ext: str = "csv", sep: str = ";
     raise ValueError(f"unsupported landing format {ext!r}; use one of {SUPPORTED_FORMATS}")
 
 
+def balanced(df: DataFrame) -> DataFrame:
+    """``df`` with its rows spread evenly over tasks (one shuffle).
+
+    Landing is map-only: each input task writes its own rows, so a delivery
+    that arrives in few or uneven partitions (a large unsplittable file) is
+    written by few tasks. This rebalances by a hash of the row's scalar values
+    (deterministic: a retried task sends every row where the first attempt
+    did) and lets AQE size the partitions.
+    """
+    keys = [f.name for f in df.schema.fields
+            if not isinstance(f.dataType, (ArrayType, MapType, StructType))]
+    return df.hint("rebalance", *keys)
+
+
 def land_day(df: DataFrame, base: str, day: str, ext: str = "csv", sep: str = ";",
              header: bool = True,
-             max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE) -> str:
-    """Land ``df`` as the files of one day under ``base``; returns the directory."""
+             max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE,
+             balance: bool = False) -> str:
+    """Land ``df`` as the files of one day under ``base``; returns the directory.
+
+    ``balance`` spreads the rows over tasks first (``balanced``).
+    """
     target = day_dir(base, day)
+    if balance:
+        df = balanced(df)
     if ext == "csv":
         land_csv(df, target, sep=sep, header=header,
                  max_records_per_file=max_records_per_file)

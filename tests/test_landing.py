@@ -214,3 +214,27 @@ def test_days_landed_together_are_marked_one_by_one(spark, lake):
                       ("20240102", {3: "two\nlines", 4: "x"})):
         got = {int(r.id): r.txt for r in read_day(spark, base, day).collect()}
         assert got == want
+
+
+def test_balanced_landing_spreads_one_input_partition(spark, lake):
+    from strata.sources.landing import balanced
+
+    df = spark.range(50_000).selectExpr("id", "concat('r', CAST(id AS STRING)) AS s",
+                                        "array(id) AS xs").coalesce(1)
+    from strata.plans.inspect import plan_text
+
+    plan = plan_text(balanced(df))
+    keys = plan.split("REBALANCE_PARTITIONS_BY_COL")[0].rsplit("hashpartitioning(", 1)[1]
+    assert keys.startswith("id#") and "s#" in keys and "xs#" not in keys
+    base = lake.bronze("s", "balance")
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        land_day(df, base, "20240101")
+        land_day(df, base, "20240102", balance=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    plain = read_day(spark, base, "20240101")
+    spread = read_day(spark, base, "20240102")
+    assert len(plain.inputFiles()) == 1 and len(spread.inputFiles()) > 1
+    assert sorted(map(tuple, spread.collect())) == sorted(map(tuple, plain.collect()))

@@ -130,6 +130,10 @@ ORACLES: dict[str, str] = {
     "bronze_latest_day": """
         SELECT event_id, ts, user_id, event_type, value, props FROM events
         WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)""",
+    "bronze_backfill_days": """
+        SELECT event_id, ts, user_id, event_type, value, props,
+               strftime(ts, '%Y%m%d') AS ingest_date
+        FROM events""",
     "silver_schema_cast": f"""
         SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
                TRY_CAST(regexp_replace(o_orderpriority, {_q(_INT_FRACTION)}, '') AS INTEGER)

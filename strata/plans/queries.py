@@ -23,7 +23,8 @@ from ..operators.quality import gate, run_suite
 from ..operators.silver import cast_losses, conform
 from ..params import GoldParams, IngestParams, ParamError, QualityParams
 from ..session import fresh_name
-from ..sources.landing import land_by_day, land_day, latest_day, read_day
+from ..sources.landing import (land_by_day, land_day, landing_days, latest_day, read_day,
+                               read_days)
 from .jobs import bronze_to_silver, capture, silver_to_gold
 
 DAY = "20240101"
@@ -47,6 +48,9 @@ LINEITEM_SCHEMA = (("l_orderkey", "BIGINT"), ("l_partkey", "BIGINT"), ("l_suppke
                    ("l_shipdate", "TIMESTAMP_NTZ"))
 EVENTS_JSON_SCHEMA = ("event_id BIGINT, ts STRING, user_id BIGINT, event_type STRING, "
                       "value DOUBLE, props STRING")
+EVENTS_SCHEMA = (("event_id", "BIGINT"), ("ts", "TIMESTAMP_NTZ"), ("user_id", "BIGINT"),
+                 ("event_type", "STRING"), ("value", "DOUBLE"), ("props", "STRING"),
+                 ("ingest_date", "STRING"))
 
 # Quality frames: defects injected by expression, the same text in Spark SQL
 # and in the oracle (the given tables hold no NULLs).
@@ -187,6 +191,16 @@ def bronze_latest_day(spark, sf_dir):
     return _events_typed(read_day(spark, base, day, ext="json", schema=EVENTS_JSON_SCHEMA))
 
 
+def bronze_backfill_days(spark, sf_dir):
+    # a backfill: every day of the events landed at once as CSV, one folder per
+    # day (each marked single-line when it can be), then all days read back
+    # together with their day and bound to the declared types
+    lake = Lake.fresh(spark, "bronze_backfill_days")
+    base = lake.bronze("app", "events")
+    land_by_day(_t(spark, sf_dir, "events"), base, F.date_format("ts", "yyyyMMdd"), ext="csv")
+    return conform(read_days(spark, base, landing_days(spark, base)), EVENTS_SCHEMA)
+
+
 # --------------------------------------------------------------------------
 # silver
 
@@ -487,6 +501,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_csv_roundtrip": bronze_csv_roundtrip,
     "ingest_json_landing": ingest_json_landing,
     "bronze_latest_day": bronze_latest_day,
+    "bronze_backfill_days": bronze_backfill_days,
     "silver_schema_cast": silver_schema_cast,
     "silver_cast_loss": silver_cast_loss,
     "silver_missing_columns": silver_missing_columns,

@@ -88,3 +88,13 @@ def test_salt_buckets_follow_the_session_setting(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset(SALT_BUCKETS_CONF)
     assert ", 500)" in plan and "xxhash64" in plan
+
+
+def test_backfilled_days_are_each_read_line_by_line(spark):
+    from strata.sources.landing import is_single_line
+
+    df = Q.bronze_backfill_days(spark, SF)
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    assert len(folders) == 30
+    assert all(is_single_line(spark, d) for d in folders)
+    assert df.count() == Q._t(spark, SF, "events").count()

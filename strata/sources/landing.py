@@ -101,6 +101,14 @@ def is_single_line(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def single_line_days(spark: SparkSession, base: str) -> set[str]:
+    """Days under ``base`` carrying the single-line marker (one glob listing)."""
+    fs, pattern = filesystem(spark, f"{base.rstrip('/')}/{DAY_COLUMN}=*/{SINGLE_LINE_MARKER}")
+    found = fs.globStatus(pattern) or []
+    prefix = f"{DAY_COLUMN}="
+    return {st.getPath().getParent().getName()[len(prefix):] for st in found}
+
+
 def land_csv(df: DataFrame, path: str, sep: str = ";", header: bool = True,
              max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE) -> None:
     """Write ``df`` as delimited text into ``path`` (replacing a re-run).
@@ -295,7 +303,7 @@ def read_days(spark: SparkSession, base: str, days: list[str], ext: str = "csv",
     reader = spark.read.option("basePath", base.rstrip("/")).option(
         "recursiveFileLookup", "false")
     if ext == "csv":
-        multi_line = not all(is_single_line(spark, p) for p in paths)
+        multi_line = not set(days) <= single_line_days(spark, base)
         reader = reader.options(**_csv_options(sep, header, multi_line))
         df = reader.csv(paths)
     elif ext == "json":

@@ -207,6 +207,9 @@ def test_days_landed_together_are_marked_one_by_one(spark, lake):
     marked = {d: is_single_line(spark, f"{base}/ingest_date={d}")
               for d in ("20240101", "20240102", "20240103")}
     assert marked == {"20240101": True, "20240102": False, "20240103": True}
+    from strata.sources.landing import single_line_days
+    assert single_line_days(spark, base) == {"20240101", "20240103"}
+    assert single_line_days(spark, base + "/missing") == set()
     # the row without a day is kept, but its folder is not a day
     assert landing_days(spark, base) == ["20240101", "20240102", "20240103"]
     assert latest_day(spark, base) == "20240103"

@@ -32,6 +32,7 @@ class PipelineSpec:
     quality_sql: str | None = None
     quality: QualityParams | None = None
     logs_db: str = "logs"
+    balance: bool = False  # spread the records over tasks before landing
 
 
 @dataclass
@@ -44,7 +45,7 @@ class PipelineResult:
 def run_pipeline(spark: SparkSession, lake: Lake, records: DataFrame,
                  spec: PipelineSpec) -> PipelineResult:
     capture(spark, records, lake, spec.source, spec.table, spec.day, ext=spec.ingest.ext,
-            sep=spec.ingest.sep, logs_db=spec.logs_db)
+            sep=spec.ingest.sep, logs_db=spec.logs_db, balance=spec.balance)
     silver = bronze_to_silver(spark, lake, spec.source, spec.table, spec.day, spec.ingest,
                               logs_db=spec.logs_db)
     report = None

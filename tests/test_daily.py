@@ -30,13 +30,16 @@ def test_gate_failure_stops_before_gold(spark, lake):
     assert spark.table(f"{logs}.quality_results").count() == 1
 
 
-def test_passing_run_writes_every_layer(spark, lake):
+@pytest.mark.parametrize("balance", [False, True])
+def test_passing_run_writes_every_layer(spark, lake, balance):
     rows = spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (3, "c", "x")],
                                  "id BIGINT, name STRING, grp STRING")
     db, gold_db, logs = fresh_name("s"), fresh_name("g"), fresh_name("l")
     suite = {"quality_params": {"not_null": {"column": "name"}, "unique_vals": {"column": "id"}},
              "stop_job": True}
-    result = run_pipeline(spark, lake, rows, _spec(db, gold_db, logs, suite))
+    spec = _spec(db, gold_db, logs, suite)
+    spec.balance = balance
+    result = run_pipeline(spark, lake, rows, spec)
     assert sorted(tuple(r) for r in result.golds[f"{gold_db}.per_group"].collect()) == [
         ("x", 2), ("y", 1)]
     assert all(r.success for r in result.quality_report.collect())

@@ -63,3 +63,25 @@ def subdirectories(spark: SparkSession, path: str) -> list[str]:
         return []
     names = [st.getPath().getName() for st in fs.listStatus(hpath) if st.isDirectory()]
     return sorted(n for n in names if not n.startswith(("_", ".")))
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file (metadata) from the driver, replacing it."""
+    fs, hpath = filesystem(spark, path)
+    out = fs.create(hpath, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file (metadata) read on the driver; None when missing."""
+    fs, hpath = filesystem(spark, path)
+    if not fs.exists(hpath):
+        return None
+    stream = fs.open(hpath)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

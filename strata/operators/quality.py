@@ -39,6 +39,7 @@ from pyspark.sql.types import (ByteType, DataType, DecimalType, DoubleType, Floa
                                IntegerType, LongType, ShortType)
 
 from ..functions.strftime import mask_columns, mask_valid, plan_mask
+from ..functions.names import quote
 from ..params import ParamError, QualityParams
 
 # Fixed texts of the report, as the original report shows them.
@@ -161,7 +162,7 @@ def _typed_bound(text: str, dtype: DataType, check: Check) -> Column:
 def _resolve(df: DataFrame, column: str) -> tuple[Column, DataType]:
     for f in df.schema.fields:
         if f.name.lower() == column.lower():
-            return F.col(f"`{f.name}`"), f.dataType
+            return F.col(quote(f.name)), f.dataType
     raise ParamError(f"column {column!r} is not in the checked frame "
                      f"(columns: {', '.join(df.columns)})")
 

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.casts import lenient_cast, lost_in_cast
+from ..functions.names import column
 
 
 def _index(df: DataFrame) -> dict[str, str]:
@@ -26,7 +27,7 @@ def _index(df: DataFrame) -> dict[str, str]:
 
 
 def _ref(name: str) -> Column:
-    return F.col(f"`{name}`")
+    return column(name)
 
 
 def partition_last(names: Sequence[str], partition_column: str | None) -> list[str]:

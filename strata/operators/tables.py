@@ -17,6 +17,7 @@ once when missing, from a declared schema (silver) or from a result schema
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Sequence
 from contextlib import contextmanager
 
@@ -25,13 +26,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.names import quote
+from ..lake import read_text, write_text
 from .silver import partition_last
 
 
-def quote(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def qualified(table: str) -> str:
     return ".".join(quote(p) for p in table.split("."))
 
@@ -84,9 +83,23 @@ def ensure_table(spark: SparkSession, table: str, columns: Sequence[tuple[str, s
         return False
     spark.sql(create_table_sql(table, columns, partition_column, location, compression))
     _PARTITIONS[(id(spark), table.lower())] = [partition_column] if partition_column else []
+    write_text(spark, definition_path(location), json.dumps({
+        "columns": [list(c) for c in columns], "partition_column": partition_column,
+        "compression": compression}))
     return True
 
 
+def definition_path(location: str) -> str:
+    """Where the definition of the table at ``location`` is kept.
+
+    Next to the table folder, in its database folder (``_tables/<name>.json``):
+    an overwrite of the table replaces its folder's contents, not this file,
+    and names starting with ``_`` are not taken for tables or data.
+    """
+    parent, name = location.rstrip("/").rsplit("/", 1)
+    return f"{parent}/_tables/{name}.json"
+
+
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
     key = (id(spark), table.lower())
     if key not in _PARTITIONS:
@@ -108,6 +121,7 @@ def align_to_table(df: DataFrame, target: StructType) -> DataFrame:
 
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+_PARTITION_TYPE_INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
 
 # Without AQE, rows of one partition value are spread over this many shuffle
 # partitions by a hash of the whole row (deterministic, so a retried task sends
@@ -130,7 +144,7 @@ def spread_by_partition(df: DataFrame, parts: Sequence[str]) -> DataFrame:
     """
     spark = df.sparkSession
     if spark.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true":
-        return df.hint("rebalance", *parts)
+        return df.hint("rebalance", *[F.col(quote(p)) for p in parts])
     buckets = int(spark.conf.get(SALT_BUCKETS_CONF, str(SALT_BUCKETS)))
     salt = F.pmod(F.xxhash64(*[F.col(quote(c)) for c in df.columns]), F.lit(buckets))
     return df.repartition(*[F.col(quote(p)) for p in parts], salt)
@@ -187,11 +201,13 @@ def register_tables(spark: SparkSession, lake) -> list[str]:
 
     With a catalog that does not outlive its session (Spark's in-memory one),
     each job run as a process of its own starts with no tables. Every folder
-    ``{layer}/{database}/{table}`` holding Parquet files becomes an external
-    table again: schema from the files, partition columns from the folder
-    names, partitions recovered. Folders without data files are skipped (the
-    next write creates them from its declared schema). Returns the names
-    registered. Metadata only: listing, footers, no data pass.
+    ``{layer}/{database}/{table}`` becomes an external table again, with the
+    definition recorded when it was created (exact column and partition
+    types), then its partitions are recovered. A folder without a recorded
+    definition takes its schema from the Parquet files and keeps partition
+    values as text (no type guessing: ``007`` stays ``007``); one without data
+    files either is skipped. Returns the names registered. Metadata only:
+    listing, footers, no data pass.
     """
     made = []
     for database, table, folder in lake.table_folders(spark):
@@ -199,11 +215,19 @@ def register_tables(spark: SparkSession, lake) -> list[str]:
         ensure_database(spark, database, folder.rstrip("/").rsplit("/", 1)[0])
         if spark.catalog.tableExists(name):
             continue
-        loc = folder.replace("'", "\\'")
-        try:
-            spark.sql(f"CREATE TABLE {qualified(name)} USING parquet LOCATION '{loc}'")
-        except AnalysisException:  # no data file to take a schema from
-            continue
+        recorded = read_text(spark, definition_path(folder))
+        if recorded is not None:
+            d = json.loads(recorded)
+            spark.sql(create_table_sql(name, [tuple(c) for c in d["columns"]],
+                                       d.get("partition_column"), folder,
+                                       d.get("compression")))
+        else:
+            loc = folder.replace("'", "\\'")
+            try:
+                with _session_conf(spark, _PARTITION_TYPE_INFERENCE, "false"):
+                    spark.sql(f"CREATE TABLE {qualified(name)} USING parquet LOCATION '{loc}'")
+            except AnalysisException:  # no data file to take a schema from
+                continue
         if partition_columns(spark, name):
             spark.sql(f"ALTER TABLE {qualified(name)} RECOVER PARTITIONS")
         made.append(name)

@@ -12,6 +12,8 @@ from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
 
+from .functions.names import quote
+
 SUPPORTED_FORMATS = ("csv", "json", "parquet")
 WRITE_MODES = ("overwrite", "append")
 
@@ -146,7 +148,7 @@ def landing_read_schema(schema: tuple[tuple[str, str], ...]) -> str:
     for name, type_name in schema:
         t = type_name.strip().lower()
         nested = t.startswith(("array", "map", "struct"))
-        parts.append(f"`{name}` {type_name if nested else 'STRING'}")
+        parts.append(f"{quote(name)} {type_name if nested else 'STRING'}")
     return ", ".join(parts)
 
 

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType, StructType
 
 from ..functions.metrics import observed
+from ..functions.names import column
 from ..lake import filesystem
 from ..params import SUPPORTED_FORMATS
 
@@ -68,15 +69,15 @@ def flatten_nested(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (ArrayType, MapType, StructType)):
-            cols.append(F.to_json(F.col(f"`{f.name}`")).alias(f.name))
+            cols.append(F.to_json(column(f.name)).alias(f.name))
         else:
-            cols.append(F.col(f"`{f.name}`"))
+            cols.append(column(f.name))
     return df.select(*cols)
 
 
 def _has_line_break(df: DataFrame) -> Column:
     """Per row: a line break in any text value (the only type that holds one)."""
-    texts = [F.col(f"`{f.name}`") for f in df.schema.fields
+    texts = [column(f.name) for f in df.schema.fields
              if isinstance(f.dataType, StringType)]
     if not texts:
         return F.lit(False)
@@ -185,7 +186,7 @@ def balanced(df: DataFrame) -> DataFrame:
     (deterministic: a retried task sends every row where the first attempt
     did) and lets AQE size the partitions.
     """
-    keys = [f.name for f in df.schema.fields
+    keys = [column(f.name) for f in df.schema.fields
             if not isinstance(f.dataType, (ArrayType, MapType, StructType))]
     return df.hint("rebalance", *keys)
 

@@ -77,7 +77,8 @@ def _forget_tables(spark, *databases):
     # (the tables are external: dropping them keeps their files)
     for db in databases:
         for t in spark.catalog.listTables(db):
-            spark.sql(f"DROP TABLE `{db}`.`{t.name}`")
+            if not t.isTemporary:  # session temp views are listed too
+                spark.sql(f"DROP TABLE `{db}`.`{t.name}`")
 
 
 def test_each_job_as_a_new_process_finds_earlier_tables(spark, lake, layout):

@@ -241,3 +241,11 @@ def test_balanced_landing_spreads_one_input_partition(spark, lake):
     spread = read_day(spark, base, "20240102")
     assert len(plain.inputFiles()) == 1 and len(spread.inputFiles()) > 1
     assert sorted(map(tuple, spread.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_balanced_landing_with_dotted_names(spark, lake):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "`user.id` INT, `a``b` STRING")
+    base = lake.bronze("s", "dotted")
+    land_day(df, base, "20240101", balance=True)
+    got = sorted((r[0], r[1]) for r in read_day(spark, base, "20240101").collect())
+    assert got == [("1", "a"), ("2", "b")]

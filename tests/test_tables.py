@@ -163,3 +163,49 @@ def test_hot_partition_value_is_written_by_several_tasks(spark, lake, aqe):
         assert len(alone) >= 5
         assert all(len(_files_of(spark, t, k)) == 1 for k in alone)
     assert _rows(spark, t) == sorted(tuple(r) for r in df.collect())
+
+
+def _forget(spark, table):
+    spark.sql(f"DROP TABLE {table}")  # external: the files stay
+
+
+def test_registered_again_with_the_recorded_types(spark, lake):
+    from strata.operators.tables import register_tables
+
+    db = fresh_name("reg")
+    text_t, int_t = f"{db}.codes", f"{db}.counts"
+    ensure_table(spark, text_t, [("v", "INT"), ("p", "STRING")], "p",
+                 lake.location("silver", db, "codes"))
+    ensure_table(spark, int_t, [("v", "STRING"), ("k", "INT")], "k",
+                 lake.location("gold", db, "counts"))
+    write_by_name(spark.createDataFrame([(1, "007"), (2, "20240101"), (3, None)],
+                                        "v INT, p STRING"), text_t)
+    write_by_name(spark.createDataFrame([("a", 5), ("b", 7)], "v STRING, k INT"), int_t)
+    before = {t: (spark.table(t).schema, _rows(spark, t)) for t in (text_t, int_t)}
+    _forget(spark, text_t)
+    _forget(spark, int_t)
+    assert sorted(register_tables(spark, lake)) == sorted([text_t, int_t])
+    assert {t: (spark.table(t).schema, _rows(spark, t)) for t in (text_t, int_t)} == before
+    # a later overwrite of '007' replaces that partition; it is not written as 7
+    write_by_name(spark.createDataFrame([(9, "007")], "v INT, p STRING"), text_t)
+    assert _rows(spark, text_t) == [(2, "20240101"), (3, None), (9, "007")]
+    assert register_tables(spark, lake) == []  # nothing missing any more
+
+
+def test_unrecorded_folder_keeps_partition_values_as_text(spark, lake):
+    from strata.operators.tables import register_tables
+
+    db = fresh_name("raw")
+    folder = lake.location("silver", db, "landed")
+    spark.createDataFrame([(1, "007"), (2, "010")], "v INT, p STRING") \
+        .write.partitionBy("p").parquet(folder)
+    assert register_tables(spark, lake) == [f"{db}.landed"]
+    t = spark.table(f"{db}.landed")
+    assert dict(t.dtypes)["p"] == "string"
+    assert sorted(tuple(r) for r in t.collect()) == [(1, "007"), (2, "010")]
+
+
+def test_dotted_partition_column_name(spark, lake):
+    t = _table(spark, lake, [("v", "INT"), ("p.x", "STRING")], "p.x")
+    write_by_name(spark.createDataFrame([(1, "a"), (2, "b")], "v INT, `p.x` STRING"), t)
+    assert _rows(spark, t) == [(1, "a"), (2, "b")]

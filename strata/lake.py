@@ -11,6 +11,8 @@ from .session import run_root, storage_root
 
 # Layers whose folders hold catalog tables (bronze holds landed files).
 TABLE_LAYERS = ("silver", "gold", "logs")
+# Folder, in a database folder, of the definitions of its tables.
+DEFINITIONS = "_tables"
 
 
 @dataclass(frozen=True)
@@ -41,7 +43,12 @@ class Lake:
         out = []
         for layer in layers:
             for schema in subdirectories(spark, f"{self.root}/{layer}"):
-                for table in subdirectories(spark, f"{self.root}/{layer}/{schema}"):
+                db = f"{self.root}/{layer}/{schema}"
+                # tables with rows have a folder; a created table still without
+                # rows is known from its recorded definition only
+                defined = [n[:-len(".json")] for n in file_names(spark, f"{db}/{DEFINITIONS}")
+                           if n.endswith(".json")]
+                for table in sorted(set(subdirectories(spark, db)) | set(defined)):
                     out.append((schema, table, self.location(layer, schema, table)))
         return out
 
@@ -65,6 +72,25 @@ def subdirectories(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in names if not n.startswith(("_", ".")))
 
 
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly under ``path`` (none when it is missing)."""
+    fs, hpath = filesystem(spark, path)
+    if not fs.exists(hpath):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(hpath) if st.isFile())
+
+
+def definition_path(location: str) -> str:
+    """Where the definition of the table at ``location`` is kept.
+
+    Next to the table folder, in its database folder (``_tables/<name>.json``):
+    an overwrite of the table replaces its folder's contents, not this file,
+    and names starting with ``_`` are not taken for tables or data.
+    """
+    parent, name = location.rstrip("/").rsplit("/", 1)
+    return f"{parent}/{DEFINITIONS}/{name}.json"
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small text file (metadata) from the driver, replacing it."""
     fs, hpath = filesystem(spark, path)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.names import quote
-from ..lake import read_text, write_text
+from ..lake import definition_path, filesystem, read_text, write_text
 from .silver import partition_last
 
 
@@ -89,17 +89,6 @@ def ensure_table(spark: SparkSession, table: str, columns: Sequence[tuple[str, s
     return True
 
 
-def definition_path(location: str) -> str:
-    """Where the definition of the table at ``location`` is kept.
-
-    Next to the table folder, in its database folder (``_tables/<name>.json``):
-    an overwrite of the table replaces its folder's contents, not this file,
-    and names starting with ``_`` are not taken for tables or data.
-    """
-    parent, name = location.rstrip("/").rsplit("/", 1)
-    return f"{parent}/_tables/{name}.json"
-
-
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
     key = (id(spark), table.lower())
     if key not in _PARTITIONS:
@@ -228,7 +217,8 @@ def register_tables(spark: SparkSession, lake) -> list[str]:
                     spark.sql(f"CREATE TABLE {qualified(name)} USING parquet LOCATION '{loc}'")
             except AnalysisException:  # no data file to take a schema from
                 continue
-        if partition_columns(spark, name):
+        fs, path = filesystem(spark, folder)
+        if partition_columns(spark, name) and fs.exists(path):  # no folder: no rows yet
             spark.sql(f"ALTER TABLE {qualified(name)} RECOVER PARTITIONS")
         made.append(name)
     return made

@@ -209,3 +209,16 @@ def test_dotted_partition_column_name(spark, lake):
     t = _table(spark, lake, [("v", "INT"), ("p.x", "STRING")], "p.x")
     write_by_name(spark.createDataFrame([(1, "a"), (2, "b")], "v INT, `p.x` STRING"), t)
     assert _rows(spark, t) == [(1, "a"), (2, "b")]
+
+
+def test_created_table_without_rows_is_registered_from_its_definition(spark, lake):
+    from strata.operators.tables import register_tables
+
+    db = fresh_name("empty")
+    t = f"{db}.later"
+    ensure_table(spark, t, [("v", "DECIMAL(10,2)"), ("d", "DATE"), ("p", "STRING")], "p",
+                 lake.location("gold", db, "later"))
+    schema = spark.table(t).schema
+    _forget(spark, t)
+    assert register_tables(spark, lake) == [t]
+    assert spark.table(t).schema == schema and spark.table(t).count() == 0

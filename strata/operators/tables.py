@@ -80,13 +80,33 @@ def ensure_table(spark: SparkSession, table: str, columns: Sequence[tuple[str, s
         # the database folder sits next to its tables, under the lake root
         ensure_database(spark, database, location.rstrip("/").rsplit("/", 1)[0])
     if spark.catalog.tableExists(table):
+        if read_text(spark, definition_path(location)) is None:
+            # a table made elsewhere (a metastore, an older run): record it as
+            # the catalog has it, so a later registration keeps its types
+            parts = partition_columns(spark, table)
+            _record(spark, location, columns_of(spark.table(table).schema),
+                    parts[0] if parts else None, compression)
         return False
     spark.sql(create_table_sql(table, columns, partition_column, location, compression))
     _PARTITIONS[(id(spark), table.lower())] = [partition_column] if partition_column else []
+    _record(spark, location, columns, partition_column, compression)
+    return True
+
+
+def _record(spark: SparkSession, location: str, columns: Sequence[tuple[str, str]],
+            partition_column: str | None, compression: str | None) -> None:
+    """Keep the table's definition and make its folder.
+
+    The folder exists from creation on, also before any row is written, so a
+    missing folder means the table was removed: its definition is then not
+    used again (``register_tables`` only looks at existing folders), and the
+    next creation replaces it.
+    """
     write_text(spark, definition_path(location), json.dumps({
         "columns": [list(c) for c in columns], "partition_column": partition_column,
         "compression": compression}))
-    return True
+    fs, folder = filesystem(spark, location)
+    fs.mkdirs(folder)
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
@@ -193,10 +213,13 @@ def register_tables(spark: SparkSession, lake) -> list[str]:
     ``{layer}/{database}/{table}`` becomes an external table again, with the
     definition recorded when it was created (exact column and partition
     types), then its partitions are recovered. A folder without a recorded
-    definition takes its schema from the Parquet files and keeps partition
-    values as text (no type guessing: ``007`` stays ``007``); one without data
-    files either is skipped. Returns the names registered. Metadata only:
-    listing, footers, no data pass.
+    definition (written before definitions were kept, and never seen by a
+    catalog since) takes its schema from the Parquet files and keeps partition
+    values as text: no type guessing, so ``007`` stays ``007`` at the price of
+    a numeric partition column reading as text; one without data files either
+    is skipped. A definition whose folder is gone (a removed table) is not
+    used. Returns the names registered. Metadata only: listing, footers, no
+    data pass.
     """
     made = []
     for database, table, folder in lake.table_folders(spark):
@@ -217,8 +240,7 @@ def register_tables(spark: SparkSession, lake) -> list[str]:
                     spark.sql(f"CREATE TABLE {qualified(name)} USING parquet LOCATION '{loc}'")
             except AnalysisException:  # no data file to take a schema from
                 continue
-        fs, path = filesystem(spark, folder)
-        if partition_columns(spark, name) and fs.exists(path):  # no folder: no rows yet
+        if partition_columns(spark, name):
             spark.sql(f"ALTER TABLE {qualified(name)} RECOVER PARTITIONS")
         made.append(name)
     return made

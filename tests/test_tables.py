@@ -222,3 +222,36 @@ def test_created_table_without_rows_is_registered_from_its_definition(spark, lak
     _forget(spark, t)
     assert register_tables(spark, lake) == [t]
     assert spark.table(t).schema == schema and spark.table(t).count() == 0
+
+
+def test_definition_without_folder_is_not_registered(spark, lake):
+    import json
+
+    from strata.lake import definition_path, write_text
+    from strata.operators.tables import register_tables
+
+    db = fresh_name("gone")
+    ensure_table(spark, f"{db}.kept", [("v", "INT")], None, lake.location("silver", db, "kept"))
+    # a removed table: its definition is left, its folder is not
+    write_text(spark, definition_path(lake.location("silver", db, "removed")),
+               json.dumps({"columns": [["v", "INT"]], "partition_column": None}))
+    _forget(spark, f"{db}.kept")
+    assert register_tables(spark, lake) == [f"{db}.kept"]
+    assert not spark.catalog.tableExists(f"{db}.removed")
+
+
+def test_table_made_elsewhere_gets_its_definition_recorded(spark, lake):
+    from strata.operators.tables import register_tables
+
+    db = fresh_name("meta")
+    loc = lake.location("silver", db, "made")
+    spark.sql(f"CREATE DATABASE {db}")
+    spark.sql(f"CREATE TABLE {db}.made (v STRING, k INT) USING parquet PARTITIONED BY (k) "
+              f"LOCATION '{loc}'")
+    write_by_name(spark.createDataFrame([("a", 7), ("b", 10)], "v STRING, k INT"), f"{db}.made")
+    # the next job's ensure_table finds the table and records what the catalog has
+    assert not ensure_table(spark, f"{db}.made", [("v", "STRING"), ("k", "INT")], "k", loc)
+    _forget(spark, f"{db}.made")
+    assert register_tables(spark, lake) == [f"{db}.made"]
+    assert dict(spark.table(f"{db}.made").dtypes)["k"] == "int"
+    assert _rows(spark, f"{db}.made") == [("a", 7), ("b", 10)]

@@ -80,19 +80,28 @@ def ensure_table(spark: SparkSession, table: str, columns: Sequence[tuple[str, s
         # the database folder sits next to its tables, under the lake root
         ensure_database(spark, database, location.rstrip("/").rsplit("/", 1)[0])
     if spark.catalog.tableExists(table):
-        if read_text(spark, definition_path(location)) is None:
-            # a table made elsewhere (a metastore, an older run): record it as
-            # the catalog has it, so a later registration keeps its types
-            parts = partition_columns(spark, table)
-            _record(spark, location, columns_of(spark.table(table).schema),
-                    parts[0] if parts else None, compression)
+        key = (id(spark), location)
+        if key not in _RECORDED:
+            fs, path = filesystem(spark, definition_path(location))
+            if not fs.exists(path):
+                # a table made elsewhere (a metastore, an older run): record it
+                # as the catalog has it, so a later registration keeps its types
+                parts = partition_columns(spark, table)
+                _record(spark, location, columns_of(spark.table(table).schema),
+                        parts[0] if parts else None, compression)
+            _RECORDED.add(key)
         return False
     spark.sql(create_table_sql(table, columns, partition_column, location, compression))
     _PARTITIONS[(id(spark), table.lower())] = [partition_column] if partition_column else []
     _record(spark, location, columns, partition_column, compression)
+    _RECORDED.add((id(spark), location))
     return True
 
 
+# (session, table folder) pairs whose definition is known to be recorded.
+_RECORDED: set[tuple[int, str]] = set()
+
+
 def _record(spark: SparkSession, location: str, columns: Sequence[tuple[str, str]],
             partition_column: str | None, compression: str | None) -> None:
     """Keep the table's definition and make its folder.

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,6 +38,10 @@ from .pieces import ids_to_bytes, library_encoder
 PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long, "
           "part int, nth long")
 
+#: Planned each way, since a plan costs a fraction of a second; the fewest sequences win.
+GROUPS = (256, 512, 1024)
+SMALL_SHARES = (0.125, 0.2, 0.25, 0.3)
+
 
 @dataclass(frozen=True)
 class Run:
@@ -158,6 +162,14 @@ def plan_packing(counts: dict[int, int], capacity: int, small: int,
     return packer.runs, packer.sequences
 
 
+def best_plan(counts: dict[int, int], capacity: int, groups: Iterable[int],
+              small_shares: Iterable[float]) -> tuple[list[Run], int]:
+    """The plan with the fewest sequences among some group counts and thresholds."""
+    plans = (plan_packing(counts, capacity, int(capacity * share), g)
+             for g in groups for share in small_shares)
+    return min(plans, key=lambda plan: plan[1])
+
+
 def _substitute(packer: _Packer, open_runs: list[tuple[int, int, int]],
                 members: list[list[int]]) -> list[tuple[int, int, int]]:
     """One actual piece of a group into each sequence of the runs."""
@@ -210,8 +222,9 @@ def cut_pieces(df: DataFrame, id_col: str, text_col: str, capacity: int, tokeniz
 
 
 def pack_documents(df: DataFrame, id_col: str, text_col: str, capacity: int = 2048,
-                   tokenizer: str = "byte_bpe_50k.json", end_id: int = 0, groups: int = 64,
-                   small_share: float = 0.125) -> DataFrame:
+                   tokenizer: str = "byte_bpe_50k.json", end_id: int = 0,
+                   groups: tuple[int, ...] = GROUPS,
+                   small_shares: tuple[float, ...] = SMALL_SHARES) -> DataFrame:
     """Pack whole texts into sequences of at most ``capacity`` tokens.
 
     Returns per piece: doc_id, piece, start, length, ids_crc32, sequence_id,
@@ -226,7 +239,7 @@ def pack_documents(df: DataFrame, id_col: str, text_col: str, capacity: int = 20
     per_task = materialize(per_task, "piece-counts")
     counts = {r.length: r.n
               for r in per_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    runs, _ = plan_packing(counts, capacity, int(capacity * small_share), groups)
+    runs, _ = best_plan(counts, capacity, groups, small_shares)
     plan = np.array(sorted((r.length, r.first, r.seq, r.offset) for r in runs),
                     np.int64).reshape(-1, 4)
     shared = spark.sparkContext.broadcast(plan)

@@ -1,29 +1,56 @@
-"""Corpus preparation: the stages that turn documents into packed sequences."""
+"""Corpus preparation: the stages that turn documents into packed sequences.
+
+``STAGES`` lists (name, function); every function takes (spark, docs, sf_dir),
+works on all rows its predecessor kept and returns a DataFrame. All but the
+last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.llm import packing
+from strata.llm import packing, quality, simhash, toxicity
 from strata.llm.common import materialize, table
+from strata.llm.queries import (MAX_BITS, SHINGLE, THRESHOLD, quality_model, toxicity_model)
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Best-fit packing of everything kept; returns the placed pieces."""
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity operator rejects go."""
+    model = toxicity_model(spark, docs, sf_dir)
+    return docs.where(toxicity.toxicity_score(spark, model, F.col("text")) < THRESHOLD)
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    model = quality_model(spark, docs, sf_dir)
+    return docs.where(quality.quality_score(spark, model, F.col("text")) >= THRESHOLD)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays: the smallest doc_id."""
+    return simhash.keep_one_each(docs, "doc_id", "text", SHINGLE, MAX_BITS)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Everything kept, packed into sequences; returns the placed pieces."""
     return packing.pack_documents(docs, "doc_id", "text")
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("best-fit packing", pack_stage),
+    ("toxicity", drop_toxic),
+    ("quality classifier", keep_good),
+    ("SimHash near-dedup", drop_near_duplicates),
+    ("best-fit packing", pack),
 ]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order; each stage's rows are written and read again."""
+    """All stages in order on documents; each stage's rows are written and read again."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")

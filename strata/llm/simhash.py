@@ -117,15 +117,21 @@ def _verified(a: np.ndarray, b: np.ndarray, fps: np.ndarray, table: np.ndarray,
     return a[near], b[near]
 
 
-def _join_labels(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-    """Give both ends of every pair the smaller label until nothing changes."""
-    while len(a):
-        low = np.minimum(labels[a], labels[b])
-        if (labels[a] == low).all() and (labels[b] == low).all():
-            return
-        for end in (labels[a], labels[b], a, b):
-            np.minimum.at(labels, end, low)
-        labels[:] = labels[labels]
+def _join_labels(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Labels after joining the classes of every pair; the smallest label stays.
+
+    Labels are members' indexes and point to themselves, before and after.
+    """
+    a, b = labels[a], labels[b]
+    root = np.arange(len(labels))
+    while True:
+        low = np.minimum(root[a], root[b])
+        if (root[a] == low).all() and (root[b] == low).all():
+            return root[labels]
+        np.minimum.at(root, a, low)
+        np.minimum.at(root, b, low)
+        while (root != root[root]).any():
+            root = root[root]
 
 
 def _link_large(fps: np.ndarray, max_bits: int) -> np.ndarray:
@@ -147,7 +153,7 @@ def _link_large(fps: np.ndarray, max_bits: int) -> np.ndarray:
             near &= np.abs(rows[:, k, None] - table[None, at:until, k]) <= max_bits
         a, b = np.nonzero(near)
         a, b = a[a < b] + at, b[a < b] + at
-        _join_labels(labels, *_verified(a, b, fps, table, max_bits))
+        labels = _join_labels(labels, *_verified(a, b, fps, table, max_bits))
     out = np.empty(len(fps), np.int64)
     out[order] = order[labels]
     return out

@@ -8,8 +8,9 @@ logistic of
     w0 + sum_i w_i + sum_{i<j} <v_i, v_j>      over the text's terms,
 
 so a pair of terms can weigh more (or less) than its parts: an insult next to a
-group name, say. Linear weights are shrunk to zero by an L1 step, so a long
-text does not collect noise from its many harmless terms.
+group name, say. Terms whose presence does not depend on the label (likelihood
+ratio below ``MIN_RATIO``) have no weight, and linear weights are shrunk to zero
+by an L1 step, so a long text collects no noise from its many harmless terms.
 
 The machine is fitted on a bounded sample of labelled rows (``positives`` and
 ``negatives``, the smallest hashes of the id per class); scoring covers every
@@ -23,6 +24,7 @@ columns do not matter.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -41,8 +43,10 @@ HASH_BITS = 22
 STEMS = (3, 4, 5)
 #: A term in fewer texts of the sample than this gets no weight.
 MIN_TEXTS = 4
-#: Words whose terms a worker remembers.
-CACHE_WORDS = 400_000
+#: Likelihood-ratio statistic of a term and the label, from which it is used.
+MIN_RATIO = 14.0
+#: Tokens whose terms a worker remembers.
+CACHE_TOKENS = 400_000
 
 _WORDS = re.compile(r"[^\W\d_]+")
 
@@ -57,37 +61,64 @@ def terms(word: str) -> list[int]:
     return [zlib.crc32(p.encode()) & ((1 << HASH_BITS) - 1) for p in parts]
 
 
+class _TermRows(dict):
+    """Rows of the machine's terms per white-space token, made on first use."""
+
+    def __init__(self, ids: np.ndarray):
+        super().__init__()
+        self.row_of = {int(t): k for k, t in enumerate(ids)}
+
+    def __missing__(self, token: str) -> tuple[int, ...]:
+        known = {self.row_of.get(t) for w in words(token) for t in terms(w)}
+        rows = tuple(known - {None})
+        if len(self) < CACHE_TOKENS:
+            self[token] = rows
+        return rows
+
+
 @dataclass
 class FactorizationMachine:
-    """Weights of the terms that have any: ``ids`` sorted, ``w`` and ``v`` by row."""
+    """Weights of the terms that have any: row k of ``w`` and ``v`` for ``ids[k]``."""
 
     base: float
     ids: np.ndarray
     w: np.ndarray
     v: np.ndarray
-    _rows: dict[str, tuple[int, ...]] = field(default_factory=dict, repr=False)
-
-    def _known(self, word: str) -> tuple[int, ...]:
-        rows = self._rows.get(word)
-        if rows is None:
-            hashed = np.array(terms(word))
-            at = np.searchsorted(self.ids, hashed)
-            at[at == len(self.ids)] = 0
-            rows = tuple(at[self.ids[at] == hashed].tolist()) if len(self.ids) else ()
-            if len(self._rows) < CACHE_WORDS:
-                self._rows[word] = rows
-        return rows
+    _rows: _TermRows | None = field(default=None, repr=False)
 
     def score(self, text: str | None) -> float:
-        rows = list(set().union(*map(self._known, words(text))))
-        v = self.v[rows]
-        pairs = 0.5 * float((v.sum(axis=0) ** 2).sum() - (v ** 2).sum())
-        logit = self.base + float(self.w[rows].sum()) + pairs
-        return 1.0 / (1.0 + np.exp(-np.clip(logit, -30, 30)))
+        if self._rows is None:
+            self._rows = _TermRows(self.ids)
+        tokens = set((text or "").lower().split())
+        rows = list(set().union(*filter(None, map(self._rows.__getitem__, tokens))))
+        logit = self.base
+        if rows:
+            v = self.v[rows]
+            logit += self.w[rows].sum() + 0.5 * ((v.sum(axis=0) ** 2).sum() - (v ** 2).sum())
+        return 1.0 / (1.0 + math.exp(-min(max(logit, -30.0), 30.0)))
+
+
+def label_ratio(rows: list[np.ndarray], label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Terms of at least ``MIN_TEXTS`` texts and their likelihood ratio with the label."""
+    ids, texts = np.unique(np.concatenate(rows), return_counts=True)
+    ids, texts = ids[texts >= MIN_TEXTS], texts[texts >= MIN_TEXTS].astype(float)
+    of_ones = np.concatenate([r for r, y in zip(rows, label, strict=True) if y])
+    at = np.searchsorted(ids, of_ones)
+    at = at[ids[np.minimum(at, len(ids) - 1)] == of_ones] if len(ids) else at[:0]
+    ones = np.bincount(at, minlength=len(ids)).astype(float)
+    share = label.mean()
+
+    def part(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
+        return seen * np.log(np.maximum(seen, 1e-12) / np.maximum(expected, 1e-12))
 
+    absent_ones, absent = label.sum() - ones, len(label) - texts
+    return ids, 2 * (part(ones, texts * share) + part(texts - ones, texts * (1 - share))
+                     + part(absent_ones, absent * share)
+                     + part(absent - absent_ones, absent * (1 - share)))
 
-def fit(rows: list[np.ndarray], label: np.ndarray, factors: int = 4, epochs: int = 5,
-        rate: float = 0.1, shrink: float = 0.0015, decay: float = 0.002, batch: int = 64,
+
+def fit(rows: list[np.ndarray], label: np.ndarray, factors: int = 4, epochs: int = 20,
+        rate: float = 0.2, shrink: float = 0.0003, decay: float = 0.002, batch: int = 64,
         seed: int = 7) -> FactorizationMachine:
     """Adaptive-gradient fit on rows of hashed terms and labels 0/1.
 
@@ -97,8 +128,8 @@ def fit(rows: list[np.ndarray], label: np.ndarray, factors: int = 4, epochs: int
     empty = FactorizationMachine(base, np.zeros(0, np.int64), np.zeros(0), np.zeros((0, factors)))
     if not len(label) or label.min() == label.max():
         return empty
-    ids, texts = np.unique(np.concatenate(rows), return_counts=True)
-    ids = ids[texts >= MIN_TEXTS]
+    ids, ratio = label_ratio(rows, label)
+    ids = ids[ratio >= MIN_RATIO]
     if not len(ids):
         return empty
     at = [np.searchsorted(ids, r) for r in rows]
@@ -132,8 +163,7 @@ def fit(rows: list[np.ndarray], label: np.ndarray, factors: int = 4, epochs: int
             v[own] = (v[own] - 0.5 * rate / np.sqrt(v_sum[own]) * gv) * (1 - decay)
             base_sum += g.sum() ** 2
             base -= rate / np.sqrt(base_sum) * g.sum()
-    kept = np.abs(w) > 1e-4
-    return FactorizationMachine(float(base), ids[kept], w[kept], v[kept])
+    return FactorizationMachine(float(base), ids, w, v)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,

@@ -117,8 +117,8 @@ def label_ratio(rows: list[np.ndarray], label: np.ndarray) -> tuple[np.ndarray,
                      + part(absent - absent_ones, absent * (1 - share)))
 
 
-def fit(rows: list[np.ndarray], label: np.ndarray, factors: int = 4, epochs: int = 20,
-        rate: float = 0.2, shrink: float = 0.0003, decay: float = 0.002, batch: int = 64,
+def fit(rows: list[np.ndarray], label: np.ndarray, factors: int = 4, epochs: int = 10,
+        rate: float = 0.1, shrink: float = 0.0001, decay: float = 0.0005, batch: int = 64,
         seed: int = 7) -> FactorizationMachine:
     """Adaptive-gradient fit on rows of hashed terms and labels 0/1.
 

@@ -1,5 +1,90 @@
-"""DuckDB SQL of the operators' queries where SQL can state the result."""
+"""DuckDB SQL of the operators' queries where SQL can state the result.
+
+The models, fingerprints, packings and token ids are checked against
+brute-force versions in the tests instead.
+"""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from . import licenses
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+EXACT_TOPK = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding,
+           lambda x: floor(1024 * CAST(x AS DOUBLE))) AS a
+  FROM embeddings
+  WHERE len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.a, c.a) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 100 = 0
+), r AS (
+  SELECT query_id, vec_id, score,
+         CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER)
+           AS rank
+  FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+WARC = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body FROM pages
+), d AS (
+  SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, sha1(body) AS hex,
+         min(page_id) OVER (PARTITION BY body) AS first_id
+  FROM p
+)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr(
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + CAST((CAST('0x' || substr(hex, CAST(i // 4 * 5 + 1 AS INTEGER), 5) AS INTEGER)
+                   >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31 AS INTEGER), 1)), '')
+         AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM d
+"""
+
+
+def _canonical(text: str) -> str:
+    out = f"regexp_replace(lower({text}), {_quoted(licenses.COPYRIGHT_LINE)}, '', 'g')"
+    for pattern, new in licenses.SPELLINGS:
+        new = new.replace("$", "\\")
+        out = f"regexp_replace({out}, {_quoted(pattern)}, {_quoted(new)}, 'g')"
+    return f"trim(regexp_replace({out}, {_quoted(licenses.NO_WORD)}, ' ', 'g'))"
+
+
+def _license_scan() -> str:
+    known = ", ".join(f"({_quoted(k)}, {_quoted(t)})" for k, t in licenses.known_texts())
+    return f"""
+WITH known AS (
+  SELECT sha256({_canonical('body')}) AS digest, min(license) AS license
+  FROM (VALUES {known}) AS k(license, body) GROUP BY 1
+), units AS (
+  SELECT doc_id, 0 AS line_no, coalesce(text, '') AS unit FROM documents
+  UNION ALL
+  SELECT doc_id, unnest(generate_series(1, len(string_split(text, chr(10))))) AS line_no,
+         unnest(string_split(text, chr(10))) AS unit
+  FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)
+), hashed AS (
+  SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, sha256({_canonical('unit')}) AS digest
+  FROM units
+)
+SELECT doc_id, line_no, hashed.digest, license
+FROM hashed LEFT JOIN known ON hashed.digest = known.digest
+WHERE line_no = 0 OR license IS NOT NULL
+"""
+
+
+ORACLES: dict[str, str] = {
+    "op3_exact_topk": EXACT_TOPK,
+    "op4_license_scan": _license_scan(),
+    "op10_warc": WARC,
+}

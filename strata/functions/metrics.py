@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import Observation
 
 
 def observed(observation: Observation) -> dict:
-    """Metrics of a finished action; empty when no task ran (no input rows)."""
+    """Metrics of a finished action; empty when they are not known.
+
+    A plan without partitions runs no task and leaves no metrics row; callers
+    must record that as unknown, not as zero.
+    """
     try:
         return dict(observation.get)
-    except Exception:  # the metrics row is absent when the plan had no partitions
+    except (PySparkException, Py4JError, IndexError, TypeError):
         return {}

@@ -78,6 +78,12 @@ def definition_path(location: str) -> str:
     return f"{parent}/{DEFINITIONS}/{name}.json"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder this run made for itself."""
+    fs, hpath = filesystem(spark, path)
+    fs.delete(hpath, True)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small text file (metadata) from the driver, replacing it."""
     fs, hpath = filesystem(spark, path)

@@ -108,7 +108,8 @@ class RunLedger:
         ensure_table(self.spark, self.table,
                      [(f.name, f.dataType.simpleString()) for f in LEDGER_SCHEMA.fields],
                      None, self.lake.location("logs", self.database, self.job_name))
-        df = self.spark.createDataFrame([self.row()], LEDGER_SCHEMA)
+        # one row, one task: the default parallelism would start a task per core
+        df = self.spark.createDataFrame([self.row()], LEDGER_SCHEMA).coalesce(1)
         write_by_name(df, self.table, mode="append")
 
     def __enter__(self) -> "RunLedger":

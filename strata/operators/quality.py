@@ -30,6 +30,7 @@ one row; ``enforce`` raises when the gate fails.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import ROUND_CEILING, ROUND_FLOOR, Decimal, InvalidOperation, localcontext
 from functools import reduce
 from typing import Any
 
@@ -142,21 +143,48 @@ def expand(params: QualityParams | dict) -> list[Check]:
     return checks
 
 
-def _int_bound(text: str, check: Check) -> int:
+def _number(text: str, check: Check) -> Decimal:
     try:
-        return int(float(text))
-    except ValueError as exc:
+        return Decimal(text.strip())
+    except InvalidOperation as exc:
         raise ParamError(f"{check.name} on {check.column}: bound {text!r} is not a number") from exc
 
 
-def _typed_bound(text: str, dtype: DataType, check: Check) -> Column:
-    if isinstance(dtype, _NUMERIC):
-        try:
-            float(text)
-        except ValueError as exc:
-            raise ParamError(
-                f"{check.name} on {check.column}: bound {text!r} is not a number") from exc
-    return F.lit(text).cast(dtype)
+def _int_bound(text: str, check: Check) -> int:
+    number = _number(text, check)
+    if not number.is_finite() or number != number.to_integral_value():
+        raise ParamError(f"{check.name} on {check.column}: bound {text!r} is not a whole number")
+    return int(number)
+
+
+def _between(c: Column, dtype: DataType, check: Check) -> Column:
+    """Whether a value lies within the bounds, whatever type they would need.
+
+    For exact types the bounds are moved inwards to the nearest value the type's
+    scale can hold, which changes no answer, and cut to just outside its range.
+    """
+    lo, hi = check.arg("min"), check.arg("max")
+    if not isinstance(dtype, _NUMERIC):
+        return c.between(F.lit(lo).cast(dtype), F.lit(hi).cast(dtype))
+    low, high = _number(lo, check), _number(hi, check)
+    if low.is_nan() or high.is_nan():
+        raise ParamError(f"{check.name} on {check.column}: a bound is not a number")
+    if isinstance(dtype, (FloatType, DoubleType)):
+        return c.between(F.lit(float(low)).cast(dtype), F.lit(float(high)).cast(dtype))
+    scale = dtype.scale if isinstance(dtype, DecimalType) else 0
+    digits = dtype.precision if isinstance(dtype, DecimalType) else 19
+    unit, most = Decimal(1).scaleb(-scale), 10 ** digits
+    with localcontext() as exact:
+        exact.prec = 200
+        units = [n * 10 ** scale if n.is_finite() else Decimal(2 * most).copy_sign(n)
+                 for n in (low, high)]
+        first = units[0].to_integral_value(ROUND_CEILING)
+        last = units[1].to_integral_value(ROUND_FLOOR)
+        if first > last or first >= most or last <= -most:
+            return F.lit(False)
+        low, high = max(first, 1 - most) * unit, min(last, most - 1) * unit
+    wide = DecimalType(digits, scale)
+    return c.cast(wide).between(*(F.lit(f"{n:f}").cast(wide) for n in (low, high)))
 
 
 def _resolve(df: DataFrame, column: str) -> tuple[Column, DataType]:
@@ -190,9 +218,7 @@ def _row_level_counts(df: DataFrame, check: Check) -> tuple[Column, Column]:
         hi = _int_bound(check.arg("max"), check)
         return F.count(c), F.count_if(~F.length(c).between(lo, hi))
     if check.name == "values_btw":
-        lo = _typed_bound(check.arg("min"), dtype, check)
-        hi = _typed_bound(check.arg("max"), dtype, check)
-        return F.count(c), F.count_if(~c.between(lo, hi))
+        return F.count(c), F.count_if(c.isNotNull() & ~_between(c, dtype, check))
     if check.name == "value_match_regex":
         return F.count(c), F.count_if(~c.rlike(check.arg("regex")))
     raise ParamError(f"not a row-level check: {check.name}")
@@ -336,14 +362,14 @@ def _unique_report(df: DataFrame, checks: list[Check]) -> DataFrame:
 
 
 def run_suite(df: DataFrame, params: QualityParams | dict | list[Check],
-              materialize: bool = False) -> DataFrame:
+              materialize_to: str | None = None) -> DataFrame:
     """Evaluate a suite over ``df``; returns the report DataFrame (lazy).
 
     A suite with unique checks and row-level checks reads ``df`` twice (one
     branch each). For a table scan that is the cheapest plan. When ``df`` is
-    expensive to compute (joins, aggregates), ``materialize=True`` computes it
-    once into the session's checkpoint directory (a reliable checkpoint on
-    shared storage, which also survives the loss of executors).
+    expensive to compute (joins, aggregates), it is computed once into the
+    folder ``materialize_to`` on shared storage; the caller removes the folder
+    when the report has been used.
     """
     checks = params if isinstance(params, list) else expand(params)
     if not checks:
@@ -353,8 +379,9 @@ def run_suite(df: DataFrame, params: QualityParams | dict | list[Check],
             _resolve(df, check.column)
     unique = [c for c in checks if c.name == "unique_vals"]
     row_level = [c for c in checks if c.name != "unique_vals"]
-    if materialize and unique and row_level:
-        df = df.checkpoint(eager=True)
+    if materialize_to and unique and row_level:
+        df.write.mode("overwrite").parquet(materialize_to)
+        df = df.sparkSession.read.schema(df.schema).parquet(materialize_to)
     parts = []
     if row_level:
         parts.append(_row_level_report(df, row_level))

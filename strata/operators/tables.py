@@ -18,7 +18,7 @@ once when missing, from a declared schema (silver) or from a result schema
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
@@ -214,9 +214,14 @@ def list_tables(spark: SparkSession, databases: Iterable[str]) -> list[tuple[str
     return out
 
 
-def register_tables(spark: SparkSession, lake) -> list[str]:
+def register_tables(spark: SparkSession, lake,
+                    needed: Callable[[str, str], bool] = lambda database, table: True,
+                    ) -> list[str]:
     """Catalog entries for the lake's table folders that the catalog lacks.
 
+    ``needed(database, table)`` tells which of them the job can touch; the
+    others cost no more than the listing.
+
     With a catalog that does not outlive its session (Spark's in-memory one),
     each job run as a process of its own starts with no tables. Every folder
     ``{layer}/{database}/{table}`` becomes an external table again, with the
@@ -233,6 +238,8 @@ def register_tables(spark: SparkSession, lake) -> list[str]:
     made = []
     for database, table, folder in lake.table_folders(spark):
         name = f"{database}.{table}"
+        if not needed(database, table):
+            continue
         ensure_database(spark, database, folder.rstrip("/").rsplit("/", 1)[0])
         if spark.catalog.tableExists(name):
             continue

@@ -12,7 +12,10 @@ from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
 
+from pyspark.sql import SparkSession
+
 from .functions.names import quote
+from .lake import read_text
 
 SUPPORTED_FORMATS = ("csv", "json", "parquet")
 WRITE_MODES = ("overwrite", "append")
@@ -22,6 +25,13 @@ class ParamError(ValueError):
     """A parameter file that cannot drive a job."""
 
 
+def _flag(value: Any) -> bool | None:
+    """A true/false parameter, also as text; None when it is absent."""
+    if isinstance(value, str):
+        return value.strip().lower() in ("true", "1", "yes")
+    return None if value is None else bool(value)
+
+
 def _mode(value: str) -> str:
     mode = str(value).lower()
     if mode not in WRITE_MODES:
@@ -41,7 +51,7 @@ class IngestParams:
     ext: str = "csv"
     sep: str = ";"
     header: bool = True
-    multi_line: bool = False
+    multi_line: bool | None = None  # None: as the landing marked it (CSV), lines (JSON)
     compression: str | None = None
     url: str | None = None
 
@@ -75,9 +85,6 @@ class IngestParams:
         schema = d.get("schema") or {}
         if not isinstance(schema, dict):
             raise ParamError("'schema' must be an object {column: type}")
-        header = d.get("header", True)
-        if isinstance(header, str):
-            header = header.strip().lower() in ("true", "1", "yes")
         return cls(
             target_schema=d["target_schema"],
             target_table=d["target_table"],
@@ -86,8 +93,8 @@ class IngestParams:
             mode=_mode(d.get("mode", "overwrite")),
             ext=str(d.get("ext", "csv")).lower(),
             sep=d.get("sep", ";"),
-            header=bool(header),
-            multi_line=bool(d.get("multi_line", d.get("multiline", False))),
+            header=_flag(d.get("header", True)) is not False,
+            multi_line=_flag(d.get("multi_line", d.get("multiline"))),
             compression=d.get("compression"),
             url=d.get("url"),
         )
@@ -152,17 +159,23 @@ def landing_read_schema(schema: tuple[tuple[str, str], ...]) -> str:
     return ", ".join(parts)
 
 
-def load_json(path: str | Path) -> dict[str, Any]:
-    with open(path, "r", encoding="utf-8") as fh:
-        return json.load(fh)
+def _read(spark: SparkSession, path: str) -> str:
+    text = read_text(spark, path)
+    if text is None:
+        raise FileNotFoundError(path)
+    return text
+
+
+def load_json(spark: SparkSession, path: str) -> dict[str, Any]:
+    """A parameter file, from any file system the session reads."""
+    return json.loads(_read(spark, path))
 
 
-def params_path(base: str | Path, source: str, table: str) -> Path:
+def params_path(base: str | Path, source: str, table: str) -> str:
     """``params/{source}/{table}.json`` under a base folder."""
-    return Path(base) / "params" / source / f"{table}.json"
+    return f"{str(base).rstrip('/')}/params/{source}/{table}.json"
 
 
-def read_sql_text(base: str | Path, layer: str, name: str) -> str:
+def read_sql_text(spark: SparkSession, base: str | Path, layer: str, name: str) -> str:
     """``query/{layer}/{name}.sql`` under a base folder (layer: gold | quality)."""
-    path = Path(base) / "query" / layer / f"{name}.sql"
-    return path.read_text(encoding="utf-8")
+    return _read(spark, f"{str(base).rstrip('/')}/query/{layer}/{name}.sql")

@@ -16,14 +16,15 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.metrics import observed
-from ..lake import Lake
+from ..lake import Lake, remove_folder
 from ..operators.gold import build_gold, gold_frame
 from ..operators.ledger import RunLedger
 from ..operators.quality import enforce, run_suite
 from ..operators.silver import bind_positionally, conform_observed
 from ..operators.tables import ensure_table, write_by_name
-from ..params import GoldParams, IngestParams, QualityParams, landing_read_schema
-from ..sources.landing import land_day, read_day
+from ..params import (GoldParams, IngestParams, ParamError, QualityParams,
+                      landing_read_schema)
+from ..sources.landing import DAY_COLUMN, land_day, read_day
 
 # Job names, which are also the names of their ledger tables.
 JOB_CAPTURE = "capture_api"
@@ -34,11 +35,14 @@ JOB_DATA_QUALITY = "data_quality"
 
 def capture(spark: SparkSession, records: DataFrame, lake: Lake, source: str, table: str,
             day: str, ext: str = "csv", sep: str = ";", logs_db: str = "logs",
-            max_records_per_file: int | None = None, balance: bool = False) -> str:
+            max_records_per_file: int | None = None, balance: bool = False, header: bool = True,
+            malformed: DataFrame | None = None) -> str:
     """Land ``records`` as the bronze files of ``day``; returns the directory.
 
     ``balance`` spreads the records over tasks before writing (one shuffle),
-    for deliveries that arrive in few or uneven partitions.
+    for deliveries that arrive in few or uneven partitions. ``malformed`` holds
+    lines that are no records: they go to the ``_malformed`` folder of the day
+    and their number to the ledger.
     """
     with RunLedger(spark, lake, JOB_CAPTURE, table, source, database=logs_db) as log:
         with log.step("load_" + ext):
@@ -47,9 +51,14 @@ def capture(spark: SparkSession, records: DataFrame, lake: Lake, source: str, ta
             seen = Observation("capture")
             counted = records.observe(seen, F.count(F.lit(1)).alias("rows"))
             path = land_day(counted, lake.bronze(source, table), day, ext=ext, sep=sep,
-                            balance=balance, **kwargs)
+                            header=header, balance=balance, **kwargs)
         log.info("path", path)
-        log.info("rows", observed(seen).get("rows", 0))
+        log.info("rows", observed(seen).get("rows"))
+        if malformed is not None:
+            with log.step("load_malformed"):
+                bad = f"{lake.bronze(source, table)}/_malformed/{DAY_COLUMN}={day}"
+                malformed.write.mode("overwrite").text(bad)
+            log.info("malformed", spark.read.text(bad).count())
         return path
 
 
@@ -69,6 +78,13 @@ def bronze_to_silver(spark: SparkSession, lake: Lake, source: str, table: str, d
             schema = params.require_schema()
             if params.ext == "csv" and not params.header:
                 raw = bind_positionally(raw, schema)
+            have = {c.lower() for c in raw.columns}
+            missing = [name for name, _ in schema if name.lower() not in have]
+            if len(missing) == len(schema):
+                raise ParamError(f"{params.table}: the landed day has none of the declared "
+                                 f"columns (it has: {', '.join(raw.columns)})")
+            if missing:
+                log.info("missing_columns", ",".join(missing))
             seen = Observation("bronze_to_silver")
             typed = conform_observed(raw, schema, params.partition_column, seen)
         with log.step("create_table"):
@@ -79,7 +95,7 @@ def bronze_to_silver(spark: SparkSession, lake: Lake, source: str, table: str, d
             write_by_name(typed, params.table, mode=params.mode,
                           full_overwrite=full_overwrite)
         log.info("day", day)
-        metrics = observed(seen) or {"rows": 0}
+        metrics = observed(seen) or {"rows": None}
         for key, value in metrics.items():
             log.info(key, value)
         return spark.table(params.table)
@@ -113,16 +129,24 @@ def data_quality(spark: SparkSession, lake: Lake, table_name: str, sql_text: str
                    database=logs_db) as log:
         run_id = f"{table_name}-{log.start_exec.strftime('%Y%m%dT%H%M%S%f')}"
         with log.step("run_checks"):
-            report = run_suite(gold_frame(spark, sql_text), params, materialize=materialize)
+            scratch = f"{lake.root}/_runs/{run_id}" if materialize else None
+            report = run_suite(gold_frame(spark, sql_text), params, materialize_to=scratch)
             stamped = report.select(
                 F.lit(run_id).alias("run_id"), F.lit(table_name).alias("table_name"),
-                F.lit(log.start_exec).alias("checked_at"), "*")
+                F.lit(log.start_exec).alias("checked_at"), "*",
+                F.lit(log.date_ref).alias("run_date"))
             ensure_table(spark, results_table,
                          [(f.name, f.dataType.simpleString()) for f in stamped.schema.fields],
-                         None, lake.location("logs", *results_table.split(".", 1)))
-            write_by_name(stamped, results_table, mode="append")
-        stored = spark.table(results_table).where(F.col("run_id") == run_id)
+                         "run_date", lake.location("logs", *results_table.split(".", 1)))
+            try:
+                write_by_name(stamped, results_table, mode="append")
+            finally:
+                if scratch:
+                    remove_folder(spark, scratch)
+        # the day's partition only, however long the history is
+        stored = spark.table(results_table).where(
+            (F.col("run_date") == log.date_ref) & (F.col("run_id") == run_id))
         with log.step("gate"):
             passed = enforce(stored, stop_job=gated)
         log.info("passed", passed)
-        return stored.drop("run_id", "table_name", "checked_at")
+        return stored.drop("run_id", "table_name", "checked_at", "run_date")

@@ -9,6 +9,7 @@ created (and registered as the checkpoint dir) only when the session has none.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -69,19 +70,24 @@ def apply_conf(spark: SparkSession, conf: dict[str, str] = PIPELINE_CONF) -> Non
 def storage_root(spark: SparkSession) -> str:
     """Shared folder for tables and checkpoints of this session.
 
-    Uses ``spark.checkpoint.dir`` when the cluster names one. Only when it is
-    unset (local tests) a scratch folder is made and registered as the
-    checkpoint directory, so ``DataFrame.checkpoint()`` works too.
+    Uses ``spark.checkpoint.dir`` when the cluster names one, else the folder a
+    caller set with ``setCheckpointDir``. Only a local master without either
+    (tests) gets a scratch folder, registered as the checkpoint directory so
+    that ``DataFrame.checkpoint()`` works too; on a cluster a machine-local
+    folder would be invisible to the other machines, so that is an error.
     """
     root = spark.conf.get(_ROOT_KEY, None)
     if root:
         return root
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    shared = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if shared:
         root = shared.rstrip("/") + "/strata"
-    else:
+    elif re.match(r"local(\[|$)", sc.master):
         root = tempfile.mkdtemp(prefix="strata-")
-        spark.sparkContext.setCheckpointDir(root + "/_checkpoints")
+        sc.setCheckpointDir(root + "/_checkpoints")
+    else:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
     spark.conf.set(_ROOT_KEY, root)
     return root
 

@@ -6,9 +6,10 @@ that directory, so other days are not even listed.
 
 CSV is written and read with ``"`` as quote *and* escape and with multi-line
 records, so text with quotes, separators and newlines survives the round trip.
-A multi-line CSV file cannot be split between tasks; the writer therefore caps
+A multi-line CSV file cannot be split between tasks; the CSV writer can cap
 rows per file (``max_records_per_file``) so that parallelism on read comes from
-the number of files. Most days hold no line break in any value: the writer
+the number of files. JSON lines and Parquet split anyway and are never capped.
+Most days hold no line break in any value: the writer
 counts values with one during the same write and, when there are none, leaves
 a ``_SINGLE_LINE`` marker in the day's folder. Such a day is read line by line,
 and its files are split into byte ranges like any text file, whatever their
@@ -16,21 +17,27 @@ size. Folders without the marker (other producers, or any line break) are read
 multi-line. The marker speaks for the files landed with it: a re-landing of the
 day replaces both, and files added to the folder by any other writer are not
 covered by it. No schema is given to the CSV reader: with a header it would bind
-the schema by position and ignore the header names. Every column is read as
-text and bound by name later (``operators.silver``).
+the schema by position and ignore the header names. Spark takes the header of
+one file for all files of a read, so files with other headers would be bound by
+position: the landing therefore records the column names (``_HEADER``), and
+files are read in one group per header and united by name. Where no header was
+recorded (other producers) the first line of every file is read by Spark first.
+Every column is read as text and bound by name later (``operators.silver``).
 """
 
 from __future__ import annotations
 
+import csv
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StringType, StructType
+from pyspark.sql.types import ArrayType, DoubleType, MapType, StringType, StructType
 
 from ..functions.metrics import observed
 from ..functions.names import column
-from ..lake import filesystem
+from ..lake import filesystem, read_text, write_text
 from ..params import SUPPORTED_FORMATS
 
 DAY_COLUMN = "ingest_date"
@@ -38,6 +45,10 @@ DEFAULT_MAX_RECORDS_PER_FILE = 100_000
 # Marker file of a CSV folder whose values hold no line break (readers skip
 # names starting with "_").
 SINGLE_LINE_MARKER = "_SINGLE_LINE"
+# File with the column names of a landed CSV folder.
+HEADER_FILE = "_HEADER"
+# Spark reserves one column name for malformed text; no payload can hold this one.
+RESERVED_COLUMN = "\u0001malformed"
 
 # Text forms of timestamps in landed files. Spark's default writer forms stop
 # at milliseconds; these keep microseconds, and the readers use the same ones.
@@ -60,16 +71,34 @@ def _csv_options(sep: str, header: bool, multi_line: bool = True) -> dict[str, s
         "multiLine": str(bool(multi_line)).lower(),
         "ignoreLeadingWhiteSpace": "false",
         "ignoreTrailingWhiteSpace": "false",
+        "columnNameOfCorruptRecord": RESERVED_COLUMN,
         **TEXT_TIME_OPTIONS,
     }
 
 
+def plain_double(c: Column) -> Column:
+    """Text of a double without an exponent, digit for digit.
+
+    The shortest text of a double has at most 17 digits, so from 1e7 to 1e18
+    and from 1e-7 to 1e-3 a decimal holds all of them; beyond, the exponent
+    stays.
+    """
+    text, size = c.cast("string"), F.abs(c)
+    large = F.regexp_replace(text.try_cast("decimal(38,18)").cast("string"), "0+$", "")
+    small = F.regexp_replace(text.try_cast("decimal(38,24)").cast("string"), "0+$", "")
+    return (F.when((size >= 1e7) & (size < 1e18), F.regexp_replace(large, "[.]$", ".0"))
+            .when((size >= 1e-7) & (size < 1e-3), small).otherwise(text))
+
+
 def flatten_nested(df: DataFrame) -> DataFrame:
-    """Arrays, maps and structs become JSON text, for text formats."""
+    """Values as they are written to text: arrays, maps and structs become JSON,
+    doubles get plain notation."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (ArrayType, MapType, StructType)):
             cols.append(F.to_json(column(f.name)).alias(f.name))
+        elif isinstance(f.dataType, DoubleType):
+            cols.append(plain_double(column(f.name)).alias(f.name))
         else:
             cols.append(column(f.name))
     return df.select(*cols)
@@ -96,6 +125,46 @@ def _mark_single_line(spark: SparkSession, path: str) -> None:
         fs.create(filesystem(spark, f"{path.rstrip('/')}/{SINGLE_LINE_MARKER}")[1], True).close()
 
 
+def _write_header(spark: SparkSession, path: str, columns: list[str]) -> None:
+    """Record the column names of the CSV folder ``path`` (never creates it)."""
+    fs, folder = filesystem(spark, path)
+    if fs.exists(folder):
+        write_text(spark, f"{path.rstrip('/')}/{HEADER_FILE}", json.dumps(columns))
+
+
+def recorded_header(spark: SparkSession, path: str) -> list[str] | None:
+    """Column names recorded when ``path`` was landed; None for other producers."""
+    text = read_text(spark, f"{path.rstrip('/')}/{HEADER_FILE}")
+    return None if text is None else json.loads(text)
+
+
+def file_headers(spark: SparkSession, paths: list[str], sep: str) -> dict[str, list[str]]:
+    """File -> column names, from the first line of every CSV file.
+
+    One pass of text lines over the files, with one row per file coming back:
+    within a file's first block, lines arrive in order, so the first one kept
+    by the partial aggregate is the header.
+    """
+    lines = spark.read.text(paths).select("value", "_metadata.file_path",
+                                          F.col("_metadata.file_block_start").alias("start"))
+    first = lines.where("start = 0").groupBy("file_path").agg(F.first("value").alias("line"))
+    return {r.file_path: next(csv.reader([r.line.removeprefix("\ufeff")], delimiter=sep))
+            for r in first.collect()}
+
+
+def one_column_text(df: DataFrame) -> DataFrame:
+    """A frame of one column with NULL as empty text.
+
+    A NULL alone on a line would be written as nothing, and the row be lost; an
+    empty text is written as a pair of quotes. It is read back as NULL, as is
+    an empty text that was there.
+    """
+    if len(df.columns) != 1:
+        return df
+    return df.select(F.coalesce(column(df.columns[0]).cast("string"), F.lit(""))
+                     .alias(df.columns[0]))
+
+
 def is_single_line(spark: SparkSession, path: str) -> bool:
     """True when ``path`` was landed by ``land_csv`` without any line break."""
     fs, hpath = filesystem(spark, f"{path.rstrip('/')}/{SINGLE_LINE_MARKER}")
@@ -118,36 +187,82 @@ def land_csv(df: DataFrame, path: str, sep: str = ";", header: bool = True,
     (and no column name holds one) the folder gets the single-line marker. A
     retried task can only raise the count, so the marker is never wrong.
     """
-    flat = flatten_nested(df)
+    flat = one_column_text(flatten_nested(df))
     seen = Observation()
     (flat.observe(seen, F.count_if(_has_line_break(flat)).alias("line_breaks"))
      .write.mode("overwrite")
      .options(**_csv_options(sep, header))
      .option("maxRecordsPerFile", str(max_records_per_file))
      .csv(path))
+    if header:
+        _write_header(df.sparkSession, path, flat.columns)
     if _clean_names(flat) and observed(seen).get("line_breaks") == 0:
         _mark_single_line(df.sparkSession, path)
 
 
-def land_json(df: DataFrame, path: str,
-              max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE) -> None:
+def land_json(df: DataFrame, path: str) -> None:
     """Write ``df`` as JSON lines into ``path`` (replacing a re-run)."""
     (df.write.mode("overwrite")
      .options(**TEXT_TIME_OPTIONS)
-     .option("maxRecordsPerFile", str(max_records_per_file))
      .option("ignoreNullFields", "true")
      .json(path))
 
 
-def read_csv(spark: SparkSession, path: str, sep: str = ";",
-             header: bool = True) -> DataFrame:
+def _read_csv_group(spark: SparkSession, paths: list[str], sep: str, header: bool,
+                    multi_line: bool, base: str | None) -> DataFrame:
+    """CSV files of one header as one all-text frame."""
+    reader = spark.read.options(**_csv_options(sep, header, multi_line))
+    if base is not None:
+        reader = reader.option("basePath", base)
+    df = reader.csv(paths)
+    data = [c for c in df.columns if base is None or c != DAY_COLUMN]
+    if len(data) == 1:  # see one_column_text
+        df = df.withColumn(data[0], F.nullif(column(data[0]), F.lit("")))
+    return df
+
+
+def read_csv_folders(spark: SparkSession, folders: list[str], sep: str, header: bool,
+                     multi_line: bool | None, base: str | None = None) -> DataFrame:
+    """Landed CSV folders as one all-text frame, columns bound by name.
+
+    One read per distinct header and, unless ``multi_line`` is given, per way
+    of reading (folders with the single-line marker line by line); columns
+    missing from a group are NULL.
+    """
+    groups: dict[tuple[tuple[str, ...], bool], list[str]] = {}
+    foreign: dict[bool, list[str]] = {}
+    if base is None:
+        marked = {f for f in folders if is_single_line(spark, f)}
+    else:
+        marked = {day_dir(base, d) for d in single_line_days(spark, base)}
+    for folder in folders:
+        broken = folder not in marked if multi_line is None else multi_line
+        known = recorded_header(spark, folder) if header else []
+        if known is None:
+            foreign.setdefault(broken, []).append(folder)
+        else:
+            groups.setdefault((tuple(known), broken), []).append(folder)
+    for broken, paths in foreign.items():
+        for path, names in file_headers(spark, paths, sep).items():
+            groups.setdefault((tuple(names), broken), []).append(path)
+    if not groups:  # folders without a file
+        groups[(), True] = folders
+    frames = [_read_csv_group(spark, paths, sep, header, broken, base)
+              for (_, broken), paths in groups.items()]
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    if base is not None:  # the day comes last, as in a read of one group
+        df = df.select(*[column(c) for c in df.columns if c != DAY_COLUMN], column(DAY_COLUMN))
+    return df
+
+
+def read_csv(spark: SparkSession, path: str, sep: str = ";", header: bool = True,
+             multi_line: bool | None = None) -> DataFrame:
     """All-text frame of a landed CSV directory; blanks read as NULL.
 
-    Line by line (splittable) when the folder carries the single-line marker,
-    multi-line otherwise.
+    Line by line (splittable) when the folder carries the single-line marker or
+    ``multi_line`` is False; multi-line otherwise.
     """
-    multi_line = not is_single_line(spark, path)
-    return spark.read.options(**_csv_options(sep, header, multi_line)).csv(path)
+    return read_csv_folders(spark, [path], sep, header, multi_line)
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType | str | None = None,
@@ -166,12 +281,15 @@ def read_json(spark: SparkSession, path: str, schema: StructType | str | None =
 
 def read_landing(spark: SparkSession, path: str, ext: str = "csv", sep: str = ";",
                  header: bool = True, schema: StructType | str | None = None,
-                 multi_line: bool = False) -> DataFrame:
-    """Read a landed directory by format (csv, json or parquet)."""
+                 multi_line: bool | None = None) -> DataFrame:
+    """Read a landed directory by format (csv, json or parquet).
+
+    ``multi_line`` None means: as the landing marked it (CSV), lines (JSON).
+    """
     if ext == "csv":
-        return read_csv(spark, path, sep=sep, header=header)
+        return read_csv(spark, path, sep=sep, header=header, multi_line=multi_line)
     if ext == "json":
-        return read_json(spark, path, schema=schema, multi_line=multi_line)
+        return read_json(spark, path, schema=schema, multi_line=bool(multi_line))
     if ext == "parquet":
         return spark.read.parquet(path)
     raise ValueError(f"unsupported landing format {ext!r}; use one of {SUPPORTED_FORMATS}")
@@ -188,7 +306,15 @@ def balanced(df: DataFrame) -> DataFrame:
     """
     keys = [column(f.name) for f in df.schema.fields
             if not isinstance(f.dataType, (ArrayType, MapType, StructType))]
-    return df.hint("rebalance", *keys)
+    return _dealt(df, keys)
+
+
+def _dealt(df: DataFrame, keys: list[Column]) -> DataFrame:
+    """``df`` rebalanced by ``keys``; without adaptive execution, which the hint
+    needs, dealt by a hash of the keys and of the whole row."""
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        return df.hint("rebalance", *keys)
+    return df.repartition(*keys, F.xxhash64(*[column(c) for c in df.columns]) % 32)
 
 
 def land_day(df: DataFrame, base: str, day: str, ext: str = "csv", sep: str = ";",
@@ -198,6 +324,7 @@ def land_day(df: DataFrame, base: str, day: str, ext: str = "csv", sep: str = ";
     """Land ``df`` as the files of one day under ``base``; returns the directory.
 
     ``balance`` spreads the rows over tasks first (``balanced``).
+    ``max_records_per_file`` caps the rows of a CSV file.
     """
     target = day_dir(base, day)
     if balance:
@@ -206,10 +333,9 @@ def land_day(df: DataFrame, base: str, day: str, ext: str = "csv", sep: str = ";
         land_csv(df, target, sep=sep, header=header,
                  max_records_per_file=max_records_per_file)
     elif ext == "json":
-        land_json(df, target, max_records_per_file=max_records_per_file)
+        land_json(df, target)
     elif ext == "parquet":
-        df.write.mode("overwrite").option(
-            "maxRecordsPerFile", str(max_records_per_file)).parquet(target)
+        df.write.mode("overwrite").parquet(target)
     else:
         raise ValueError(f"unsupported landing format {ext!r}")
     return target
@@ -224,9 +350,12 @@ def land_by_day(df: DataFrame, base: str, day_col: F.Column, ext: str = "json",
     a few full files instead of one small file per task. For CSV the write
     observes the days it wrote and the days with a line break (two sets, one
     entry per day); each written day without one gets the single-line marker.
+    Days that are not in ``df`` stay as they are, whatever the session's
+    overwrite mode. The rebalancing hint needs adaptive execution; without it
+    the rows are repartitioned by day and a hash.
     """
     if ext == "csv":
-        df = flatten_nested(df)
+        df = one_column_text(flatten_nested(df))
     broken = _has_line_break(df)
     out = df.withColumn(DAY_COLUMN, day_col)
     seen = Observation()
@@ -234,16 +363,18 @@ def land_by_day(df: DataFrame, base: str, day_col: F.Column, ext: str = "json",
         day = F.col(DAY_COLUMN)
         out = out.observe(seen, F.collect_set(day).alias("days"),
                           F.collect_set(F.when(broken, day)).alias("broken"))
-    out = out.hint("rebalance", DAY_COLUMN)
-    writer = (out.write.mode("overwrite").partitionBy(DAY_COLUMN)
-              .option("maxRecordsPerFile", str(max_records_per_file)))
+    out = _dealt(out, [column(DAY_COLUMN)])
+    writer = (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy(DAY_COLUMN))
     if ext == "json":
         writer.options(**TEXT_TIME_OPTIONS).option("ignoreNullFields", "true").json(base)
     elif ext == "csv":
-        writer.options(**_csv_options(";", True)).csv(base)
+        (writer.options(**_csv_options(";", True))
+         .option("maxRecordsPerFile", str(max_records_per_file)).csv(base))
         metrics = observed(seen)
-        if _clean_names(df) and "days" in metrics:
-            for d in sorted(set(metrics["days"]) - set(metrics["broken"])):
+        for d in sorted(metrics.get("days", ())):
+            _write_header(df.sparkSession, day_dir(base, d), df.columns)
+            if _clean_names(df) and d not in metrics["broken"]:
                 _mark_single_line(df.sparkSession, day_dir(base, d))
     elif ext == "parquet":
         writer.parquet(base)
@@ -283,7 +414,7 @@ def latest_day(spark: SparkSession, base: str) -> str:
 def read_day(spark: SparkSession, base: str, day: str, ext: str = "csv",
              sep: str = ";", header: bool = True,
              schema: StructType | str | None = None,
-             multi_line: bool = False) -> DataFrame:
+             multi_line: bool | None = None) -> DataFrame:
     """Read only the files of ``day`` (the directory is addressed directly)."""
     return read_landing(spark, day_dir(base, day), ext=ext, sep=sep, header=header,
                         schema=schema, multi_line=multi_line)
@@ -292,11 +423,12 @@ def read_day(spark: SparkSession, base: str, day: str, ext: str = "csv",
 def read_days(spark: SparkSession, base: str, days: list[str], ext: str = "csv",
               sep: str = ";", header: bool = True,
               schema: StructType | str | None = None,
-              multi_line: bool = False) -> DataFrame:
+              multi_line: bool | None = None) -> DataFrame:
     """Read several days at once (a backfill), with an ``ingest_date`` column.
 
     Only the named day directories are listed; the day comes from the
-    directory name (partition discovery against ``base``), typed as text.
+    directory name (partition discovery against ``base``), typed as text. CSV
+    days are bound by name, whatever columns each day has and in what order.
     """
     if not days:
         raise ValueError("no day to read")
@@ -304,9 +436,7 @@ def read_days(spark: SparkSession, base: str, days: list[str], ext: str = "csv",
     reader = spark.read.option("basePath", base.rstrip("/")).option(
         "recursiveFileLookup", "false")
     if ext == "csv":
-        multi_line = not set(days) <= single_line_days(spark, base)
-        reader = reader.options(**_csv_options(sep, header, multi_line))
-        df = reader.csv(paths)
+        df = read_csv_folders(spark, paths, sep, header, multi_line, base.rstrip("/"))
     elif ext == "json":
         reader = reader.options(**TEXT_TIME_OPTIONS).option(
             "multiLine", str(bool(multi_line)).lower())

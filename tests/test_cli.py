@@ -1,135 +1,89 @@
 """The four jobs from the command line, in the params/ + query/ layout."""
 
-import json
-
 import pytest
+from pyspark.sql import functions as F
 
 from strata.plans.cli import main
 from strata.session import fresh_name
-from test_files_flow import GOLD_SQL, RECORDS, SCHEMA
+from test_files_flow import DECLARED, layout, orders
 
 DAY = "20240106"
 
 
 @pytest.fixture()
-def layout(tmp_path):
-    silver_db, gold_db = fresh_name("silver"), fresh_name("gold")
-    for folder in ("params/venues_api", "params/silver", "params/quality", "query/gold",
-                   "query/quality", "delivery"):
-        (tmp_path / folder).mkdir(parents=True)
-    (tmp_path / "params" / "venues_api" / "venues.json").write_text(json.dumps({
-        "schema": SCHEMA, "target_table": "venues", "target_schema": silver_db,
-        "partition_column": "region", "mode": "overwrite"}))
-    (tmp_path / "params" / "silver" / "north_venues.json").write_text(json.dumps({
-        "target_table": "north_venues", "target_schema": gold_db,
-        "partition_column": "kind", "mode": "overwrite"}))
-    (tmp_path / "query" / "gold" / "north_venues.sql").write_text(
-        GOLD_SQL.format(silver=silver_db))
-    (tmp_path / "params" / "quality" / "venues.json").write_text(json.dumps({"quality_params": {
-        "not_null": {"column": "id,kind"}, "unique_vals": {"column": "id"},
-        "value_lenght_btw": {"column": "tel", "min": "1", "max": "1"}}}))
-    (tmp_path / "query" / "quality" / "venues.sql").write_text(
-        f"select * from {silver_db}.venues;")
-    # the day's delivery as a source returns it: one JSON array
-    (tmp_path / "delivery" / "venues.json").write_text(json.dumps(RECORDS))
-    return tmp_path, silver_db, gold_db
-
-
-def test_jobs_from_the_command_line(spark, lake, layout):
-    base, silver_db, gold_db = layout
-    logs = fresh_name("logs")
-    common = ["--base", str(base), "--day", DAY, "--lake", lake.root, "--logs-db", logs]
-
-    assert main(["capture", "--source", "venues_api", "--table", "venues",
-                 "--records", str(base / "delivery"), "--multi-line", *common], spark) == 0
-    assert main(["bronze_to_silver", "--source", "venues_api", "--table_name", "venues",
-                 *common], spark) == 0
-    rows = {r.id: r for r in spark.table(f"{silver_db}.venues").collect()}
-    assert set(rows) == {"v1", "v2", "v3", "v4"}
-    assert rows["v2"].title == 'Cellar "No. 9"; Club' and rows["v2"].lon is None
-    assert rows["v1"].lat == 51.25 and rows["v4"].title is None
-
-    assert main(["silver_to_gold", "--table", "north_venues", *common], spark) == 0
-    gold = {r.venue_id: r for r in spark.table(f"{gold_db}.north_venues").collect()}
-    assert set(gold) == {"v1", "v2", "v4"} and gold["v1"].kind == "hall"
-
-    # 'tel' of v1 has seven characters: the suite fails; only a gated run stops
-    assert main(["data_quality", "--table", "venues", *common], spark) == 0
-    assert main(["data_quality", "--table", "venues", "--stop-job", *common], spark) == 1
+def job(spark, lake):
+    base, silver, gold, logs = lake.root + "/job", *map(fresh_name, ("silver", "gold", "logs"))
+    layout(spark, base, silver, gold)
+    orders(spark).write.json(base + "/delivery")
+    common = ["--base", base, "--lake", lake.root, "--logs-db", logs]
+    return base, silver, gold, logs, common
+
+
+def test_jobs_from_the_command_line(spark, job):
+    base, silver, gold, logs, common = job
+    source = ["--source", "shop", "--day", DAY, *common]
+    assert main(["capture", "--table", "orders", "--records", base + "/delivery", *source],
+                spark) == 0
+    assert main(["bronze_to_silver", "--table_name", "orders", *source], spark) == 0
+    assert spark.table(f"{silver}.orders_in").count() == orders(spark).count()
+    assert main(["silver_to_gold", "--table", "revenue", *common], spark) == 0
+    assert spark.table(f"{gold}.revenue").agg(F.sum("orders")).first()[0] == orders(
+        spark).where("o_totalprice > 1000").count()
+    # o_clerk is not delivered: the suite fails; only a gated run stops
+    assert main(["data_quality", "--table", "orders_in", *common], spark) == 0
+    assert main(["data_quality", "--table", "orders_in", "--stop-job", *common], spark) == 1
     runs = spark.table(f"{logs}.data_quality").orderBy("start_exec").collect()
     assert [r.status for r in runs] == ["success", "failed"]
-    jobs = {t.name for t in spark.catalog.listTables(logs)}
-    assert {"capture_api", "bronze_to_silver", "silver_to_gold", "data_quality"} <= jobs
 
 
-def test_missing_arguments_are_reported(spark, layout):
-    base = str(layout[0])
+@pytest.mark.parametrize("args", [["capture", "--table", "orders", "--source", "shop"],
+                                  ["bronze_to_silver", "--table", "orders"],
+                                  ["no_such_job", "--table", "orders"]])
+def test_missing_arguments_are_reported(spark, job, args):
     with pytest.raises(SystemExit):
-        main(["capture", "--base", base, "--table", "venues", "--source", "venues_api"], spark)
-    with pytest.raises(SystemExit):
-        main(["bronze_to_silver", "--base", base, "--table", "venues"], spark)
-    with pytest.raises(SystemExit):
-        main(["no_such_job", "--base", base, "--table", "venues"], spark)
+        main([*args, "--base", job[0]], spark)
 
 
-def _forget_tables(spark, *databases):
-    # what a new job process with Spark's in-memory catalog sees: no tables
-    # (the tables are external: dropping them keeps their files)
+def _forget(spark, *databases):
+    """What a new process with an in-memory catalog sees: no table (files stay)."""
     for db in databases:
         for t in spark.catalog.listTables(db):
-            if not t.isTemporary:  # session temp views are listed too
+            if not t.isTemporary:
                 spark.sql(f"DROP TABLE `{db}`.`{t.name}`")
 
 
-def test_each_job_as_a_new_process_finds_earlier_tables(spark, lake, layout):
-    base, silver_db, gold_db = layout
-    logs = fresh_name("logs")
-    common = ["--base", str(base), "--lake", lake.root, "--logs-db", logs]
-    src = ["--source", "venues_api", "--table", "venues"]
-    assert main(["capture", *src, "--day", DAY, "--records", str(base / "delivery"),
-                 "--multi-line", *common], spark) == 0
-    assert main(["bronze_to_silver", *src, "--day", DAY, *common], spark) == 0
-    _forget_tables(spark, silver_db, logs)
-
-    # the next day delivers North only: South must survive the overwrite
-    north = [dict(r, title=(r.get("title") or "") + " (new)") for r in RECORDS
-             if r["region"] == "North"]
-    (base / "delivery2").mkdir()
-    (base / "delivery2" / "venues.json").write_text(json.dumps(north))
-    assert main(["capture", *src, "--day", "20240107", "--records", str(base / "delivery2"),
-                 "--multi-line", *common], spark) == 0
-    _forget_tables(spark, silver_db, logs)
-    assert main(["bronze_to_silver", *src, "--day", "20240107", *common], spark) == 0
-    _forget_tables(spark, silver_db, logs)
-
-    assert main(["silver_to_gold", "--table", "north_venues", *common], spark) == 0
-    rows = {r.id: r.title for r in spark.table(f"{silver_db}.venues").collect()}
-    assert rows == {"v1": "Harbour Hall (new)", "v2": 'Cellar "No. 9"; Club (new)',
-                    "v3": "Meadow Stage", "v4": " (new)"}
-    gold = {r.venue_id: r.venue_name for r in spark.table(f"{gold_db}.north_venues").collect()}
-    assert gold == {"v1": "Harbour Hall (new)", "v2": 'Cellar "No. 9"; Club (new)',
-                    "v4": " (new)"}
-    # every job run left its ledger row, across the "processes"
-    counts = {t: spark.table(f"{logs}.{t}").count()
-              for t in ("capture_api", "bronze_to_silver", "silver_to_gold")}
-    assert counts == {"capture_api": 2, "bronze_to_silver": 2, "silver_to_gold": 1}
-
-
-def test_capture_with_declared_schema_matches_inference(spark, lake, layout):
-    base, silver_db, _ = layout
-    logs = fresh_name("logs")
-    src = ["--source", "venues_api", "--table", "venues", "--base", str(base),
-           "--lake", lake.root, "--logs-db", logs, "--records", str(base / "delivery"),
-           "--multi-line"]
-    silver = {}
-    for day, extra in (("20240108", []), ("20240109", ["--declared-schema"])):
-        assert main(["capture", "--day", day, *src, *extra], spark) == 0
-        header = spark.read.text(f"{lake.bronze('venues_api', 'venues')}/ingest_date={day}") \
-            .first().value.split(";")
-        if extra:
-            assert header == list(SCHEMA)  # declared columns only, declared order
-        else:
-            assert "unexpected" in header and "addr_2" not in header
-        assert main(["bronze_to_silver", "--day", day, *src], spark) == 0
-        silver[day] = sorted(tuple(r) for r in spark.table(f"{silver_db}.venues").collect())
-    assert silver["20240108"] == silver["20240109"] and len(silver["20240108"]) == 4
+def test_each_job_as_a_new_process_finds_earlier_tables(spark, job):
+    base, silver, gold, logs, common = job
+    later = orders(spark).where("o_orderstatus = 'F'").withColumn(
+        "o_totalprice", F.col("o_totalprice") + 1)
+    later.write.json(base + "/delivery2")
+    for day, folder in (("20240106", "delivery"), ("20240107", "delivery2")):
+        source = ["--source", "shop", "--table", "orders", "--day", day, *common]
+        assert main(["capture", *source, "--records", f"{base}/{folder}"], spark) == 0
+        _forget(spark, *([silver] if spark.catalog.databaseExists(silver) else []), logs)
+        assert main(["bronze_to_silver", *source], spark) == 0
+        _forget(spark, silver, logs)
+    assert main(["silver_to_gold", "--table", "revenue", *common], spark) == 0
+    # only status F was delivered again: the other partitions survive
+    got = spark.table(f"{silver}.orders_in").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    price = F.col("o_totalprice") + F.when(F.col("o_orderstatus") == "F", 1).otherwise(0)
+    want = orders(spark).select("o_orderkey", "o_orderstatus", price.cast("decimal(12,2)"))
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+    # every run left its ledger row; a job registers its own log and tables only
+    assert spark.table(f"{logs}.silver_to_gold").count() == 1
+    assert not spark.catalog.tableExists(f"{logs}.capture_api")
+
+
+def test_all_keys_lands_undeclared_columns(spark, lake, job):
+    base, silver, _, _, common = job
+    rows = {}
+    for day, extra in (("20240108", ["--all-keys"]), ("20240109", [])):
+        source = ["--source", "shop", "--table", "orders", "--day", day, *common]
+        assert main(["capture", *source, "--records", base + "/delivery", *extra], spark) == 0
+        header = spark.read.text(f"{lake.bronze('shop', 'orders')}/ingest_date={day}").first()
+        names = header.value.split(";")
+        assert ("tags" in names) == bool(extra)
+        assert names == list(DECLARED) or extra
+        assert main(["bronze_to_silver", *source], spark) == 0
+        rows[day] = sorted(map(tuple, spark.table(f"{silver}.orders_in").collect()), key=str)
+    assert rows["20240108"] == rows["20240109"]

@@ -174,14 +174,14 @@ def test_unique_columns_of_one_type_do_not_collide(spark):
     assert {k[1]: v["unexpected_count"] for k, v in rep.items()} == {"a": 0, "b": 0, "s": 2, "d": 2}
 
 
-def test_materialized_source_gives_the_same_report(spark):
+def test_materialized_source_gives_the_same_report(spark, tmp_path):
     from strata.session import storage_root
 
     storage_root(spark)  # makes sure a checkpoint directory is set
     df = spark.createDataFrame(ROWS, SCHEMA).groupBy("code").agg(F.count("*").alias("n"))
     qp = {"quality_params": {"not_null": {"column": "code"}, "unique_vals": {"column": "code"}}}
     plain = sorted(tuple(r) for r in run_suite(df, qp).collect())
-    once = sorted(tuple(r) for r in run_suite(df, qp, materialize=True).collect())
+    once = sorted(tuple(r) for r in run_suite(df, qp, materialize_to=str(tmp_path / "frame")).collect())
     assert plain == once
 
 

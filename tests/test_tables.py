@@ -87,17 +87,16 @@ def test_create_sql_quotes_names_and_puts_partition_last():
 
 
 def test_gold_partition_column_mid_select(spark, lake):
-    base = spark.createDataFrame([(1, "n1", "hall", "North"), (2, "n2", "club", "South")],
-                                 "id INT, name STRING, kind STRING, area STRING")
-    base.createOrReplaceTempView("venues_fixture")
-    sql = """SELECT id AS venue_id, name AS venue_name, kind AS venue_kind,
-                    CONCAT(name, ', ', area) AS label, area AS zone
-             FROM venues_fixture WHERE kind IS NOT NULL AND area = 'North';"""
-    out = build_gold(spark, sql, GoldParams(fresh_name("gold"), "north", "venue_kind"), lake)
-    assert out.columns[-1] == "venue_kind"
-    assert out.collect()[0].asDict() == {"venue_id": 1, "venue_name": "n1",
-                                         "label": "n1, North", "zone": "North",
-                                         "venue_kind": "hall"}
+    """The partition column stands among the others in the text and last in the table."""
+    spark.read.parquet("/root/testdata/sf0.001/part.parquet").createOrReplaceTempView("parts_now")
+    sql = """SELECT p_partkey, p_size AS size_class, upper(p_brand) AS brand,
+                    round(p_retailprice * 0.9, 2) AS offer
+             FROM parts_now WHERE p_size BETWEEN 5 AND 7;"""
+    out = build_gold(spark, sql, GoldParams(fresh_name("gold"), "offers", "size_class"), lake)
+    assert out.columns == ["p_partkey", "brand", "offer", "size_class"]
+    want = spark.table("parts_now").where("p_size IN (5, 6, 7)").collect()
+    assert {(r.p_partkey, r.size_class, r.brand) for r in out.collect()} == {
+        (r.p_partkey, r.p_size, r.p_brand.upper()) for r in want}
 
 
 def test_concat_with_null_part_is_null(spark):

@@ -227,16 +227,19 @@ ORACLES: dict[str, str] = {
         FROM report""",
     "run_ledger": """
         SELECT 'capture_api' AS job_name, 'success' AS status, 'orders' AS table_name,
-               'tpch' AS source, '' AS error, '' AS error_desc, count(*) AS rows_written
+               'tpch' AS source, '' AS error, '' AS error_desc, count(*) AS rows_written,
+               'load_csv' AS step_names, true AS dated_by_start, true AS ends_after_start,
+               2 AS info_lines
         FROM orders
         UNION ALL
-        SELECT 'bronze_to_silver', 'success', 'orders', 'tpch', '', '', count(*) FROM orders
+        SELECT 'bronze_to_silver', 'success', 'orders', 'tpch', '', '', count(*),
+               'read_csv,cast_df,create_table,write_table', true, true, 5 FROM orders
         UNION ALL
         SELECT 'bronze_to_silver', 'failed', 'orders', 'tpch',
                'Error while trying to execute the step cast_df',
                'silver_tpch.orders_untyped: no ''schema'' in the parameters; it is needed to '
                || 'create the table',
-               CAST(NULL AS BIGINT)""",
+               CAST(NULL AS BIGINT), 'read_csv', true, true, 2""",
     "run_ledger_steps": """
         SELECT 'events' AS job_name, event_type AS step, count(*) AS runs,
                round(sum(value), 6) AS total_seconds, round(avg(value), 6) AS avg_seconds,

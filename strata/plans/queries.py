@@ -436,7 +436,13 @@ def run_ledger(spark, sf_dir):
     ledger = spark.table(f"{logs}.capture_api").unionByName(
         spark.table(f"{logs}.bronze_to_silver"))
     return ledger.select("job_name", "status", "table_name", "source", "error", "error_desc",
-                         F.col("extras")["rows"].cast("bigint").alias("rows_written"))
+                         F.col("extras")["rows"].cast("bigint").alias("rows_written"),
+                         F.array_join(F.transform("steps", lambda s: s["step"]), ",")
+                         .alias("step_names"),
+                         (F.col("date_ref") == F.date_format("start_exec", "yyyy-MM-dd"))
+                         .alias("dated_by_start"),
+                         (F.col("end_exec") >= F.col("start_exec")).alias("ends_after_start"),
+                         F.size(F.split("info", "\n")).alias("info_lines"))
 
 
 def run_ledger_steps(spark, sf_dir):

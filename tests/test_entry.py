@@ -42,11 +42,14 @@ def test_entry_runs(spark):
                           "nation_key"]
 
 
+OWN = {**E.QUERIES, **E.EDGE_QUERIES}
+
+
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(OWN) == set(E.oracle_sql()) & set(OWN)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(OWN))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     got = [tuple(r) for r in df.collect()]

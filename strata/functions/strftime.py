@@ -3,15 +3,16 @@
 The rule to match is ``datetime.strptime(value, mask)`` succeeding. Spark's
 datetime patterns cannot express it (``%Y%m%d`` accepts ``2024115``; ``%d``
 accepts a leading blank; a blank in the mask matches a run of white space), so
-the check is built from the mask's own regular expression, as the Python
-standard library compiles it on the driver, and evaluated on the JVM:
+the check is built from a regular expression per directive and evaluated on the
+JVM:
 
 1. the expression must match at the start of the value and consume all of it
    (Python's ``match`` plus its "unconverted data remains" rule; Java and
    Python regexes are both leftmost-first backtracking, so the first match is
    the same);
 2. the captured fields must form a real date: year >= 1, day within the month
-   (leap years included), second <= 59.
+   (leap years included), or a day of the year that still lies in year 9999 or
+   before; second <= 59; a zone offset under 24 hours.
 
 Per value this costs two regex passes: ``rlike`` (is there a match) and one
 ``regexp_replace`` that writes every captured field and the unconsumed rest as
@@ -19,13 +20,13 @@ a comma-separated text, split once. ``mask_columns`` yields those two columns
 for a projection ahead of an aggregate, so they are computed once per row;
 ``mask_valid`` turns them into the verdict with plain arithmetic.
 
-Masks whose directives are outside the date/time set handled here (week
-numbers, ISO weeks, day of year, time zones) fall back to a vectorised
+Masks with week numbers, ISO weeks or zone names fall back to a vectorised
 ``pandas_udf`` that calls ``strptime`` itself.
 """
 
 from __future__ import annotations
 
+import calendar
 import re
 from dataclasses import dataclass
 from datetime import datetime
@@ -35,10 +36,37 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-# Directives whose validity is decided by the JVM expression below.
-JVM_DIRECTIVES = frozenset("YymdbBHIMSfpaA")
+
+def _names(names) -> str:
+    """Alternatives, the longest first."""
+    return "|".join(sorted((re.escape(n) for n in names if n), key=len, reverse=True))
+
+
+# What each directive accepts, as documented for ``strptime``.
+DIRECTIVES = {
+    "Y": r"\d\d\d\d",
+    "y": r"\d\d",
+    "m": r"1[0-2]|0[1-9]|[1-9]",
+    "d": r"3[0-1]|[1-2]\d|0[1-9]|[1-9]| [1-9]",
+    "j": r"36[0-6]|3[0-5]\d|[1-2]\d\d|0[1-9]\d|00[1-9]|[1-9]\d|0[1-9]|[1-9]",
+    "H": r"2[0-3]|[0-1]\d|\d",
+    "I": r"1[0-2]|0[1-9]|[1-9]| [1-9]",
+    "M": r"[0-5]\d|\d",
+    "S": r"6[0-1]|[0-5]\d|\d",
+    "f": r"[0-9]{1,6}",
+    "w": r"[0-6]",
+    "u": r"[1-7]",
+    "z": r"[+-]\d\d:?[0-5]\d(?::?[0-5]\d(?:\.\d{1,6})?)?|(?-i:Z)",
+    "p": "am|pm",
+    "a": _names(calendar.day_abbr), "A": _names(calendar.day_name),
+    "b": _names(calendar.month_abbr[1:]), "B": _names(calendar.month_name[1:]),
+}
+# Directives that stand for others (C locale).
+COMPOSITE = {"c": "%a %b %d %H:%M:%S %Y", "x": "%m/%d/%y", "X": "%H:%M:%S"}
+# An offset is read the same way only if its colons are all there or all absent.
+_OFFSET = r"(?i)(?-i:Z)|[+-](?:[01]\d|2[0-3])(?::\d\d(?::\d\d(?:\.\d+)?)?|\d\d(?:\d\d(?:\.\d+)?)?)"
 # Fields the calendar check reads, in output order.
-_FIELDS = ("Y", "y", "m", "b", "B", "d", "S")
+_FIELDS = ("Y", "y", "m", "b", "B", "d", "j", "S", "z")
 
 
 class MaskError(ValueError):
@@ -55,30 +83,43 @@ class MaskPlan:
     fields: tuple[str, ...] = ()
 
 
-def _python_pattern(mask: str) -> tuple[str, re.Pattern]:
-    import _strptime  # standard library; builds the same regex strptime uses
-
+def _check_mask(mask: str) -> None:
+    """Raise ``MaskError`` for a mask that ``strptime`` rejects whatever the value."""
     try:
-        pattern = _strptime._TimeRE_cache.pattern(mask)
-        compiled = re.compile(pattern, re.IGNORECASE)
-    except (KeyError, ValueError, re.error) as exc:
+        datetime.strptime("", mask)
+    except re.error as exc:
         raise MaskError(f"invalid strftime mask {mask!r}: {exc}") from exc
-    return pattern, compiled
+    except ValueError as exc:
+        if "does not match format" not in str(exc) and "unconverted" not in str(exc):
+            raise MaskError(f"invalid strftime mask {mask!r}: {exc}") from exc
 
 
 def plan_mask(mask: str) -> MaskPlan:
-    pattern, compiled = _python_pattern(mask)
-    groups = compiled.groupindex
-    if not set(groups) <= JVM_DIRECTIVES:
-        return MaskPlan(mask, jvm=False)
-    # Python named groups '(?P<x>' are '(?<x>' in Java; numbering is the same
-    # (both count opening parentheses of capturing groups). Case-insensitive
-    # like strptime; Unicode classes so that \s matches Python's white space.
-    java = pattern.replace("(?P<", "(?<")
-    rx = "(?iU)^(?:" + java + ")"
-    rest = compiled.groups + 1
+    _check_mask(mask)
+    out, groups, rest = [], [], mask
+    while rest:
+        if rest[0] == "%" and len(rest) > 1:
+            key, rest = rest[1], rest[2:]
+            if key in COMPOSITE:
+                rest = COMPOSITE[key] + rest
+            elif key == "%":
+                out.append("%")
+            elif key in DIRECTIVES:
+                groups.append(key)
+                out.append(f"({DIRECTIVES[key]})")
+            else:
+                return MaskPlan(mask, jvm=False)
+        elif rest[0].isspace():
+            out.append(r"\s+")
+            rest = rest.lstrip()
+        else:
+            out.append("['\u02bc]" if rest[0] == "'" else re.escape(rest[0]))
+            rest = rest[1:]
+    # Case-insensitive like strptime; Unicode classes so that \s matches Python's
+    # white space. Every group of the expression is one directive, in order.
+    rx = "(?iU)^(?:" + "".join(out) + ")"
     fields = tuple(f for f in _FIELDS if f in groups)
-    replacement = ",".join([f"${groups[f]}" for f in fields] + [f"${rest}"])
+    replacement = ",".join([f"${groups.index(f) + 1}" for f in fields] + [f"${len(groups) + 1}"])
     return MaskPlan(mask, True, rx, rx + "((?s).*)$", replacement, fields)
 
 
@@ -94,10 +135,7 @@ def _month_map(names: list[str]) -> Column:
 
 
 def _month_names() -> tuple[list[str], list[str]]:
-    import _strptime
-
-    lt = _strptime._TimeRE_cache.locale_time
-    return list(lt.a_month), list(lt.f_month)
+    return list(calendar.month_abbr), list(calendar.month_name)
 
 
 def mask_columns(c: Column, plan: MaskPlan, prefix: str) -> list[Column]:
@@ -144,8 +182,13 @@ def mask_valid(plan: MaskPlan, ok: Column, fields: Column | None = None) -> Colu
     leap = ((year % 4 == 0) & (year % 100 != 0)) | (year % 400 == 0)
     month_len = (F.when(month == 2, F.when(leap, 29).otherwise(28))
                  .when(month.isin(4, 6, 9, 11), 30).otherwise(31))
-    valid = (ok & (rest == "") & (year >= 1) & month.between(1, 12) & (day >= 1)
-             & (day <= month_len))
+    if "j" in plan.fields:  # the day of the year decides; month and day are not looked at
+        real = (num("j") <= 365) | leap | (year < 9999)
+    else:
+        real = month.between(1, 12) & (day >= 1) & (day <= month_len)
+    valid = ok & (rest == "") & (year >= 1) & real
+    if "z" in plan.fields:
+        valid = valid & text("z").rlike(f"^(?:{_OFFSET})$")
     if "S" in plan.fields:
         valid = valid & (num("S") <= 59)
     return F.when(ok.isNull(), F.lit(None).cast("boolean")).otherwise(

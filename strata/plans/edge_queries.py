@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..lake import Lake, write_text
+from ..operators.gold import gold_frame
 from ..operators.quality import run_suite
 from ..operators.silver import conform
 from ..params import IngestParams
@@ -23,8 +24,8 @@ from ..session import fresh_name
 from ..sources.landing import (day_dir, land_by_day, land_day, landing_days, read_day, read_days)
 from .files import capture_from_files
 from .jobs import bronze_to_silver, capture
-from .oracles import _union, _values
-from .queries import DAY, EVENTS_SCHEMA, _ctx, _t
+from .oracles import _row, _union, _values
+from .queries import DAY, EVENTS_SCHEMA, _ctx, _t, _views
 
 STATIC_MODE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -127,6 +128,30 @@ def dq_exact_bounds(spark, sf_dir):
         "min": "0.5,0,-1e30,10.5,1000.04", "max": "33.5,3000000000,99.99,1000,200000.06"}}})
 
 
+DAY_OF_YEAR_SQL = """
+SELECT o_orderkey,
+       CASE WHEN o_orderkey % 13 = 0 THEN '9999-366'
+            WHEN o_orderkey % 17 = 0 THEN '2024-000'
+            WHEN o_orderkey % 19 = 0 THEN NULL
+            WHEN o_orderkey % 23 = 0 THEN '2024-367'
+            WHEN o_orderkey % 29 = 0 THEN '2023-366'
+            ELSE CAST(year(o_orderdate) AS STRING) || '-'
+                 || CAST(dayofyear(o_orderdate) AS STRING) END AS day,
+       CASE WHEN o_orderkey % 7 = 0 THEN '+24:00'
+            WHEN o_orderkey % 11 = 0 THEN '+01:3015'
+            WHEN o_orderkey % 5 = 0 THEN 'Z'
+            ELSE '-0' || CAST(o_orderkey % 10 AS STRING) || '30' END AS zone
+FROM orders
+"""
+
+
+def dq_day_of_year_mask(spark, sf_dir):
+    """Masks with the day of the year and with a zone offset."""
+    _views(spark, sf_dir, "orders")
+    return run_suite(gold_frame(spark, DAY_OF_YEAR_SQL), {"quality_params": {"date_mask_equal": {
+        "column": "day,zone", "date_mask": "%Y-%j,%z"}}})
+
+
 def file_driven_run(spark, sf_dir):
     """The four jobs by name, from parameter and SQL files in the lake alone."""
     from .cli import main
@@ -165,7 +190,7 @@ def file_driven_run(spark, sf_dir):
 EDGE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         bronze_drifted_days, bronze_two_deliveries, bronze_single_column, capture_malformed_json,
-        silver_numeric_text, dq_exact_bounds, file_driven_run)
+        silver_numeric_text, dq_exact_bounds, dq_day_of_year_mask, file_driven_run)
 }
 
 EDGE_ORACLES: dict[str, str] = {
@@ -204,6 +229,11 @@ EDGE_ORACLES: dict[str, str] = {
         _values(0, "cust", 0.5, 33.5), _values(1, "cust", 0, 3000000000),
         _values(2, "okey", "-1e30", 99.99), _values(3, "tiny", 10.5, 1000),
         _values(4, "price", 1000.04, 200000.06)),
+    "dq_day_of_year_mask": f"WITH src AS ({DAY_OF_YEAR_SQL})\n" + _union(
+        _row(0, "day", "date_mask_equal", "Date mask with mask %Y-%j", "count(day)",
+             "count(*) FILTER (WHERE day IN ('9999-366', '2024-000', '2024-367'))"),
+        _row(1, "zone", "date_mask_equal", "Date mask with mask %z", "count(zone)",
+             "count(*) FILTER (WHERE zone IN ('+24:00', '+01:3015'))")),
     "file_driven_run": """
         SELECT CAST(p_size AS INTEGER) AS p_size, count(*) AS parts,
                min(CAST(p_retailprice AS DECIMAL(12,2))) AS cheapest, max(p_name) AS last_name

@@ -3,6 +3,7 @@
 import math
 import re
 from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from hypothesis import given, settings
@@ -134,8 +135,13 @@ def test_params_validation(frame):
 DATE_VALUES = ["2024-01-05", "2024-1-5", "2024-02-30", "2024-02-29", "2023-02-29", "0000-01-01",
                "2024115", "20240105", " 2024-01-05", "2024-01- 5", "2024-01-05 ", "abc", "",
                "05/Jan/2024 10:11:12", "5/JAN/2024 1:2:3", "31/Feb/2024 10:11:12",
-               "05/Jan/2024 10:11:60", "240105", "366", "060", "12/31/99 11 PM"]
-MASKS = ["%Y-%m-%d", "%Y%m%d", "%d/%b/%Y %H:%M:%S", "%y%m%d", "%m/%d/%y %I %p", "%j"]
+               "05/Jan/2024 10:11:60", "240105", "366", "060", "12/31/99 11 PM",
+               "2024-366", "2023-366", "9999-366", "9996-366", "2024-367", "2024-0", "0000-5",
+               "10:11 +0130", "10:11 +01:30", "10:11 Z", "10:11 z", "10:11 +2400", "10:11 -23:59",
+               "10:11 +01:30:15.5", "10:11 +013015", "10:11 +01:3015", "10:11 +0130:15",
+               "it's 5", "2024  1", "5% of 2024", "Mon Jan  1 10:11:12 2024", "1 3"]
+MASKS = ["%Y-%m-%d", "%Y%m%d", "%d/%b/%Y %H:%M:%S", "%y%m%d", "%m/%d/%y %I %p", "%j",
+         "%Y-%j", "%H:%M %z", "it's %d", "%Y %m", "%d%% of %Y", "%c", "%w %u", "%Y-%U-%w"]
 
 
 def test_strftime_matcher_equals_strptime(spark):
@@ -145,9 +151,40 @@ def test_strftime_matcher_equals_strptime(spark):
         assert got == {v: _parses(v, mask) for v in DATE_VALUES}, mask
 
 
+@pytest.mark.parametrize("mask", ["%Y-%Y", "%Q", "100%"])
+def test_impossible_masks_are_refused(mask):
+    from strata.functions.strftime import MaskError
+
+    with pytest.raises(MaskError):
+        uses_jvm_path(mask)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_bounds_do_not_take_the_type_of_the_column(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = spark.createDataFrame(
+            [(1, 1, 1, Decimal("0.0"), 0.5), (4, 127, 2**63 - 1, Decimal("3.0"), 4.0),
+             (None, -128, -2**63, Decimal("3.1"), None)],
+            "i INT, t TINYINT, b BIGINT, d DECIMAL(10,1), f DOUBLE")
+        cases = {("i", "0.5", "3.5"): 1, ("i", "0", "3000000000"): 0, ("t", "0", "1000"): 1,
+                 ("b", "-1e40", "9223372036854775806.5"): 1, ("b", "-inf", "inf"): 0,
+                 ("d", "0.04", "3.04"): 2, ("d", "1e20", "1e30"): 3, ("i", "1.2", "1.8"): 2,
+                 ("f", "0.25", "3.9"): 1}
+        for (column, low, high), bad in cases.items():
+            rep = _report(df, {"values_btw": {"column": column, "min": low, "max": high}})
+            assert rep[("values_btw", column)]["unexpected_count"] == bad, (column, low, high)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    with pytest.raises(ParamError):
+        _report(df, {"value_lenght_btw": {"column": "i", "min": "1", "max": "5.7"}})
+
+
 def test_strftime_paths():
     assert uses_jvm_path("%Y-%m-%d %H:%M:%S.%f")
-    assert not uses_jvm_path("%Y-%j")
+    assert uses_jvm_path("%Y-%j") and uses_jvm_path("%Y%m%dT%H%M%S%z")
+    assert not uses_jvm_path("%Y-%U-%w") and not uses_jvm_path("%Y %Z")
 
 
 @settings(max_examples=15, deadline=None)

@@ -1,10 +1,12 @@
 """Landing: CSV fidelity, JSON records, day directories."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.operators.silver import conform
 from strata.sources.landing import (_csv_options, is_single_line, land_by_day, land_day,
-                                    landing_days, latest_day, read_csv, read_day, read_json)
+                                    landing_days, latest_day, read_csv, read_day, read_days,
+                                    read_json)
 
 
 def _write(path, text):
@@ -249,3 +251,84 @@ def test_balanced_landing_with_dotted_names(spark, lake):
     land_day(df, base, "20240101", balance=True)
     got = sorted((r[0], r[1]) for r in read_day(spark, base, "20240101").collect())
     assert got == [("1", "a"), ("2", "b")]
+
+
+@pytest.mark.parametrize("width", [1, 2, 3])
+def test_gaps_survive_at_every_width(spark, lake, width):
+    names = [f"c{k}" for k in range(width)]
+    rows = [tuple(v if (n >> k) & 1 else None for k in range(width))
+            for n in range(2 ** width) for v in ("x", 'q"; ', "two\nlines")]
+    base = lake.bronze("s", f"gaps{width}")
+    land_day(spark.createDataFrame(rows, ", ".join(f"{n} STRING" for n in names)), base, "20240101")
+    assert sorted(map(tuple, read_day(spark, base, "20240101").collect()), key=str) == sorted(
+        rows, key=str)
+
+
+def test_files_of_one_folder_with_different_headers(spark, tmp_path):
+    _write(tmp_path / "d" / "part-0.csv", "a;b\nA1;B1\n")
+    _write(tmp_path / "d" / "part-1.csv", '"b";a;c\nB2;A2;C2\n')
+    _write(tmp_path / "d" / "part-2.csv", "b\nB3\n\n")
+    got = {tuple(r) for r in read_csv(spark, str(tmp_path / "d")).select("a", "b", "c").collect()}
+    assert got == {("A1", "B1", None), ("A2", "B2", "C2"), (None, "B3", None)}
+
+
+def test_reserved_name_in_a_header_is_an_ordinary_column(spark, lake):
+    base = lake.bronze("s", "reserved")
+    df = spark.createDataFrame([(1, "x", "a")], "id INT, _corrupt_record STRING, v STRING")
+    land_day(df, base, "20240101")
+    assert read_day(spark, base, "20240101").first().asDict() == {
+        "id": "1", "_corrupt_record": "x", "v": "a"}
+
+
+def test_a_declared_single_line_delivery_is_split(spark, tmp_path):
+    """``multi_line`` False makes a large foreign file splittable."""
+    _write(tmp_path / "d" / "part-0.csv", "a;b\n" + "some text;more text\n" * 40_000)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128k")
+    try:
+        whole = read_csv(spark, str(tmp_path / "d"))
+        split = read_csv(spark, str(tmp_path / "d"), multi_line=False)
+        assert whole.rdd.getNumPartitions() == 1 < split.rdd.getNumPartitions()
+        assert whole.count() == split.count() == 40_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_days_with_and_without_line_breaks_are_read_apart(spark, lake):
+    base = lake.bronze("s", "mixed")
+    land_day(spark.range(60_000).selectExpr("id", "repeat('t', 20) AS t"), base, "20240101")
+    land_day(spark.createDataFrame([(1, "a\nb")], "id INT, t STRING"), base, "20240102")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128k")
+    try:
+        df = read_days(spark, base, ["20240101", "20240102"])
+        files = len(df.inputFiles())
+        assert df.rdd.getNumPartitions() > files
+        assert df.count() == 60_001
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("value, text", [
+    (10000000.0, "10000000.0"), (12345678.5, "12345678.5"), (1.5e17, "150000000000000000.0"),
+    (0.0001, "0.0001"), (1.25e-6, "0.00000125"), (-98765432.125, "-98765432.125"),
+    (1e300, "1.0E300"), (0.0, "0.0"), (2.5, "2.5"), (None, None)])
+def test_doubles_land_in_plain_notation(spark, lake, value, text):
+    base = lake.bronze("s", f"plain{abs(hash(text))}")
+    land_day(spark.createDataFrame([(1, value)], "id INT, d DOUBLE"), base, "20240101")
+    assert read_day(spark, base, "20240101").first().d == text
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_balanced_and_daily_landing_with_and_without_adaptive_execution(spark, lake, adaptive):
+    base = lake.bronze("s", f"aqe{adaptive}")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        df = spark.range(4000).selectExpr("id", "CAST(20240101 + id % 2 AS STRING) AS d").coalesce(1)
+        land_by_day(df, base, F.col("d"), ext="csv")
+        land_day(df, base, "20240109", balance=True)
+        if adaptive == "false":
+            assert len(read_day(spark, base, "20240109").inputFiles()) > 1
+        assert read_days(spark, base, landing_days(spark, base)).count() == 8000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

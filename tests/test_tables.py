@@ -254,3 +254,23 @@ def test_table_made_elsewhere_gets_its_definition_recorded(spark, lake):
     assert register_tables(spark, lake) == [f"{db}.made"]
     assert dict(spark.table(f"{db}.made").dtypes)["k"] == "int"
     assert _rows(spark, f"{db}.made") == [("a", 7), ("b", 10)]
+
+
+def test_storage_root_follows_the_session(spark):
+    from types import SimpleNamespace
+
+    from strata.session import storage_root
+
+    def session(conf, checkpoint, master):
+        values = {}
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda k, d=None: values.get(k, d), set=values.__setitem__),
+            sparkContext=SimpleNamespace(
+                getConf=lambda: conf, getCheckpointDir=lambda: checkpoint, master=master,
+                setCheckpointDir=lambda d: pytest.fail("a checkpoint folder was replaced")))
+
+    assert storage_root(session({"spark.checkpoint.dir": "hdfs://x/c/"}, None, "yarn")) == \
+        "hdfs://x/c/strata"
+    assert storage_root(session({}, "/set/by/caller", "local[2]")) == "/set/by/caller/strata"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        storage_root(session({}, None, "spark://host:7077"))

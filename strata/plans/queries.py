@@ -21,6 +21,7 @@ from ..operators.gold import gold_frame
 from ..operators.ledger import step_stats
 from ..operators.quality import gate, run_suite
 from ..operators.silver import cast_losses, conform
+from ..operators.tables import list_tables, table_columns
 from ..params import GoldParams, IngestParams, ParamError, QualityParams
 from ..session import fresh_name
 from ..sources.landing import (land_by_day, land_day, landing_days, latest_day, read_day,
@@ -471,10 +472,11 @@ def table_catalog(spark, sf_dir):
     ]
     assert spark.catalog.databaseExists(db)
     parts = []
+    listed = {name for _, name in list_tables(spark, [db])}
     for table in made:
-        assert spark.catalog.tableExists(table)
-        cols = spark.catalog.listColumns(table)
-        pcols = ",".join(c.name for c in cols if c.isPartition) or None
+        assert table.split(".")[1] in listed
+        cols = table_columns(spark, table)
+        pcols = ",".join(name for name, _, is_partition in cols if is_partition) or None
         parts.append(spark.table(table).agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit("silver").alias("layer"), F.lit(table.split(".")[1]).alias("table_name"),
             F.lit(len(cols)).alias("n_columns"),

@@ -42,11 +42,11 @@ FAKE = (W.record(77, "http://fake", b"planted", 7, b"x" * 20, None, "2000-01-01T
 ODD = [(1, "http://a/ b\r\nWARC-Type: x", "same"), (2, None, "same"), (3, "u", None), (4, "u", ""),
        (5, "u", FAKE), (6, "u", "é" * 5000), (7, "u", f"x{FAKE}y{FAKE[:60]}"),
        (8, "u", "WARC/1.1\r\n" * 50), (9, "u", "WARC/1.1\r\nContent-Length: 5\r\n\r\n"),
-       (0, "u", "same"), (None, "u", "same"), (None, "u", "only here"), (11, "u", "b" * 300_000),
+       (0, "u", "same"), (None, "u", "same"), (None, "u", "only here"), (11, "u", "b" * 30_000),
        (12, "u", "twice"), (12, "u", "twice"), (13, "u", "WARC/1.1\r\nContent-Length: 0\r\n\r\n\r\n\r\n")]
 
 
-@pytest.mark.parametrize("range_bytes", [64, 1000, 8 << 20])
+@pytest.mark.parametrize("range_bytes", [700, 8 << 20])
 def test_odd_rows(spark, range_bytes):
     _, read = round_trip(spark, ODD, range_bytes)
     assert sorted(map(tuple, read.collect()), key=key) == sorted(expected(ODD), key=key)

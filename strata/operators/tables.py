@@ -22,7 +22,7 @@ from collections.abc import Callable, Iterable, Sequence
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -183,9 +183,13 @@ def _session_conf(spark: SparkSession, key: str, value: str):
 
 
 def write_by_name(df: DataFrame, table: str, mode: str = "overwrite",
-                  full_overwrite: bool = False, rebalance: bool = True) -> None:
+                  full_overwrite: bool = False, rebalance: bool = True,
+                  written: Observation | None = None) -> None:
     """Insert ``df`` into ``table`` matching columns by name.
 
+    ``written`` receives ``rows``, counted in the stage that writes: a re-run of
+    an earlier stage does not count rows twice.
+
     The overwrite mode is set on the session for the duration of the insert:
     ``insertInto`` does not read it from writer options, and a session left at
     Spark's default (static) would drop every partition absent from ``df``.
@@ -196,6 +200,8 @@ def write_by_name(df: DataFrame, table: str, mode: str = "overwrite",
     out = align_to_table(df, target)
     if parts and rebalance:
         out = spread_by_partition(out, parts)
+    if written is not None:
+        out = out.observe(written, F.count(F.lit(1)).alias("rows"))
     overwrite_mode = "static" if full_overwrite else "dynamic"
     with _session_conf(spark, _OVERWRITE_MODE, overwrite_mode):
         out.write.format("parquet").mode(mode).insertInto(table)

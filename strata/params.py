@@ -54,6 +54,7 @@ class IngestParams:
     multi_line: bool | None = None  # None: as the landing marked it (CSV), lines (JSON)
     compression: str | None = None
     url: str | None = None
+    rebalance: bool = True  # False: no shuffle before the write (input already well dealt)
 
     def __post_init__(self):
         if self.ext not in SUPPORTED_FORMATS:
@@ -97,6 +98,7 @@ class IngestParams:
             multi_line=_flag(d.get("multi_line", d.get("multiline"))),
             compression=d.get("compression"),
             url=d.get("url"),
+            rebalance=_flag(d.get("rebalance")) is not False,
         )
 
 

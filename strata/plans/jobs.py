@@ -92,12 +92,14 @@ def bronze_to_silver(spark: SparkSession, lake: Lake, source: str, table: str, d
                          lake.location("silver", params.target_schema, params.target_table),
                          params.compression)
         with log.step("write_table"):
-            write_by_name(typed, params.table, mode=params.mode,
-                          full_overwrite=full_overwrite)
+            written = Observation("silver_rows")
+            write_by_name(typed, params.table, mode=params.mode, full_overwrite=full_overwrite,
+                          rebalance=params.rebalance, written=written)
         log.info("day", day)
-        metrics = observed(seen) or {"rows": None}
-        for key, value in metrics.items():
-            log.info(key, value)
+        log.info("rows", observed(written).get("rows"))
+        for key, value in observed(seen).items():
+            if key != "rows":
+                log.info(key, value)
         return spark.table(params.table)
 
 

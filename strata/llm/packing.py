@@ -39,8 +39,8 @@ PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long, "
           "part int, nth long")
 
 #: Planned each way, since a plan costs a fraction of a second; the fewest sequences win.
-GROUPS = (256, 512, 1024)
-SMALL_SHARES = (0.125, 0.2, 0.25, 0.3)
+GROUPS = (512, 1024)
+SMALL_SHARES = (0.2, 0.3, 0.4)
 
 
 @dataclass(frozen=True)

@@ -10,7 +10,7 @@ from strata.llm.oracles import ORACLES
 from strata.llm.queries import QUERIES
 
 from test_entry import TABLES, _canon
-from .helpers import SF
+from .helpers import SF, frame
 
 
 @pytest.fixture(scope="module")
@@ -75,3 +75,29 @@ def test_query_matches_its_sql(spark, name):
     res = con.sql(ORACLES[name])
     assert sorted(df.columns) == sorted(res.columns)
     assert _canon(df.columns, got) == _canon(res.columns, res.fetchall())
+
+
+def test_stages_take_odd_rows_and_empty_tables(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    new = 1_000_000
+    odd = [(None, None, None, None, None), (None, "no id here", "en", "s", 10),
+           (new, "", "en", None, 0), (new + 1, None, None, "s", None),
+           (new + 2, "plain words " * 20_000, "en", "s", 1),
+           (new + 3, "one plain line of words", "en", "s", 1),
+           (new + 3, "one plain line of words", "en", "s", 1)]
+    df = frame(spark, docs.limit(120).collect() + odd, docs.schema)
+    for _, stage in C.STAGES[:3]:
+        kept = C.materialize(stage(spark, df, SF), "odd-stage")
+        assert kept.columns == df.columns and 0 < kept.count() <= df.count()
+        assert kept.exceptAll(df).count() == 0
+        df = kept
+    ids = [r.doc_id for r in df.collect()]
+    named = [i for i in ids if i is not None]
+    assert len(named) == len(set(named)) and new + 3 in named
+    assert ids.count(None) == 2  # rows without id stay: nothing tells them apart
+    assert not {new, new + 1} <= set(named)  # both are empty: one of them stays
+    packed = C.pack(spark, df, SF)
+    assert packed.select("doc_id").distinct().count() == len(set(ids))
+    empty = frame(spark, [], docs.schema)
+    for _, stage in C.STAGES:
+        assert stage(spark, empty, SF).count() == 0

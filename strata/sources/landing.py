@@ -76,6 +76,10 @@ def _csv_options(sep: str, header: bool, multi_line: bool = True) -> dict[str, s
     }
 
 
+def _json_options(multi_line: bool | None) -> dict[str, str]:
+    return {"multiLine": str(bool(multi_line)).lower(), "mode": "FAILFAST", **TEXT_TIME_OPTIONS}
+
+
 def plain_double(c: Column) -> Column:
     """Text of a double without an exponent, digit for digit.
 
@@ -270,10 +274,10 @@ def read_json(spark: SparkSession, path: str, schema: StructType | str | None =
     """Frame of landed JSON: lines, or whole-file arrays with ``multi_line``.
 
     Keys missing from a record are NULL. With a schema nothing is inferred and
-    nested values keep their types.
+    nested values keep their types. A malformed record fails the read instead
+    of becoming a row of NULLs.
     """
-    reader = spark.read.options(**TEXT_TIME_OPTIONS).option(
-        "multiLine", str(bool(multi_line)).lower())
+    reader = spark.read.options(**_json_options(multi_line))
     if schema is not None:
         reader = reader.schema(schema)
     return reader.json(path)
@@ -438,8 +442,7 @@ def read_days(spark: SparkSession, base: str, days: list[str], ext: str = "csv",
     if ext == "csv":
         df = read_csv_folders(spark, paths, sep, header, multi_line, base.rstrip("/"))
     elif ext == "json":
-        reader = reader.options(**TEXT_TIME_OPTIONS).option(
-            "multiLine", str(bool(multi_line)).lower())
+        reader = reader.options(**_json_options(multi_line))
         if schema is not None:
             reader = reader.schema(schema)
         df = reader.json(paths)

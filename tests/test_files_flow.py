@@ -105,6 +105,16 @@ def test_malformed_lines_fail_or_are_set_aside(spark, lake, shop):
     assert silver.where("o_orderkey is null").count() == 0
 
 
+def test_malformed_landed_json_fails_the_silver_job(spark, lake, shop):
+    base, silver, gold, logs = shop
+    layout(spark, base, silver, gold, ext="json")
+    write_text(spark, f"{lake.bronze('shop', 'orders')}/ingest_date={DAY}/a.json",
+               '{"o_orderkey": 1, "o_orderstatus": "F"}\n{"o_orderkey": 2, "o_or')
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        silver_from_files(spark, lake, base, "shop", "orders", DAY, logs_db=logs)
+    assert spark.table(f"{logs}.bronze_to_silver").first().status == "failed"
+
+
 @pytest.mark.parametrize("sep, header", [(";", True), ("|", True), ("|", False)])
 def test_delivered_csv_has_the_declared_separator(spark, lake, shop, sep, header):
     base, silver, gold, logs = shop

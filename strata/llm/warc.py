@@ -29,10 +29,14 @@ import re
 from collections.abc import Iterator
 from urllib.parse import quote
 
+import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import BinaryType
 
 from ..session import run_root
 from .common import CommittedFile, materialize, open_fs
@@ -86,15 +90,19 @@ def record(page_id: int | None, url: str | None, payload: bytes, size: int, dige
     return head + block + BLOCK_END
 
 
+@pandas_udf(BinaryType())
+def _packed(payloads: pd.Series) -> pd.Series:
+    return payloads.map(zstandard.ZstdCompressor(level=1).compress)
+
+
 def write_archives(pages: DataFrame, id_col: str, payload_col: str, url_col: str | None,
                    folder: str, min_bytes: int = 0, date: str = "2000-01-01T00:00:00Z",
                    ) -> DataFrame:
     """Write one record per page into archives under ``folder``.
 
     Returns the committed list of archives: path, size. Payloads shorter than
-    ``min_bytes`` are never revisits. Only payloads that occur twice or more go
-    through the join, as narrow rows; a frequent payload's pages are split by
-    the skew join, and revisits carry no payload.
+    ``min_bytes`` are never revisits. Payloads travel to the writers compressed;
+    a frequent payload's pages are split by the skew join.
     """
     payload = F.coalesce(F.encode(F.col(payload_col).cast("string"), "UTF-8"), F.lit(b""))
     url = F.col(url_col).cast("string") if url_col else F.lit(None).cast("string")
@@ -105,6 +113,7 @@ def write_archives(pages: DataFrame, id_col: str, payload_col: str, url_col: str
     first = (rows.where(F.col("size") >= min_bytes).groupBy("sha1", "size")
              .agg(F.min("id").alias("first"), F.count("*").alias("n"))
              .where("n > 1 and first is not null").drop("n"))
+    rows = rows.withColumn("payload", _packed("payload"))
     refers = F.when(~F.col("first").eqNullSafe(F.col("id")), F.col("first"))
     rows = rows.join(first, ["sha1", "size"], "left").withColumn("refers", refers)
     rows = rows.select("id", "url", F.when(F.col("refers").isNull(), F.col("payload"))
@@ -112,11 +121,13 @@ def write_archives(pages: DataFrame, id_col: str, payload_col: str, url_col: str
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, out = f"pages-{TaskContext.get().partitionId():06d}.warc", None
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             for k in range(batch.num_rows):
                 page, link, body, size, sha1, refers_to = (c[k].as_py() for c in batch.columns)
                 out = out or CommittedFile(folder, name)
-                out.write(record(page, link, body or b"", size, sha1, refers_to, date))
+                body = b"" if body is None else unpack(body)
+                out.write(record(page, link, body, size, sha1, refers_to, date))
         if out:
             out.commit()
             yield pa.RecordBatch.from_arrays(

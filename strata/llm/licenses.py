@@ -17,6 +17,7 @@ reported as null; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,9 +26,8 @@ from pyspark.sql import functions as F
 # in this order to the lower-case text before punctuation is removed.
 SPELLINGS = (
     ("licence", "license"),
-    ("licenced", "licensed"),
-    ("sub[- ]licen[cs]e", "sublicense"),
-    ("non-?commercial", "noncommercial"),
+    ("sub[- ]license", "sublicense"),
+    ("non-commercial", "noncommercial"),
     ("non-infringement", "noninfringement"),
     ("merchantibility", "merchantability"),
     ("copyright owners?|copyright holders?", "copyright holder"),
@@ -35,11 +35,18 @@ SPELLINGS = (
     ("organisation", "organization"),
     ("favour", "favor"),
     ("acknowledgement", "acknowledgment"),
-    ("per ?cent", "percent"),
+    ("per cent", "percent"),
     ("[(]c[)]|©", "copyright"),
-    ("version ([0-9])|\\bv([0-9])", "version $1$2"),
     ("\\b(the|this) (software|program|work|file|project|package) is ", ""),
 )
+#: A text that holds none of these is changed neither by ``SPELLINGS`` nor by the
+#: removal of copyright lines.
+SIGNS = ("licence", "sub-lic", "sub lic", "non-commercial", "non-infringement", "merchantibility",
+         "copyright", "://", "organisation", "favour", "acknowledgement", "per cent", "(c)", "©",
+         "all rights reserved", "software is ", "program is ", "work is ", "file is ",
+         "project is ", "package is ")
+#: Short forms of version numbers, in every text.
+VERSION = ("\\bv([0-9])", "version $1")
 #: A line that starts like this, after comment marks, is a copyright line.
 COPYRIGHT_LINE = "(?m)^[ \\t/*#;%-]*(copyright|[(]c[)]|©|all rights reserved)[^\\n]*$"
 #: Everything that is no letter or digit separates words.
@@ -133,16 +140,23 @@ def known_texts() -> list[tuple[str, str]]:
     return notices + [(key, text) for key, texts in TEXTS.items() for text in texts]
 
 
-def canonical(text: Column) -> Column:
-    """The canonical form of a text."""
-    out = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "")
-    for pattern, new in SPELLINGS:
-        out = F.regexp_replace(out, pattern, new)
-    return F.trim(F.regexp_replace(out, NO_WORD, " "))
-
+def with_digest(df: DataFrame, text_col: str) -> DataFrame:
+    """``df`` with the digest of a text column's canonical form in its place.
 
-def digest(canon: Column) -> Column:
-    return F.sha2(canon, 256)
+    Most texts hold no sign of a spelling or copyright line and take one pass
+    for versions and one for punctuation; the others go through all rules.
+    """
+    low = F.col("low")
+    some = reduce(Column.__or__, [F.contains(low, F.lit(sign)) for sign in SIGNS])
+    full = F.regexp_replace(low, COPYRIGHT_LINE, "")
+    for pattern, new in SPELLINGS:
+        full = F.regexp_replace(full, pattern, new)
+    lowered = df.withColumn("low", F.lower(text_col)).drop(text_col)
+    spelled = lowered.withColumn("low", F.when(some, full).otherwise(low))
+    plain = F.regexp_replace(F.regexp_replace("low", *VERSION), NO_WORD, " ")
+    # never null, so that the join does not compute it a second time to filter nulls
+    return spelled.withColumn("digest", F.coalesce(F.sha2(F.trim(plain), 256),
+                                                   F.lit(""))).drop("low")
 
 
 def known_digests(spark: SparkSession,
@@ -150,8 +164,8 @@ def known_digests(spark: SparkSession,
     """digest, license: one row per digest (of two licenses the first by name)."""
     rows = spark.createDataFrame(list(known_texts() if texts is None else texts),
                                  "license string, text string").coalesce(1)
-    return (rows.select("license", digest(canonical(F.col("text"))).alias("digest"))
-            .groupBy("digest").agg(F.min("license").alias("license")))
+    return (with_digest(rows, "text").groupBy("digest")
+            .agg(F.min("license").alias("license")))
 
 
 def scan(df: DataFrame, id_col: str, text_col: str,
@@ -165,11 +179,9 @@ def scan(df: DataFrame, id_col: str, text_col: str,
     known = F.broadcast(known_digests(df.sparkSession, texts))
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"),
                      F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    whole = rows.select("doc_id", F.lit(0).alias("line_no"),
-                        digest(canonical(F.col("text"))).alias("digest"))
+    whole = with_digest(rows.withColumn("line_no", F.lit(0)), "text")
     lines = rows.select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    lines = lines.select("doc_id", (F.col("at") + 1).alias("line_no"),
-                         digest(canonical(F.col("line"))).alias("digest"))
+    lines = with_digest(lines.withColumn("line_no", F.col("at") + 1).drop("at"), "line")
     columns = ["doc_id", "line_no", "digest", "license"]
     return (whole.join(known, "digest", "left").select(*columns)
             .unionByName(lines.join(known, "digest").select(*columns)))

@@ -55,7 +55,7 @@ FROM d
 
 def _canonical(text: str) -> str:
     out = f"regexp_replace(lower({text}), {_quoted(licenses.COPYRIGHT_LINE)}, '', 'g')"
-    for pattern, new in licenses.SPELLINGS:
+    for pattern, new in (*licenses.SPELLINGS, licenses.VERSION):
         new = new.replace("$", "\\")
         out = f"regexp_replace({out}, {_quoted(pattern)}, {_quoted(new)}, 'g')"
     return f"trim(regexp_replace({out}, {_quoted(licenses.NO_WORD)}, ' ', 'g'))"

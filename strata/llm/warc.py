@@ -213,7 +213,7 @@ def exits(ranges: DataFrame, range_bytes: int) -> DataFrame:
                     leave[at] = leave.get(after, after)
                 keep = [(at, leave[at]) for at, _ in found if leave[at] >= end]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r["path"]] * len(keep)), pa.array([k for k, _ in keep], pa.int64()),
+                    [pa.array([r["path"]] * len(keep), pa.string()), pa.array([k for k, _ in keep], pa.int64()),
                      pa.array([n for _, n in keep], pa.int64())], names=["path", "at", "next"])
 
     return ranges.mapInArrow(run, "path string, at long, next long")

@@ -26,17 +26,18 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from urllib.parse import quote
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import BinaryType
+from pyspark.sql.types import BinaryType, BooleanType
 
 from ..session import run_root
 from .common import CommittedFile, materialize, open_fs
@@ -51,6 +52,8 @@ HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 RANGE_BYTES = 8 << 20
 READ_BYTES = 1 << 20
 HEADER_BYTES = 64 << 10
+#: Bits of the filter that tells which payloads may repeat.
+FILTER_BITS = 1 << 23
 
 _LENGTH = re.compile(rb"\r\nContent-Length: (\d+)\r\n", re.IGNORECASE)
 RECORD = ("page_id long, payload_bytes long, payload_digest string, record_type string, "
@@ -95,14 +98,43 @@ def _packed(payloads: pd.Series) -> pd.Series:
     return payloads.map(zstandard.ZstdCompressor(level=1).compress)
 
 
+def _may_repeat(repeated: DataFrame) -> Callable[[str], Column]:
+    """A test of a digest column: false only for digests not in ``repeated``.
+
+    Four bits per digest in ``FILTER_BITS`` bits; at most one row per 64 bits
+    comes to the driver.
+    """
+    places = [F.conv(F.substring(F.hex("sha1"), 8 * k + 1, 8), 16, 10).cast("long")
+              % FILTER_BITS for k in range(4)]
+    words = (repeated.select(F.explode(F.array(*places)).alias("bit"))
+             .groupBy(F.shiftright("bit", 6).alias("word"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")))
+    table = np.zeros(FILTER_BITS >> 6, np.int64)
+    for word, bits in words.collect():
+        table[word] = bits
+    shared = repeated.sparkSession.sparkContext.broadcast(table.view(np.uint64))
+
+    @pandas_udf(BooleanType())
+    def test(digests: pd.Series) -> pd.Series:
+        raw = np.frombuffer(b"".join(digests), ">u4").reshape(-1, 5)[:, :4].astype(np.uint64)
+        bit = raw % np.uint64(FILTER_BITS)
+        set_ = shared.value[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))
+        return pd.Series((set_ & np.uint64(1)).all(axis=1))
+
+    return test
+
+
 def write_archives(pages: DataFrame, id_col: str, payload_col: str, url_col: str | None,
                    folder: str, min_bytes: int = 0, date: str = "2000-01-01T00:00:00Z",
                    ) -> DataFrame:
     """Write one record per page into archives under ``folder``.
 
     Returns the committed list of archives: path, size. Payloads shorter than
-    ``min_bytes`` are never revisits. Payloads travel to the writers compressed;
-    a frequent payload's pages are split by the skew join.
+    ``min_bytes`` are never revisits. Only pages whose digest may occur twice or
+    more go through the join, found by a filter of fixed size (``FILTER_BITS``;
+    what it lets through wrongly is joined and matches nothing); the others are
+    written where they are read. Joined payloads travel compressed, and a
+    frequent payload's pages are split by the skew join.
     """
     payload = F.coalesce(F.encode(F.col(payload_col).cast("string"), "UTF-8"), F.lit(b""))
     url = F.col(url_col).cast("string") if url_col else F.lit(None).cast("string")
@@ -113,20 +145,26 @@ def write_archives(pages: DataFrame, id_col: str, payload_col: str, url_col: str
     first = (rows.where(F.col("size") >= min_bytes).groupBy("sha1", "size")
              .agg(F.min("id").alias("first"), F.count("*").alias("n"))
              .where("n > 1 and first is not null").drop("n"))
-    rows = rows.withColumn("payload", _packed("payload"))
+    first = materialize(first, "repeated-payloads")
+    maybe = _may_repeat(first)("sha1")
+    alone = rows.where(~maybe).select("id", "url", "payload", "size", "sha1",
+                                      F.lit(None).cast("long").alias("refers"))
+    rows = rows.where(maybe).withColumn("payload", _packed("payload"))
     refers = F.when(~F.col("first").eqNullSafe(F.col("id")), F.col("first"))
     rows = rows.join(first, ["sha1", "size"], "left").withColumn("refers", refers)
     rows = rows.select("id", "url", F.when(F.col("refers").isNull(), F.col("payload"))
-                       .alias("payload"), "size", "sha1", "refers")
+                       .alias("payload"), "size", "sha1", "refers", F.lit(True).alias("packed"))
+    rows = rows.unionByName(alone.withColumn("packed", F.lit(False)))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, out = f"pages-{TaskContext.get().partitionId():06d}.warc", None
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             for k in range(batch.num_rows):
-                page, link, body, size, sha1, refers_to = (c[k].as_py() for c in batch.columns)
+                page, link, body, size, sha1, refers_to, packed = (
+                    c[k].as_py() for c in batch.columns)
                 out = out or CommittedFile(folder, name)
-                body = b"" if body is None else unpack(body)
+                body = unpack(body) if body and packed else body or b""
                 out.write(record(page, link, body, size, sha1, refers_to, date))
         if out:
             out.commit()

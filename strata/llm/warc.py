@@ -9,9 +9,11 @@ where the record magic and a full header stand, with the offset of the record
 behind it. The magic may also stand inside a payload, so a candidate counts
 only if the chain of successors from the start of the file reaches it:
 
-* inside a range, the chain is followed to the first offset behind the range;
-* across ranges, pointer jumping doubles the step length every round, so a file
-  of n ranges takes log2(n) rounds of joins over narrow rows.
+* inside a range, every chain is followed to the first offset behind the range;
+  all candidates with the same such exit are one node;
+* across ranges, a node's successor is the node that holds its exit, and pointer
+  jumping over the nodes doubles the step length every round, so a file of n
+  ranges takes log2(n) rounds of joins over about n narrow rows.
 
 Then each range is read once more from its one reached record on. The chain has
 to end at the end of the file, or the archive is broken and reading fails.
@@ -48,8 +50,10 @@ BLOCK_END = b"\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
-#: Bytes of one range when reading; bytes read at a time; longest header.
+#: Bytes of one range when reading, and ranges of one task (fewer where that leaves
+#: cores idle); bytes read at a time; longest header.
 RANGE_BYTES = 8 << 20
+RANGES_PER_TASK = 16
 READ_BYTES = 1 << 20
 HEADER_BYTES = 64 << 10
 #: Bits of the filter that tells which payloads may repeat.
@@ -129,7 +133,7 @@ def write_archives(pages: DataFrame, id_col: str, payload_col: str, url_col: str
                    ) -> DataFrame:
     """Write one record per page into archives under ``folder``.
 
-    Returns the committed list of archives: path, size. Payloads shorter than
+    Returns the committed list of archives: file, path, size. Payloads shorter than
     ``min_bytes`` are never revisits. Only pages whose digest may occur twice or
     more go through the join, found by a filter of fixed size (``FILTER_BITS``;
     what it lets through wrongly is joined and matches nothing); the others are
@@ -157,7 +161,8 @@ def write_archives(pages: DataFrame, id_col: str, payload_col: str, url_col: str
     rows = rows.unionByName(alone.withColumn("packed", F.lit(False)))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, out = f"pages-{TaskContext.get().partitionId():06d}.warc", None
+        number, out = TaskContext.get().partitionId(), None
+        name = f"pages-{number:06d}.warc"
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             for k in range(batch.num_rows):
@@ -169,10 +174,10 @@ def write_archives(pages: DataFrame, id_col: str, payload_col: str, url_col: str
         if out:
             out.commit()
             yield pa.RecordBatch.from_arrays(
-                [pa.array([f"{folder}/{name}"]), pa.array([out.size], pa.int64())],
-                names=["path", "size"])
+                [pa.array([number], pa.int32()), pa.array([f"{folder}/{name}"]),
+                 pa.array([out.size], pa.int64())], names=["file", "path", "size"])
 
-    return materialize(rows.mapInArrow(write, "path string, size long"), "archives")
+    return materialize(rows.mapInArrow(write, "file int, path string, size long"), "archives")
 
 
 class Archive:
@@ -232,11 +237,11 @@ class Archive:
 def _ranges(archives: DataFrame, range_bytes: int) -> DataFrame:
     begin = F.explode(F.sequence(F.lit(0), (F.col("size") - 1).cast("long"),
                                  F.lit(range_bytes))).alias("begin")
-    return archives.where("size > 0").select("path", "size", begin)
+    return archives.where("size > 0").select("file", "path", "size", begin)
 
 
 def exits(ranges: DataFrame, range_bytes: int) -> DataFrame:
-    """Candidates with the first chain offset behind their range: path, at, next.
+    """Nodes: per range and exit the candidates that lead there (file, begin, exit, ats).
 
     Candidates whose chain ends inside the range lead nowhere and are left out.
     """
@@ -249,40 +254,55 @@ def exits(ranges: DataFrame, range_bytes: int) -> DataFrame:
                 found = list(archive.candidates(r["begin"], end))
                 for at, after in reversed(found):  # a successor always lies behind
                     leave[at] = leave.get(after, after)
-                keep = [(at, leave[at]) for at, _ in found if leave[at] >= end]
+                nodes: dict[int, list[int]] = {}
+                for at, _ in found:
+                    if leave[at] >= end:
+                        nodes.setdefault(leave[at], []).append(at)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r["path"]] * len(keep), pa.string()), pa.array([k for k, _ in keep], pa.int64()),
-                     pa.array([n for _, n in keep], pa.int64())], names=["path", "at", "next"])
+                    [pa.array([r["file"]] * len(nodes), pa.int32()),
+                     pa.array([r["begin"]] * len(nodes), pa.int64()),
+                     pa.array(list(nodes), pa.int64()),
+                     pa.array(list(nodes.values()), pa.list_(pa.int64()))],
+                    names=["file", "begin", "exit", "ats"])
 
-    return ranges.mapInArrow(run, "path string, at long, next long")
+    return ranges.mapInArrow(run, "file int, begin long, exit long, ats array<long>")
 
 
-def reached(archives: DataFrame, links: DataFrame) -> DataFrame:
-    """Offsets (path, at) on the chain from each file's start, one per range.
+def reached(links: DataFrame) -> DataFrame:
+    """Nodes (file, begin, exit) on the chain from each file's start.
 
-    Pointer jumping: the offsets known so far are extended by all jumps, then
-    each jump is joined with the jump that starts where it ends.
+    The nodes known so far are extended by all jumps, then each jump is joined
+    with the jump that starts where it ends.
     """
-    known = archives.where("size > 0").select("path", F.lit(0).cast("long").alias("at"))
-    jumps, n = materialize(links, "links"), 0
+    node, then = ["file", "begin", "exit"], ["file", "next_begin", "next_exit"]
+    links = materialize(links, "links")
+    held = links.select(*node, F.explode("ats").alias("at"))
+    known = held.where("at = 0").select(*node)
+    holder = held.select("file", F.col("begin").alias("next_begin"),
+                         F.col("exit").alias("next_exit"), F.col("at").alias("exit"))
+    jumps = materialize(links.select(*node).join(holder, ["file", "exit"])
+                        .select(*node, *then[1:]), "jumps")
+    n = 0
     while True:
-        ahead = known.join(jumps, ["path", "at"]).select("path", F.col("next").alias("at"))
+        ahead = known.join(jumps, node).select(*then).toDF(*node)
         known = materialize(known.union(ahead).distinct(), "reached")
         if (count := known.count()) == n:
             return known
         n = count
-        then = jumps.select("path", F.col("at").alias("next"), F.col("next").alias("over"))
-        jumps = materialize(jumps.join(then, ["path", "next"])
-                            .select("path", "at", F.col("over").alias("next")), "jumps")
+        over = jumps.toDF("file", *then[1:], "over_begin", "over_exit")
+        jumps = materialize(jumps.join(over, then).select(*node, "over_begin", "over_exit")
+                            .toDF(*node, *then[1:]), "jumps")
 
 
 def read_archives(archives: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """All records of the archives (``RECORD``), read in byte ranges."""
     ranges = materialize(_ranges(archives, range_bytes), "ranges")
-    tasks = max(1, ranges.count())
-    chain = reached(archives, exits(ranges.repartition(tasks), range_bytes))
-    broken = (chain.groupBy("path").agg(F.max("at").alias("end"))
-              .join(archives, "path").where(F.col("end") != F.col("size")))
+    n, cores = ranges.count(), archives.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(n, 4 * cores), n // RANGES_PER_TASK)
+    chain = reached(exits(ranges.repartition(tasks), range_bytes))
+    ends = chain.groupBy("file").agg(F.max("exit").alias("end"))
+    broken = archives.where("size > 0").join(ends, "file", "left").where(
+        ~F.col("end").eqNullSafe(F.col("size")))
     if bad := broken.select("path").first():
         raise ValueError(f"the record chain breaks off in {bad.path}")
 
@@ -301,7 +321,9 @@ def read_archives(archives: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFr
                     [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)],
                     names=names)
 
-    starts = chain.join(archives, "path").where("at < size")
+    entered = chain.select("file", F.col("exit").alias("at")).union(
+        archives.select("file", F.lit(0).cast("long")))
+    starts = entered.join(archives, "file").where("at < size")
     return starts.repartition(tasks).mapInArrow(run, RECORD)
 
 

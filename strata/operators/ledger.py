@@ -28,6 +28,7 @@ from .tables import ensure_table, write_by_name
 
 STEP_TYPE = StructType([StructField("step", StringType()), StructField("seconds", DoubleType())])
 
+# The first ten column names, as the log tables have them.
 LEDGER_SCHEMA = StructType([
     StructField("start_exec", TimestampType()),
     StructField("job_name", StringType()),
@@ -94,6 +95,7 @@ class RunLedger:
         self.error_desc = str(exc)
 
     def info_text(self) -> str:
+        """Fixed form of the ``info`` column: one ``step:seconds`` per line."""
         return "".join(f"{s}:{sec} \n" for s, sec in self.steps)
 
     def row(self, end_exec: datetime | None = None) -> tuple:

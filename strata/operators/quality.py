@@ -68,7 +68,7 @@ ALIASES = {
     "date_mask": "date_mask_equal",
 }
 
-# Per check: the parameters zipped with the columns.
+# Per check name, the parameter keys zipped with the columns.
 _ZIPPED = {
     "not_null": (),
     "unique_vals": (),

@@ -46,7 +46,7 @@ MIN_TEXTS = 4
 #: Likelihood-ratio statistic of a term and the label, from which it is used.
 MIN_RATIO = 14.0
 #: Tokens whose terms a worker remembers.
-CACHE_TOKENS = 400_000
+CACHE_TOKENS = 150_000
 
 _WORDS = re.compile(r"[^\W\d_]+")
 

@@ -13,10 +13,12 @@ ratio below ``MIN_RATIO``) have no weight, and linear weights are shrunk to zero
 by an L1 step, so a long text collects no noise from its many harmless terms.
 
 The machine is fitted on a bounded sample of labelled rows (``positives`` and
-``negatives``, the smallest hashes of the id per class); scoring covers every
-row and whole texts.
+``negatives``, the smallest hashes of the id per class); where a bound cuts a
+class, the base is moved by the log-ratio of the two classes' sampled shares, so
+scores follow the labels' own class ratio. Scoring covers every row and whole
+texts.
 
-Edge cases: null or empty text has no terms and scores the base rate; without
+Edge cases: null or empty text has no terms and scores the base alone; without
 labelled rows of both classes the score is that (smoothed) base rate for all;
 rows that repeat are scored alike; only id, text and label are read, so extra
 columns do not matter.
@@ -119,13 +121,15 @@ def label_ratio(rows: list[np.ndarray], label: np.ndarray) -> tuple[np.ndarray,
 
 def fit(rows: list[np.ndarray], label: np.ndarray, factors: int = 4, epochs: int = 10,
         rate: float = 0.1, shrink: float = 0.0001, decay: float = 0.0005, batch: int = 64,
-        seed: int = 7) -> FactorizationMachine:
+        seed: int = 7, shift: float = 0.0) -> FactorizationMachine:
     """Adaptive-gradient fit on rows of hashed terms and labels 0/1.
 
-    ``shrink`` is the L1 step on linear weights, ``decay`` the L2 step on factors.
+    ``shrink`` is the L1 step on linear weights, ``decay`` the L2 step on factors,
+    ``shift`` what the sampling of the classes added to the log-odds (taken off the base).
     """
     base = float(np.log((label.sum() + 0.05) / (len(label) - label.sum() + 0.95)))
-    empty = FactorizationMachine(base, np.zeros(0, np.int64), np.zeros(0), np.zeros((0, factors)))
+    empty = FactorizationMachine(base - shift, np.zeros(0, np.int64), np.zeros(0),
+                                 np.zeros((0, factors)))
     if not len(label) or label.min() == label.max():
         return empty
     ids, ratio = label_ratio(rows, label)
@@ -140,16 +144,18 @@ def fit(rows: list[np.ndarray], label: np.ndarray, factors: int = 4, epochs: int
     for _ in range(epochs):
         order = rng.permutation(len(rows))
         for begin in range(0, len(order), batch):
-            pick = [k for k in order[begin:begin + batch] if len(rows[k])]
-            if not pick:
-                continue
+            pick = order[begin:begin + batch]
             sizes = np.array([len(rows[k]) for k in pick])
             starts = np.r_[0, np.cumsum(sizes)[:-1]]
+            some = sizes > 0  # texts without a term move the base alone
             own, inverse = np.unique(np.concatenate([rows[k] for k in pick]), return_inverse=True)
             vx = v[own][inverse]
-            total = np.add.reduceat(vx, starts)
-            pairs = 0.5 * ((total ** 2).sum(1) - np.add.reduceat((vx ** 2).sum(1), starts))
-            logit = base + np.add.reduceat(w[own][inverse], starts) + pairs
+            total, logit = np.zeros((len(pick), factors)), np.full(len(pick), base)
+            if some.any():
+                starts = starts[some]
+                total[some] = np.add.reduceat(vx, starts)
+                pairs = (total[some] ** 2).sum(1) - np.add.reduceat((vx ** 2).sum(1), starts)
+                logit[some] += np.add.reduceat(w[own][inverse], starts) + 0.5 * pairs
             g = 1 / (1 + np.exp(-np.clip(logit, -30, 30))) - label[pick]
             each = np.repeat(g, sizes)
             gw = np.bincount(inverse, each)
@@ -163,7 +169,14 @@ def fit(rows: list[np.ndarray], label: np.ndarray, factors: int = 4, epochs: int
             v[own] = (v[own] - 0.5 * rate / np.sqrt(v_sum[own]) * gv) * (1 - decay)
             base_sum += g.sum() ** 2
             base -= rate / np.sqrt(base_sum) * g.sum()
-    return FactorizationMachine(float(base), ids, w, v)
+    return FactorizationMachine(float(base - shift), ids, w, v)
+
+
+def learnable(labels: DataFrame, id_col: str, label_col: str, may_learn: Column) -> DataFrame:
+    """Distinct (_id, label) of the labels that may be learnt."""
+    return (labels.where(may_learn & F.col(label_col).isNotNull())
+            .select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label"))
+            .where("_id is not null").distinct())
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
@@ -174,9 +187,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     table) leaves rows out. The ids sent to every task are at most
     ``positives + negatives``.
     """
-    marked = (labels.where(may_learn & F.col(label_col).isNotNull())
-              .select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label"))
-              .where("_id is not null").distinct())
+    marked = learnable(labels, id_col, label_col, may_learn)
     picked = [marked.where(F.col("label") == kind).orderBy(F.xxhash64("_id"), "_id").limit(most)
               for kind, most in ((1, positives), (0, negatives))]
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
@@ -196,13 +207,17 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), batch.column(1)],
                                              names=["terms", "label"])
 
+    count = dict(learnable(labels, id_col, label_col, may_learn).where("label in (0, 1)")
+                 .groupBy("label").count().collect())
+    shift = (math.log(max(1.0, count.get(0, 0) / negatives))
+             - math.log(max(1.0, count.get(1, 0) / positives)))
     sample = training_rows(docs, labels, id_col, text_col, label_col, may_learn, positives,
                            negatives)
     found = sample.mapInArrow(run, "terms binary, label int").toArrow()
     rows = [np.frombuffer(x, np.int32) for x in found.column("terms").to_pylist()]
     label = found.column("label").to_numpy().astype(float)
     order = sorted(range(len(rows)), key=lambda k: (zlib.crc32(rows[k].tobytes()), label[k]))
-    return fit([rows[k] for k in order], label[order])
+    return fit([rows[k] for k in order], label[order], shift=shift)
 
 
 def toxicity_score(spark: SparkSession, model: FactorizationMachine, text: Column) -> Column:

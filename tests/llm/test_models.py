@@ -98,6 +98,26 @@ def test_labels_without_documents_and_repeats(spark):
     assert model.score("idiot text") > 0.5 > model.score("fine text")
 
 
+def test_class_caps_do_not_move_the_scores(spark):
+    """600 clean and 60 toxic texts, of which 60 and 60 are learnt."""
+    docs = frame(spark, [(k, f"idiot maybe {k % 7}" if k % 11 == 0 else f"maybe fine {k % 7}")
+                         for k in range(660)], "doc_id long, text string")
+    labels = frame(spark, [(k, int(k % 11 == 0)) for k in range(660)], "doc_id long, toxic int")
+    args = (docs, labels, "doc_id", "text", "toxic", F.lit(True))
+    full, cut = T.fit_toxicity(*args), T.fit_toxicity(*args, positives=60, negatives=60)
+    for text in ("", None, "unknown words"):
+        assert full.score(text) < 0.3 and cut.score(text) < 0.3
+    assert cut.score("idiot") > 0.5 > 0.3 > cut.score("fine")
+
+
+def test_texts_without_kept_terms_move_the_base():
+    """Half the texts are toxic, but none of those without a kept term."""
+    idiot = np.array(sorted(T.terms("idiot")), np.int32)
+    rows = [idiot, np.zeros(0, np.int32)] * 400
+    model = T.fit(rows, np.array([1.0, 0.0] * 400))
+    assert model.score("") < 0.3 < 0.5 < model.score("idiot")
+
+
 def test_quality_odd_rows(spark):
     df = _texts(spark)
     good, bad = "A plain line of words.\nAnother plain line here.", "XX!! YY!! ZZ!!\nAB!! CD!!"

@@ -38,7 +38,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Everything kept, packed into sequences; returns the placed pieces."""
-    return packing.pack_documents(docs, "doc_id", "text")
+    return packing.pack_documents(docs, "doc_id", "text", added_tokens=True)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -188,7 +188,7 @@ def _substitute(packer: _Packer, open_runs: list[tuple[int, int, int]],
 
 
 def cut_pieces(df: DataFrame, id_col: str, text_col: str, capacity: int, tokenizer: str,
-               end_id: int) -> DataFrame:
+               end_id: int, added_tokens: bool = False) -> DataFrame:
     """Token pieces of every whole text (``PIECES``).
 
     A document longer than the capacity is cut into full pieces; what is left
@@ -199,7 +199,7 @@ def cut_pieces(df: DataFrame, id_col: str, text_col: str, capacity: int, tokeniz
     width = 4 * capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = library_encoder(tokenizer).encode
+        encode = library_encoder(tokenizer, added_tokens).encode
         part, seen = TaskContext.get().partitionId(), defaultdict(int)
         for batch in slices(batches):
             out = []
@@ -224,17 +224,21 @@ def cut_pieces(df: DataFrame, id_col: str, text_col: str, capacity: int, tokeniz
 def pack_documents(df: DataFrame, id_col: str, text_col: str, capacity: int = 2048,
                    tokenizer: str = "byte_bpe_50k.json", end_id: int = 0,
                    groups: tuple[int, ...] = GROUPS,
-                   small_shares: tuple[float, ...] = SMALL_SHARES) -> DataFrame:
+                   small_shares: tuple[float, ...] = SMALL_SHARES,
+                   added_tokens: bool = False) -> DataFrame:
     """Pack whole texts into sequences of at most ``capacity`` tokens.
 
     Returns per piece: doc_id, piece, start, length, ids_crc32, sequence_id,
     offset. Null text is empty (the end id alone); null ids and repeated rows
-    are packed like any other; an empty table gives no rows. To the driver go
+    are packed like any other; an empty table gives no rows. ``added_tokens``
+    tells whether the tokenizer's added tokens are looked for in texts, as the
+    library's ``encode`` does. To the driver go
     at most ``capacity`` counts; the plan has some thousand runs and is
     broadcast.
     """
     spark = df.sparkSession
-    pieces = materialize(cut_pieces(df, id_col, text_col, capacity, tokenizer, end_id), "pieces")
+    pieces = materialize(cut_pieces(df, id_col, text_col, capacity, tokenizer, end_id,
+                                    added_tokens), "pieces")
     per_task = pieces.groupBy("part", "length").agg((F.max("nth") + 1).alias("n"))
     per_task = materialize(per_task, "piece-counts")
     counts = {r.length: r.n

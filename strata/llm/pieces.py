@@ -77,20 +77,48 @@ def _printable_bytes() -> dict[int, str]:
     return {b: chr(256 + k) for k, b in enumerate(moved)}
 
 
-_LOADED: dict[str, TextEncoder] = {}
+class AddedTokenEncoder:
+    """Like the library's ``encode``: added tokens in a text have their own ids.
+
+    The text between them goes to ``plain``. Tokens that take white space around
+    them along or match whole words only leave their texts to the library itself.
+    """
+
+    def __init__(self, plain: TextEncoder, tokenizer):
+        added = {t.content: (k, t) for k, t in tokenizer.get_added_tokens_decoder().items()
+                 if t.content}
+        self._plain, self._tokenizer = plain, tokenizer
+        self._ids = {content: ids_to_bytes([k]) for content, (k, _) in added.items()}
+        self._exact = not any(t.lstrip or t.rstrip or t.single_word for _, t in added.values())
+        longest_first = sorted(added, key=len, reverse=True)
+        self._cut = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")")
+
+    def encode(self, text: str) -> bytes:
+        if not any(content in text for content in self._ids):
+            return self._plain.encode(text)
+        if not self._exact:
+            return ids_to_bytes(self._tokenizer.encode(text, add_special_tokens=False).ids)
+        return b"".join(self._ids[part] if k % 2 else self._plain.encode(part)
+                        for k, part in enumerate(self._cut.split(text)))
+
+
+_LOADED: dict[tuple[str, bool], TextEncoder | AddedTokenEncoder] = {}
 
 
-def library_encoder(name: str) -> TextEncoder:
+def library_encoder(name: str, added_tokens: bool = False) -> TextEncoder | AddedTokenEncoder:
     """Encoder of a ``tokenizers`` file by its name; one per worker process.
 
-    The library's model encodes every match; special-token strings in a text
-    are ordinary text.
+    The library's model encodes every match. With ``added_tokens`` the strings of
+    the tokenizer's added tokens are these tokens, as in the library's ``encode``
+    with its defaults; without, they are ordinary text (``encode_special_tokens``).
     """
-    if name not in _LOADED:
+    key = (name, added_tokens)
+    if key not in _LOADED:
         import public_tokenizers
         from tokenizers import Tokenizer
 
-        model = Tokenizer.from_file(public_tokenizers.path(name)).model
+        tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+        model = tokenizer.model
         shown = _printable_bytes()
 
         def encode_match(match: str) -> bytes:
@@ -101,5 +129,6 @@ def library_encoder(name: str) -> TextEncoder:
                 written = match.encode().decode("latin-1").translate(shown)
             return ids_to_bytes([t.id for t in model.tokenize(written)])
 
-        _LOADED[name] = TextEncoder(public_tokenizers.PATTERN, encode_match)
-    return _LOADED[name]
+        plain = TextEncoder(public_tokenizers.PATTERN, encode_match)
+        _LOADED[key] = AddedTokenEncoder(plain, tokenizer) if added_tokens else plain
+    return _LOADED[key]

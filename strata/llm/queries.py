@@ -67,7 +67,8 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return packing.pack_documents(table(spark, sf_dir, "documents"), "doc_id", "text",
+                                  added_tokens=True)
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,7 +94,7 @@ def op8_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write_token_files(table(spark, sf_dir, "documents"), "doc_id", "text",
-                                             token_files.token_folder(spark))
+                                             token_files.token_folder(spark), added_tokens=True)
     return token_files.read_token_files(manifest)
 
 

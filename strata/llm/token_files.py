@@ -114,16 +114,18 @@ class TokenFileReader:
 
 def write_token_files(df: DataFrame, id_col: str, text_col: str, folder: str,
                       tokenizer: str = "byte_bpe_50k.json", end_id: int = 0,
-                      level: int = 1) -> DataFrame:
+                      level: int = 1, added_tokens: bool = False) -> DataFrame:
     """Encode whole texts into token files under ``folder``; returns the manifest.
 
     The text's hash is a second sort key, so rows that repeat an id are spread
     over files too. Only id and hash are read for the range bounds' sample.
+    ``added_tokens`` tells whether the tokenizer's added tokens are looked for in
+    texts, as the library's ``encode`` does.
     """
     end = ids_to_bytes([end_id])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = library_encoder(tokenizer).encode
+        encode = library_encoder(tokenizer, added_tokens).encode
         number, writer, n_ids = TaskContext.get().partitionId(), None, 0
         for batch in slices(batches):
             for doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("id", "text")),

@@ -8,6 +8,7 @@ import pytest
 import zstandard
 from tokenizers import Tokenizer
 
+from strata.llm import queries
 from strata.llm import token_files as T
 from strata.llm.pieces import library_encoder
 
@@ -29,6 +30,30 @@ def test_cached_parts_encode_like_the_library(library):
         assert encode(text) == library(text), repr(text[:40])
 
 
+def test_added_tokens_have_their_ids():
+    tok = Tokenizer.from_file(public_tokenizers.path(NAME))
+    encode = library_encoder(NAME, added_tokens=True).encode
+    end = "<|endoftext|>"
+    texts = [*ODD_TEXTS, f"a {end} x", end, end * 2, f" {end}\n\n {end}s", f"a  {end}  b", end[:-1],
+             f"{end[:5]}{end}", "plain words"]
+    for text in [*texts, *(a + end + b for a in ODD_TEXTS for b in ODD_TEXTS)]:
+        want = tok.encode(text, add_special_tokens=False).ids
+        assert encode(text) == np.array(want, "<u4").tobytes(), repr(text[:40])
+
+
+def test_the_query_finds_added_tokens(spark, tmp_path):
+    texts = [f"a <|endoftext|> x {k}" for k in range(5)]
+    rows = [(k, t) for k, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(
+        f"file://{tmp_path}/documents.parquet")
+    tok = Tokenizer.from_file(public_tokenizers.path(NAME))
+    want = [len(tok.encode(t, add_special_tokens=False).ids) + 1 for t in texts]
+    files = queries.op9_token_files(spark, f"file://{tmp_path}").collect()
+    assert [r.n_tokens for r in sorted(files, key=lambda r: r.doc_id)] == want
+    packed = queries.op5_best_fit_packing(spark, f"file://{tmp_path}").collect()
+    assert [r.length for r in sorted(packed, key=lambda r: r.doc_id)] == want
+
+
 def _expected(rows, library):
     out, at = [], 0
     for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):

@@ -51,11 +51,13 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
 #: Bytes of one range when reading, and ranges of one task (fewer where that leaves
-#: cores idle); bytes read at a time; longest header.
+#: cores idle); bytes read at a time; a header longer than ``HEADER_BYTES`` (by its
+#: url) has no more than ``HEADER_LINES`` lines, so that no byte is read for many candidates.
 RANGE_BYTES = 8 << 20
 RANGES_PER_TASK = 16
 READ_BYTES = 1 << 20
 HEADER_BYTES = 64 << 10
+HEADER_LINES = 16
 #: Bits of the filter that tells which payloads may repeat.
 FILTER_BITS = 1 << 23
 
@@ -191,10 +193,13 @@ class Archive:
     def header(self, at: int) -> tuple[bytes, int, int] | None:
         """(header, block offset, successor offset) of a record at ``at``, if one
         can stand there."""
-        for most in (1024, HEADER_BYTES):
+        most = 1024
+        while True:
             head, stop, _ = self.src.read_at(min(most, self.size - at), at).partition(BLOCK_END)
-            if stop:
+            if (stop or at + most >= self.size
+                    or most >= HEADER_BYTES and head.count(b"\r\n") > HEADER_LINES):
                 break
+            most *= 8
         found = _LENGTH.search(head + b"\r\n")
         if not head.startswith(MAGIC) or not stop or not found:
             return None

@@ -52,6 +52,17 @@ def test_odd_rows(spark, range_bytes):
     assert sorted(map(tuple, read.collect()), key=key) == sorted(expected(ODD), key=key)
 
 
+@pytest.mark.parametrize("range_bytes", [700, 64 << 10, 8 << 20])
+def test_long_urls(spark, range_bytes):
+    """Headers of more than 64 KiB: plain, percent-quoted, with the magic, of a revisit."""
+    urls = ["http://a/" + "x" * 200_000, "http://a/" + "é" * 30_000, "u" * 70_000 + "WARC/1.1"]
+    rows = [(k, url, f"page {k}") for k, url in enumerate(urls)]
+    rows += [(10, urls[0], "page 0"), (11, "u", "WARC/1.1\r\nA: " + "b" * 300_000),
+             (12, "u", "WARC/1.1\r\n" * 20_000)]
+    _, read = round_trip(spark, rows, range_bytes)
+    assert sorted(map(tuple, read.collect()), key=key) == sorted(expected(rows), key=key)
+
+
 def test_short_payloads_are_all_responses(spark):
     _, read = round_trip(spark, ODD, min_bytes=5)
     assert sorted(map(tuple, read.collect()), key=key) == sorted(expected(ODD, 5), key=key)

@@ -22,33 +22,45 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Spellings that count as one, as (pattern, replacement), applied
-# in this order to the lower-case text before punctuation is removed.
+# Marks that count as words, as (pattern, replacement), applied in this
+# order to the lower-case text before punctuation is removed.
+MARKS = (
+    ("https?://(www[.])?", ""),
+    ("[(]c[)]|©", "copyright"),
+)
+# Spellings that count as one, likewise, after everything between words
+# was made one space, so that they do not depend on line breaks or comment marks.
 SPELLINGS = (
     ("licence", "license"),
-    ("sub[- ]license", "sublicense"),
-    ("non-commercial", "noncommercial"),
-    ("non-infringement", "noninfringement"),
+    ("sub license", "sublicense"),
+    ("non commercial", "noncommercial"),
+    ("non infringement", "noninfringement"),
     ("merchantibility", "merchantability"),
     ("copyright owners?|copyright holders?", "copyright holder"),
-    ("https?://(www[.])?", ""),
     ("organisation", "organization"),
     ("favour", "favor"),
     ("acknowledgement", "acknowledgment"),
     ("per cent", "percent"),
-    ("[(]c[)]|©", "copyright"),
     ("\\b(the|this) (software|program|work|file|project|package) is ", ""),
 )
-#: A text that holds none of these is changed neither by ``SPELLINGS`` nor by the
-#: removal of copyright lines.
-SIGNS = ("licence", "sub-lic", "sub lic", "non-commercial", "non-infringement", "merchantibility",
-         "copyright", "://", "organisation", "favour", "acknowledgement", "per cent", "(c)", "©",
-         "all rights reserved", "software is ", "program is ", "work is ", "file is ",
-         "project is ", "package is ")
+#: A text that holds none of these is changed neither by ``MARKS`` nor by the removal
+#: of copyright lines; one without ``SIGNS`` between its words not by ``SPELLINGS``.
+MARK_SIGNS = ("copyright", "://", "(c)", "©", "all rights reserved")
+SIGNS = ("licence", "sub lic", "non commercial", "non infringement", "merchantibility",
+         "copyright ", "organisation", "favour", "acknowledgement", "per cent", "software is ",
+         "program is ", "work is ", "file is ", "project is ", "package is ")
 #: Short forms of version numbers, in every text.
 VERSION = ("\\bv([0-9])", "version $1")
+#: How sentences of licenses go on behind "copyright" and "(c)", which may stand first in
+#: a line where the text is wrapped so.
+NO_OWNER = ("[ \\t]*($|[.,;\"')\\]]|(holders?|owners?|ownership|notices?|and|or|licen[sc]es?|laws?|on|"
+            "disclaimer|treat(y|ies)|statements?|permissions?|interests?|if|doctrines?|are|is|"
+            "also|line|rights?|protection|status|in|to|of|as|that|which|you|under)\\b|"
+            "the\\b(?![^\\n]*\\b(authors?|contributors?|developers?|team|project|foundation|"
+            "university)\\b))")
 #: A line that starts like this, after comment marks, is a copyright line.
-COPYRIGHT_LINE = "(?m)^[ \\t/*#;%-]*(copyright|[(]c[)]|©|all rights reserved)[^\\n]*$"
+COPYRIGHT_LINE = ("(?m)^[ \\t/*#;%-]*(copyrights?\\b(?!" + NO_OWNER + ")|[(]c[)](?!" + NO_OWNER
+                  + ")|©|all rights reserved)[^\\n]*$")
 #: Everything that is no letter or digit separates words.
 NO_WORD = "[^\\p{L}\\p{N}]+"
 
@@ -143,20 +155,25 @@ def known_texts() -> list[tuple[str, str]]:
 def with_digest(df: DataFrame, text_col: str) -> DataFrame:
     """``df`` with the digest of a text column's canonical form in its place.
 
-    Most texts hold no sign of a spelling or copyright line and take one pass
-    for versions and one for punctuation; the others go through all rules.
+    Most texts hold no sign of a mark, spelling or copyright line and take one
+    pass for versions and one for punctuation; the others go through all rules.
     """
     low = F.col("low")
-    some = reduce(Column.__or__, [F.contains(low, F.lit(sign)) for sign in SIGNS])
-    full = F.regexp_replace(low, COPYRIGHT_LINE, "")
-    for pattern, new in SPELLINGS:
-        full = F.regexp_replace(full, pattern, new)
+
+    def where_signs(signs: Iterable[str], changed: Column, rules) -> Column:
+        some = reduce(Column.__or__, [F.contains(low, F.lit(sign)) for sign in signs])
+        for pattern, new in rules:
+            changed = F.regexp_replace(changed, pattern, new)
+        return F.when(some, changed).otherwise(low)
+
     lowered = df.withColumn("low", F.lower(text_col)).drop(text_col)
-    spelled = lowered.withColumn("low", F.when(some, full).otherwise(low))
-    plain = F.regexp_replace(F.regexp_replace("low", *VERSION), NO_WORD, " ")
+    marked = lowered.withColumn("low", where_signs(MARK_SIGNS, F.regexp_replace(
+        low, COPYRIGHT_LINE, ""), MARKS))
+    words = marked.withColumn("low", F.trim(F.regexp_replace(
+        F.regexp_replace("low", *VERSION), NO_WORD, " ")))
+    spelled = where_signs(SIGNS, low, SPELLINGS)
     # never null, so that the join does not compute it a second time to filter nulls
-    return spelled.withColumn("digest", F.coalesce(F.sha2(F.trim(plain), 256),
-                                                   F.lit(""))).drop("low")
+    return words.withColumn("digest", F.coalesce(F.sha2(spelled, 256), F.lit(""))).drop("low")
 
 
 def known_digests(spark: SparkSession,

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,8 +54,8 @@ SIGNS = ("licence", "sub lic", "non commercial", "non infringement", "merchantib
 VERSION = ("\\bv([0-9])", "version $1")
 #: How sentences of licenses go on behind "copyright" and "(c)", which may stand first in
 #: a line where the text is wrapped so.
-NO_OWNER = ("[ \\t]*($|[.,;\"')\\]]|(holders?|owners?|ownership|notices?|and|or|licen[sc]es?|laws?|on|"
-            "disclaimer|treat(y|ies)|statements?|permissions?|interests?|if|doctrines?|are|is|"
+NO_OWNER = ("[ \\t]*($|-(like\\b|$)|[.,;\"')\\]]|(holders?|owners?|ownership|notices?|and|"
+            "or|licen[sc]es?|laws?|on|disclaimer|treat(y|ies)|statements?|permissions?|interests?|if|doctrines?|are|is|"
             "also|line|rights?|protection|status|in|to|of|as|that|which|you|under)\\b|"
             "the\\b(?![^\\n]*\\b(authors?|contributors?|developers?|team|project|foundation|"
             "university)\\b))")
@@ -132,7 +133,52 @@ LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON A
 LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE)
 ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH
 DAMAGE."""
+UNLICENSE = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in
+source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any
+means.
+
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any
+and all copyright interest in the software to the public domain. We make this dedication for the
+benefit of the public at large and to the detriment of our heirs and successors. We intend this
+dedication to be an overt act of relinquishment in perpetuity of all present and future rights to
+this software under copyright law.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT
+NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND
+NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY,
+WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE
+SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+UNLICENSE_LINK = "For more information, please refer to <https://unlicense.org/>"
+APACHE_HEADER = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this
+file except in compliance with the License. You may obtain a copy of the License at
+
+http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is
+distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or
+implied. See the License for the specific language governing permissions and limitations under the
+License."""
+MPL_HEADER = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a
+copy of the MPL was not distributed with this file, You can obtain one at
+https://mozilla.org/MPL/2.0/."""
+GNU_HEADER = """This {what} is free software: you can redistribute it and/or modify it under the terms
+of the GNU {name} as published by the Free Software Foundation, either version {version} of the
+License, or (at your option) any later version.
+
+This {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even
+the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for
+more details.
+
+You should have received a copy of the GNU {name} along with this {what}. If not, {ask}"""
+ASK_WEB = "see <https://www.gnu.org/licenses/>."
+ASK_MAIL = ("write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA "
+            "02110-1301 USA.")
 TEXTS = {
+    "Unlicense": (UNLICENSE, UNLICENSE + "\n\n" + UNLICENSE_LINK),
+    "Apache-2.0": (APACHE_HEADER,),
+    "MPL-2.0": (MPL_HEADER,),
     "MIT": (MIT_GRANT, "MIT License\n\n" + MIT_GRANT, "The MIT License (MIT)\n\n" + MIT_GRANT),
     "ISC": (ISC_GRANT + "\n\n" + ISC_DISCLAIMER,
             "ISC License\n\n" + ISC_GRANT + "\n\n" + ISC_DISCLAIMER),
@@ -145,11 +191,33 @@ TEXTS = {
 }
 
 
+# GNU licenses and what their headers call them.
+GNU = {"GPL-2.0": "General Public License", "GPL-3.0": "General Public License",
+       "LGPL-3.0": "Lesser General Public License", "AGPL-3.0": "Affero General Public License"}
+for _key, _name in GNU.items():
+    TEXTS[_key] = tuple(GNU_HEADER.format(what=what, name=_name, version=_key[-3], ask=ask)
+                        for what in ("program", "library") for ask in (ASK_WEB, ASK_MAIL))
+#: Whole texts, one file per license; what follows the terms may be left out.
+FOLDER = Path(__file__).with_name("license_texts")
+END_OF_TERMS = "END OF TERMS AND CONDITIONS"
+
+
+def whole_texts() -> list[tuple[str, str]]:
+    """(license, text) of the license texts in ``FOLDER``, with and without an appendix."""
+    out = []
+    for path in sorted(FOLDER.glob("*.txt")):
+        text = path.read_text(encoding="utf-8")
+        terms, end, _ = text.partition(END_OF_TERMS)
+        out += [(path.stem, x) for x in dict.fromkeys((text, terms + end, terms))]
+    return out
+
+
 def known_texts() -> list[tuple[str, str]]:
     """(license, text) of every known license text and notice."""
     notices = [(key, notice.format(name)) for key, names in NAMES.items() for name in names
                for notice in NOTICES]
-    return notices + [(key, text) for key, texts in TEXTS.items() for text in texts]
+    return notices + whole_texts() + [(key, text) for key, texts in TEXTS.items()
+                                      for text in texts]
 
 
 def with_digest(df: DataFrame, text_col: str) -> DataFrame:

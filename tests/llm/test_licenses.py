@@ -69,11 +69,27 @@ def test_line_breaks_do_not_matter(spark):
     assert mit != L.MIT_GRANT
     split = mit.replace("COPYRIGHT HOLDERS", "COPYRIGHT\n# HOLDERS")
     assert len(set(_digests(spark, L.MIT_GRANT, mit, split))) == 1
-    for text in {t for texts in L.TEXTS.values() for t in texts if "How to Apply These" not in t}:
+    # the example notices behind the terms of the GPL hold copyright lines within paragraphs
+    texts = {t for _, t in L.known_texts() if "\n" in t and "How to Apply These Terms" not in t}
+    for text in texts:
         wraps = [_wrapped(text, w) for w in (1, 12, 20, 31, 40, 53, 66, 72, 79, 100, 10 ** 6)]
         assert len(set(_digests(spark, text, *wraps))) == 1, text[:60]
 
 
+def test_whole_licenses_and_headers(spark):
+    rows = [(k, name, L.FOLDER.joinpath(f"{name}.txt").read_text()) for k, name in enumerate(
+        ("Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-3.0", "MPL-2.0", "CC0-1.0"))]
+    gpl = rows[2][2]
+    header = gpl[gpl.index("    This program is free"):gpl.index("Also add information on how")]
+    rows += [(10, "GPL-3.0", header), (11, "GPL-3.0", gpl.partition("How to Apply")[0]),
+             (12, "AGPL-3.0", header.replace("GNU General", "GNU Affero General")),
+             (13, "Apache-2.0", rows[0][2].partition("owner]")[2]), (14, "Unlicense", L.UNLICENSE),
+             (15, None, gpl + " and more")]
+    df = frame(spark, [(k, t) for k, _, t in rows], "doc_id long, text string")
+    got = {r.doc_id: r.license for r in L.scan(df, "doc_id", "text").where("line_no = 0").collect()}
+    assert got == {k: name for k, name, _ in rows}
+
+
 def test_known_digests_are_few_and_unique(spark):
     known = L.known_digests(spark)
     assert known.count() == known.select("digest").distinct().count() < 400

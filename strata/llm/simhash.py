@@ -29,10 +29,12 @@ import itertools
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from .common import materialize, slices
 from .components import connected_components
@@ -257,10 +259,32 @@ def keep_one_each(docs: DataFrame, id_col: str, text_col: str, shingle: int,
                   max_bits: int) -> DataFrame:
     """The row of each component's smallest id, with all its columns.
 
-    Of rows that repeat an id one stays. Rows with a null id have no identity
-    to be chosen by and all stay.
+    Of rows that repeat an id one of the component stays, the one with the
+    smallest hash of the text. Where an id stands on rows with different
+    fingerprints (few), these are computed again to tell the component's rows.
+    Rows with a null id have no identity to be chosen by and all stay.
     """
-    found = near_duplicates(docs, id_col, text_col, shingle, max_bits)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    named = docs.join(kept, docs[id_col].cast("long") == kept["kept_id"], "left_semi")
-    return named.dropDuplicates([id_col]).unionByName(docs.where(docs[id_col].isNull()))
+    found = materialize(near_duplicates(docs, id_col, text_col, shingle, max_bits), "components")
+    kept = found.where("doc_id = component_id").select(
+        F.col("doc_id").alias("kept_id"), F.col("fp").alias("kept_fp")).distinct()
+    mixed = found.where("doc_id is not null").groupBy(F.col("doc_id").alias("mixed_id")).agg(
+        F.min("fp").alias("low"), F.max("fp").alias("high")).where("low <> high")
+    mixed = materialize(mixed.select("mixed_id"), "mixed-ids")
+
+    @pandas_udf("long")
+    def fp(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(t, shingle) for t in texts],
+                                  np.uint64).view(np.int64))
+
+    doc_id = docs[id_col].cast("long")
+    own = doc_id == kept["kept_id"]
+    named = docs.join(kept, own, "left_semi").join(mixed, doc_id == mixed["mixed_id"], "left_anti")
+    unclear = docs.join(mixed, doc_id == mixed["mixed_id"], "left_semi")
+    unclear = unclear.withColumn("_own_fp", fp(F.coalesce(docs[text_col], F.lit(""))))
+    unclear = unclear.join(kept, own & (F.col("_own_fp") == kept["kept_fp"]), "left_semi")
+    named = named.unionByName(unclear.drop("_own_fp"))
+    row = F.struct(*(named[c] for c in named.columns))
+    least = F.struct(F.xxhash64(named[text_col]), named[text_col])
+    chosen = named.groupBy(named[id_col].cast("long").alias("kept_id")).agg(
+        F.min_by(row, least).alias("row")).select("row.*")
+    return chosen.unionByName(docs.where(docs[id_col].isNull()))

@@ -143,3 +143,18 @@ def test_odd_rows(spark):
     assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == sorted(want)
     assert kept.where("doc_id is null").count() == 2
     assert S.near_duplicates(df.where("doc_id < 0"), "doc_id", "text", 4, 4).count() == 0
+
+
+def test_an_id_on_rows_of_several_components(spark):
+    """Ids 100+ stand on a copy of a smaller document and on a text of their own."""
+    rng = random.Random(8)
+    rows = []
+    for k in range(12):
+        text = prose(rng, 80)
+        rows += [(k, text), (100 + k, text), (100 + k, f"own{k} " + prose(rng, 80))]
+    df = frame(spark, rows + [(None, "no id")], "doc_id long, text string")
+    want = sorted([*rows[::3], *rows[2::3]])
+    for given in (df, df.orderBy(F.desc("text")), df.orderBy("text")):
+        kept = S.keep_one_each(given.union(given), "doc_id", "text", 4, 4)
+        got = kept.where("doc_id is not null").select("doc_id", "text").collect()
+        assert sorted(map(tuple, got)) == want

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe_prefix, exact_topk, hamming_index, licenses, packing, quality, simhash,
+from . import (bpe_prefix, conversation_repair, exact_topk, hamming_index, licenses, packing, quality, simhash,
                token_files, toxicity, warc)
 from .common import id_in_fold, table
 
@@ -104,9 +104,16 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(archives)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    broken = conversation_repair.damaged(table(spark, sf_dir, "conversations"), "conv_id", "turn",
+                                         "role", "text")
+    repair = conversation_repair.repair(broken, "conv", "turn", "role", "text", F.col("copies"))
+    return repair.digests().withColumnRenamed("conv", "conv_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_toxicity, op2_simhash_near_dedup, op3_exact_topk, op4_license_scan,
         op5_best_fit_packing, op6_byte_bpe, op7_hamming_index, op8_line_quality,
-        op9_token_files, op10_warc)
+        op9_token_files, op10_warc, op11_conversation_repair)
 }

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (bpe_prefix, conversation_repair, exact_topk, hamming_index, licenses, packing, quality, simhash,
-               token_files, toxicity, warc)
+               token_files, toxicity, warc, whitening)
 from .common import id_in_fold, table
 
 #: Scores from here on are predicted 1 (toxic, or of good quality).
@@ -111,9 +111,15 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.digests().withColumnRenamed("conv", "conv_id")
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fit = whitening.Whitening(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 32)
+    return fit.long_rows().withColumnRenamed("id", "vec_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_toxicity, op2_simhash_near_dedup, op3_exact_topk, op4_license_scan,
         op5_best_fit_packing, op6_byte_bpe, op7_hamming_index, op8_line_quality,
-        op9_token_files, op10_warc, op11_conversation_repair)
+        op9_token_files, op10_warc, op11_conversation_repair,
+        op12_embedding_whitening)
 }

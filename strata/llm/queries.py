@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe_prefix, conversation_repair, exact_topk, hamming_index, licenses, packing, quality, simhash,
-               token_files, toxicity, warc, whitening)
+from . import (bpe_prefix, conversation_repair, exact_topk, hamming_index, licenses, packing, pii,
+               quality, simhash, token_files, toxicity, warc, whitening)
 from .common import id_in_fold, table
 
 #: Scores from here on are predicted 1 (toxic, or of good quality).
@@ -116,10 +116,17 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fit.long_rows().withColumnRenamed("id", "vec_id")
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"), "doc_id", "text").rows
+    return found.select("doc_id", *[pii.number_of(k, "base").alias(f"n_{k}") for k in pii.KINDS],
+                        F.sha2(pii.written("base"), 256).alias("base_sha256"),
+                        pii.written("spans").alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_toxicity, op2_simhash_near_dedup, op3_exact_topk, op4_license_scan,
         op5_best_fit_packing, op6_byte_bpe, op7_hamming_index, op8_line_quality,
         op9_token_files, op10_warc, op11_conversation_repair,
-        op12_embedding_whitening)
+        op12_embedding_whitening, op13_personal_data)
 }

@@ -7,18 +7,20 @@ addresses, other separators, no country code), whose matches are candidates.
 
 Labelers vote on every candidate, strict or loose: for, against, or not at all.
 
-* form: the strict test, or the loose form's own one;
+* form: the strict test; for a loose match, the strict spans it overlaps (for it if one is of
+  its kind, against it if all are of others);
+* loose: the loose form's own test;
 * gazetteer: known top-level domains, issuer prefixes, calling codes, ranges of
   addresses that belong to nobody;
 * context: words before the span in four languages;
 * borders: whether the span is glued to letters, digits or underscores.
 
-Expectation-maximisation finds, per kind, how reliable each labeler is without
-any label, from how often the labelers agree. Its posteriors train the span
-classifier, a logistic model over the votes and the span's shape, and loose
-candidates go in when the classifier is sure of them and they overlap no strict
-span. Strict matches that fail their test take part in the fit (as what the
-votes say they are) and are never reported.
+What the strict form says is settled: its spans are reported, its failed matches
+are not. Expectation-maximisation finds, per kind, how reliable the other labelers
+are, from the settled candidates and from how they agree on the rest. Its
+posteriors train the span classifier, a logistic model over the votes and the
+span's shape, and loose candidates on which the strict form has no vote go in
+when the classifier is sure of them.
 
 Everything that touches texts is an expression of built-in functions: the matches
 of a pattern come from ``regexp_extract_all``, what lies between them from
@@ -61,8 +63,8 @@ LOOSE = {
     "ip": (r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])"
            r"|(?<![0-9])[0-9]{1,3}(?:[\[(]\.[\])][0-9]{1,3}){3}(?![0-9])"),
     "card": r"(?<![0-9])[0-9]{4}([._/\t])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9])",
-    "phone": r"(?<![0-9+.])(?:\([0-9]{2,4}\)\x20?|[0-9]{2,4}[\x20.-])[0-9]{3,4}[\x20.-][0-9]{3,4}"
-             r"(?![0-9]|\.[0-9])",
+    "phone": r"(?<![0-9+.])(?:\+[0-9]{1,3}[\x20.-]?)?(?:\([0-9]{2,4}\)\x20?|[0-9]{2,4}[\x20.-])"
+             r"[0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9]|\.[0-9])",
 }
 #: What a text must hold for a pattern to be tried at all.
 GUARDS = {
@@ -96,11 +98,15 @@ SURE = 0.9
 BLOCK = 256
 
 AGAINST_IT, NO_VOTE, FOR_IT = 0, 1, 2
-VOTES = ("form", "gazetteer", "context", "borders")
+VOTES = ("form", "loose", "gazetteer", "context", "borders")
 #: Shape of a span, as small numbers: values per field.
-SHAPE = {"size": 8, "marks": 4, "strict": 2}
+SHAPE = {"size": 8, "marks": 4}
 FIELDS = {**{v: 3 for v in VOTES}, **SHAPE}
-MOST_PATTERNS = len(KINDS) * 3 ** len(VOTES) * 8 * 4 * 2
+MOST_PATTERNS = len(KINDS) * 3 ** len(VOTES) * 8 * 4
+# What is assumed of a labeler before any candidate is seen, in candidates per vote (against,
+# none, for), on false and on true spans; and of the share of true spans among the unsettled.
+BEFORE = ((10.0, 5.0, 1.0), (1.0, 5.0, 10.0))
+BEFORE_FALSE, BEFORE_TRUE = 19.0, 1.0
 
 
 def _sum(values: Column) -> Column:
@@ -198,7 +204,9 @@ def _passes(kind: str, is_strict: bool, word: Column) -> Column:
     if kind == "card":
         return F.when(n.between(14 if is_strict else 16, 19 if is_strict else 16),
                       _luhn(digits)).otherwise(F.lit(False))
-    return n.between(10, 15 if is_strict else 11)
+    if is_strict:
+        return n.between(10, 15)
+    return n.between(10, 11) | (word.startswith("+") & n.between(10, 14))
 
 
 def _known(kind: str, is_strict: bool, word: Column) -> Column:
@@ -221,6 +229,7 @@ def _candidate(kind: str, is_strict: bool, span: Column) -> Column:
     """Votes and shape of one match."""
     word, before = span["word"], span["before"]
     passes = _passes(kind, is_strict, word)
+    vote = F.when(passes, FOR_IT).otherwise(AGAINST_IT)
     context = (F.when(before.rlike(CONTEXT[kind]), FOR_IT).when(before.rlike(AGAINST), AGAINST_IT)
                .otherwise(NO_VOTE))
     glued = F.right(before, F.lit(1)).rlike(r"[\p{L}0-9_]") | span["after"].rlike(r"[\p{L}0-9_]")
@@ -230,13 +239,24 @@ def _candidate(kind: str, is_strict: bool, span: Column) -> Column:
         span["start"].alias("start"), span["end"].alias("end"),
         F.lit(KINDS.index(kind)).alias("kind"),
         (F.lit(is_strict) & passes).alias("base"),
-        F.when(passes, FOR_IT).otherwise(AGAINST_IT).alias("form"),
+        (vote if is_strict else F.lit(NO_VOTE)).alias("form"),
+        (F.lit(NO_VOTE) if is_strict else vote).alias("loose"),
         _known(kind, is_strict, word).alias("gazetteer"), context.alias("context"),
         F.when(glued, AGAINST_IT).otherwise(FOR_IT).alias("borders"),
         F.least(size, F.lit(SHAPE["size"] - 1)).cast("int").alias("size"),
         F.least(F.floor(F.log2((marks + 1).cast("double"))), F.lit(SHAPE["marks"] - 1))
-        .cast("int").alias("marks"),
-        F.lit(int(is_strict)).alias("strict"))
+        .cast("int").alias("marks"))
+
+
+def _overlaps(span: Column, blocks: Column, of_kind: bool) -> Column:
+    """Whether a span overlaps one of the sorted spans in ``blocks`` (null: none)."""
+    def one(b: Column) -> Column:
+        same = (b["start"] < span["end"]) & (span["start"] < b["end"])
+        return same & (b["kind"] == span["kind"]) if of_kind else same
+
+    found = F.exists(blocks, lambda k: (k["low"] < span["end"]) & (span["start"] < k["high"])
+                     & F.exists(k["spans"], one))
+    return F.coalesce(found, F.lit(False))
 
 
 def candidates(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -255,7 +275,22 @@ def candidates(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def judged(kind: str, is_strict: bool) -> Column:
         return F.transform(name(kind, is_strict), lambda x: _candidate(kind, is_strict, x))
 
-    return found.select("doc_id", F.concat(*[judged(k, s) for k, s in forms]).alias("spans"))
+    sides = found.select("doc_id", *[
+        F.concat(*[judged(k, s) for k, s in forms if s == is_strict]).alias(side)
+        for side, is_strict in (("strict", True), ("loose", False))])
+    sides = sides.withColumn("base", _blocks(F.array_sort(F.transform(
+        F.filter("strict", lambda x: x["base"]),
+        lambda x: F.struct(x["start"], x["end"], x["kind"])))))
+    sides = sides.withColumn("base", F.transform("base", lambda b: F.struct(
+        b[0]["start"].alias("low"), F.array_max(F.transform(b, lambda x: x["end"])).alias("high"),
+        b.alias("spans"))))
+
+    def settled(span: Column) -> Column:
+        base = F.col("base")
+        return span.withField("form", F.when(_overlaps(span, base, True), FOR_IT).when(
+            _overlaps(span, base, False), AGAINST_IT).otherwise(NO_VOTE))
+
+    return sides.select("doc_id", F.concat("strict", F.transform("loose", settled)).alias("spans"))
 
 
 Pattern = tuple[int, ...]
@@ -270,35 +305,28 @@ def vote_table(found: DataFrame) -> dict[Pattern, int]:
 
 def reliabilities(votes: dict[tuple[int, ...], int],
                   rounds: int = 50) -> tuple[float, list, dict[tuple[int, ...], float]]:
-    """Expectation-maximisation over one kind's votes: share of true spans, per labeler
-    the chances of its votes on false and true ones, and the posterior of every pattern.
-
-    It starts from the share of votes for a span among those given; every chance is smoothed
-    by one span that votes each way.
+    """Expectation-maximisation over one kind's votes: share of true spans among the
+    unsettled, per labeler the chances of its votes on false and true spans, and the
+    posterior of every pattern. Settled patterns keep what the strict form says.
     """
-    def share(vote: tuple[int, ...]) -> float:
-        given = [v for v in vote if v != NO_VOTE]
-        return (sum(v == FOR_IT for v in given) + 0.5) / (len(given) + 1)
-
-    posterior = {v: share(v) for v in votes}
-    prior, chances = 0.5, []
+    settled = {v: v[0] == FOR_IT for v in votes if v[0] != NO_VOTE}
+    prior = BEFORE_TRUE / (BEFORE_TRUE + BEFORE_FALSE)
+    chances = [[[m / sum(mass) for m in mass] for mass in BEFORE] for _ in VOTES]
+    posterior: dict[tuple[int, ...], float] = {}
     for _ in range(rounds):
-        total = sum(votes.values())
-        true = sum(n * posterior[v] for v, n in votes.items())
-        prior = (true + 1) / (total + 2)
-        chances = []
+        for v in votes:
+            odds = log(prior / (1 - prior)) + sum(
+                log(chances[at][1][x] / chances[at][0][x]) for at, x in enumerate(v) if at)
+            posterior[v] = float(settled[v]) if v in settled else 1 / (1 + exp(-odds))
+        unsettled = [(n, posterior[v]) for v, n in votes.items() if v not in settled]
+        true = sum(n * p for n, p in unsettled) + BEFORE_TRUE
+        prior = true / (sum(n for n, _ in unsettled) + BEFORE_TRUE + BEFORE_FALSE)
         for at in range(len(VOTES)):
-            rows = []
             for is_true in (False, True):
-                mass = [1.0, 1.0, 1.0]
+                mass = list(BEFORE[is_true])
                 for v, n in votes.items():
                     mass[v[at]] += n * (posterior[v] if is_true else 1 - posterior[v])
-                rows.append([m / sum(mass) for m in mass])
-            chances.append(rows)
-        for v in votes:
-            odds = log(prior / (1 - prior)) + sum(
-                log(chances[at][1][x] / chances[at][0][x]) for at, x in enumerate(v))
-            posterior[v] = 1 / (1 + exp(-max(-500.0, min(500.0, odds))))
+                chances[at][is_true] = [m / sum(mass) for m in mass]
     return prior, chances, posterior
 
 
@@ -367,15 +395,14 @@ class Findings:
             return F.struct(s["start"].alias("start"), s["kind"].alias("kind"),
                             s["end"].alias("end"))
 
-        base = F.filter("spans", lambda s: s["base"])
-        rows = self.candidates.select("doc_id", "spans", base.alias("sure"), F.filter(
-            "spans", lambda s: (s["strict"] == 0) & (s["form"] == FOR_IT)).alias("loose"))
-        added = F.filter("loose", lambda s: (self.model.probability(s) >= sure) & ~F.exists(
-            "sure", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-        return rows.select(
-            "doc_id", F.array_sort(F.transform("sure", place)).alias("base"),
-            F.array_sort(F.concat(F.transform("sure", place), F.transform(added, place)))
-            .alias("spans"))
+        def reported(s: Column) -> Column:
+            added = ((s["form"] == NO_VOTE) & (s["loose"] == FOR_IT)
+                     & (self.model.probability(s) >= sure))
+            return s["base"] | added
+
+        return self.candidates.select("doc_id", *[
+            F.array_sort(F.transform(F.filter("spans", keep), place)).alias(name)
+            for name, keep in (("base", lambda s: s["base"]), ("spans", reported))])
 
 
 def find_personal_data(df: DataFrame, id_col: str, text_col: str, sure: float = SURE) -> Findings:

@@ -55,11 +55,10 @@ def counts_below(diag: np.ndarray, off: np.ndarray, shifts: np.ndarray) -> np.nd
     """Number of eigenvalues below every shift."""
     tiny = EPS * EPS * max(1.0, float(np.max(off * off, initial=0.0)))
     tiny = max(tiny, np.finfo(np.float64).tiny)
-    pivot = diag[0] - shifts
-    below = (pivot < 0).astype(np.int64)
-    for d, e in zip(diag[1:], off, strict=True):
-        pivot = np.where(np.abs(pivot) < tiny, -tiny, pivot)
+    below, pivot = np.zeros(len(shifts), dtype=np.int64), np.ones(len(shifts))
+    for d, e in zip(diag, np.append(0.0, off), strict=True):
         pivot = d - shifts - e * e / pivot
+        pivot = np.where(np.abs(pivot) < tiny, -tiny, pivot)  # counted as below
         below += pivot < 0
     return below
 

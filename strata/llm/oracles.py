@@ -83,8 +83,115 @@ WHERE line_no = 0 OR license IS NOT NULL
 """
 
 
+_FAR = 1 << 40
+
+
+def _best(*options: str) -> str:
+    return f"list_sort([{', '.join(options)}])[1]"
+
+
+def _moved(state: str, cost: str, letter: str, piece: str | None) -> str:
+    """A state (cost, audit, repaired text) after one edit; ``piece`` is the row it leaves."""
+    body = f"s.{state}.b"
+    if piece is not None:
+        body = f"CASE WHEN {body} = '' THEN {piece} ELSE {body} || chr(10) || {piece} END"
+    return f"{{'c': s.{state}.c + {cost}, 'a': s.{state}.a || '{letter}', 'b': {body}}}"
+
+
+def _conversation_repair() -> str:
+    """Shortest edits row by row: places o (start), s, u, a of the pattern, one state each."""
+    kept, full = "r.role || ':' || r.body", {"u": "'user:' || r.body", "a": "'assistant:' || r.body"}
+
+    def fits(letter: str) -> str:
+        return f"CASE WHEN r.initial = '{letter}' THEN r.price ELSE {_FAR} END"
+
+    def taken(state: str, letter: str) -> list[str]:
+        return [_moved(state, fits(letter), "K", kept),
+                _moved(state, "r.price + 1", "R", full[letter])]
+
+    gone = {p: _moved(p, "2", "D", None) for p in "osua"}
+    row = {"o": gone["o"], "s": _best(gone["s"], _moved("o", fits("s"), "K", kept)),
+           "u": _best(gone["u"], *taken("o", "u"), *taken("s", "u"), *taken("a", "u")),
+           "a": _best(gone["a"], *taken("u", "a"))}
+    two = "'user:' || chr(10) || 'assistant:'"
+    put = {"o": "s.o", "s": "s.s",
+           "u": _best("s.u", *[_moved(p, "5", "I", "'user:'") for p in "osa"]),
+           "a": _best("s.a", _moved("u", "5", "I", "'assistant:'"),
+                      *[_moved(p, "10", "II", two) for p in "os"])}
+
+    def struct(parts: dict[str, str]) -> str:
+        return "{" + ", ".join(f"'{k}': {v}" for k, v in parts.items()) + "}"
+
+    far = f"{{'c': {_FAR}::BIGINT, 'a': '', 'b': ''}}"
+    begin = struct({"o": "{'c': 0::BIGINT, 'a': '', 'b': ''}", "s": far, "u": far, "a": far})
+    visible = r"[^\x20\x09-\x0D]"
+    return rf"""
+WITH tab AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([0, 1, 2, 3, 4, 5, 6, 7], lambda c, k:
+      CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i::BIGINT) AS v
+    FROM range(256) AS r(i))
+), raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')
+         AS name
+  FROM conversations
+), hashed AS (
+  SELECT raw.*, xor(list_reduce(string_split(name, ''), lambda c, x:
+    xor(c >> 8, t[CAST(xor(c, ord(x)::BIGINT) & 255 AS INTEGER) + 1]), 4294967295::BIGINT),
+    4294967295) % 20 AS fate
+  FROM raw, tab
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN fate = 1 THEN '' WHEN fate = 2 THEN translate(text, '.!?', '') ELSE text END
+         AS body,
+         unnest(CASE WHEN fate = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM hashed WHERE fate <> 0
+), ordered AS (
+  SELECT *, left(role, 1) AS initial, NOT regexp_matches(body, '{visible}') AS is_blank,
+         row_number() OVER (PARTITION BY conv_id, role, body
+                            ORDER BY turn NULLS FIRST, copy) > 1 AS is_repeat,
+         regexp_extract(body, '({visible})[\x20\x09-\x0D]*\z', 1) NOT IN ('.', '!', '?')
+         AS is_cut,
+         row_number() OVER (PARTITION BY conv_id
+                            ORDER BY turn NULLS FIRST, role, sha256(body), copy) AS place
+  FROM damaged
+), judged AS (
+  SELECT *, CASE WHEN is_blank THEN 'b' WHEN is_repeat THEN 'd' WHEN is_cut THEN 't' ELSE ''
+         END AS fault,
+         lag(initial) OVER (PARTITION BY conv_id ORDER BY place) || initial AS pair
+  FROM ordered
+), parsed AS (
+  SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps,
+         count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+         count(*) FILTER (fault = 't') AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal,
+         flatten(list([
+           {{'is_row': true, 'role': role, 'body': body, 'initial': initial,
+             'price': CASE fault WHEN '' THEN 0 WHEN 't' THEN 5 ELSE {_FAR} END}},
+           {{'is_row': false, 'role': '', 'body': '', 'initial': '', 'price': 0}}]
+           ORDER BY place)) AS steps
+  FROM judged GROUP BY conv_id
+), folded AS (
+  SELECT * EXCLUDE (steps), list_reduce(steps, lambda s, r:
+    CASE WHEN r.is_row THEN {struct(row)} ELSE {struct(put)} END,
+    list_reduce([0], lambda s, r: {struct(put)}, {begin})) AS s
+  FROM parsed
+), best AS (
+  SELECT *, {_best("s.o", "s.a")} AS e FROM folded
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+       coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(e.c, 0) AS cost, coalesce(e.a, '') AS audit,
+       sha256(coalesce(e.b, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS c
+LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
 ORACLES: dict[str, str] = {
     "op3_exact_topk": EXACT_TOPK,
     "op4_license_scan": _license_scan(),
     "op10_warc": WARC,
+    "op11_conversation_repair": _conversation_repair(),
 }

@@ -1,0 +1,154 @@
+"""Personal data: strict forms against Python's re, the fit against sums written out."""
+
+import hashlib
+import itertools
+import math
+import random
+import re
+
+import pytest
+
+from strata.llm import pii as P
+from strata.llm.queries import op13_personal_data
+
+from .helpers import ODD_TEXTS, SF, frame, prose
+
+# The stated forms.
+FORMS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+         "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+",
+         "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def luhn(digits):
+    total = 0
+    for at, c in enumerate(reversed(digits)):
+        d = int(c) * (1 + at % 2)
+        total += d - 9 * (d > 9)
+    return total % 10 == 0
+
+
+def base(text):
+    out = []
+    for kind, form in FORMS.items():
+        for m in re.finditer(form, text or ""):
+            digits = re.sub("[^0-9]", "", m.group())
+            if ((kind == "ip" and max(map(int, m.group().split("."))) > 255)
+                    or (kind == "card" and not (14 <= len(digits) <= 19 and luhn(digits)))
+                    or (kind == "phone" and not 10 <= len(digits) <= 15)):
+                continue
+            out.append((m.start(), P.KINDS.index(kind), kind, m.end()))
+    return ",".join(f"{k}:{s}:{e}" for s, _, k, e in sorted(out))
+
+
+def _texts():
+    rng = random.Random(4)
+    parts = ["@", ".", "a", "b-c", "+", "4111111111111111", "4111-1111 1111-1111", "1.2.3.4",
+             "256.1.1.1", "001.02.3.255", "+1 (212) 555-0123", "+49.30.123456", " ", "\n", "é",
+             "\U0001F600", "-", "x@y.zz", "%", "(", ")", "12", "0", "user@host", ".com", "5555"]
+    made = ["".join(rng.choices(parts, k=rng.randrange(1, 14))) for _ in range(1500)]
+    special = ["a@b.c_d@e.f", "a@b.c@d.e", "1.2.3.4.5.6.7.8", "+1+1 2125550123 ", "a" * 30000,
+               "9" * 5000, "x@" + "a." * 3000 + "b", "1.2.3.4 " * 2000, "+1" + " " * 5000 + "2",
+               "4111 1111 1111 1111 " * 700, "\U0001F600 a@b.cc \U0001F600 +12125550123"]
+    return made + special + ODD_TEXTS + [None]
+
+
+def test_strict_forms_equal_the_stated_ones(spark):
+    texts = _texts()
+    df = frame(spark, list(enumerate(texts)) + [(0, texts[0])], "doc_id long, text string")
+    found = P.find_personal_data(df, "doc_id", "text").rows.select(
+        "doc_id", P.written("base").alias("b"), P.written("spans").alias("s")).collect()
+    assert len(found) == len(texts) + 1
+    for r in found:
+        assert r.b == base(texts[r.doc_id]), texts[r.doc_id]
+        assert set(filter(None, r.b.split(","))) <= set(r.s.split(","))
+
+
+def _spans(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = P.find_personal_data(df, "doc_id", "text").rows
+    return {r.doc_id: r.s for r in found.select("doc_id", P.written("spans").alias("s")).collect()}
+
+
+def test_loose_spans_with_good_votes_are_added(spark):
+    rng = random.Random(1)
+    sure = [f"{'call' if k % 3 else 'then'} +1 (2{k % 90 + 10}) 555-01{k % 90 + 10} or "
+            f"mail me.{k}@mail.example.com" for k in range(400)]
+    clean = [prose(rng, 30) for _ in range(40)]
+    loose = [("write to jane.doe (at) example (dot) com now", "email:9:40"),
+             ("phone: (030) 555-1234, or later", "phone:7:21"),
+             ("release 555 123 4567x of the order", ""),
+             ("+1 (826) 555-4081 190.137.223.204 stands alone", "phone:0:17,ip:18:33")] * 5
+    texts = [*[t for t, _ in loose], *sure, *clean]
+    got = _spans(spark, texts)
+    assert [got[k] for k in range(len(loose))] == [want for _, want in loose]
+    for at, text in enumerate(texts[len(loose):], len(loose)):
+        assert got[at] == base(text)
+
+
+def test_loose_matches_inside_strict_spans_stay_out(spark):
+    texts = ["233.254.104.120 there", "4111-1111-1111-1111", "+1 (212) 555-0123"] * 30
+    got = _spans(spark, texts)
+    assert [got[k] for k in range(3)] == [base(t) for t in texts[:3]]
+
+
+def test_reliabilities_equal_sums_written_out():
+    rng = random.Random(2)
+    votes = {v: rng.randrange(1, 30) for v in rng.sample(list(itertools.product(range(3),
+                                                                                repeat=5)), 80)}
+    prior, chances, posterior = P.reliabilities(votes, rounds=7)
+    p, c = 0.05, [[[m / 16 for m in mass] for mass in P.BEFORE] for _ in range(5)]
+    for _ in range(7):
+        post = {}
+        for v in votes:
+            true = math.prod([p] + [c[f][1][v[f]] for f in range(1, 5)])
+            false = math.prod([1 - p] + [c[f][0][v[f]] for f in range(1, 5)])
+            post[v] = {0: 0.0, 1: true / (true + false), 2: 1.0}[v[0]]
+        free = {v: n for v, n in votes.items() if v[0] == P.NO_VOTE}
+        p = (1 + sum(n * post[v] for v, n in free.items())) / (20 + sum(free.values()))
+        for f in range(5):
+            for t in range(2):
+                mass = [P.BEFORE[t][x] + sum(n * (post[v] if t else 1 - post[v])
+                                             for v, n in votes.items() if v[f] == x)
+                        for x in range(3)]
+                c[f][t] = [m / sum(mass) for m in mass]
+    assert prior == pytest.approx(p)
+    assert all(posterior[v] == pytest.approx(post[v]) for v in votes)
+    assert all(chances[f][t] == pytest.approx(c[f][t]) for f in range(5) for t in range(2))
+
+
+def test_unreliable_labeler_is_found_out():
+    """A labeler that votes at random gets chances that are alike on true and false spans."""
+    rng = random.Random(7)
+    votes = {}
+    for _ in range(4000):
+        true = rng.random() < 0.5
+        good = [2 * (true == (rng.random() < 0.95)) for _ in range(3)]
+        v = (1, good[0], good[1], rng.choice([0, 2]), good[2])
+        votes[v] = votes.get(v, 0) + 1
+    prior, chances, _ = P.reliabilities(votes)
+    assert prior == pytest.approx(0.5, abs=0.05)
+    assert all(chances[f][1][2] > 0.9 and chances[f][0][2] < 0.1 for f in (1, 2, 4))
+    assert chances[3][1][2] == pytest.approx(chances[3][0][2], abs=0.06)
+
+
+def test_no_python_in_the_plan(spark):
+    df = spark.createDataFrame([(1, "a@b.cc")], "doc_id long, text string")
+    plan = P.candidates(df, "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
+    rows = P.find_personal_data(df, "doc_id", "text").rows
+    plan += rows._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Exchange", plan)
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "doc_id long, text string")
+    assert P.find_personal_data(df, "doc_id", "text").rows.count() == 0
+
+
+def test_query(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = op13_personal_data(spark, SF).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        b = base(texts[r.doc_id])
+        assert r.base_sha256 == hashlib.sha256(b.encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [b.count(f"{k}:") for k in P.KINDS]

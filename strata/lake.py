@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -94,6 +95,20 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file so that readers see the old text or the new one, no part."""
+    jvm = spark.sparkContext._jvm
+    new = f"{path}.{uuid.uuid4().hex[:12]}"
+    write_text(spark, new, text)
+    hadoop = jvm.org.apache.hadoop.fs
+    overwrite = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    overwrite[0] = hadoop.Options.Rename.OVERWRITE
+    source = hadoop.Path(new)
+    context = hadoop.FileContext.getFileContext(
+        filesystem(spark, path)[0].getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(source, hadoop.Path(path), overwrite)
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """A small text file (metadata) read on the driver; None when missing."""
     fs, hpath = filesystem(spark, path)

@@ -115,7 +115,9 @@ def _record(spark: SparkSession, location: str, columns: Sequence[tuple[str, str
         "columns": [list(c) for c in columns], "partition_column": partition_column,
         "compression": compression}))
     fs, folder = filesystem(spark, location)
-    fs.mkdirs(folder)
+    if not fs.exists(folder):
+        fs.delete(filesystem(spark, places_path(location))[1], False)  # of a removed table
+        fs.mkdirs(folder)
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
@@ -138,6 +140,8 @@ def align_to_table(df: DataFrame, target: StructType) -> DataFrame:
                        for f in target.fields])
 
 
+#: Folder name of a NULL partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 _PARTITION_TYPE_INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
 
@@ -207,6 +211,30 @@ def write_by_name(df: DataFrame, table: str, mode: str = "overwrite",
         out.write.format("parquet").mode(mode).insertInto(table)
 
 
+def places_path(location: str) -> str:
+    """Where the places of a table's published partitions are recorded."""
+    return definition_path(location).removesuffix(".json") + ".places.json"
+
+
+def apply_places(spark: SparkSession, table: str, places: dict[str, str],
+                 partition_column: str | None) -> None:
+    """Point the catalog's partitions (or the whole table, value ``""``) at their folders."""
+    there = set()
+    if partition_column is not None:
+        there = {r[0] for r in spark.sql(f"SHOW PARTITIONS {qualified(table)}").collect()}
+    for value, folder in places.items():
+        at = "LOCATION '" + folder.replace("'", "\\'") + "'"
+        if partition_column is None:
+            spark.sql(f"ALTER TABLE {qualified(table)} SET {at}")
+            continue
+        text = "NULL" if value == NULL_PARTITION else "'" + value.replace("'", "\\'") + "'"
+        spec = f"PARTITION ({quote(partition_column)} = {text})"
+        spark.sql(f"ALTER TABLE {qualified(table)} ADD IF NOT EXISTS {spec} {at}")
+        if there:
+            spark.sql(f"ALTER TABLE {qualified(table)} {spec} SET {at}")
+    spark.catalog.refreshTable(table)
+
+
 def table_columns(spark: SparkSession, table: str) -> list[tuple[str, str, bool]]:
     """(name, type, is_partition) of a catalog table, in table order."""
     return [(c.name, c.dataType, c.isPartition) for c in spark.catalog.listColumns(table)]
@@ -262,7 +290,11 @@ def register_tables(spark: SparkSession, lake,
                     spark.sql(f"CREATE TABLE {qualified(name)} USING parquet LOCATION '{loc}'")
             except AnalysisException:  # no data file to take a schema from
                 continue
-        if partition_columns(spark, name):
+        parts = partition_columns(spark, name)
+        if parts:
             spark.sql(f"ALTER TABLE {qualified(name)} RECOVER PARTITIONS")
+        places = json.loads(read_text(spark, places_path(folder)) or "{}")
+        if places:  # published partitions lie elsewhere (operators.publish)
+            apply_places(spark, name, places, parts[0] if parts else None)
         made.append(name)
     return made

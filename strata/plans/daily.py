@@ -2,7 +2,8 @@
 
 The order of the original daily schedule. Quality runs before gold here, so
 that a gated suite stops the run before gold tables are rewritten; with
-``stop_job=False`` the order makes no difference to the results.
+``stop_job=False`` the order makes no difference to the results. ``gate`` holds
+checks of the day's rows that run before they are visible in silver.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ class PipelineSpec:
     quality: QualityParams | None = None
     logs_db: str = "logs"
     balance: bool = False  # spread the records over tasks before landing
+    gate: QualityParams | None = None  # checks silver rows must pass before they are visible
 
 
 @dataclass
@@ -45,9 +47,10 @@ class PipelineResult:
 def run_pipeline(spark: SparkSession, lake: Lake, records: DataFrame,
                  spec: PipelineSpec) -> PipelineResult:
     capture(spark, records, lake, spec.source, spec.table, spec.day, ext=spec.ingest.ext,
-            sep=spec.ingest.sep, logs_db=spec.logs_db, balance=spec.balance)
+            sep=spec.ingest.sep, header=spec.ingest.header, logs_db=spec.logs_db,
+            balance=spec.balance)
     silver = bronze_to_silver(spark, lake, spec.source, spec.table, spec.day, spec.ingest,
-                              logs_db=spec.logs_db)
+                              logs_db=spec.logs_db, gate=spec.gate)
     report = None
     if spec.quality is not None:
         sql = spec.quality_sql or f"SELECT * FROM {spec.ingest.table}"

@@ -18,10 +18,10 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from ..functions.names import quote
 from ..lake import Lake
 from ..operators.silver import bind_positionally
 from ..params import (GoldParams, IngestParams, ParamError, QualityParams, landing_read_schema,
@@ -58,25 +58,33 @@ def read_records(spark: SparkSession, path: str, fmt: str = "json",
     raise ValueError(f"unsupported record format {fmt!r}; use one of {RECORD_FORMATS}")
 
 
-def split_records(spark: SparkSession, path: str,
-                  schema: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(good records, malformed lines) of JSON lines.
+def split_records(spark: SparkSession, path: str, schema: str | StructType | None = None,
+                  ) -> tuple[DataFrame, DataFrame, Observation]:
+    """(good records, malformed lines, number of malformed lines) of JSON lines.
 
     Lines are read as text and parsed by expression, so that the malformed ones
-    keep their text. Without a schema it is inferred from the good lines first.
+    keep their text. Without a schema it is inferred from the good lines first,
+    one more pass; any key is a column name. The number is observed, as
+    ``malformed``, while the good records are read, so a delivery without malformed
+    lines is not read again for them.
     """
     if schema is None:
         reader = spark.read.options(mode="DROPMALFORMED", primitivesAsString="true",
                                     columnNameOfCorruptRecord=RESERVED_COLUMN)
-        schema = reader.json(path).schema.simpleString()
-        schema = schema.removeprefix("struct<").removesuffix(">")
-    wide = f"{schema}, {quote(RESERVED_COLUMN)} STRING"
+        schema = reader.json(path).schema
+        if not schema.fields:
+            raise ParamError(f"no line of {path} is a JSON record with a key")
+    elif isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    wide = StructType([*schema.fields, StructField(RESERVED_COLUMN, StringType())])
     lines = spark.read.text(path).where(F.trim("value") != "")
     parsed = lines.select("value", F.from_json("value", wide, {
         "mode": "PERMISSIVE", "columnNameOfCorruptRecord": RESERVED_COLUMN}).alias("r"))
     broken = F.col("r").getField(RESERVED_COLUMN).isNotNull()
-    good = parsed.where(~broken).select("r.*").drop(RESERVED_COLUMN)
-    return good, parsed.where(broken).select("value")
+    seen = Observation("malformed lines")
+    good = parsed.observe(seen, F.count_if(broken).alias("malformed")).where(~broken)
+    return (good.select(*[F.col("r").getField(f.name).alias(f.name) for f in schema.fields]),
+            parsed.where(broken).select("value"), seen)
 
 
 def capture_from_files(spark: SparkSession, lake: Lake, base: str | Path, source: str,
@@ -98,18 +106,19 @@ def capture_from_files(spark: SparkSession, lake: Lake, base: str | Path, source
     params = IngestParams.from_dict(load_json(spark, params_path(base, source, table)))
     declared = bool(params.schema) if declared_only is None else declared_only
     schema = landing_read_schema(params.require_schema()) if declared else None
-    malformed = None
+    malformed, seen = None, None
     if quarantine and records_format == "json":
         if multi_line:
             raise ParamError("only JSON lines can be quarantined one by one")
-        records, malformed = split_records(spark, records_path, schema)
+        records, malformed, seen = split_records(spark, records_path, schema)
     else:
         records = read_records(spark, records_path, records_format, multi_line, schema,
                                params.sep, params.header)
         if records_format == "csv" and not params.header and params.schema:
             records = bind_positionally(records, params.schema)
     return capture(spark, records, lake, source, table, day, ext=params.ext, sep=params.sep,
-                   header=params.header, logs_db=logs_db, balance=balance, malformed=malformed)
+                   header=params.header, logs_db=logs_db, balance=balance, malformed=malformed,
+                   malformed_seen=seen)
 
 
 def silver_from_files(spark: SparkSession, lake: Lake, base: str | Path, source: str,

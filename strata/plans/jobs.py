@@ -19,6 +19,7 @@ from ..functions.metrics import observed
 from ..lake import Lake, remove_folder
 from ..operators.gold import build_gold, gold_frame
 from ..operators.ledger import RunLedger
+from ..operators.publish import publish_gated
 from ..operators.quality import enforce, run_suite
 from ..operators.silver import bind_positionally, conform_observed
 from ..operators.tables import ensure_table, write_by_name
@@ -36,13 +37,15 @@ JOB_DATA_QUALITY = "data_quality"
 def capture(spark: SparkSession, records: DataFrame, lake: Lake, source: str, table: str,
             day: str, ext: str = "csv", sep: str = ";", logs_db: str = "logs",
             max_records_per_file: int | None = None, balance: bool = False, header: bool = True,
-            malformed: DataFrame | None = None) -> str:
+            malformed: DataFrame | None = None,
+            malformed_seen: Observation | None = None) -> str:
     """Land ``records`` as the bronze files of ``day``; returns the directory.
 
     ``balance`` spreads the records over tasks before writing (one shuffle),
     for deliveries that arrive in few or uneven partitions. ``malformed`` holds
     lines that are no records: they go to the ``_malformed`` folder of the day
-    and their number to the ledger.
+    and their number to the ledger. ``malformed_seen`` has observed during the
+    landing whether there are any; where it saw none they are not looked for.
     """
     with RunLedger(spark, lake, JOB_CAPTURE, table, source, database=logs_db) as log:
         with log.step("load_" + ext):
@@ -55,17 +58,35 @@ def capture(spark: SparkSession, records: DataFrame, lake: Lake, source: str, ta
         log.info("path", path)
         log.info("rows", observed(seen).get("rows"))
         if malformed is not None:
-            with log.step("load_malformed"):
-                bad = f"{lake.bronze(source, table)}/_malformed/{DAY_COLUMN}={day}"
-                malformed.write.mode("overwrite").text(bad)
-            log.info("malformed", spark.read.text(bad).count())
+            log.info("malformed", _set_aside(malformed, lake, source, table, day, malformed_seen,
+                                             log))
         return path
 
 
+def _set_aside(lines: DataFrame, lake: Lake, source: str, table: str, day: str,
+               seen: Observation | None, log: RunLedger) -> int | None:
+    """Write malformed lines; returns their number, counted where they are written."""
+    spark = lines.sparkSession
+    folder = f"{lake.bronze(source, table)}/_malformed/{DAY_COLUMN}={day}"
+    if seen is not None and observed(seen).get("malformed") == 0:
+        remove_folder(spark, folder)  # of an earlier run of the day
+        return 0
+    with log.step("load_malformed"):
+        counted = Observation("malformed rows")
+        lines.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").text(folder)
+    return observed(counted).get("rows")
+
+
 def bronze_to_silver(spark: SparkSession, lake: Lake, source: str, table: str, day: str,
                      params: IngestParams, logs_db: str = "logs",
-                     full_overwrite: bool = False) -> DataFrame:
-    """Bind one landed day to the declared schema and write the silver table."""
+                     full_overwrite: bool = False,
+                     gate: QualityParams | dict | None = None) -> DataFrame:
+    """Bind one landed day to the declared schema and write the silver table.
+
+    With ``gate``, the suite checks the rows of this run before they are visible:
+    they are staged, checked and published (``operators.publish``). A failed check
+    fails the job and the table stays as it was.
+    """
     with RunLedger(spark, lake, JOB_BRONZE_TO_SILVER, table, source,
                    database=logs_db) as log:
         with log.step("read_" + params.ext):
@@ -91,10 +112,18 @@ def bronze_to_silver(spark: SparkSession, lake: Lake, source: str, table: str, d
             ensure_table(spark, params.table, schema, params.partition_column,
                          lake.location("silver", params.target_schema, params.target_table),
                          params.compression)
-        with log.step("write_table"):
-            written = Observation("silver_rows")
-            write_by_name(typed, params.table, mode=params.mode, full_overwrite=full_overwrite,
-                          rebalance=params.rebalance, written=written)
+        written = Observation("silver_rows")
+        if gate is not None:
+            with log.step("publish_table"):
+                publish_gated(typed, params.table,
+                              lake.location("silver", params.target_schema, params.target_table),
+                              _suite(gate), mode=params.mode, compression=params.compression,
+                              rebalance=params.rebalance, written=written)
+        else:
+            with log.step("write_table"):
+                write_by_name(typed, params.table, mode=params.mode,
+                              full_overwrite=full_overwrite, rebalance=params.rebalance,
+                              written=written)
         log.info("day", day)
         log.info("rows", observed(written).get("rows"))
         for key, value in observed(seen).items():
@@ -103,6 +132,10 @@ def bronze_to_silver(spark: SparkSession, lake: Lake, source: str, table: str, d
         return spark.table(params.table)
 
 
+def _suite(params: QualityParams | dict) -> QualityParams:
+    return QualityParams.from_dict(params) if isinstance(params, dict) else params
+
+
 def silver_to_gold(spark: SparkSession, lake: Lake, sql_text: str, params: GoldParams,
                    source: str = "silver", logs_db: str = "logs",
                    full_overwrite: bool = False) -> DataFrame:
@@ -122,8 +155,7 @@ def data_quality(spark: SparkSession, lake: Lake, table_name: str, sql_text: str
     is computed once and kept; the gate then reads the stored rows. Raises
     ``QualityGateError`` when a check fails and the suite is gated.
     """
-    if isinstance(params, dict):
-        params = QualityParams.from_dict(params)
+    params = _suite(params)
     gated = params.stop_job if stop_job is None else stop_job
     materialize = params.materialize if materialize is None else materialize
     results_table = results_table or f"{logs_db}.quality_results"

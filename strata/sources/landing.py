@@ -20,8 +20,9 @@ covered by it. No schema is given to the CSV reader: with a header it would bind
 the schema by position and ignore the header names. Spark takes the header of
 one file for all files of a read, so files with other headers would be bound by
 position: the landing therefore records the column names (``_HEADER``), and
-files are read in one group per header and united by name. Where no header was
-recorded (other producers) the first line of every file is read by Spark first.
+files are read in one group per header and united by name. Folders of other
+producers (no recorded header), and multi-line folders larger than one byte range,
+are read in byte ranges, every file with its own header (``split_csv``).
 Every column is read as text and bound by name later (``operators.silver``).
 """
 
@@ -39,6 +40,8 @@ from ..functions.metrics import observed
 from ..functions.names import column
 from ..lake import filesystem, read_text, write_text
 from ..params import SUPPORTED_FORMATS
+from . import split_csv
+from .files import listing
 
 DAY_COLUMN = "ingest_date"
 DEFAULT_MAX_RECORDS_PER_FILE = 100_000
@@ -145,10 +148,17 @@ def recorded_header(spark: SparkSession, path: str) -> list[str] | None:
 def file_headers(spark: SparkSession, paths: list[str], sep: str) -> dict[str, list[str]]:
     """File -> column names, from the first line of every CSV file.
 
-    One pass of text lines over the files, with one row per file coming back:
-    within a file's first block, lines arrive in order, so the first one kept
-    by the partial aggregate is the header.
+    For files that are to be read line by line, or cannot be split. Only the header's
+    bytes are read where tasks can open the files; else one pass of text lines, in
+    which the first line of a file's first block is its header (within a block lines
+    arrive in order, so it is the first one the partial aggregate keeps).
     """
+    if split_csv.can_split(sep) and split_csv.readable(spark, paths):
+        catalog = split_csv.header_catalog(listing(spark, paths), sep).where("line_end <> '\\r'")
+        found = {r.path: split_csv.header_names(r.header, sep)
+                 for r in catalog.select("path", "header").collect()}
+        if found:
+            return found
     lines = spark.read.text(paths).select("value", "_metadata.file_path",
                                           F.col("_metadata.file_block_start").alias("start"))
     first = lines.where("start = 0").groupBy("file_path").agg(F.first("value").alias("line"))
@@ -225,14 +235,25 @@ def _read_csv_group(spark: SparkSession, paths: list[str], sep: str, header: boo
     return df
 
 
+def _bytes_in(spark: SparkSession, paths: list[str]) -> int:
+    """Bytes of the folders' files, as the file system counts them."""
+    total = 0
+    for path in paths:
+        fs, hpath = filesystem(spark, path)
+        total += fs.getContentSummary(hpath).getLength()
+    return total
+
+
 def read_csv_folders(spark: SparkSession, folders: list[str], sep: str, header: bool,
-                     multi_line: bool | None, base: str | None = None) -> DataFrame:
+                     multi_line: bool | None, base: str | None = None,
+                     range_bytes: int | None = None) -> DataFrame:
     """Landed CSV folders as one all-text frame, columns bound by name.
 
     One read per distinct header and, unless ``multi_line`` is given, per way
     of reading (folders with the single-line marker line by line); columns
     missing from a group are NULL.
     """
+    frames: list[DataFrame] = []
     groups: dict[tuple[tuple[str, ...], bool], list[str]] = {}
     foreign: dict[bool, list[str]] = {}
     if base is None:
@@ -246,13 +267,24 @@ def read_csv_folders(spark: SparkSession, folders: list[str], sep: str, header:
             foreign.setdefault(broken, []).append(folder)
         else:
             groups.setdefault((tuple(known), broken), []).append(folder)
+    day = None if base is None else DAY_COLUMN
+    options = _csv_options(sep, header)
     for broken, paths in foreign.items():
+        split = (split_csv.read_split_csv(spark, paths, sep, header, options, range_bytes, day)
+                 if broken else None)
+        if split is not None:
+            frames.append(split)
+            continue
         for path, names in file_headers(spark, paths, sep).items():
             groups.setdefault((tuple(names), broken), []).append(path)
-    if not groups:  # folders without a file
+    if not groups and not frames:  # folders without a file
         groups[(), True] = folders
-    frames = [_read_csv_group(spark, paths, sep, header, broken, base)
-              for (_, broken), paths in groups.items()]
+    for (_, broken), paths in groups.items():
+        split = None
+        if broken and _bytes_in(spark, paths) > (range_bytes or split_csv.RANGE_BYTES):
+            split = split_csv.read_split_csv(spark, paths, sep, header, options, range_bytes, day)
+        frames.append(_read_csv_group(spark, paths, sep, header, broken, base)
+                      if split is None else split)
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     if base is not None:  # the day comes last, as in a read of one group
         df = df.select(*[column(c) for c in df.columns if c != DAY_COLUMN], column(DAY_COLUMN))
@@ -260,13 +292,14 @@ def read_csv_folders(spark: SparkSession, folders: list[str], sep: str, header:
 
 
 def read_csv(spark: SparkSession, path: str, sep: str = ";", header: bool = True,
-             multi_line: bool | None = None) -> DataFrame:
+             multi_line: bool | None = None, range_bytes: int | None = None) -> DataFrame:
     """All-text frame of a landed CSV directory; blanks read as NULL.
 
     Line by line (splittable) when the folder carries the single-line marker or
-    ``multi_line`` is False; multi-line otherwise.
+    ``multi_line`` is False; multi-line otherwise, in byte ranges of ``range_bytes``
+    where the folder holds more than that.
     """
-    return read_csv_folders(spark, [path], sep, header, multi_line)
+    return read_csv_folders(spark, [path], sep, header, multi_line, range_bytes=range_bytes)
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType | str | None = None,

@@ -42,7 +42,7 @@ def test_entry_runs(spark):
                           "nation_key"]
 
 
-OWN = {**E.QUERIES, **E.EDGE_QUERIES}
+OWN = {**E.QUERIES, **E.EDGE_QUERIES, **E.DELIVERY_QUERIES}
 
 
 def test_every_query_has_an_oracle():

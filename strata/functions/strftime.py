@@ -20,21 +20,22 @@ a comma-separated text, split once. ``mask_columns`` yields those two columns
 for a projection ahead of an aggregate, so they are computed once per row;
 ``mask_valid`` turns them into the verdict with plain arithmetic.
 
-Masks with week numbers, ISO weeks or zone names fall back to a vectorised
-``pandas_udf`` that calls ``strptime`` itself.
+A week of the year with a weekday gives the day of the year, an ISO year and week
+the day itself; day numbers (days since 0001-01-01, which was a Monday) tell
+whether it lies in the years 1 to 9999. Zone names are those ``strptime`` knows:
+UTC, GMT and the driver's own. All of it runs on the JVM.
 """
 
 from __future__ import annotations
 
 import calendar
 import re
+import time
 from dataclasses import dataclass
 from datetime import datetime
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
 
 
 def _names(names) -> str:
@@ -54,6 +55,10 @@ DIRECTIVES = {
     "M": r"[0-5]\d|\d",
     "S": r"6[0-1]|[0-5]\d|\d",
     "f": r"[0-9]{1,6}",
+    "U": r"5[0-3]|[0-4]\d|\d",
+    "W": r"5[0-3]|[0-4]\d|\d",
+    "V": r"5[0-3]|0[1-9]|[1-4]\d|\d",
+    "G": r"\d\d\d\d",
     "w": r"[0-6]",
     "u": r"[1-7]",
     "z": r"[+-]\d\d:?[0-5]\d(?::?[0-5]\d(?:\.\d{1,6})?)?|(?-i:Z)",
@@ -65,8 +70,18 @@ DIRECTIVES = {
 COMPOSITE = {"c": "%a %b %d %H:%M:%S %Y", "x": "%m/%d/%y", "X": "%H:%M:%S"}
 # An offset is read the same way only if its colons are all there or all absent.
 _OFFSET = r"(?i)(?-i:Z)|[+-](?:[01]\d|2[0-3])(?::\d\d(?::\d\d(?:\.\d+)?)?|\d\d(?:\d\d(?:\.\d+)?)?)"
-# Fields the calendar check reads, in output order.
+# Fields the calendar check reads, in output order; the weekday only with a week.
 _FIELDS = ("Y", "y", "m", "b", "B", "d", "j", "S", "z")
+_WEEKDAYS = ("a", "A", "w", "u")
+_WEEKS = ("U", "W", "V", "G")
+# Number of 9999-12-31 in days since 0001-01-01 (which is 1).
+_LAST_DAY = 3652059
+
+
+def zone_names() -> list[str]:
+    """Zone names ``strptime`` accepts on the driver."""
+    own = time.tzname if time.daylight else time.tzname[:1]
+    return sorted({"utc", "gmt", *(n.lower() for n in own)})
 
 
 class MaskError(ValueError):
@@ -76,11 +91,13 @@ class MaskError(ValueError):
 @dataclass(frozen=True)
 class MaskPlan:
     mask: str
-    jvm: bool
-    rx: str = ""            # anchored match test
-    rx_rest: str = ""       # the same, plus a trailing group for the rest
-    replacement: str = ""   # "$i,$j,...,$rest"
-    fields: tuple[str, ...] = ()
+    rx: str                 # anchored match test
+    rx_rest: str            # the same, plus a trailing group for the rest
+    replacement: str        # "$i,$j,...,$rest"
+    fields: tuple[str, ...]
+    weekday: str | None = None  # the directives that count: the last of their kind
+    week: str | None = None
+    never: bool = False     # directives that contradict each other: no value parses
 
 
 def _check_mask(mask: str) -> None:
@@ -104,11 +121,14 @@ def plan_mask(mask: str) -> MaskPlan:
                 rest = COMPOSITE[key] + rest
             elif key == "%":
                 out.append("%")
+            elif key == "Z":
+                groups.append(key)
+                out.append(f"({_names(zone_names())})")
             elif key in DIRECTIVES:
                 groups.append(key)
                 out.append(f"({DIRECTIVES[key]})")
             else:
-                return MaskPlan(mask, jvm=False)
+                raise MaskError(f"directive %{key} of {mask!r} is not known")
         elif rest[0].isspace():
             out.append(r"\s+")
             rest = rest.lstrip()
@@ -118,13 +138,53 @@ def plan_mask(mask: str) -> MaskPlan:
     # Case-insensitive like strptime; Unicode classes so that \s matches Python's
     # white space. Every group of the expression is one directive, in order.
     rx = "(?iU)^(?:" + "".join(out) + ")"
-    fields = tuple(f for f in _FIELDS if f in groups)
+    weekdays = [g for g in groups if g in _WEEKDAYS]
+    weeks = [g for g in groups if g in ("U", "W")]
+    # an ISO week needs its year and a weekday, and no day of the year
+    never = (("G" in groups and ("j" in groups or "V" not in groups or not weekdays))
+             or ("V" in groups and "G" not in groups))
+    wanted = _FIELDS + (_WEEKDAYS + _WEEKS if set(groups) & set(_WEEKS) else ())
+    fields = tuple(f for f in wanted if f in groups)
     replacement = ",".join([f"${groups.index(f) + 1}" for f in fields] + [f"${len(groups) + 1}"])
-    return MaskPlan(mask, True, rx, rx + "((?s).*)$", replacement, fields)
+    return MaskPlan(mask, rx, rx + "((?s).*)$", replacement, fields,
+                    weekdays[-1] if weekdays else None, weeks[-1] if weeks else None, never)
+
+
+def _numbered(names: list[str]) -> Column:
+    """Map from lower-case names to their numbers (from 0)."""
+    return F.create_map(*[x for k, n in enumerate(names) for x in (F.lit(n.lower()), F.lit(k))])
+
+
+def _days_before(year: Column) -> Column:
+    """Days before January 1 of a year, since 0001-01-01."""
+    y = year - 1
+    return y * 365 + F.floor(y / 4) - F.floor(y / 100) + F.floor(y / 400)
+
+
+def _first_weekday(year: Column) -> Column:
+    """Weekday of January 1 (0: Monday)."""
+    return F.pmod(_days_before(year), F.lit(7))
 
 
-def uses_jvm_path(mask: str) -> bool:
-    return plan_mask(mask).jvm
+def _week_day_number(year: Column, week: Column, weekday: Column, monday: bool) -> Column:
+    """Day number of a weekday (0: Monday) in a week counted from the year's first
+    Monday or Sunday; days before it are week 0."""
+    first = _first_weekday(year)
+    if not monday:
+        first, weekday = (first + 1) % 7, (weekday + 1) % 7
+    in_year = F.when(week == 0, weekday - first).otherwise(
+        (7 - first) % 7 + (week - 1) * 7 + weekday)
+    return _days_before(year) + in_year + 1
+
+
+def _iso_day_number(year: Column, week: Column, weekday: Column, leap: Column) -> Column:
+    """Day number of an ISO week's weekday; NULL where the year has no such week."""
+    first = _first_weekday(year)
+    long = (first == 3) | ((first == 2) & leap)
+    # the week of January 4 is the first
+    begin = _days_before(year) + 1 - first + F.when(first > 3, 7).otherwise(0)
+    there = week.between(1, 52) | ((week == 53) & long)
+    return F.when(there, begin + (week - 1) * 7 + weekday)
 
 
 def _month_map(names: list[str]) -> Column:
@@ -140,8 +200,6 @@ def _month_names() -> tuple[list[str], list[str]]:
 
 def mask_columns(c: Column, plan: MaskPlan, prefix: str) -> list[Column]:
     """Per-row columns the verdict needs: ``{prefix}_ok`` and ``{prefix}_f``."""
-    if not plan.jvm:
-        return [_udf_parses(plan.mask)(c).alias(f"{prefix}_ok")]
     return [
         c.rlike(plan.rx).alias(f"{prefix}_ok"),
         F.split(F.regexp_replace(c, plan.rx_rest, plan.replacement), ",",
@@ -151,9 +209,6 @@ def mask_columns(c: Column, plan: MaskPlan, prefix: str) -> list[Column]:
 
 def mask_valid(plan: MaskPlan, ok: Column, fields: Column | None = None) -> Column:
     """Verdict from the ``mask_columns``: NULL for NULL input, else a boolean."""
-    if not plan.jvm:
-        return ok
-
     def text(name: str) -> Column:
         return F.try_element_at(fields, F.lit(plan.fields.index(name) + 1))
 
@@ -179,14 +234,35 @@ def mask_valid(plan: MaskPlan, ok: Column, fields: Column | None = None) -> Colu
         month = F.lit(1)
     day = num("d") if "d" in plan.fields else F.lit(1)
 
-    leap = ((year % 4 == 0) & (year % 100 != 0)) | (year % 400 == 0)
+    def leap_year(year: Column) -> Column:
+        return ((year % 4 == 0) & (year % 100 != 0)) | (year % 400 == 0)
+
+    def weekday() -> Column:
+        value = text(plan.weekday)
+        if plan.weekday in ("a", "A"):
+            names = calendar.day_abbr if plan.weekday == "a" else calendar.day_name
+            return F.try_element_at(_numbered(list(names)), F.lower(value))
+        number = value.try_cast("int")
+        return (number + 6) % 7 if plan.weekday == "w" else number - 1
+
+    leap = leap_year(year)
     month_len = (F.when(month == 2, F.when(leap, 29).otherwise(28))
                  .when(month.isin(4, 6, 9, 11), 30).otherwise(31))
-    if "j" in plan.fields:  # the day of the year decides; month and day are not looked at
+    exists = year >= 1
+    if plan.never:
+        real = F.lit(False)
+    elif "j" not in plan.fields and plan.weekday and plan.week:
+        real = _week_day_number(year, num(plan.week), weekday(), plan.week == "W").between(
+            1, _LAST_DAY)
+    elif "G" in plan.fields:
+        exists = num("G") >= 1
+        real = _iso_day_number(num("G"), num("V"), weekday(), leap_year(num("G"))).between(
+            1, _LAST_DAY)
+    elif "j" in plan.fields:  # the day of the year decides; month and day are not looked at
         real = (num("j") <= 365) | leap | (year < 9999)
     else:
         real = month.between(1, 12) & (day >= 1) & (day <= month_len)
-    valid = ok & (rest == "") & (year >= 1) & real
+    valid = ok & (rest == "") & exists & real
     if "z" in plan.fields:
         valid = valid & text("z").rlike(f"^(?:{_OFFSET})$")
     if "S" in plan.fields:
@@ -195,23 +271,6 @@ def mask_valid(plan: MaskPlan, ok: Column, fields: Column | None = None) -> Colu
         F.coalesce(valid, F.lit(False)))
 
 
-def _udf_parses(mask: str):
-    @F.pandas_udf(BooleanType())
-    def parses(values: pd.Series) -> pd.Series:
-        def one(v):
-            if v is None or (isinstance(v, float) and pd.isna(v)):
-                return None
-            try:
-                datetime.strptime(v, mask)
-                return True
-            except ValueError:
-                return False
-
-        return values.map(one).astype("boolean")
-
-    return parses
-
-
 def matches_strftime(c: Column, mask: str) -> Column:
     """Boolean column: NULL for NULL input, else whether ``strptime`` accepts it.
 
@@ -219,8 +278,6 @@ def matches_strftime(c: Column, mask: str) -> Column:
     ``mask_columns`` in a projection first (see ``operators.quality``).
     """
     plan = plan_mask(mask)
-    if not plan.jvm:
-        return _udf_parses(mask)(c)
     ok = c.rlike(plan.rx)
     fields = F.split(F.regexp_replace(c, plan.rx_rest, plan.replacement), ",",
                      len(plan.fields) + 1)

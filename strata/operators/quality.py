@@ -230,8 +230,7 @@ def _mask_check(df: DataFrame, check: Check, slot: int) -> tuple[Column, Column,
     prefix = f"__mask{slot}"
     pre = mask_columns(c.cast("string"), plan, prefix)
     ok = F.col(f"{prefix}_ok")
-    fields = F.col(f"{prefix}_f") if plan.jvm else None
-    return F.count(c), F.count_if(~mask_valid(plan, ok, fields)), pre
+    return F.count(c), F.count_if(~mask_valid(plan, ok, F.col(f"{prefix}_f"))), pre
 
 
 def _report_row(check: Check, element: Column, unexpected: Column,

@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from strata.functions.strftime import matches_strftime, uses_jvm_path
+from strata.functions.strftime import matches_strftime, plan_mask
 from strata.operators.quality import QualityGateError, enforce, expand, gate, run_suite
 from strata.params import ParamError
 
@@ -156,7 +156,7 @@ def test_impossible_masks_are_refused(mask):
     from strata.functions.strftime import MaskError
 
     with pytest.raises(MaskError):
-        uses_jvm_path(mask)
+        plan_mask(mask)
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])
@@ -181,10 +181,50 @@ def test_bounds_do_not_take_the_type_of_the_column(spark, ansi):
         _report(df, {"value_lenght_btw": {"column": "i", "min": "1", "max": "5.7"}})
 
 
-def test_strftime_paths():
-    assert uses_jvm_path("%Y-%m-%d %H:%M:%S.%f")
-    assert uses_jvm_path("%Y-%j") and uses_jvm_path("%Y%m%dT%H%M%S%z")
-    assert not uses_jvm_path("%Y-%U-%w") and not uses_jvm_path("%Y %Z")
+WEEK_MASKS = ["%Y-%U-%w", "%Y-%W-%w", "%Y-%W-%u", "%Y %U %a", "%A %W %Y", "%G-%V-%u", "%G-W%V-%w",
+              "%G %V %A", "%Y %U", "%y-%W-%u", "%Y-%V-%u", "%G-%u", "%G-%V", "%G-%V-%u %j",
+              "%U %W %Y %w", "%G-%V-%u %Y", "%Y-%m-%d %a", "%G %V %u %U", "%w %u %Y %W"]
+
+
+@pytest.mark.parametrize("mask", WEEK_MASKS)
+def test_week_masks_equal_strptime(spark, mask):
+    """All first and last weeks of years around every kind of year, and the ends of time."""
+    import itertools
+    import re
+
+    years = ["0000", "0001", "0002", "1900", "1999", "2000", "2004", "2015", "2016", "2020", "2021",
+             "9998", "9999"]
+    parts = {"Y": years, "G": years, "y": ["00", "68", "69"], "U": ["0", "00", "1", "52", "53", "54"],
+             "W": ["0", "1", "52", "53"], "V": ["0", "01", "1", "52", "53"], "w": list("0167"),
+             "u": list("0157"), "a": ["Sun", "mon", "x"], "A": ["SUNDAY", "Thursday"],
+             "j": ["1", "366"], "m": ["2"], "d": ["29", "30"]}
+    keys = re.findall("%(.)", mask)
+    values = []
+    for combo in itertools.product(*(parts[k] for k in keys)):
+        given = iter(combo)
+        values.append(re.sub("%.", lambda _: next(given), mask))
+    values = sorted(set(values))[:4000] + ["", "2020", "2020-1", " 2020-01-1", "2020-01-1 "]
+    df = spark.createDataFrame([(v,) for v in values], "v STRING")
+    got = {r.v: r.ok for r in df.select("v", matches_strftime(F.col("v"), mask).alias("ok")).collect()}
+    want = {v: _parses(v, mask) for v in values}
+    assert got == want, [(v, want[v]) for v in values if got[v] != want[v]][:5]
+
+
+def test_zone_names(spark):
+    from strata.functions.strftime import zone_names
+
+    values = [f"2024 {z}" for z in ("UTC", "gmt", "CET", "Z", "", *zone_names())]
+    df = spark.createDataFrame([(v,) for v in values], "v STRING")
+    got = {r.v: r.ok for r in
+           df.select("v", matches_strftime(F.col("v"), "%Y %Z").alias("ok")).collect()}
+    assert got == {v: _parses(v, "%Y %Z") for v in values}
+
+
+def test_no_mask_runs_python(spark):
+    df = spark.createDataFrame([("2024-01-1",)], "v STRING")
+    for mask in (*MASKS, *WEEK_MASKS, "%Y %Z"):
+        plan = df.select(matches_strftime(F.col("v"), mask).alias("ok"))._jdf
+        assert "Python" not in plan.queryExecution().executedPlan().toString()
 
 
 @settings(max_examples=15, deadline=None)

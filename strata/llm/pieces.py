@@ -15,29 +15,49 @@ from collections.abc import Callable
 
 import regex
 
-#: Entries per cache; beyond it, parts are encoded without being kept.
-CACHE_ENTRIES = 300_000
+#: Entries of one generation of a cache; two generations are kept.
+CACHE_ENTRIES = 250_000
 #: Longer parts are not kept.
 CACHE_CHARS = 64
 
 _CLOSE_WHITE = re.compile(r" \s|[^\S ] ")
+#: White space besides the blank and the line feed.
+_ODD_WHITE = tuple(c for c in map(chr, range(0x3001)) if c not in " \n" and re.match(r"\s", c))
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _MARKS = "!#$%&()*+,-./:;<=>?@[]^_{|}~"
 #: Below this, str.isalpha and the pattern's letter class agree in every Unicode version.
 _LATIN_END = "\u0370"
 
 
+def _has_close_white(text: str) -> bool:
+    """Whether a blank stands next to other white space."""
+    for c in _ODD_WHITE:
+        if c in text:
+            return _CLOSE_WHITE.search(text) is not None
+    return "  " in text or " \n" in text or "\n " in text
+
+
 class _Cache(dict):
-    """Values made on first use; keeps at most ``CACHE_ENTRIES`` short keys."""
+    """Values made on first use, in two generations of at most ``CACHE_ENTRIES`` short keys.
+
+    A full generation becomes the older one and replaces it; keys used again come
+    back from there. What is frequent stays, whatever came first.
+    """
 
     def __init__(self, make: Callable[[str], bytes]):
         super().__init__()
-        self.make = make
+        self.make, self.older = make, {}
 
     def __missing__(self, key: str) -> bytes:
-        value = self.make(key)
-        if len(self) < CACHE_ENTRIES and len(key) <= CACHE_CHARS:
-            self[key] = value
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+            if len(key) > CACHE_CHARS:
+                return value
+        if len(self) >= CACHE_ENTRIES:
+            self.older = self.copy()
+            self.clear()
+        self[key] = value
         return value
 
 
@@ -46,22 +66,26 @@ class TextEncoder:
 
     def __init__(self, pattern: str, encode_match: Callable[[str], bytes]):
         self._find = regex.compile(pattern).findall
+        self._make = encode_match
         self._match = _Cache(encode_match)
-        self._first = _Cache(self._part)
-        self._rest = _Cache(lambda part: self._part(" " + part))
+        self._first = _Cache(self._searched)
+        self._rest = _Cache(self._spaced)
 
-    def _part(self, part: str) -> bytes:
-        """Ids of a part; a Latin word, with marks behind it or not, needs no search."""
-        word = part.rstrip(_MARKS)
-        letters = word[1:] if word[:1] == " " else word
-        if letters.isalpha() and max(letters) < _LATIN_END:
-            marks = part[len(word):]
-            return self._match[word] + (self._match[marks] if marks else b"")
+    def _searched(self, part: str) -> bytes:
         return b"".join(map(self._match.__getitem__, self._find(part)))
 
+    def _spaced(self, part: str) -> bytes:
+        """Ids of a part behind its space; a Latin word, with marks behind it or not,
+        needs no search."""
+        word = part.rstrip(_MARKS)
+        if not (word.isalpha() and (word.isascii() or max(word) < _LATIN_END)):
+            return self._searched(" " + part)
+        if len(word) == len(part):
+            return self._make(" " + word)
+        return self._rest[word] + self._match[part[len(word):]]
+
     def encode(self, text: str) -> bytes:
-        parts = (_SAFE_SPACE.split(text) if _CLOSE_WHITE.search(text)
-                 else text.split(" "))
+        parts = _SAFE_SPACE.split(text) if _has_close_white(text) else text.split(" ")
         return self._first[parts[0]] + b"".join(map(self._rest.__getitem__, parts[1:]))
 
 
@@ -120,14 +144,15 @@ def library_encoder(name: str, added_tokens: bool = False) -> TextEncoder | Adde
         tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
         model = tokenizer.model
         shown = _printable_bytes()
+        space, written = shown[32], [shown.get(k, chr(k)) for k in range(256)]
 
         def encode_match(match: str) -> bytes:
             spaced = match[0] == " "
             if match.isascii() and match[spaced:].isalnum():
-                written = shown[32] + match[1:] if spaced else match
+                name = space + match[1:] if spaced else match
             else:
-                written = match.encode().decode("latin-1").translate(shown)
-            return ids_to_bytes([t.id for t in model.tokenize(written)])
+                name = "".join(map(written.__getitem__, match.encode()))
+            return ids_to_bytes([t.id for t in model.tokenize(name)])
 
         plain = TextEncoder(public_tokenizers.PATTERN, encode_match)
         _LOADED[key] = AddedTokenEncoder(plain, tokenizer) if added_tokens else plain

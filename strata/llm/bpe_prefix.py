@@ -28,12 +28,20 @@ from .pieces import TextEncoder, ids_to_bytes
 
 #: Larger than any rank.
 NEVER = 1 << 60
-#: Pairs whose compatibility is remembered per worker.
+#: Pairs whose compatibility is remembered per worker, and ways of the automaton found late.
 PAIR_ENTRIES = 1_000_000
+#: Bits of a rank in a pair's key.
+RANK_BITS = 24
 
 
 class PrefixBpe:
-    """A rank table with the merge history of each token."""
+    """A rank table with the merge history of each token.
+
+    An automaton over the tokens' bytes reads a text byte by byte; its state is
+    the longest end of what was read that begins a token, and each state lists the
+    tokens that end there, longest first. So only tokens that really end at a
+    prefix are tried as its last one.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
@@ -41,10 +49,50 @@ class PrefixBpe:
         # pieces along an edge, from the single byte up to the token itself
         self.right_edge: dict[int, list[int]] = {}
         self.left_edge: dict[int, list[int]] = {}
-        self._pairs: dict[tuple[int, int], bool] = {}
-        self.longest_by_last = [0] * 256
+        self._pairs: dict[int, bool] = {}
         for rank in sorted(self.bytes_of):
             self._learn(rank)
+        self.reach = max(len(self.bytes_of[r]) for r in self.right_edge)
+        self._build()
+
+    def _build(self) -> None:
+        """The automaton: ways by state and byte, shorter ends, tokens that end there."""
+        self._ways: dict[int, int] = {}
+        ends: list[tuple[int, int] | None] = [None]
+        for rank in self.right_edge:
+            state = 0
+            for byte in self.bytes_of[rank]:
+                way = state << 8 | byte
+                state = self._ways.get(way, 0)
+                if not state:
+                    state = self._ways[way] = len(ends)
+                    ends.append(None)
+            ends[state] = rank, len(self.bytes_of[rank])
+        self._shorter = [0] * len(ends)
+        self._tokens: list[tuple[tuple[int, int], ...]] = [()] * len(ends)
+        # ways are in the order of insertion, so go by depth
+        level = [(s, 0, w & 255) for w, s in self._ways.items() if w < 256]
+        below: dict[int, list[tuple[int, int]]] = {}
+        for way, state in self._ways.items():
+            below.setdefault(way >> 8, []).append((state, way & 255))
+        while level:
+            deeper = []
+            for state, parent, byte in level:
+                short = self._next(self._shorter[parent], byte) if parent else 0
+                self._shorter[state] = short
+                own = ends[state]
+                self._tokens[state] = ((own,) if own else ()) + self._tokens[short]
+                deeper += [(s, state, b) for s, b in below.get(state, ())]
+            level = deeper
+        self._spare = PAIR_ENTRIES
+
+    def _next(self, state: int, byte: int) -> int:
+        """The state after one more byte, over shorter ends where there is no way."""
+        while True:
+            found = self._ways.get(state << 8 | byte)
+            if found is not None or not state:
+                return found or 0
+            state = self._shorter[state]
 
     def _learn(self, rank: int) -> None:
         """Edges of a token from its final merge; tokens no merge reaches get none."""
@@ -62,7 +110,6 @@ class PrefixBpe:
                     break
             else:
                 return
-        self.longest_by_last[token[-1]] = max(self.longest_by_last[token[-1]], len(token))
 
     def _stay_apart(self, a: int, b: int, below: int = NEVER) -> bool:
         """Whether no merge of a rank lower than ``below`` crosses from a to b."""
@@ -82,28 +129,51 @@ class PrefixBpe:
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether the joined bytes of two tokens encode to exactly these two."""
-        known = self._pairs.get((a, b))
+        key = a << RANK_BITS | b
+        known = self._pairs.get(key)
         if known is None:
             known = self._stay_apart(a, b)
             if len(self._pairs) < PAIR_ENTRIES:
-                self._pairs[a, b] = known
+                self._pairs[key] = known
         return known
 
-    def last_token(self, data: bytes, end: int, last: list[int]) -> int:
-        """The last token of ``data[:end]``, given those of all shorter prefixes."""
-        for size in range(min(end, self.longest_by_last[data[end - 1]]), 0, -1):
-            token = self.ranks.get(data[end - size:end])
-            if token is None or token not in self.right_edge:
-                continue
-            if size == end or self.compatible(last[end - size], token):
-                return token
-        raise ValueError("the vocabulary lacks a single byte")
+    def extend(self, data: bytes, last: list[int], states: list[int], stop: int) -> None:
+        """Append the last tokens and states of the prefixes up to ``stop`` bytes, given
+        those of all shorter ones."""
+        ways, tokens, pairs = self._ways, self._tokens, self._pairs
+        state = states[-1]
+        for end in range(len(last), stop + 1):
+            byte = data[end - 1]
+            way = ways.get(state << 8 | byte)
+            if way is None:
+                before, way = state, self._next(state, byte)
+                if self._spare:
+                    self._spare -= 1
+                    ways[before << 8 | byte] = way
+            state = way
+            for token, size in tokens[state]:
+                if size == end:
+                    break
+                left = last[end - size]
+                fits = pairs.get(left << RANK_BITS | token)
+                if fits or (fits is None and self.compatible(left, token)):
+                    break
+            else:
+                raise ValueError("the vocabulary lacks a single byte")
+            last.append(token)
+            states.append(state)
 
     def encode(self, data: bytes) -> list[int]:
         """Ids of one match; a match that is a token is that token."""
         if data in self.ranks:
             return [self.ranks[data]]
-        return PrefixEncoding(self, data).tokens()
+        last = [-1]
+        self.extend(data, last, [0], len(data))
+        out, end, bytes_of = [], len(data), self.bytes_of
+        while end:
+            out.append(last[end])
+            end -= len(bytes_of[last[end]])
+        return out[::-1]
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -113,15 +183,13 @@ class PrefixEncoding:
     """Editable encoding of one byte string: the last token of every prefix."""
 
     def __init__(self, bpe: PrefixBpe, data: bytes = b""):
-        self.bpe, self.data, self.last = bpe, b"", [-1]
+        self.bpe, self.data, self.last, self.states = bpe, b"", [-1], [0]
         self.append(data)
 
     def append(self, more: bytes) -> None:
         """Add bytes at the end; one step per byte, nothing is redone."""
-        begin = len(self.data) + 1
         self.data += more
-        for end in range(begin, len(self.data) + 1):
-            self.last.append(self.bpe.last_token(self.data, end, self.last))
+        self.bpe.extend(self.data, self.last, self.states, len(self.data))
 
     def replace(self, start: int, stop: int, new: bytes) -> int:
         """Put ``new`` in place of ``data[start:stop]``; returns the prefixes redone.
@@ -130,19 +198,20 @@ class PrefixEncoding:
         are redone until as many in a row as the longest token has bytes have
         the token they had before: from there on nothing can differ.
         """
-        old, tail = self.last, len(self.data) - stop
+        old, old_states, tail = self.last, self.states, len(self.data) - stop
         self.data = self.data[:start] + new + self.data[stop:]
-        self.last = old[:start + 1]
-        same, reach = 0, max(self.bpe.longest_by_last)
+        self.last, self.states = old[:start + 1], old_states[:start + 1]
+        same, reach = 0, self.bpe.reach
         size = len(self.data)
         for end in range(start + 1, size + 1):
-            token = self.bpe.last_token(self.data, end, self.last)
-            self.last.append(token)
+            self.bpe.extend(self.data, self.last, self.states, end)
+            token = self.last[end]
             before = end - size + len(old) - 1
             is_behind = end - (start + len(new)) > 0 and tail > 0
             same = same + 1 if is_behind and old[before] == token else 0
             if same >= reach:
                 self.last += old[before + 1:]
+                self.states += old_states[before + 1:]
                 return end - start
         return size - start
 

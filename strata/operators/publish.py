@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 from ..lake import read_text, remove_folder, replace_text, subdirectories
 from .quality import enforce, run_suite
-from .tables import (align_to_table, apply_places, partition_columns, places_path,
-                     spread_by_partition, write_by_name)
+from .tables import (align_to_table, apply_places, definition_of, partition_columns, places_path,
+                     recorded_places, spread_by_partition, write_by_name)
 
 #: Folder, in a table's folder, of what was staged and published.
 VERSIONS = "_versions"
@@ -80,7 +80,7 @@ def discard(spark: SparkSession, stage: Stage) -> None:
     remove_folder(spark, stage.folder)
 
 
-def _places(spark: SparkSession, stage: Stage) -> dict[str, str]:
+def places_of(spark: SparkSession, stage: Stage) -> dict[str, str]:
     """Partition value as text (the default partition's name for NULL) -> staged folder."""
     if stage.partition is None:
         return {"": stage.folder}
@@ -90,10 +90,10 @@ def _places(spark: SparkSession, stage: Stage) -> dict[str, str]:
 
 def publish(spark: SparkSession, stage: Stage) -> list[str]:
     """Make the staged rows visible; returns the partition values that moved."""
-    new = _places(spark, stage)
-    path = places_path(stage.location)
-    before = json.loads(read_text(spark, path) or "{}")
-    replace_text(spark, path, json.dumps(before | new))
+    new = places_of(spark, stage)
+    before = recorded_places(spark, stage.location)
+    generation = definition_of(spark, stage.location).get("generation", 0)
+    replace_text(spark, places_path(stage.location, generation), json.dumps(before | new))
     apply_places(spark, stage.table, new, stage.partition)
     _clean(spark, stage, before, before | new)
     return sorted(new)
@@ -139,5 +139,5 @@ def publish_gated(df: DataFrame, table: str, location: str, suite, mode: str = "
 
 def table_versions(spark: SparkSession, location: str) -> dict[str, str]:
     """Recorded places of a table's published partitions."""
-    return json.loads(read_text(spark, places_path(location)) or "{}")
+    return recorded_places(spark, location)
 

@@ -211,9 +211,25 @@ def write_by_name(df: DataFrame, table: str, mode: str = "overwrite",
         out.write.format("parquet").mode(mode).insertInto(table)
 
 
-def places_path(location: str) -> str:
-    """Where the places of a table's published partitions are recorded."""
-    return definition_path(location).removesuffix(".json") + ".places.json"
+def definition_of(spark: SparkSession, location: str) -> dict:
+    """The recorded definition of a table (empty without one)."""
+    return json.loads(read_text(spark, definition_path(location)) or "{}")
+
+
+def places_path(location: str, generation: int = 0) -> str:
+    """Where the places of a table's published partitions are recorded.
+
+    A change of the table's types begins a new generation (``operators.evolution``);
+    the definition says which one counts.
+    """
+    suffix = f".places.{generation}.json" if generation else ".places.json"
+    return definition_path(location).removesuffix(".json") + suffix
+
+
+def recorded_places(spark: SparkSession, location: str) -> dict[str, str]:
+    """Partition value -> folder of the partitions that were published."""
+    generation = definition_of(spark, location).get("generation", 0)
+    return json.loads(read_text(spark, places_path(location, generation)) or "{}")
 
 
 def apply_places(spark: SparkSession, table: str, places: dict[str, str],
@@ -293,7 +309,7 @@ def register_tables(spark: SparkSession, lake,
         parts = partition_columns(spark, name)
         if parts:
             spark.sql(f"ALTER TABLE {qualified(name)} RECOVER PARTITIONS")
-        places = json.loads(read_text(spark, places_path(folder)) or "{}")
+        places = recorded_places(spark, folder)
         if places:  # published partitions lie elsewhere (operators.publish)
             apply_places(spark, name, places, parts[0] if parts else None)
         made.append(name)

@@ -55,6 +55,7 @@ class IngestParams:
     compression: str | None = None
     url: str | None = None
     rebalance: bool = True  # False: no shuffle before the write (input already well dealt)
+    evolve: bool = False  # let an existing table follow the declared schema
 
     def __post_init__(self):
         if self.ext not in SUPPORTED_FORMATS:
@@ -99,6 +100,7 @@ class IngestParams:
             compression=d.get("compression"),
             url=d.get("url"),
             rebalance=_flag(d.get("rebalance")) is not False,
+            evolve=_flag(d.get("evolve")) is True,
         )
 
 

@@ -16,18 +16,21 @@ from pyspark.sql import functions as F
 
 from ..functions.names import column
 from ..lake import Lake
+from ..operators.gold import gold_frame
 from ..operators.ledger import step_stats
-from ..operators.quality import QualityGateError
+from ..operators.quality import QualityGateError, run_suite
 from ..operators.runs import Job, ResumableRun, attempts_of
 from ..operators.silver import conform
 from ..params import GoldParams, IngestParams
 from ..session import fresh_name
 from ..sources.landing import land_day, read_csv
-from .daily import PipelineSpec, run_pipeline
+from ..sources.schema_state import load_state, read_union
+from .daily import GoldSpec, PipelineSpec, run_pipeline
 from .files import split_records
 from .jobs import bronze_to_silver, capture, silver_to_gold
+from .oracles import _row, _union
 from .queries import (CUSTOMER_SCHEMA, DAY, EVENTS_SCHEMA, NATION_SCHEMA, NEXT_DAY, ORDERS_SCHEMA,
-                      PART_SCHEMA, _ctx, _t)
+                      PART_SCHEMA, _ctx, _t, _views)
 
 TEXT_SCHEMA = (("doc_id", "BIGINT"), ("text", "STRING"), ("source", "STRING"))
 FOREIGN = {"sep": ";", "header": "true", "quote": '"', "escape": '"'}
@@ -220,11 +223,108 @@ def run_ledger_slow_steps(spark, sf_dir):
         .alias("consistent"), F.lit(rows).cast("bigint").alias("silver_rows"))
 
 
+def ingest_schema_union(spark, sf_dir):
+    """Days of JSON whose keys and types drift: a key that is whole, then a fraction, then
+    text, a nested key that grows, keys with blanks, colons and dots."""
+    base = Lake.fresh(spark, "ingest_schema_union").bronze("app", "drift")
+    events = _t(spark, sf_dir, "events")
+    day = [events.where(F.col("event_id") % 4 == k) for k in range(4)]
+    whole = F.floor("value").cast("bigint")
+    nested = F.struct(F.col("user_id").alias("id"))
+    wider = F.struct(F.col("user_id").alias("id"), F.col("event_type").alias("kind.of"))
+    land_day(day[0].select("event_id", whole.alias("v:1"), nested.alias("who")), base,
+             "20240101", ext="json")
+    land_day(day[1].select("event_id", (whole + 0.5).alias("v:1"), wider.alias("who")), base,
+             "20240102", ext="json")
+    land_day(day[2].select("event_id", F.col("event_type").alias("a b.c")), base, "20240103",
+             ext="json")
+    read_union(spark, base)  # keeps the states of three days
+    land_day(day[3].select("event_id", F.col("event_type").alias("v:1"), F.lit(True).alias("late")),
+             base, "20240104", ext="json")
+    rows = read_union(spark, base)
+    kept = sum(load_state(spark, base, f"2024010{k}") is not None for k in range(1, 5))
+    return rows.select("event_id", column("v:1").alias("v"), F.col("who.id").alias("who_id"),
+                       F.col("who.`kind.of`").alias("who_kind"), column("a b.c").alias("abc"),
+                       "late", "ingest_date", F.lit(kept).cast("bigint").alias("states"))
+
+
+def gold_dependency_run(spark, sf_dir):
+    """Three gold tables, each reading the one after it in the list, with a table
+    expression, a subquery and a name that hides a table."""
+    lake, db, logs = _ctx(spark, "gold_dependency_run")
+    gold = fresh_name("gold")
+    spec = PipelineSpec(
+        "shop", "orders", DAY, IngestParams(db, "orders", ORDERS_SCHEMA, "o_orderstatus"),
+        golds=[
+            GoldSpec(f"WITH daily AS (SELECT * FROM {gold}.big) SELECT count(*) AS big_customers, "
+                     f"max(spent) AS most FROM daily WHERE spent > (SELECT avg(spent) FROM "
+                     f"{gold}.spending)", GoldParams(gold, "summary")),
+            GoldSpec(f"SELECT * FROM {gold}.spending WHERE orders >= 10", GoldParams(gold, "big")),
+            GoldSpec("SELECT o_custkey, count(*) AS orders, CAST(sum(CAST(o_totalprice AS "
+                     f"DECIMAL(18,2))) AS DECIMAL(28,2)) AS spent FROM {db}.orders GROUP BY "
+                     "o_custkey", GoldParams(gold, "spending")),
+        ], logs_db=logs)
+    golds = run_pipeline(spark, lake, _t(spark, sf_dir, "orders"), spec).golds
+    return golds[f"{gold}.summary"].select(
+        "big_customers", "most", F.lit(list(golds)[0].split(".")[1]).alias("first_built"))
+
+
+def silver_schema_evolution(spark, sf_dir):
+    """A table whose declared schema grows: day one as whole numbers, day two with another
+    column and wider types, then a declaration that would lose values and is refused."""
+    from ..operators.evolution import SchemaEvolutionError
+
+    lake, db, logs = _ctx(spark, "silver_schema_evolution")
+    part = _t(spark, sf_dir, "part")
+    first = (("p_partkey", "INT"), ("p_size", "SMALLINT"), ("p_brand", "STRING"))
+    later = (("p_partkey", "BIGINT"), ("p_size", "STRING"), ("p_name", "STRING"),
+             ("p_brand", "STRING"))
+
+    def day(rows: DataFrame, name: str, schema) -> DataFrame:
+        capture(spark, rows, lake, "shop", "part", name, logs_db=logs)
+        return bronze_to_silver(
+            spark, lake, "shop", "part", name,
+            IngestParams(db, "part", schema, "p_brand", mode="append", evolve=True), logs_db=logs)
+
+    odd = F.col("p_partkey") % 2 == 1
+    day(part.where(odd), DAY, first)
+    big = F.col("p_partkey") + 3000000000
+    rows = day(part.where(~odd).withColumn("p_partkey", big), NEXT_DAY, later)
+    refused = False
+    try:
+        day(part, "20240103", first)
+    except SchemaEvolutionError:
+        refused = True
+    return rows.withColumn("refused", F.lit(refused))
+
+
+WEEKS_SQL = """
+SELECT event_id,
+       CASE WHEN event_id % 17 = 0 THEN CAST(year(ts) AS STRING) || '-54-1'
+            WHEN event_id % 19 = 0 THEN CAST(year(ts) AS STRING) || '-10-7'
+            WHEN event_id % 23 = 0 THEN NULL
+            ELSE CAST(year(ts) AS STRING) || '-' || CAST((dayofyear(ts) + 6) // 7 AS STRING)
+                 || '-' || CAST(event_id % 7 AS STRING) END AS week,
+       CASE WHEN event_id % 13 = 0 THEN '2021-W53-1' WHEN event_id % 11 = 0 THEN '2020-W53-7'
+            WHEN event_id % 7 = 0 THEN '9999-W52-6' WHEN event_id % 5 = 0 THEN '2024-W00-1'
+            ELSE '2024-W01-' || CAST(event_id % 7 + 1 AS STRING) END AS iso
+FROM events
+"""
+
+
+def dq_week_mask(spark, sf_dir):
+    """Weeks of the year with a weekday, and ISO weeks."""
+    _views(spark, sf_dir, "events")
+    return run_suite(gold_frame(spark, WEEKS_SQL.replace("//", "div")), {"quality_params": {
+        "date_mask_equal": {"column": "week,iso", "date_mask": "%Y-%U-%w,%G-W%V-%u"}}})
+
+
 DELIVERY_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         bronze_split_multiline, bronze_foreign_headers, run_headerless, capture_json_any_keys,
         silver_gated_publish, run_resume, silver_from_json, silver_from_parquet, silver_codec,
-        layer_locations, run_ledger_slow_steps)
+        layer_locations, run_ledger_slow_steps, ingest_schema_union, gold_dependency_run,
+        silver_schema_evolution, dq_week_mask)
 }
 
 _CUSTOMER = "c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment"
@@ -274,4 +374,34 @@ DELIVERY_ORACLES: dict[str, str] = {
         FROM (VALUES ('capture_api', 'load_csv'), ('bronze_to_silver', 'read_csv'),
                      ('bronze_to_silver', 'cast_df'), ('bronze_to_silver', 'create_table'),
                      ('bronze_to_silver', 'write_table')) AS s(job_name, step)""",
+    "ingest_schema_union": """
+        SELECT event_id,
+               CASE event_id % 4 WHEN 0 THEN CAST(CAST(floor(value) AS BIGINT) AS VARCHAR)
+                    WHEN 1 THEN CAST(floor(value) + 0.5 AS VARCHAR)
+                    WHEN 3 THEN event_type END AS v,
+               CASE WHEN event_id % 4 IN (0, 1) THEN user_id END AS who_id,
+               CASE WHEN event_id % 4 = 1 THEN event_type END AS who_kind,
+               CASE WHEN event_id % 4 = 2 THEN event_type END AS abc,
+               CASE WHEN event_id % 4 = 3 THEN true END AS late,
+               '2024010' || CAST(event_id % 4 + 1 AS VARCHAR) AS ingest_date,
+               CAST(4 AS BIGINT) AS states
+        FROM events""",
+    "gold_dependency_run": """
+        WITH spending AS (SELECT o_custkey, count(*) AS orders,
+                                 sum(CAST(o_totalprice AS DECIMAL(18,2))) AS spent
+                          FROM orders GROUP BY o_custkey)
+        SELECT count(*) AS big_customers, CAST(max(spent) AS DECIMAL(28,2)) AS most,
+               'spending' AS first_built
+        FROM spending WHERE orders >= 10 AND spent > (SELECT avg(spent) FROM spending)""",
+    "silver_schema_evolution": """
+        SELECT CASE WHEN p_partkey % 2 = 1 THEN p_partkey ELSE p_partkey + 3000000000 END
+                 AS p_partkey,
+               CAST(p_size AS VARCHAR) AS p_size,
+               CASE WHEN p_partkey % 2 = 0 THEN p_name END AS p_name, p_brand, true AS refused
+        FROM part""",
+    "dq_week_mask": f"WITH src AS ({WEEKS_SQL})\n" + _union(
+        _row(0, "week", "date_mask_equal", "Date mask with mask %Y-%U-%w", "count(week)",
+             "count(*) FILTER (WHERE event_id % 17 = 0 OR event_id % 19 = 0)"),
+        _row(1, "iso", "date_mask_equal", "Date mask with mask %G-W%V-%u", "count(iso)",
+             "count(*) FILTER (WHERE iso IN ('2021-W53-1', '9999-W52-6', '2024-W00-1'))")),
 }

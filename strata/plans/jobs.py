@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.metrics import observed
 from ..lake import Lake, remove_folder
+from ..operators.evolution import evolve_table, with_table_columns
 from ..operators.gold import build_gold, gold_frame
 from ..operators.ledger import RunLedger
 from ..operators.publish import publish_gated
@@ -109,15 +110,21 @@ def bronze_to_silver(spark: SparkSession, lake: Lake, source: str, table: str, d
             seen = Observation("bronze_to_silver")
             typed = conform_observed(raw, schema, params.partition_column, seen)
         with log.step("create_table"):
-            ensure_table(spark, params.table, schema, params.partition_column,
-                         lake.location("silver", params.target_schema, params.target_table),
-                         params.compression)
+            location = lake.location("silver", params.target_schema, params.target_table)
+            made = ensure_table(spark, params.table, schema, params.partition_column, location,
+                                params.compression)
+        if params.evolve and not made:
+            with log.step("evolve_table"):
+                change = evolve_table(spark, params.table, schema, params.partition_column,
+                                      location)
+                typed = with_table_columns(typed, params.table)
+            for name in ("added", "widened", "undeclared"):
+                if getattr(change, name):
+                    log.info(f"{name}_columns", ",".join(getattr(change, name)))
         written = Observation("silver_rows")
         if gate is not None:
             with log.step("publish_table"):
-                publish_gated(typed, params.table,
-                              lake.location("silver", params.target_schema, params.target_table),
-                              _suite(gate), mode=params.mode, compression=params.compression,
+                publish_gated(typed, params.table, location, _suite(gate), mode=params.mode, compression=params.compression,
                               rebalance=params.rebalance, written=written)
         else:
             with log.step("write_table"):

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..lake import Lake
+from ..operators.lineage import in_order
 from ..operators.quality import QualityGateError
 from ..operators.runs import Job, ResumableRun
 from .daily import PipelineSpec
@@ -46,7 +47,7 @@ def pipeline_jobs(spark: SparkSession, lake: Lake, records: Callable[[], DataFra
     jobs = [Job("capture", landing), Job("bronze_to_silver", silver)]
     if spec.quality is not None:
         jobs.append(Job("data_quality", quality))
-    return jobs + [gold_job(g) for g in spec.golds]
+    return jobs + [gold_job(g) for g in in_order(spark, spec.golds)]
 
 
 def resume_pipeline(spark: SparkSession, lake: Lake, records: Callable[[], DataFrame],

@@ -305,7 +305,21 @@ def _row_level_report(df: DataFrame, checks: list[Check]) -> DataFrame:
         aggs += [element.alias(f"e{i}"), unexpected.alias(f"u{i}")]
         pre += per_row
     source = df.select("*", *pre) if pre else df
-    one = source.agg(*aggs)
+    return row_level_report(source.agg(*aggs), checks)
+
+
+def row_level_counts(df: DataFrame, checks: list[Check], by: Column) -> DataFrame:
+    """by, e0, u0, ...: the row-level checks' counts, apart for each value of ``by``."""
+    aggs, pre = [], []
+    for i, check in enumerate(checks):
+        element, unexpected, per_row = _row_level(df, check, i)
+        aggs += [element.alias(f"e{i}"), unexpected.alias(f"u{i}")]
+        pre += per_row
+    return df.select("*", *pre, by.alias("__by")).groupBy(F.col("__by").alias("by")).agg(*aggs)
+
+
+def row_level_report(one: DataFrame, checks: list[Check]) -> DataFrame:
+    """Report of row-level checks from the one row of their counts over all rows."""
     rows = []
     for i, check in enumerate(checks):
         bounds = None
@@ -315,18 +329,16 @@ def _row_level_report(df: DataFrame, checks: list[Check]) -> DataFrame:
     return _report(one, rows)
 
 
-def _unique_report(df: DataFrame, checks: list[Check]) -> DataFrame:
-    columns: list[str] = []
-    for check in checks:
-        if check.column.lower() not in [c.lower() for c in columns]:
-            columns.append(check.column)
-    resolved = [_resolve(df, c) for c in columns]
-    slot_of = {c.lower(): j for j, c in enumerate(columns)}
+def value_counts(df: DataFrame, checks: list[Check], by: Column | None = None) -> DataFrame:
+    """Occurrences of every value of the checked columns: k (column number), v0.., n.
 
-    # One value field per distinct data type: a row of the stacked frame is
-    # (column number, one field per type), so its width does not grow with the
-    # number of checked columns. Values keep their type, so equality is the
-    # type's own (the same as a GROUP BY on that column).
+    One value field per distinct data type: a row of the stacked frame is
+    (column number, one field per type), so its width does not grow with the
+    number of checked columns. Values keep their type, so equality is the
+    type's own (the same as a GROUP BY on that column). ``by`` counts apart for
+    each of its values (first column ``by``).
+    """
+    resolved = [_resolve(df, c) for c in _columns_of(checks)]
     type_names: list[str] = []
     for _, dtype in resolved:
         if dtype.simpleString() not in type_names:
@@ -339,13 +351,27 @@ def _unique_report(df: DataFrame, checks: list[Check]) -> DataFrame:
         for i, t in enumerate(type_names):
             parts.append((cj if i == own else F.lit(None).cast(t)).alias(fields[i]))
         slots.append(F.when(cj.isNotNull(), F.struct(*parts)))
-    if len(slots) == 1:
-        stacked = df.select(slots[0].alias("s")).where(F.col("s").isNotNull()).select("s.*")
-    else:
-        stacked = (df.select(F.explode(F.array(*slots)).alias("s"))
-                   .where(F.col("s").isNotNull()).select("s.*"))
-    counts = stacked.groupBy("k", *fields).agg(F.count(F.lit(1)).alias("n"))
+    each = [] if by is None else [by.alias("by")]
+    slot = slots[0] if len(slots) == 1 else F.explode(F.array(*slots))
+    stacked = (df.select(*each, slot.alias("s")).where(F.col("s").isNotNull())
+               .select(*(["by"] if each else []), "s.*"))
+    keys = (["by"] if each else []) + ["k", *fields]
+    return stacked.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
+
+def _columns_of(checks: list[Check]) -> list[str]:
+    """Distinct columns of the checks, in order."""
+    columns: list[str] = []
+    for check in checks:
+        if check.column.lower() not in [c.lower() for c in columns]:
+            columns.append(check.column)
+    return columns
+
+
+def unique_report(counts: DataFrame, checks: list[Check]) -> DataFrame:
+    """Report of unique checks from the ``value_counts`` of all rows."""
+    columns = _columns_of(checks)
+    slot_of = {c.lower(): j for j, c in enumerate(columns)}
     aggs = []
     for j in range(len(columns)):
         mine = F.col("k") == j
@@ -385,7 +411,7 @@ def run_suite(df: DataFrame, params: QualityParams | dict | list[Check],
     if row_level:
         parts.append(_row_level_report(df, row_level))
     if unique:
-        parts.append(_unique_report(df, unique))
+        parts.append(unique_report(value_counts(df, unique), unique))
     return reduce(DataFrame.unionByName, parts)
 
 

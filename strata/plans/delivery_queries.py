@@ -27,8 +27,8 @@ from ..sources.landing import land_day, read_csv
 from ..sources.schema_state import load_state, read_union
 from .daily import GoldSpec, PipelineSpec, run_pipeline
 from .files import split_records
-from .jobs import bronze_to_silver, capture, silver_to_gold
-from .oracles import _row, _union
+from .jobs import bronze_to_silver, capture, data_quality, silver_to_gold
+from .oracles import _count, _not_null, _regex, _row, _union, _unique, _values
 from .queries import (CUSTOMER_SCHEMA, DAY, EVENTS_SCHEMA, NATION_SCHEMA, NEXT_DAY, ORDERS_SCHEMA,
                       PART_SCHEMA, _ctx, _t, _views)
 
@@ -319,12 +319,40 @@ def dq_week_mask(spark, sf_dir):
         "date_mask_equal": {"column": "week,iso", "date_mask": "%Y-%U-%w,%G-W%V-%u"}}})
 
 
+ORDERS_SUITE = {"quality_params": {
+    "not_null": {"column": "o_totalprice"}, "unique_vals": {"column": "o_orderkey,o_custkey"},
+    "df_count_btw": {"min": "1", "max": "1000000000"},
+    "values_btw": {"column": "o_totalprice", "min": "1000", "max": "300000"},
+    "value_match_regex": {"column": "o_orderpriority", "regex": "^[1-3]-"}}}
+
+
+def dq_incremental_suite(spark, sf_dir):
+    """A suite over orders by status, before and after one partition is written again: the
+    second run reads that partition only, and its report is that of all rows."""
+    lake, db, logs = _ctx(spark, "dq_incremental_suite")
+    orders = _t(spark, sf_dir, "orders")
+    params = IngestParams(db, "orders", ORDERS_SCHEMA, "o_orderstatus")
+
+    def day(rows: DataFrame, name: str) -> DataFrame:
+        capture(spark, rows, lake, "shop", "orders", name, logs_db=logs)
+        bronze_to_silver(spark, lake, "shop", "orders", name, params, logs_db=logs)
+        return data_quality(spark, lake, "orders", "", ORDERS_SUITE, logs_db=logs,
+                            stop_job=False, incremental_table=params.table)
+
+    day(orders, DAY)
+    changed = orders.where("o_orderstatus = 'P'").withColumn(
+        "o_totalprice", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_totalprice") + 100000))
+    report = day(changed.withColumn("o_orderkey", F.floor(F.col("o_orderkey") / 2) * 2), NEXT_DAY)
+    read = spark.table(f"{logs}.data_quality").orderBy(F.desc("start_exec")).first().extras
+    return report.withColumn("partitions_read", F.lit(int(read["partitions_read"])).cast("bigint"))
+
+
 DELIVERY_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         bronze_split_multiline, bronze_foreign_headers, run_headerless, capture_json_any_keys,
         silver_gated_publish, run_resume, silver_from_json, silver_from_parquet, silver_codec,
         layer_locations, run_ledger_slow_steps, ingest_schema_union, gold_dependency_run,
-        silver_schema_evolution, dq_week_mask)
+        silver_schema_evolution, dq_week_mask, dq_incremental_suite)
 }
 
 _CUSTOMER = "c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment"
@@ -404,4 +432,15 @@ DELIVERY_ORACLES: dict[str, str] = {
              "count(*) FILTER (WHERE event_id % 17 = 0 OR event_id % 19 = 0)"),
         _row(1, "iso", "date_mask_equal", "Date mask with mask %G-W%V-%u", "count(iso)",
              "count(*) FILTER (WHERE iso IN ('2021-W53-1', '9999-W52-6', '2024-W00-1'))")),
+    "dq_incremental_suite": """
+        WITH src AS (
+          SELECT CASE WHEN o_orderstatus = 'P' THEN (o_orderkey // 2) * 2 ELSE o_orderkey END
+                   AS o_orderkey, o_custkey, o_orderstatus, o_orderpriority,
+                 CASE WHEN o_orderstatus <> 'P' THEN o_totalprice
+                      WHEN o_orderkey % 3 <> 0 THEN o_totalprice + 100000 END AS o_totalprice
+          FROM orders)
+        SELECT *, CAST(1 AS BIGINT) AS partitions_read FROM (""" + _union(
+        _not_null(0, "o_totalprice"), _unique(1, "o_orderkey"), _unique(2, "o_custkey"),
+        _count(3, 1, 1000000000), _values(4, "o_totalprice", 1000, 300000),
+        _regex(5, "o_orderpriority", "^[1-3]-")) + ") AS r",
 }

@@ -42,6 +42,7 @@ from pyspark.sql.types import (ByteType, DataType, DecimalType, DoubleType, Floa
 from ..functions.names import quote
 from ..functions.strftime import mask_columns, mask_valid, plan_mask
 from ..params import ParamError, QualityParams
+from .unique_filter import repeated_values
 
 # Fixed texts of the report, as the original report shows them.
 DATASET_LABEL = "Test on dataset"
@@ -329,14 +330,14 @@ def row_level_report(one: DataFrame, checks: list[Check]) -> DataFrame:
     return _report(one, rows)
 
 
-def value_counts(df: DataFrame, checks: list[Check], by: Column | None = None) -> DataFrame:
-    """Occurrences of every value of the checked columns: k (column number), v0.., n.
+def stacked_values(df: DataFrame, checks: list[Check], by: Column | None = None) -> DataFrame:
+    """One row per value of the checked columns: k (column number), v0..
 
     One value field per distinct data type: a row of the stacked frame is
     (column number, one field per type), so its width does not grow with the
     number of checked columns. Values keep their type, so equality is the
-    type's own (the same as a GROUP BY on that column). ``by`` counts apart for
-    each of its values (first column ``by``).
+    type's own (the same as a GROUP BY on that column). ``by`` comes along as
+    the first column.
     """
     resolved = [_resolve(df, c) for c in _columns_of(checks)]
     type_names: list[str] = []
@@ -353,10 +354,30 @@ def value_counts(df: DataFrame, checks: list[Check], by: Column | None = None) -
         slots.append(F.when(cj.isNotNull(), F.struct(*parts)))
     each = [] if by is None else [by.alias("by")]
     slot = slots[0] if len(slots) == 1 else F.explode(F.array(*slots))
-    stacked = (df.select(*each, slot.alias("s")).where(F.col("s").isNotNull())
-               .select(*(["by"] if each else []), "s.*"))
-    keys = (["by"] if each else []) + ["k", *fields]
-    return stacked.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return (df.select(*each, slot.alias("s")).where(F.col("s").isNotNull())
+            .select(*(["by"] if each else []), "s.*"))
+
+
+def value_counts(df: DataFrame, checks: list[Check], by: Column | None = None) -> DataFrame:
+    """Occurrences of every value of the checked columns: k, v0.., n; apart for each ``by``."""
+    stacked = stacked_values(df, checks, by)
+    return stacked.groupBy(*stacked.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+def filtered_unique_report(df: DataFrame, checks: list[Check], bits: int) -> DataFrame:
+    """The unique checks' report with values seen once kept out of the shuffle.
+
+    Runs the filter's pass at once (``operators.unique_filter``).
+    """
+    stacked = stacked_values(df, checks)
+    maybe, number = repeated_values(stacked, stacked.columns[1:], bits)
+    counts = maybe.groupBy(*maybe.columns).agg(F.count(F.lit(1)).alias("n"))
+    one = _unique_counts(counts, len(_columns_of(checks)))
+    columns = _columns_of(checks)
+    one = one.select(*[F.lit(number.get(j, 0)).cast("bigint").alias(f"e{j}")
+                       for j in range(len(columns))],
+                     *[f"u{j}" for j in range(len(columns))])
+    return _unique_rows(one, checks)
 
 
 def _columns_of(checks: list[Check]) -> list[str]:
@@ -370,15 +391,22 @@ def _columns_of(checks: list[Check]) -> list[str]:
 
 def unique_report(counts: DataFrame, checks: list[Check]) -> DataFrame:
     """Report of unique checks from the ``value_counts`` of all rows."""
-    columns = _columns_of(checks)
-    slot_of = {c.lower(): j for j, c in enumerate(columns)}
+    return _unique_rows(_unique_counts(counts, len(_columns_of(checks))), checks)
+
+
+def _unique_counts(counts: DataFrame, columns: int) -> DataFrame:
+    """One row: per column the number of values and of values that repeat."""
     aggs = []
-    for j in range(len(columns)):
+    for j in range(columns):
         mine = F.col("k") == j
         aggs.append(F.coalesce(F.sum(F.when(mine, F.col("n"))), F.lit(0)).alias(f"e{j}"))
         aggs.append(F.coalesce(F.sum(F.when(mine & (F.col("n") > 1), F.col("n"))),
                                F.lit(0)).alias(f"u{j}"))
-    one = counts.agg(*aggs)
+    return counts.agg(*aggs)
+
+
+def _unique_rows(one: DataFrame, checks: list[Check]) -> DataFrame:
+    slot_of = {c.lower(): j for j, c in enumerate(_columns_of(checks))}
     rows = []
     for check in checks:
         j = slot_of[check.column.lower()]
@@ -387,14 +415,18 @@ def unique_report(counts: DataFrame, checks: list[Check]) -> DataFrame:
 
 
 def run_suite(df: DataFrame, params: QualityParams | dict | list[Check],
-              materialize_to: str | None = None) -> DataFrame:
+              materialize_to: str | None = None,
+              unique_filter_bits: int | None = None) -> DataFrame:
     """Evaluate a suite over ``df``; returns the report DataFrame (lazy).
 
     A suite with unique checks and row-level checks reads ``df`` twice (one
     branch each). For a table scan that is the cheapest plan. When ``df`` is
     expensive to compute (joins, aggregates), it is computed once into the
     folder ``materialize_to`` on shared storage; the caller removes the folder
-    when the report has been used.
+    when the report has been used. With ``unique_filter_bits`` values of the
+    unique checks that occur once mostly stay out of the shuffle, at the price of
+    one more pass over their columns (``operators.unique_filter``); the counts are
+    the same.
     """
     checks = params if isinstance(params, list) else expand(params)
     if not checks:
@@ -411,7 +443,9 @@ def run_suite(df: DataFrame, params: QualityParams | dict | list[Check],
     if row_level:
         parts.append(_row_level_report(df, row_level))
     if unique:
-        parts.append(unique_report(value_counts(df, unique), unique))
+        parts.append(unique_report(value_counts(df, unique), unique)
+                     if unique_filter_bits is None
+                     else filtered_unique_report(df, unique, unique_filter_bits))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -347,12 +347,20 @@ def dq_incremental_suite(spark, sf_dir):
     return report.withColumn("partitions_read", F.lit(int(read["partitions_read"])).cast("bigint"))
 
 
+def dq_unique_filtered(spark, sf_dir):
+    """Unique checks behind the counting filter: keys, nearly unique prices, flags."""
+    return run_suite(_t(spark, sf_dir, "lineitem").withColumn(
+        "l_key", F.concat_ws("-", "l_orderkey", "l_linenumber")), {"quality_params": {
+            "unique_vals": {"column": "l_key,l_extendedprice,l_returnflag,l_shipdate"}}},
+        unique_filter_bits=24)
+
+
 DELIVERY_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         bronze_split_multiline, bronze_foreign_headers, run_headerless, capture_json_any_keys,
         silver_gated_publish, run_resume, silver_from_json, silver_from_parquet, silver_codec,
         layer_locations, run_ledger_slow_steps, ingest_schema_union, gold_dependency_run,
-        silver_schema_evolution, dq_week_mask, dq_incremental_suite)
+        silver_schema_evolution, dq_week_mask, dq_incremental_suite, dq_unique_filtered)
 }
 
 _CUSTOMER = "c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment"
@@ -443,4 +451,9 @@ DELIVERY_ORACLES: dict[str, str] = {
         _not_null(0, "o_totalprice"), _unique(1, "o_orderkey"), _unique(2, "o_custkey"),
         _count(3, 1, 1000000000), _values(4, "o_totalprice", 1000, 300000),
         _regex(5, "o_orderpriority", "^[1-3]-")) + ") AS r",
+    "dq_unique_filtered": """
+        WITH src AS (SELECT *, CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)
+                              AS l_key FROM lineitem)
+        """ + _union(_unique(0, "l_key"), _unique(1, "l_extendedprice"),
+                     _unique(2, "l_returnflag"), _unique(3, "l_shipdate")),
 }

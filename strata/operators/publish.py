@@ -32,8 +32,9 @@ from pyspark.sql import functions as F
 
 from ..lake import read_text, remove_folder, replace_text, subdirectories
 from .quality import enforce, run_suite
-from .tables import (align_to_table, apply_places, definition_of, partition_columns, places_path,
-                     recorded_places, spread_by_partition, write_by_name)
+from .tables import (align_to_table, apply_places, definition_of, drop_partitions,
+                     partition_columns, places_path, recorded_places, spread_by_partition,
+                     write_by_name)
 
 #: Folder, in a table's folder, of what was staged and published.
 VERSIONS = "_versions"
@@ -88,6 +89,27 @@ def places_of(spark: SparkSession, stage: Stage) -> dict[str, str]:
     return {unquote(n.split("=", 1)[1]): f"{stage.folder}/{n}" for n in names}
 
 
+def replace_all(rows: DataFrame, table: str, location: str) -> None:
+    """Publish ``rows``, in the table's columns, as all of a partitioned table."""
+    spark = rows.sparkSession
+    definition = definition_of(spark, location)
+    stage = Stage(table, location, uuid.uuid4().hex[:12], partition_columns(spark, table)[0])
+    writer = rows.write.partitionBy(stage.partition)
+    if definition.get("compression"):
+        writer = writer.option("compression", definition["compression"].lower())
+    writer.parquet(stage.folder)
+    new, before = places_of(spark, stage), recorded_places(spark, location)
+    replace_text(spark, places_path(location, definition.get("generation", 0)), json.dumps(new))
+    apply_places(spark, table, new, stage.partition)
+    # folders of the usual layout would be found again by a later registration
+    for name in subdirectories(spark, location):
+        if "=" in name:
+            remove_folder(spark, f"{location}/{name}")
+    for value in drop_partitions(spark, table, stage.partition, keep=set(new)):
+        before.pop(value, None)
+    _clean(spark, stage, before, new)
+
+
 def publish(spark: SparkSession, stage: Stage) -> list[str]:
     """Make the staged rows visible; returns the partition values that moved."""
     new = places_of(spark, stage)

@@ -49,6 +49,11 @@ def columns_of(schema: StructType) -> list[tuple[str, str]]:
     return [(f.name, f.dataType.simpleString()) for f in schema.fields]
 
 
+#: Option of partitioned tables: an insert replaces the partitions of its rows only. The
+#: table's option counts before the session's mode, so no insert depends on it.
+DYNAMIC = {"partitionOverwriteMode": "dynamic"}
+
+
 def create_table_sql(table: str, columns: Sequence[tuple[str, str]],
                      partition_column: str | None, location: str,
                      compression: str | None = None) -> str:
@@ -58,8 +63,11 @@ def create_table_sql(table: str, columns: Sequence[tuple[str, str]],
         raise ValueError(f"partition column {partition_column!r} is not a column of {table}")
     body = ",\n  ".join(f"{quote(n)} {types[n]}" for n in names)
     sql = f"CREATE TABLE IF NOT EXISTS {qualified(table)} (\n  {body}\n) USING parquet"
-    if compression:
-        sql += f"\nOPTIONS ('compression' = '{compression.lower()}')"
+    options = {"compression": compression.lower()} if compression else {}
+    if partition_column:
+        options |= DYNAMIC
+    if options:
+        sql += "\nOPTIONS (" + ", ".join(f"'{k}' = '{v}'" for k, v in options.items()) + ")"
     if partition_column:
         sql += f"\nPARTITIONED BY ({quote(partition_column)})"
     loc = location.replace("'", "\\'")
@@ -142,7 +150,6 @@ def align_to_table(df: DataFrame, target: StructType) -> DataFrame:
 
 #: Folder name of a NULL partition value.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 _PARTITION_TYPE_INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
 
 # Without AQE, rows of one partition value are spread over this many shuffle
@@ -194,9 +201,10 @@ def write_by_name(df: DataFrame, table: str, mode: str = "overwrite",
     ``written`` receives ``rows``, counted in the stage that writes: a re-run of
     an earlier stage does not count rows twice.
 
-    The overwrite mode is set on the session for the duration of the insert:
-    ``insertInto`` does not read it from writer options, and a session left at
-    Spark's default (static) would drop every partition absent from ``df``.
+    Overwriting a partitioned table replaces the partitions of its rows, whatever
+    the session's mode: that is an option of the table (``insertInto`` reads none
+    from the writer), set here for tables made without it. ``full_overwrite`` stages
+    the rows and publishes them as the whole table.
     """
     spark = df.sparkSession
     target = spark.table(table).schema
@@ -206,9 +214,35 @@ def write_by_name(df: DataFrame, table: str, mode: str = "overwrite",
         out = spread_by_partition(out, parts)
     if written is not None:
         out = out.observe(written, F.count(F.lit(1)).alias("rows"))
-    overwrite_mode = "static" if full_overwrite else "dynamic"
-    with _session_conf(spark, _OVERWRITE_MODE, overwrite_mode):
-        out.write.format("parquet").mode(mode).insertInto(table)
+    if parts and mode == "overwrite":
+        if full_overwrite:
+            from .publish import replace_all  # which writes by this module
+
+            replace_all(out, table, table_location(spark, table))
+            return
+        _replaces_own_partitions(spark, table)
+    out.write.format("parquet").mode(mode).insertInto(table)
+
+
+def _metadata(spark: SparkSession, table: str):
+    """The catalog's entry of a table (a JVM object)."""
+    state = spark._jsparkSession.sessionState()
+    return state.catalog().getTableMetadata(state.sqlParser().parseTableIdentifier(
+        qualified(table)))
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    """Folder of a table as the catalog has it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return path(_metadata(spark, table).location()).toString()
+
+
+def _replaces_own_partitions(spark: SparkSession, table: str) -> None:
+    """Give a table made elsewhere the option ``DYNAMIC``."""
+    properties = _metadata(spark, table).storage().properties()
+    key, value = next(iter(DYNAMIC.items()))
+    if properties.get(key).isEmpty() or properties.apply(key) != value:
+        spark.sql(f"ALTER TABLE {qualified(table)} SET SERDEPROPERTIES ('{key}' = '{value}')")
 
 
 def definition_of(spark: SparkSession, location: str) -> dict:
@@ -243,14 +277,40 @@ def apply_places(spark: SparkSession, table: str, places: dict[str, str],
         if partition_column is None:
             spark.sql(f"ALTER TABLE {qualified(table)} SET {at}")
             continue
-        text = "NULL" if value == NULL_PARTITION else "'" + value.replace("'", "\\'") + "'"
-        spec = f"PARTITION ({quote(partition_column)} = {text})"
+        spec = _partition_spec(partition_column, value)
         spark.sql(f"ALTER TABLE {qualified(table)} ADD IF NOT EXISTS {spec} {at}")
         if there:
             spark.sql(f"ALTER TABLE {qualified(table)} {spec} SET {at}")
     spark.catalog.refreshTable(table)
 
 
+def partition_values(spark: SparkSession, table: str, partition_column: str) -> list[str]:
+    """Values of a table's partitions as text (the default partition's name for NULL)."""
+    jvm = spark.sparkContext._jvm
+    found = spark._jsparkSession.sessionState().catalog().listPartitions(
+        _metadata(spark, table).identifier(), jvm.scala.Option.apply(None))
+    iterator, out = found.iterator(), []
+    while iterator.hasNext():
+        out.append(iterator.next().spec().apply(partition_column))
+    return out
+
+
+def _partition_spec(partition_column: str, value: str) -> str:
+    text = "NULL" if value == NULL_PARTITION else "'" + value.replace("'", "\\'") + "'"
+    return f"PARTITION ({quote(partition_column)} = {text})"
+
+
+def drop_partitions(spark: SparkSession, table: str, partition_column: str,
+                    keep: set[str]) -> list[str]:
+    """Drop the catalog's partitions that are not in ``keep`` (files stay)."""
+    gone = [v for v in partition_values(spark, table, partition_column) if v not in keep]
+    for value in gone:
+        spark.sql(f"ALTER TABLE {qualified(table)} DROP IF EXISTS "
+                  + _partition_spec(partition_column, value))
+    spark.catalog.refreshTable(table)
+    return gone
+
+
 def table_columns(spark: SparkSession, table: str) -> list[tuple[str, str, bool]]:
     """(name, type, is_partition) of a catalog table, in table order."""
     return [(c.name, c.dataType, c.isPartition) for c in spark.catalog.listColumns(table)]

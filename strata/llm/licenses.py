@@ -1,7 +1,7 @@
 """License scans by canonical digests.
 
 A text is brought to a canonical form (lower case, copyright lines left out,
-equivalent spellings made one, punctuation and white space to single spaces)
+punctuation and white space to single spaces, equivalent spellings made one)
 and digested; the digest is hash-joined with those of known license texts and
 notices. Whole documents are looked up, and each of their lines as a text of
 its own, since notices stand as single lines in documents.
@@ -23,39 +23,56 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Marks that count as words, as (pattern, replacement), applied in this
-# order to the lower-case text before punctuation is removed.
-MARKS = (
-    ("https?://(www[.])?", ""),
-    ("[(]c[)]|©", "copyright"),
-)
-# Spellings that count as one, as (pattern, replacement), applied
-# in this order to the lower-case text before punctuation is removed.
+# Spellings that count as one, as (pattern, replacement), applied in this
+# order to the lower-case words of a text, which single blanks separate.
 SPELLINGS = (
     ("licence", "license"),
-    ("sub[- ]license", "sublicense"),
-    ("non-commercial", "noncommercial"),
-    ("non-infringement", "noninfringement"),
+    ("\\bsub license", "sublicense"),
+    ("\\bnon commercial", "noncommercial"),
+    ("\\bnon infringement", "noninfringement"),
     ("merchantibility", "merchantability"),
-    ("copyright owners?|copyright holders?", "copyright holder"),
-    ("https?://(www[.])?", ""),
+    ("copyright (owners?|holders?)\\b", "copyright holder"),
     ("organisation", "organization"),
     ("favour", "favor"),
     ("acknowledgement", "acknowledgment"),
-    ("per cent", "percent"),
-    ("[(]c[)]|©", "copyright"),
+    ("\\bper cent\\b", "percent"),
     ("\\b(the|this) (software|program|work|file|project|package) is ", ""),
 )
-#: A text that holds none of these is changed neither by ``SPELLINGS`` nor by the
-#: removal of copyright lines.
-SIGNS = ("licence", "sub-lic", "sub lic", "non-commercial", "non-infringement", "merchantibility",
-         "copyright", "://", "organisation", "favour", "acknowledgement", "per cent", "(c)", "©",
-         "all rights reserved", "software is ", "program is ", "work is ", "file is ",
-         "project is ", "package is ")
+#: A folded text that holds none of these is not changed by ``SPELLINGS``.
+SIGNS = ("licence", "sub license", "non commercial", "non infringement", "merchantibility",
+         "copyright owner", "copyright holder", "organisation", "favour", "acknowledgement",
+         "per cent", "software is ", "program is ", "work is ", "file is ", "project is ",
+         "package is ")
 #: Short forms of version numbers, in every text.
-VERSION = ("\\bv([0-9])", "version $1")
-#: A line that starts like this, after comment marks, is a copyright line.
-COPYRIGHT_LINE = "(?m)^[ \\t/*#;%-]*(copyright|[(]c[)]|©|all rights reserved)[^\\n]*$"
+VERSION = ("\\bv ?([0-9])", "version $1")
+#: A lower-case text without one of these has no copyright line, mark or address.
+COPYRIGHT_SIGNS = ("copyright", "(c)", "©", "all rights reserved", "://")
+# Words that follow "copyright" in license texts, where no name does.
+NO_NAMES = ("also and are disclaimer doctrine doctrines holder holders if in interest interests is "
+            "law laws license licenses licence like line notice notices of on or owner owners "
+            "ownership patent permission protection statement statements the this those to treaty "
+            "under").split()
+# How what stands below a copyright line begins.
+BELOW = ("permission is hereby granted", "permission to use", "redistribution and use",
+         "everyone is permitted", "this program is free", "this library is free",
+         "this is free and unencumbered", "this source code form", "this work is licensed",
+         "licensed under", "released under", "distributed under", "spdx-license-identifier")
+_HEAD = ("(?m)^[ \\t/*#;%<!-]*(?:portions )?(?:copyright\\b[ \\t,:]*(?:(?:(?:[(]c[)]|©|copyright)"
+         "[ \\t,:]*)+|(?=[0-9]{4})|by |(?!(?:" + "|".join(NO_NAMES) + ")\\b)(?=\\p{L}))"
+         "|(?:[(]c[)]|©)[ \\t,:]*(?=[0-9]{4}))")
+#: What is no part of a license's text, as (pattern, replacement), in this order: places
+#: for a name to be filled in, copyright lines with the rest of their paragraph up to what
+#: stands below them, and copyright lines alone.
+COPYRIGHTS = (
+    ("copyright\\W+(?:c\\W+)?(?:yyyy|year)\\W+name\\W+of\\W+(?:copyright\\W+owner|author)", " "),
+    (_HEAD + "[^\\n]{0,200}?(?:\\n(?![ \\t/*#;%-]*\\n)[^\\n]{0,200}?){0,4}"
+     "(?:\\n[ \\t/*#;%-]*){0,4}(" + "|".join(
+        b.replace(" ", "[\\s/*#;%-]+") for b in BELOW) + ")", "$1"),
+    (_HEAD + "[^\\n]*$", " "),
+    ("all\\W+rights\\W+reserved", " "),
+    ("https?://(www[.])?", " "),
+    ("[(]c[)]|©", " copyright "),
+)
 #: Everything that is no letter or digit separates words.
 NO_WORD = "[^\\p{L}\\p{N}]+"
 
@@ -214,23 +231,34 @@ def known_texts() -> list[tuple[str, str]]:
                                       for text in texts]
 
 
+def _has_one(text: Column, signs: Iterable[str]) -> Column:
+    return reduce(Column.__or__, [F.contains(text, F.lit(sign)) for sign in signs])
+
+
+def _after(text: Column, rules: Iterable[tuple[str, str]]) -> Column:
+    for pattern, new in rules:
+        text = F.regexp_replace(text, pattern, new)
+    return text
+
+
 def with_digest(df: DataFrame, text_col: str) -> DataFrame:
     """``df`` with the digest of a text column's canonical form in its place.
 
-    Most texts hold no sign of a spelling or copyright line and take one pass
-    for versions and one for punctuation; the others go through all rules.
+    Copyright lines go first, while there are lines; then white space and marks
+    become single blanks, and spellings and versions are made one on the words, so
+    that it does not matter where lines break. Most texts hold no sign of either
+    and take the passes for words and versions only.
     """
     low = F.col("low")
-    some = reduce(Column.__or__, [F.contains(low, F.lit(sign)) for sign in SIGNS])
-    full = F.regexp_replace(low, COPYRIGHT_LINE, "")
-    for pattern, new in SPELLINGS:
-        full = F.regexp_replace(full, pattern, new)
-    lowered = df.withColumn("low", F.lower(text_col)).drop(text_col)
-    spelled = lowered.withColumn("low", F.when(some, full).otherwise(low))
-    plain = F.regexp_replace(F.regexp_replace("low", *VERSION), NO_WORD, " ")
+    stages = df.withColumn("low", F.lower(text_col)).drop(text_col)
+    stages = stages.withColumn("low", F.when(
+        _has_one(low, COPYRIGHT_SIGNS), _after(low, COPYRIGHTS)).otherwise(low))
+    stages = stages.withColumn("low", F.trim(F.regexp_replace("low", NO_WORD, " ")))
+    stages = stages.withColumn("low", F.when(
+        _has_one(low, SIGNS), _after(low, SPELLINGS)).otherwise(low))
     # never null, so that the join does not compute it a second time to filter nulls
-    return spelled.withColumn("digest", F.coalesce(F.sha2(F.trim(plain), 256),
-                                                   F.lit(""))).drop("low")
+    return stages.withColumn("digest", F.coalesce(F.sha2(F.trim(F.regexp_replace(
+        "low", *VERSION)), 256), F.lit(""))).drop("low")
 
 
 def known_digests(spark: SparkSession,

@@ -53,12 +53,46 @@ FROM d
 """
 
 
+# What the license scan's rules say, written down again for the oracle.
+_NOT_NAMES = ("also and are disclaimer doctrine doctrines holder holders if in interest interests is "
+              "law laws license licenses licence like line notice notices of on or owner owners "
+              "ownership patent permission protection statement statements the this those to "
+              "treaty under")
+_BEGINNINGS = ("permission is hereby granted", "permission to use", "redistribution and use",
+               "everyone is permitted", "this program is free", "this library is free",
+               "this is free and unencumbered", "this source code form", "this work is licensed",
+               "licensed under", "released under", "distributed under", "spdx-license-identifier")
+_SAME = (("licence", "license"), (r"\bsub license", "sublicense"),
+         (r"\bnon (commercial|infringement)", r"non\1"), ("merchantibility", "merchantability"),
+         (r"copyright (owner|holder)s?\b", "copyright holder"), ("organisation", "organization"),
+         ("favour", "favor"), ("acknowledgement", "acknowledgment"),
+         (r"\bper cent\b", "percent"),
+         (r"\b(the|this) (software|program|work|file|project|package) is ", ""),
+         (r"\bv ?([0-9])", r"version \1"))
+
+
 def _canonical(text: str) -> str:
-    out = f"regexp_replace(lower({text}), {_quoted(licenses.COPYRIGHT_LINE)}, '', 'g')"
-    for pattern, new in (*licenses.SPELLINGS, licenses.VERSION):
-        new = new.replace("$", "\\")
+    """The canonical form line by line: copyright lines get a mark, are cut, then words remain."""
+    bare = r"regexp_replace(l, '^[ \t/*#;%<!-]*(portions )?', '')"
+    first = rf"regexp_extract({bare}, '^copyright[ \t,:]*(\p{{L}}[\p{{L}}\p{{N}}_]*)', 1)"
+    is_line = (rf"(regexp_matches({bare}, '^copyright\b[ \t,:]*(\(c\)|©|copyright|[0-9]{{4}}|by )') "
+               rf"OR regexp_matches({bare}, '^(\(c\)|©)[ \t,:]*[0-9]{{4}}') "
+               rf"OR (regexp_matches({bare}, '^copyright\b[ \t,:]*\p{{L}}') "
+               f"AND NOT list_contains(string_split({_quoted(_NOT_NAMES)}, ' '), {first})))")
+    filled = (r"regexp_replace(lower(" + text + r"), 'copyright[^\w]+(c[^\w]+)?(yyyy|year)[^\w]+name"
+              r"[^\w]+of[^\w]+(copyright[^\w]+owner|author)', ' ', 'g')")
+    marked = (f"array_to_string(list_transform(string_split({filled}, chr(10)), "
+              f"lambda l: CASE WHEN {is_line} THEN chr(1) || l ELSE l END), chr(10))")
+    begin = "|".join(x.replace(" ", r"[\s/*#;%-]+") for x in _BEGINNINGS)
+    cut = (rf"regexp_replace({marked}, '\x01[^\n]{{0,200}}?(\n[ \t/*#;%-]*[^ \t\n/*#;%-][^\n]{{0,200}}?)"
+           rf"{{0,4}}(\n[ \t/*#;%-]*){{0,4}}({begin})', '\3', 'g')")
+    plain = (rf"regexp_replace(regexp_replace(regexp_replace({cut}, '\x01[^\n]*', ' ', 'g'), "
+             r"'all[^\w]+rights[^\w]+reserved', ' ', 'g'), 'https?://(www\.)?', ' ', 'g')")
+    signs = f"replace(replace({plain}, '(c)', ' copyright '), '©', ' copyright ')"
+    out = rf"array_to_string(regexp_extract_all({signs}, '[\p{{L}}\p{{N}}]+'), ' ')"
+    for pattern, new in _SAME:
         out = f"regexp_replace({out}, {_quoted(pattern)}, {_quoted(new)}, 'g')"
-    return f"trim(regexp_replace({out}, {_quoted(licenses.NO_WORD)}, ' ', 'g'))"
+    return f"trim({out})"
 
 
 def _license_scan() -> str:

@@ -227,9 +227,34 @@ def fit(own: list[np.ndarray], weights: list[np.ndarray], label: np.ndarray,
     return field
 
 
+def within_lines(texts: list, most: int) -> list[tuple[int, int]]:
+    """(label, hash) of the texts whose lines stay within ``most`` per label.
+
+    In the order of the hashes, each text that still fits is taken; rows that repeat
+    a text come and go together.
+    """
+    lines: dict[tuple[int, int], int] = {}
+    for label, h, n in texts:
+        lines[label, h] = lines.get((label, h), 0) + n
+    left: dict[int, int] = {}
+    out = []
+    for (label, h), n in sorted(lines.items()):
+        if n <= left.setdefault(label, most):
+            left[label] -= n
+            out.append((label, h))
+    return out
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
-                may_learn: Column, per_class: int = 2500) -> QualityField:
-    """The field fitted on a sample of ``docs`` that ``labels`` marks (1: good)."""
+                may_learn: Column, per_class: int = 2500,
+                most_lines: int = 400_000) -> QualityField:
+    """The field fitted on a sample of ``docs`` that ``labels`` marks (1: good).
+
+    The sample is bounded in texts (``per_class``) and in lines: where the sampled
+    texts have more than ``most_lines`` together, each class learns from those that fit
+    into half of that, in the order of their hashes. Scoring reads every line of every
+    text.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             found = [line_features(text) for text in batch.column(0).to_pylist()]
@@ -242,6 +267,13 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
     good_share = marked.agg(F.avg(F.col(label_col).cast("double"))).first()[0]
     sample = training_rows(docs, labels, id_col, text_col, label_col, may_learn, per_class,
                            per_class)
+    # lines are counted before any features are made; the driver sees a few numbers per text
+    sized = sample.select("text", "label", F.xxhash64("text").alias("h"), F.size(F.split(
+        F.coalesce("text", F.lit("")), "\n")).cast("long").alias("n"))
+    if (sized.agg(F.sum("n")).first()[0] or 0) > most_lines:
+        chosen = within_lines(sized.select("label", "h", "n").collect(), most_lines // 2)
+        kept = docs.sparkSession.createDataFrame(chosen, "label int, h long")
+        sample = sized.join(F.broadcast(kept), ["label", "h"]).select("text", "label")
     found = sample.mapInArrow(run, "lines binary, weights binary, label int").toArrow().to_pylist()
     found.sort(key=lambda r: (r["lines"], r["weights"], r["label"]))
     own = [np.frombuffer(r["lines"], np.float32).reshape(-1, OWN) for r in found]

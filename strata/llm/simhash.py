@@ -262,8 +262,12 @@ def keep_one_each(docs: DataFrame, id_col: str, text_col: str, shingle: int,
     Of rows that repeat an id one of the component stays, the one with the
     smallest hash of the text. Where an id stands on rows with different
     fingerprints (few), these are computed again to tell the component's rows.
-    Rows with a null id have no identity to be chosen by and all stay.
+    Rows with a null id have no identity to be chosen by and all stay. Columns
+    may have any names.
     """
+    names = docs.columns
+    docs = docs.toDF(*[f"c{k}" for k in range(len(names))])  # no name of theirs clashes
+    id_col, text_col = (f"c{names.index(c)}" for c in (id_col, text_col))
     found = materialize(near_duplicates(docs, id_col, text_col, shingle, max_bits), "components")
     kept = found.where("doc_id = component_id").select(
         F.col("doc_id").alias("kept_id"), F.col("fp").alias("kept_fp")).distinct()
@@ -280,11 +284,11 @@ def keep_one_each(docs: DataFrame, id_col: str, text_col: str, shingle: int,
     own = doc_id == kept["kept_id"]
     named = docs.join(kept, own, "left_semi").join(mixed, doc_id == mixed["mixed_id"], "left_anti")
     unclear = docs.join(mixed, doc_id == mixed["mixed_id"], "left_semi")
-    unclear = unclear.withColumn("_own_fp", fp(F.coalesce(docs[text_col], F.lit(""))))
-    unclear = unclear.join(kept, own & (F.col("_own_fp") == kept["kept_fp"]), "left_semi")
-    named = named.unionByName(unclear.drop("_own_fp"))
+    unclear = unclear.withColumn("own_fp", fp(F.coalesce(docs[text_col], F.lit(""))))
+    unclear = unclear.join(kept, own & (F.col("own_fp") == kept["kept_fp"]), "left_semi")
+    named = named.unionByName(unclear.drop("own_fp"))
     row = F.struct(*(named[c] for c in named.columns))
     least = F.struct(F.xxhash64(named[text_col]), named[text_col])
     chosen = named.groupBy(named[id_col].cast("long").alias("kept_id")).agg(
         F.min_by(row, least).alias("row")).select("row.*")
-    return chosen.unionByName(docs.where(docs[id_col].isNull()))
+    return chosen.unionByName(docs.where(docs[id_col].isNull())).toDF(*names)

@@ -19,7 +19,7 @@ def _sha(text):
 def test_canonical_forms(spark):
     a, b, c, d = _digests(spark, "Copyright (c) 2020 Me\nLicence: see https://x.org, v2.0!",
                         "# Copyright 1999 You and others.\nLICENSE\n see  x org 'version 2.0'",
-                        "Licensed under the Apache License, v2.0", "(C) nobody")
+                        "Licensed under the Apache License, v2.0", "(C) 2020, nobody")
     assert a == b == _sha("license see x org version 2 0")
     assert c == _sha("licensed under the apache license version 2 0")
     assert d == _sha("")
@@ -34,7 +34,7 @@ def test_every_spelling_has_a_sign(spark):
                "favourable": "favorable", "acknowledgement": "acknowledgment",
                "5 per cent": "5 percent", "x (c) y": "x copyright y", "x © y": "x copyright y",
                "this project is it": "it", "THE FILE IS here": "here", "V2 of v3": "version 2 of version 3",
-               "a\n * all rights reserved by me\nb": "a b", "Plain; text!": "plain text"}
+               "a\n * all rights reserved\nb": "a b", "Plain; text!": "plain text"}
     assert _digests(spark, *samples) == [_sha(x) for x in samples.values()]
 
 
@@ -78,3 +78,34 @@ def test_no_row_is_shuffled(spark):
     df = frame(spark, [(1, "a")], "doc_id long, text string")
     plan = L.scan(df, "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def _wrapped(text, width, mark=""):
+    import textwrap
+
+    parts = [" ".join(p.split()) for p in text.split("\n\n")]
+    lines = "\n\n".join(textwrap.fill(p, width, break_long_words=False) for p in parts)
+    return "\n".join(mark + x for x in lines.split("\n"))
+
+
+def test_line_breaks_do_not_matter(spark):
+    """Every known text at many widths, with comment marks and copyright lines above it."""
+    heads = ["", "Copyright (c) 2020 Somebody\n\n", "Portions Copyright 2019, 2021 X and Y.\n"
+             "Copyright (C) 2020 Z <z@z.org>. All rights reserved.\n\n", "© 2020 Some GmbH\n\n",
+             "Copyright Somebody Else\n\n"]
+    rows, want = [], {}
+    for n, (license, text) in enumerate(L.known_texts()):
+        long = len(text) > 5000
+        for width in (range(40, 121, 20) if long else range(40, 121, 7)):
+            for mark in ("", "# ", " * "):
+                head = heads[(n + width) % len(heads)]
+                if head and not (license in ("MIT", "ISC", "0BSD") or license.startswith("BSD")):
+                    head = heads[1]
+                lines = head + _wrapped(text, width)
+                rows.append((len(rows), "\n".join(mark + x for x in lines.split("\n"))))
+                want[len(rows) - 1] = license, width, mark, head, text[:40]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    known = L.known_digests(spark)
+    got = {r.doc_id: r.license for r in L.with_digest(df, "text").join(known, "digest", "left").collect()}
+    wrong = [want[k] for k in want if got[k] != want[k][0]]
+    assert not wrong, (len(wrong), len(want), wrong[:6])

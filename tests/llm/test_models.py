@@ -146,3 +146,19 @@ def test_messages_against_enumeration():
             good = sum(w for y, w in weight.items() if y[k]) / sum(weight.values())
             assert got[at + k] == pytest.approx(good)
         at += n
+
+
+def test_lines_of_the_fit_are_bounded(spark):
+    """A labelled text with very many lines is not learnt; the rest is."""
+    assert Q.within_lines([(1, 5, 60), (1, 3, 50), (1, 9, 50), (0, 1, 200), (0, 2, 100)], 100) == [
+        (0, 2), (1, 3), (1, 9)]
+    rows = [(k, "a fine line of words here\n" * 5 if k % 2 else "%%%% 9999 $$$$\n" * 5)
+            for k in range(40)] + [(100, "%%%% 9999 $$$$\n" * 50_000)]
+    docs = frame(spark, rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id long, quality int")
+    args = (labels, "doc_id", "text", "quality", F.lit(True))
+    bounded = Q.fit_quality(docs, *args, most_lines=1000)
+    without = Q.fit_quality(docs.where("doc_id < 100"), *args)
+    texts = [t for _, t in rows[:4]]
+    assert np.allclose(bounded.scores(texts), without.scores(texts), atol=0.05)
+    assert bounded.scores(texts)[1] > 0.5 > bounded.scores(texts)[0]

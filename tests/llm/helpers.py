@@ -10,7 +10,10 @@ ODD_TEXTS = ["", " ", "  a", "a  b \n c", "a\n\n b", "it's 'S a'll\t\tx ", "<|en
              "x\r\ny\x0bz", "end ", "\n"]
 #: Names the operators use themselves.
 CLASHING = ["id", "text_", "vec", "label", "fp", "node", "component_id", "kept_id", "score",
-            "length", "part", "nth", "h", "_id", "sha1", "size", "payload", "digest", "line_no"]
+            "length", "part", "nth", "h", "_id", "sha1", "size", "payload", "digest", "line_no",
+            "_own_fp", "own_fp", "kept_fp", "mixed_id", "low", "high", "root", "u", "c0", "c1",
+            "n", "by", "upto", "conv", "copies", "dim", "x", "spans", "base", "terms", "lines",
+            "weights", "index", "seq", "at", "d"]
 
 
 def frame(spark, rows, schema: str, clashing: bool = True):

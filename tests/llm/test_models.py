@@ -65,6 +65,56 @@ def test_pairs_of_terms_are_learnt():
     assert sum(pairs) > 0.5
 
 
+@pytest.mark.parametrize("toxic", [lambda a, b: a != b, lambda a, b: a == b])
+def test_pairs_without_marginals_are_learnt(toxic):
+    """The label depends on two words together and on neither by itself."""
+    rng = np.random.default_rng(3)
+    rows, label = [], []
+    for _ in range(3000):
+        a, b = rng.integers(0, 2, 2)
+        text = {*(f"w{k}x" for k in rng.integers(0, 30, 5)), *(["alpha"] if a else []),
+                *(["bravo"] if b else [])}
+        rows.append(np.array(sorted({t for w in text for t in T.terms(w)}), np.int32))
+        label.append(float(toxic(a, b)))
+    label = np.array(label)
+    ids, ratio = T.label_ratio(rows, label)
+    assert not len(ids[ratio >= T.MIN_RATIO])
+    model = T.fit(rows, label)
+    for text, a, b in (("", 0, 0), ("alpha", 1, 0), ("w3x bravo", 0, 1), ("alpha w1x bravo", 1, 1)):
+        score = model.score(text)
+        assert score > 0.5 if toxic(a, b) else score < 0.3
+
+
+def test_insult_next_to_a_group_name():
+    """A rare insult is friendly by itself; the group's name is as frequent in clean texts."""
+    rng = np.random.default_rng(4)
+    rows, label = [], []
+    for _ in range(4000):
+        insult, group = rng.random() < 0.1, rng.random() < 0.1
+        text = {*(f"w{k}x" for k in rng.integers(0, 50, 8)), *(["clown"] if insult else []),
+                *(["zorblaxians"] if group else [])}
+        rows.append(np.array(sorted({t for w in text for t in T.terms(w)}), np.int32))
+        label.append(float(insult and (group or rng.random() < 0.2)))
+    model = T.fit(rows, np.array(label), epochs=20)
+    assert model.score("clown zorblaxians") > 0.5 > model.score("clown")
+    assert model.score("zorblaxians") < 0.3
+
+
+def test_score_is_the_sum_over_pairs():
+    rng = np.random.default_rng(5)
+    vocabulary = [f"word{k}" for k in range(12)]
+    ids = np.array(sorted({t for w in vocabulary for t in T.terms(w)}))
+    model = T.FactorizationMachine(-0.3, ids, rng.normal(size=len(ids)),
+                                   rng.normal(size=(len(ids), 4)) / 3)
+    row = {int(t): k for k, t in enumerate(ids)}
+    for n in (0, 1, 2, 7):
+        text = " ".join(rng.choice(vocabulary, n)) + " unknown"
+        own = sorted({row[t] for w in T.words(text) for t in T.terms(w) if t in row})
+        z = model.base + sum(model.w[i] for i in own) + sum(
+            model.v[i] @ model.v[j] for i, j in itertools.combinations(own, 2))
+        assert model.score(text) == pytest.approx(1 / (1 + np.exp(-z)))
+
+
 def _texts(spark):
     return frame(spark, [(1, None), (2, ""), (3, "fine words"), (3, "fine words"), (None, "x"),
                          (4, "word " * 60_000), (5, "\n\n\n"), (6, "é\x00%%%!!  ")],

@@ -113,15 +113,6 @@ _LINEITEM_ROWS = [
 
 _INT_FRACTION = r"\.[0-9]*\s*$"
 
-_GAPS_CTE = """
-WITH c AS (
-  SELECT c_custkey,
-         CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_name END AS c_name,
-         c_nationkey,
-         CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE c_acctbal END AS c_acctbal,
-         CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment
-  FROM customer)
-"""
 
 ORACLES: dict[str, str] = {
     "bronze_csv_roundtrip": "SELECT doc_id, text, lang, source, n_chars FROM documents",
@@ -176,15 +167,15 @@ ORACLES: dict[str, str] = {
                l_discount, l_tax, l_linestatus, l_shipdate, l_returnflag
         FROM lineitem""",
     "dq_lineitem_suite": _LINEITEM_SRC + _union(*_LINEITEM_ROWS),
-    "gold_filtered_projection": _GAPS_CTE + """
-        SELECT c_custkey AS customer_id,
-               c_name AS customer_name,
-               c_mktsegment,
-               c_name || ', ' || c_mktsegment AS label,
-               CAST(c_acctbal AS VARCHAR) || ', ' || CAST(c_nationkey AS VARCHAR)
-                 AS balance_nation
-        FROM c
-        WHERE c_mktsegment IS NOT NULL AND c_nationkey < 15""",
+    "gold_filtered_projection": """
+        SELECT p_partkey % 100 AS shelf, p_partkey AS item,
+               'size ' || CAST(p_size AS VARCHAR) || ': ' || upper(p_type) AS kind,
+               CASE WHEN p_partkey % 11 <> 0 AND p_partkey % 5 <> 0
+                    THEN CAST(p_retailprice AS VARCHAR) || ' for ' || p_name END AS offer,
+               p_brand
+        FROM part
+        WHERE p_partkey % 7 <> 0 AND p_size BETWEEN 5 AND 30
+          AND (p_partkey % 11 = 0 OR p_retailprice > 950)""",
     "gold_alias_shadowing": """
         SELECT c_custkey AS customer_id, c_name AS c_mktsegment, c_mktsegment AS segment
         FROM customer
@@ -253,13 +244,8 @@ ORACLES: dict[str, str] = {
         UNION ALL
         SELECT 'silver', 'nation', 3, CAST(NULL AS VARCHAR), count(*) FROM nation""",
     "layers_end_to_end": """
-        SELECT c_custkey AS customer_id,
-               c_name AS customer_name,
-               c_nationkey AS nation_key,
-               c_name || ', ' || c_mktsegment AS label,
-               CAST(c_acctbal AS VARCHAR) || ', ' || CAST(c_nationkey AS VARCHAR)
-                 AS balance_nation,
-               c_mktsegment AS segment
-        FROM customer
-        WHERE c_name IS NOT NULL AND c_mktsegment = 'BUILDING'""",
+        SELECT c_nationkey AS nation_key, count(*) AS customers,
+               CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS balance,
+               max(c_name || ' / ' || c_mktsegment) AS last_customer
+        FROM customer WHERE c_mktsegment IN ('BUILDING', 'FURNITURE') GROUP BY c_nationkey""",
 }

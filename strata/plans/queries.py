@@ -120,16 +120,15 @@ CLEAN_SUITE = {"quality_params": {
     "df_count_btw": {"min": "1", "max": "100000000000"},
 }, "stop_job": True}
 
-GOLD_CUSTOMER_SQL = """
-SELECT c_custkey AS customer_id,
-       c_name AS customer_name,
-       c_nationkey AS nation_key,
-       CONCAT(c_name, ', ', c_mktsegment) AS label,
-       CONCAT(c_acctbal, ', ', c_nationkey) AS balance_nation,
-       c_mktsegment AS segment
+# Balances per nation of two segments, with the customer that comes last by name.
+GOLD_BALANCES_SQL = """
+SELECT c_nationkey AS nation_key,
+       count(*) AS customers,
+       CAST(sum(CAST(c_acctbal AS DECIMAL(18, 2))) AS DECIMAL(28, 2)) AS balance,
+       max(c_name || ' / ' || c_mktsegment) AS last_customer
 FROM {silver}.customer
-WHERE c_name IS NOT NULL
-  AND c_mktsegment = 'BUILDING';
+WHERE c_mktsegment IN ('BUILDING', 'FURNITURE')
+GROUP BY c_nationkey
 """
 
 
@@ -282,33 +281,24 @@ def silver_append(spark, sf_dir):
 # gold
 
 
-def _customer_with_gaps(spark, sf_dir):
-    c = _t(spark, sf_dir, "customer")
-    k = F.col("c_custkey")
-    return c.select(
-        "c_custkey",
-        F.when(k % 7 == 0, F.lit(None)).otherwise(F.col("c_name")).alias("c_name"),
-        "c_nationkey",
-        F.when(k % 13 == 0, F.lit(None)).otherwise(F.col("c_acctbal")).alias("c_acctbal"),
-        F.when(k % 11 == 0, F.lit(None)).otherwise(F.col("c_mktsegment")).alias("c_mktsegment"))
-
-
 def gold_filtered_projection(spark, sf_dir):
     lake, db, logs = _ctx(spark, "gold_filtered_projection")
-    _silver(spark, lake, _customer_with_gaps(spark, sf_dir), "customer", CUSTOMER_SCHEMA,
-            "c_mktsegment", db, logs)
+    part = _t(spark, sf_dir, "part")
+    gaps = part.select(*[F.when(F.col("p_partkey") % n != 0, F.col(c)).otherwise(F.lit(None)).alias(c)
+                         if n else F.col(c) for c, n in
+                         {"p_partkey": 0, "p_name": 5, "p_brand": 0, "p_type": 7, "p_size": 0,
+                          "p_retailprice": 11}.items()])
+    _silver(spark, lake, gaps, "part", PART_SCHEMA, "p_brand", db, logs)
     sql = f"""
-    SELECT c_custkey AS customer_id,
-           c_name AS customer_name,
-           c_mktsegment,
-           CONCAT(c_name, ', ', c_mktsegment) AS label,
-           CONCAT(c_acctbal, ', ', c_nationkey) AS balance_nation
-    FROM {db}.customer
-    WHERE c_mktsegment IS NOT NULL
-      AND c_nationkey < 15;
-    """
-    return silver_to_gold(spark, lake, sql, GoldParams(fresh_name("gold"), "customer_view",
-                                                       "c_mktsegment"), logs_db=logs)
+    SELECT p_partkey % 100 AS shelf, p_partkey AS item,
+           CONCAT('size ', p_size, ': ', upper(p_type)) AS kind,
+           CONCAT(p_retailprice, ' for ', p_name) AS offer,
+           p_brand
+    FROM {db}.part
+    WHERE p_type IS NOT NULL AND p_size BETWEEN 5 AND 30
+      AND (p_retailprice IS NULL OR p_retailprice > 950)"""
+    return silver_to_gold(spark, lake, sql, GoldParams(fresh_name("gold"), "part_offers",
+                                                       "shelf"), logs_db=logs)
 
 
 def gold_alias_shadowing(spark, sf_dir):
@@ -496,8 +486,8 @@ def layers_end_to_end(spark, sf_dir):
     spec = PipelineSpec(
         source="tpch", table="customer", day=DAY,
         ingest=IngestParams(db, "customer", CUSTOMER_SCHEMA, "c_mktsegment", "overwrite"),
-        golds=[GoldSpec(GOLD_CUSTOMER_SQL.format(silver=db),
-                        GoldParams(fresh_name("gold"), "building_customers", "nation_key"))],
+        golds=[GoldSpec(GOLD_BALANCES_SQL.format(silver=db),
+                        GoldParams(fresh_name("gold"), "balances", "nation_key"))],
         quality_sql=f"SELECT * FROM {db}.customer",
         quality=QualityParams.from_dict(CLEAN_SUITE),
         logs_db=logs,

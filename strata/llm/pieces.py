@@ -9,6 +9,7 @@ little-endian unsigned 32-bit integers, the form every caller hashes or stores.
 
 from __future__ import annotations
 
+import json
 import re
 from array import array
 from collections.abc import Callable
@@ -126,6 +127,28 @@ class AddedTokenEncoder:
                         for k, part in enumerate(self._cut.split(text)))
 
 
+# The parts of a tokenizer file that make it a byte-level BPE over the matches of
+# ``public_tokenizers.PATTERN``, which is what ``TextEncoder`` computes.
+_BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+_PLAIN_MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "byte_fallback": False,
+                "continuing_subword_prefix": None, "end_of_word_suffix": None,
+                "ignore_merges": False}
+
+
+def check_byte_level(name: str, written: str) -> None:
+    """Refuse a tokenizer (its JSON text) whose ids the cached parts would not give."""
+    parts = json.loads(written)
+    before, model = parts.get("pre_tokenizer") or {}, parts.get("model") or {}
+    wrong = [key for key, fixed in (("pre_tokenizer", _BYTE_LEVEL), ("model", _PLAIN_MODEL))
+             for k, v in fixed.items()
+             if (before if key == "pre_tokenizer" else model).get(k, v if v in (None, False) else 0)
+             not in (v, "" if v is None else v)]
+    if parts.get("normalizer") is not None:
+        wrong.append("normalizer")
+    if wrong:
+        raise ValueError(f"{name} is no plain byte-level BPE (its {', '.join(sorted(set(wrong)))})")
+
+
 _LOADED: dict[tuple[str, bool], TextEncoder | AddedTokenEncoder] = {}
 
 
@@ -142,6 +165,7 @@ def library_encoder(name: str, added_tokens: bool = False) -> TextEncoder | Adde
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+        check_byte_level(name, tokenizer.to_str())
         model = tokenizer.model
         shown = _printable_bytes()
         space, written = shown[32], [shown.get(k, chr(k)) for k in range(256)]

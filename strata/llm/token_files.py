@@ -25,7 +25,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
@@ -45,7 +44,8 @@ HAS_CHECKSUMS = 0x80
 #: Stands for a null document id in the index.
 NULL_ID = np.iinfo(np.int64).min
 
-MANIFEST = "file_no int, path string, n_docs long, n_ids long, n_bytes long"
+MANIFEST = ("file_no int, path string, n_docs long, n_ids long, n_bytes long, first_id long, "
+            "last_id long")
 
 
 class TokenFileWriter:
@@ -136,11 +136,12 @@ def write_token_files(df: DataFrame, id_col: str, text_col: str, folder: str,
                 n_ids += len(data) // 4
         if writer:
             writer.close()
+            ends = (None if k == NULL_ID else k for k in (writer.ids[0], writer.ids[-1]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([number], pa.int32()), pa.array([f"{folder}/tokens-{number:06d}.zst"]),
                  *(pa.array([n], pa.int64())
-                   for n in (len(writer.ids), n_ids, writer.file.size))],
-                names=["file_no", "path", "n_docs", "n_ids", "n_bytes"])
+                   for n in (len(writer.ids), n_ids, writer.file.size, *ends))],
+                names=[f.split()[0] for f in MANIFEST.split(", ")])
 
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = rows.withColumn("h", F.xxhash64("text"))
@@ -182,33 +183,52 @@ def read_token_files(manifest: DataFrame, files_per_task: int = 1) -> DataFrame:
 def fetch_documents(manifest: DataFrame, doc_ids: DataFrame) -> DataFrame:
     """Ids of the documents named in ``doc_ids`` (one long column): doc_id, ids.
 
-    Every file looks up the wanted ids that fall between its first and last id
-    and decompresses those frames only.
+    The manifest says between which ids a file's documents lie (24 bytes per file go
+    to every task). A wanted id goes to the files it can be in, which look it up in
+    their index and decompress its frames; files without a wanted id are not opened.
+    Null ids are not looked up; an id that stands on several documents gives them all.
     """
-    def bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    bounds = manifest.select("file_no", "first_id", "last_id").toPandas().sort_values("file_no")
+    first, last = (bounds[c].fillna(NULL_ID).to_numpy(np.int64) for c in ("first_id", "last_id"))
+    numbers = bounds["file_no"].to_numpy(np.int32)
+    shared = manifest.sparkSession.sparkContext.broadcast((numbers, first, last))
+
+    def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers, first, last = shared.value
         for batch in batches:
-            for path in batch.column("path").to_pylist():
-                reader = TokenFileReader(path)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([path] * len(reader)), pa.array(range(len(reader)), pa.int32()),
-                     pa.array(reader.ids, pa.int64(), mask=reader.ids == NULL_ID)],
-                    names=["path", "frame", "doc_id"])
-                reader.close()
+            ids = batch.column(0).to_numpy()
+            begin = np.searchsorted(last, ids, "left")
+            many = np.maximum(np.searchsorted(first, ids, "right") - begin, 0)
+            at = np.repeat(begin, many) + np.arange(many.sum()) - np.repeat(
+                np.cumsum(many) - many, many)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(numbers[at], pa.int32()), pa.array(np.repeat(ids, many), pa.int64())],
+                names=["file_no", "doc_id"])
 
-    def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path = reader = None
-        for batch in batches:
-            out = []
-            for row in batch.itertuples():
-                if row.path != path:
-                    path, reader = row.path, TokenFileReader(row.path)
-                out.append((row.doc_id, np.frombuffer(reader.read(row.frame), "<u4").tolist()))
-            yield pd.DataFrame(out, columns=["doc_id", "ids"])
-
-    wanted = doc_ids.toDF("doc_id").distinct()
-    frames = manifest.select("path").mapInArrow(bounds, "path string, frame int, doc_id long")
-    return (frames.join(wanted, "doc_id").repartition("path")
-            .sortWithinPartitions("path", "frame").mapInPandas(fetch, "doc_id long, ids array<long>"))
+        for batch in slices(batches, 64):
+            out: tuple[list, list] = [], []
+            for new, doc_id in zip(*(batch.column(c).to_pylist() for c in ("path", "doc_id")),
+                                   strict=True):
+                if new != path:
+                    if reader is not None:
+                        reader.close()
+                    path, reader = new, TokenFileReader(new)
+                for k in reader.find(doc_id):
+                    out[0].append(doc_id)
+                    out[1].append(np.frombuffer(reader.read(k), "<u4").astype(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out[0], pa.int64()), pa.array(out[1], pa.list_(pa.int64()))],
+                names=["doc_id", "ids"])
+        if reader is not None:
+            reader.close()
+
+    wanted = doc_ids.toDF("doc_id").where("doc_id is not null").distinct()
+    places = wanted.mapInArrow(locate, "file_no int, doc_id long")
+    found = places.join(manifest.select("file_no", "path"), "file_no").select("path", "doc_id")
+    return (found.repartition("path").sortWithinPartitions("path", "doc_id")
+            .mapInArrow(fetch, "doc_id long, ids array<long>"))
 
 
 def token_folder(spark, label: str = "token-files") -> str:

@@ -117,3 +117,32 @@ def test_empty_table(spark):
     df = frame(spark, [], "doc_id long, text string")
     manifest = T.write_token_files(df, "doc_id", "text", T.token_folder(spark))
     assert T.read_token_files(manifest).count() == 0
+
+
+def test_fetch_opens_only_files_with_wanted_ids(spark, library, tmp_path):
+    rows = [(k // 2, f"text number {k} " * (k % 7)) for k in range(400)] + [(None, "none")]
+    folder = f"file://{tmp_path}/files"
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # small partitions stay apart
+    try:
+        manifest = T.write_token_files(
+            spark.createDataFrame(rows, "doc_id long, text string").repartition(8), "doc_id",
+            "text", folder)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spans = [(r.first_id, r.last_id, r.path) for r in manifest.orderBy("file_no").collect()]
+    assert len(spans) > 2 and spans[0][0] is None and spans[-1][1] == 199
+    unwanted = [p for a, b, p in spans if a is not None and (a > 20 or b < 5)]
+    for path in unwanted:  # a file that is opened without need would not be readable
+        with open(path.removeprefix("file://"), "r+b") as f:
+            f.truncate(4)
+    assert unwanted
+    wanted = spark.createDataFrame([(k,) for k in (5, 20, 20, 1000, None)], "k long")
+    got = sorted((r.doc_id, r.ids) for r in T.fetch_documents(manifest, wanted).collect())
+    want = sorted((k, np.frombuffer(library(t) + bytes(4), "<u4").tolist())
+                  for k, t in rows if k in (5, 20))
+    assert got == want
+
+
+def test_other_tokenizers_are_refused():
+    with pytest.raises(ValueError, match="normalizer"):
+        library_encoder("word_bpe_49k.json")

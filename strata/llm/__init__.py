@@ -1,4 +1,5 @@
-"""Training-data operators: ten stand-alone jobs over documents, vectors and pages.
+"""Training-data operators: thirteen stand-alone jobs over documents, vectors,
+pages and conversations.
 
 Nothing else in the library imports this package. Each module holds one
 operator with a general interface; ``queries.py`` derives the registered

@@ -12,6 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..lake import remove_folder
 from ..session import run_root
 
 
@@ -20,16 +21,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, instead_of: DataFrame | None = None) -> DataFrame:
     """Write ``df`` to a fresh folder under the shared root and read it back.
 
     Cuts the lineage: a lost executor costs a read of committed files, never a
-    second run of what came before.
+    second run of what came before. ``instead_of``, a materialized frame that nothing
+    reads any more once ``df`` is written, is removed then.
     """
     spark = df.sparkSession
     path = run_root(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.folder_of_run = path
+    if instead_of is not None:
+        remove_folder(spark, instead_of.folder_of_run)
+    return out
 
 
 def id_in_fold(id_col: Column, mod: int, rem: int) -> Column:

@@ -4,7 +4,8 @@ Each round points every node at the smallest node next to it (large star: the
 larger neighbours; small star: the smaller ones) until the edges are stars with
 their smallest node in the middle. All steps are groupings and joins of edge
 rows; no component is gathered anywhere. Every round is committed to the shared
-folder, so the plan stays short and a lost executor costs one round at most.
+folder, so the plan stays short and a lost executor costs one round at most; the
+round before it is removed then.
 """
 
 from __future__ import annotations
@@ -46,6 +47,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if tuple(state) == seen or not state[0]:
             break
         seen = tuple(state)
-        edges = materialize(_small_star(_large_star(edges)), "edges")
+        edges = materialize(_small_star(_large_star(edges)), "edges", instead_of=edges)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
         edges.select("v", "v").distinct())

@@ -3,6 +3,11 @@
 ``STAGES`` lists (name, function); every function takes (spark, docs, sf_dir),
 works on all rows its predecessor kept and returns a DataFrame. All but the
 last return the columns of documents.
+
+Null texts count as empty, in every stage; rows with a null id are scored like any other, are
+never taken for duplicates and are packed; rows that repeat an id and text stay or go together
+(one of them stays in near-dedup). Texts are read whole. An empty table gives no rows. Further
+columns, whatever their names, come through the first three stages unchanged.
 """
 
 from __future__ import annotations
@@ -50,10 +55,14 @@ STAGES: list[tuple[str, Stage]] = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order on documents; each stage's rows are written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages in order on documents; each stage's rows are written and read again.
+
+    A stage's rows are removed when the next one's are written.
+    """
+    docs, written = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+        docs = written = materialize(stage(spark, docs, sf_dir),
+                                     f"stage-{name.replace(' ', '-')}", instead_of=written)
     return docs
 
 

@@ -63,11 +63,16 @@ class _Cache(dict):
 
 
 class TextEncoder:
-    """Texts to id bytes with ``encode_match`` for each match of ``pattern``."""
+    """Texts to id bytes with ``encode_match`` for each match of ``pattern``.
 
-    def __init__(self, pattern: str, encode_match: Callable[[str], bytes]):
+    ``encode_word``, where given, does the same for a blank and a Latin word, given
+    the word.
+    """
+
+    def __init__(self, pattern: str, encode_match: Callable[[str], bytes],
+                 encode_word: Callable[[str], bytes] | None = None):
         self._find = regex.compile(pattern).findall
-        self._make = encode_match
+        self._word = encode_word or (lambda word: encode_match(" " + word))
         self._match = _Cache(encode_match)
         self._first = _Cache(self._searched)
         self._rest = _Cache(self._spaced)
@@ -78,12 +83,14 @@ class TextEncoder:
     def _spaced(self, part: str) -> bytes:
         """Ids of a part behind its space; a Latin word, with marks behind it or not,
         needs no search."""
-        word = part.rstrip(_MARKS)
-        if not (word.isalpha() and (word.isascii() or max(word) < _LATIN_END)):
+        if part.isalpha():
+            if part.isascii() or max(part) < _LATIN_END:
+                return self._word(part)
             return self._searched(" " + part)
-        if len(word) == len(part):
-            return self._make(" " + word)
-        return self._rest[word] + self._match[part[len(word):]]
+        word = part.rstrip(_MARKS)
+        if word.isalpha() and (word.isascii() or max(word) < _LATIN_END):
+            return self._rest[word] + self._match[part[len(word):]]
+        return self._searched(" " + part)
 
     def encode(self, text: str) -> bytes:
         parts = _SAFE_SPACE.split(text) if _has_close_white(text) else text.split(" ")
@@ -168,16 +175,22 @@ def library_encoder(name: str, added_tokens: bool = False) -> TextEncoder | Adde
         check_byte_level(name, tokenizer.to_str())
         model = tokenizer.model
         shown = _printable_bytes()
-        space, written = shown[32], [shown.get(k, chr(k)) for k in range(256)]
+        space = shown[32]
+        shown_byte = [shown.get(k, chr(k)) for k in range(256)].__getitem__
+        tokenize = model.tokenize
 
         def encode_match(match: str) -> bytes:
             spaced = match[0] == " "
             if match.isascii() and match[spaced:].isalnum():
                 name = space + match[1:] if spaced else match
             else:
-                name = "".join(map(written.__getitem__, match.encode()))
-            return ids_to_bytes([t.id for t in model.tokenize(name)])
+                name = "".join(map(shown_byte, match.encode()))
+            return array("I", [t.id for t in tokenize(name)]).tobytes()
+
+        def encode_word(word: str) -> bytes:
+            name = word if word.isascii() else "".join(map(shown_byte, word.encode()))
+            return array("I", [t.id for t in tokenize(space + name)]).tobytes()
 
-        plain = TextEncoder(public_tokenizers.PATTERN, encode_match)
+        plain = TextEncoder(public_tokenizers.PATTERN, encode_match, encode_word)
         _LOADED[key] = AddedTokenEncoder(plain, tokenizer) if added_tokens else plain
     return _LOADED[key]
